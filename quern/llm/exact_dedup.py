@@ -75,7 +75,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
     blocks = materialize(repeated_slots(digests, bits), "bloom")
     tested = possibly_repeated(digests, blocks, bits)
     maybe = tested.where("__maybe")
-    groups = maybe.groupBy("digest").agg(F.max(F.struct("id", "row")).alias("keep"), F.count(F.lit(1)).alias("n"))
+    # Written out, so that both sides of the join below are exchanges and a hot digest is split.
+    groups = materialize(maybe.groupBy("digest").agg(F.max(F.struct("id", "row")).alias("keep"), F.count(F.lit(1)).alias("n")), "groups")
     back = maybe.join(groups, "digest")
     alone = tested.where("not __maybe").select(F.col("id"), F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("n"), F.lit(True).alias("kept"), "digest")
     both = alone.unionByName(back.select("id", F.col("keep.id").alias("keep_id"), "n", (F.col("row") == F.col("keep.row")).alias("kept"), "digest"))
