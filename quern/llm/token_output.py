@@ -10,7 +10,9 @@ of batch k // SEQS_A_BATCH, so a memory map gives any sequence without a copy.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -27,46 +29,80 @@ from ._shared import new_path, partitions, small_batches
 
 SEQ_LEN = 2048
 SEQS_A_BATCH = 64
-CACHE_WORDS = 200_000
+CACHE_PIECES = 300_000
+# The parts of a tokenizers file under which pieces can be encoded alone.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+WORD_END = "</w>"
+# Line ends, printable ASCII and the letters of Latin-1: normal forms of themselves.
+_SIMPLE = re.compile("[\n\x20-\x7eÀ-ÖØ-öø-ÿ]*")
+_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \na-z0-9ß-öø-ÿ]+")
+# Byte-level tokenizers write a byte that is no visible character of Latin-1 as 256 + its rank among those.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+_BYTES = {b: 256 + k for k, b in enumerate(_HIDDEN)}
 _SPACES = str.maketrans({"\n": " ", "\t": " ", "\r": " "})
 
 
 class Encoder:
     """Ids of texts by a tokenizers file, special tokens not added.
 
-    With by_words, white space of ASCII must separate tokens in this tokenizer, as
-    where its pre-tokenizer drops white space: pieces between are encoded once and
-    kept, at most CACHE_WORDS at a time.
+    Where the tokenizer drops white space between words and marks word ends, a text
+    is cut where it cuts it and each piece is encoded by the library once, then kept
+    (2 * CACHE_PIECES at most). Texts of simple characters are cut into its words,
+    others at white space of ASCII only. Any other tokenizer encodes whole texts.
     """
 
-    def __init__(self, path: str, by_words: bool = True):
+    def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.by_words = by_words
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.kept: dict[str, bytes] = {"": b""}
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.by_pieces = (spec.get("normalizer"), spec.get("pre_tokenizer"), spec["model"].get("end_of_word_suffix")) == (NORMALIZER, PRE_TOKENIZER, WORD_END)
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _learn(self, words: list[str], others: list[str]) -> None:
+        """Encode pieces that are new; words need nothing but the library's model."""
+        tokenize, kept = self.tokenizer.model.tokenize, self.kept
+        for w in words:
+            kept[w] = np.array([t.id for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(_BYTES))], self.dtype).tobytes()
+        for w in others:
+            kept[w] = self._ids(w)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text the bytes of its ids."""
-        if not self.by_words:
-            return self._raw(texts)
-        if len(self.kept) > CACHE_WORDS:
-            self.kept = {"": b""}
-        split = [t.translate(_SPACES).split(" ") if "\t" in t or "\r" in t else t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*split) - self.kept.keys())
-        self.kept.update(zip(new, self._raw(new)))
+        if not self.by_pieces:
+            return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        cut, words, others = [], set(), set()
+        for t in texts:
+            if _SIMPLE.fullmatch(t) and "<|" not in t:
+                cut.append(_PIECE.findall(t.lower()))
+                words.update(cut[-1])
+            else:
+                cut.append(t.translate(_SPACES).split(" "))
+                others.update(cut[-1])
+        if len(self.kept) > CACHE_PIECES:
+            self.kept, self.older = {}, self.kept
+        kept, older = self.kept, self.older
+        words = [w for w in words if w not in kept]
+        others = [w for w in others if w not in kept]
+        if older:
+            kept.update((w, older[w]) for w in words + others if w in older)
+            words, others = ([w for w in new if w not in kept] for new in (words, others))
+        self._learn(words, others)
         get = self.kept.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        return [b"".join(map(get, pieces)) for pieces in cut]
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, by_words: bool) -> Encoder:
-    return Encoder(path, by_words)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
@@ -109,11 +145,11 @@ class _Shard:
         self.writer.close()
 
 
-def _writer(out: str, path: str, by_words: bool, end_id: int, seq_len: int, id_type: pa.DataType) -> Callable:
+def _writer(out: str, path: str, end_id: int, seq_len: int, id_type: pa.DataType) -> Callable:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, shard = encoder(path, by_words), TaskContext.get().partitionId()
+        enc, shard = encoder(path), TaskContext.get().partitionId()
         fs, folder = _filesystem(out)
         fs.create_dir(folder)
         end = np.array([end_id], enc.dtype).tobytes()
@@ -143,7 +179,7 @@ def _writer(out: str, path: str, by_words: bool, end_id: int, seq_len: int, id_t
     return write
 
 
-def write_tokens(df: DataFrame, tokenizer: str, end_id: int = 1, seq_len: int = SEQ_LEN, id_col: str = "doc_id", text_col: str = "text", by_words: bool = True, out: str | None = None) -> tuple[str, list]:
+def write_tokens(df: DataFrame, tokenizer: str, end_id: int = 1, seq_len: int = SEQ_LEN, id_col: str = "doc_id", text_col: str = "text", out: str | None = None) -> tuple[str, list]:
     """Write df's texts as a store; its folder, and for each shard (shard, docs, tokens).
 
     Rows are dealt by ranges of id and sorted by id (null first), then text. A null
@@ -157,7 +193,7 @@ def write_tokens(df: DataFrame, tokenizer: str, end_id: int = 1, seq_len: int =
     rows = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     dealt = rows.repartitionByRange(partitions(spark), F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     id_type = pa.string() if rows.schema["doc_id"].dataType.simpleString() == "string" else pa.int64()
-    shards = dealt.mapInArrow(_writer(out, tokenizer, by_words, end_id, seq_len, id_type), "shard long, docs long, tokens long").collect()
+    shards = dealt.mapInArrow(_writer(out, tokenizer, end_id, seq_len, id_type), "shard long, docs long, tokens long").collect()
     return out, sorted(tuple(r) for r in shards if r.docs)
 
 

@@ -55,6 +55,20 @@ def test_empty_table(spark, docs):
 
 
 def test_pieces_give_the_tokenizers_own_ids():
-    texts = ["don't  stop\tnow\r\n\x1c a\u0085b c 　x é ́y Σς ΑΣ <|endoftext|> <|startoftext|>x", "İstanbul ǅ ﬁ  z", " ", ""]
+    texts = ["don't  stop\tnow\r\n\x1c a\u0085b c 　x é ́y Σς ΑΣ <|endoftext|> <|startoftext|>x", "İstanbul ǅ ﬁ  z", " ", "", "I'll we've O'S it'T x'sy ''s A1b22 ÉCOLE straße ×÷ ÿ", "a,b!! |c| <|no", "x" * 500 + " ½²"]
     e = to.Encoder(word_tokenizer())
     assert [np.frombuffer(b, e.dtype).tolist() for b in e.encode(texts)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_fixture_documents_match_the_library(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    e = to.Encoder(word_tokenizer())
+    assert e.by_pieces
+    assert [np.frombuffer(b, e.dtype).tolist() for b in e.encode(texts)] == [x.ids for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_small_cache_gives_the_same(monkeypatch):
+    monkeypatch.setattr(to, "CACHE_PIECES", 3)
+    e = to.Encoder(word_tokenizer())
+    for t in ("a b c d e", "c d e f g", "a b c x y z", "c d"):
+        assert np.frombuffer(e.encode([t])[0], e.dtype).tolist() == e.tokenizer.encode(t).ids
