@@ -10,11 +10,13 @@ of batch k // SEQS_A_BATCH, so a memory map gives any sequence without a copy.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from urllib.parse import urlparse
@@ -69,9 +71,9 @@ class Encoder:
 
     def _learn(self, words: list[str], others: list[str]) -> None:
         """Encode pieces that are new; words need nothing but the library's model."""
-        tokenize, kept = self.tokenizer.model.tokenize, self.kept
+        tokenize, kept, code = self.tokenizer.model.tokenize, self.kept, self.dtype.char
         for w in words:
-            kept[w] = np.array([t.id for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(_BYTES))], self.dtype).tobytes()
+            kept[w] = array(code, [t.id for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(_BYTES))]).tobytes()
         for w in others:
             kept[w] = self._ids(w)
 
@@ -172,7 +174,11 @@ def _writer(out: str, path: str, end_id: int, seq_len: int, id_type: pa.DataType
                 file.write_table(table)
 
         name = f"{folder}/shard-{shard:06d}"
-        _put(fs, f"{name}.arrow", tokens)
+        gc.disable()  # lists of many pieces, without cycles
+        try:
+            _put(fs, f"{name}.arrow", tokens)
+        finally:
+            gc.enable()
         _put(fs, f"{name}.docs.arrow", index)
         yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([len(counts)], pa.int64()), pa.array([sum(counts)], pa.int64())], ["shard", "docs", "tokens"])
 
