@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, near_dedup, quality, secrets, token_output, toxicity
+from . import decontam, exact_dedup, mixing, near_dedup, quality, secrets, token_output, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_tokens(spark, out, shards)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -51,6 +55,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_output": op2_token_output,
+    "op3_decontaminate": op3_decontaminate,
     "op4_quality": op4_quality,
     "op5_mix_sources": op5_mix_sources,
     "op6_secret_scan": op6_secret_scan,
@@ -91,4 +96,27 @@ SELECT doc_id, size, source_size, target,
 FROM a
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_exact_dedup": _OP7, "op5_mix_sources": _OP5}
+_OP3 = """
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, array_to_string(w[s:s + 9], ' ') AS phrase, least(10, len(w)) AS size
+  FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS s FROM iw WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM win),
+at AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS s FROM dw),
+grams AS (SELECT doc_id, s, size, array_to_string(w[s:s + size - 1], ' ') AS phrase FROM at, sizes WHERE s + size - 1 <= len(w)),
+found AS (SELECT doc_id, s, win.size, item_id FROM grams JOIN win USING (phrase, size)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + size)) AS p FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY doc_id)
+SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontaminate": _OP3,
+    "op5_mix_sources": _OP5,
+    "op7_exact_dedup": _OP7,
+}
