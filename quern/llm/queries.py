@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, mixing, near_dedup, quality, secrets, token_output, toxicity
+from . import decontam, exact_dedup, mixing, near_dedup, quality, secrets, suffix_dedup, token_output, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(_table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secret_scan": op6_secret_scan,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_toxicity": op8_toxicity,
+    "op9_repeated_passages": op9_repeated_passages,
     "op10_near_dedup": op10_near_dedup,
 }
 
@@ -105,8 +110,8 @@ win AS (
   SELECT DISTINCT item_id, array_to_string(w[s:s + 9], ' ') AS phrase, least(10, len(w)) AS size
   FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS s FROM iw WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT size FROM win),
-at AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS s FROM dw),
-grams AS (SELECT doc_id, s, size, array_to_string(w[s:s + size - 1], ' ') AS phrase FROM at, sizes WHERE s + size - 1 <= len(w)),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS s FROM dw),
+grams AS (SELECT doc_id, s, size, array_to_string(w[s:s + size - 1], ' ') AS phrase FROM places, sizes WHERE s + size - 1 <= len(w)),
 found AS (SELECT doc_id, s, win.size, item_id FROM grams JOIN win USING (phrase, size)),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + size)) AS p FROM found) GROUP BY doc_id),
 named AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY doc_id)
