@@ -64,20 +64,20 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     return s.select("source", "source_size", F.least(F.col("__cap"), F.coalesce(level * F.col("__w"), F.col("__cap"))).alias("target"))
 
 
-def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7, weights=WEIGHTS, share: float = SHARE, most: float = MOST_EPOCHS) -> DataFrame:
+def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 7, weights=WEIGHTS, share: float = SHARE, most: float = MOST_EPOCHS, draw_col: str | None = None) -> DataFrame:
     """One row for each row of df: id_col, size, source_size, target, taken, epochs,
     part, weight.
 
     size: words of the text. taken = epochs * size + part: epochs whole copies and,
     of the sampled documents, part = size, but less for the one on which the budget
-    ends. A null text is empty and has size 0; null is a source of its own, the last
+    ends. Keys are drawn from draw_col, by default the id. A null text is empty and has size 0; null is a source of its own, the last
     one; a null id draws like an empty one; rows with equal keys go by id, then by
     their place in the table. No rows give none. Other columns are not read.
     """
     text = F.col(text_col).cast("string")
-    rows = df.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(text).alias("size"), text.alias("__text"))
+    rows = df.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(text).alias("size"), text.alias("__text"), F.col(draw_col or id_col).alias("draw"))
     rows = rows.withColumn("weight", quality_weight(F.col("__text"), F.col("size"))).drop("__text")
-    rows = rows.withColumn("key", -F.log(uniform(F.col("id"), seed)) / F.col("weight")).withColumn("row", F.monotonically_increasing_id())
+    rows = rows.withColumn("key", -F.log(uniform(F.col("draw"), seed)) / F.col("weight")).withColumn("row", F.monotonically_increasing_id()).drop("draw")
     rows = materialize(rows, "sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     targets = materialize(source_targets(sizes.select("source", "source_size"), weights, share, most), "targets")

@@ -165,3 +165,17 @@ def toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model = fit(df, labels, "toxic", fold(id_col, FOLDS) != HELD_OUT, id_col, text_col, sample)
     out = score(df, model, id_col, text_col)
     return out.select(id_col, (fold(id_col, FOLDS) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def keep(df: DataFrame, model, text_col: str = "text", most: float = 0.5) -> DataFrame:
+    """The rows of df, all columns, that score less than `most`. No other row goes."""
+    spark = df.sparkSession
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f = scorer(shared.value)
+        for rows, words in chunks(batches, text_col):
+            yield rows.filter(pa.array(f(words) < most))
+
+    return df.mapInArrow(run, df.schema)
