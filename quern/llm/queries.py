@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, mixing, near_dedup, quality, secrets, suffix_dedup, token_output, toxicity
+from . import decontam, exact_dedup, line_dedup, mixing, near_dedup, quality, secrets, suffix_dedup, token_output, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, shards = token_output.write_tokens(_table(spark, sf_dir, "documents"), word_tokenizer(), end_id=1)
     return token_output.read_tokens(spark, out, shards)
@@ -58,6 +62,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_token_output": op2_token_output,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality": op4_quality,
