@@ -1,0 +1,140 @@
+"""Sequence and text functions, Column to Column, all inside the JVM."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# The standard genetic code, codons in the order of the bases T, C, A, G.
+BASES = "TCAG"
+AMINO_ACIDS = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
+# Ambiguity letters.
+AMBIGUOUS = "RYSWKMBDHVryswkmbdhv"
+
+
+def reverse_complement(s: Column) -> Column:
+    """Of A, C, G, T and N in either case; other letters stay."""
+    return F.reverse(F.translate(s, "ACGTNacgtn", "TGCANtgcan"))
+
+
+def mask_ambiguous(s: Column) -> Column:
+    return F.translate(s, AMBIGUOUS, "N" * len(AMBIGUOUS))
+
+
+def gc_fraction(s: Column) -> Column:
+    """G and C over all letters, N among them; 0 for an empty text."""
+    n = F.length(s)
+    return F.when(n == 0, 0.0).otherwise(F.regexp_count(s, F.lit("[GC]")) / n)
+
+
+def translate(s: Column, frame: int = 0) -> Column:
+    """Amino acids of whole codons from `frame` on; a codon with another letter is X.
+
+    The codon's number in base 4 is its place in AMINO_ACIDS."""
+    digits = F.translate(s, "TCAGU", "01230")
+    size = F.floor((F.length(s) - frame) / 3).cast("int")
+    at = F.sequence(F.lit(0), size - 1)
+
+    def amino(i: Column) -> Column:
+        codon = F.substring(digits, i * 3 + frame + 1, F.lit(3))
+        number = F.conv(codon, 4, 10).cast("int")
+        return F.when(codon.rlike("^[0-3]{3}$"), F.substring(F.lit(AMINO_ACIDS), number + 1, F.lit(1))).otherwise("X")
+
+    return F.when(s.isNull(), None).when(size < 1, "").otherwise(F.array_join(F.transform(at, amino), ""))
+
+
+def kmers(s: Column, k: int, without: str = "N") -> Column:
+    """Distinct substrings of length k that don't contain `without`."""
+    every = F.transform(F.sequence(F.lit(1), F.length(s) - k + 1), lambda i: F.substring(s, i, F.lit(k)))
+    return F.when(F.length(s) < k, F.array().cast("array<string>")).otherwise(F.array_distinct(F.filter(every, lambda x: ~F.contains(x, F.lit(without)))))
+
+
+def spanning_peptides(s: Column, first: Column, n: int, lengths: Sequence[int]) -> Column:
+    """Distinct windows of the given lengths that overlap [first, first + n) (from 0),
+    lie inside s and have neither * nor X."""
+    parts = []
+    for size in lengths:
+        low, high = F.greatest(F.lit(0), first - (size - 1)), F.least(F.length(s) - size, first + (n - 1))
+        parts.append(F.when(high >= low, F.transform(F.sequence(low, high), lambda i, size=size: F.substring(s, (i + 1).cast("int"), F.lit(size)))).otherwise(F.array().cast("array<string>")))
+    return F.array_distinct(F.filter(F.concat(*parts), lambda x: ~x.rlike("[*X]")))
+
+
+def longest_orf(s: Column, least: int = 1) -> Column:
+    """The longest part from an M to before a stop in the three forward frames (ties: the
+    lesser frame, then the earlier), or null if none has `least` letters."""
+    found = []
+    for frame in range(3):
+        parts = F.split(translate(s, frame), r"\*")
+        orfs = F.transform(parts, lambda p: F.when(F.instr(p, "M") > 0, F.substring(p, F.instr(p, "M"), F.length(p))).otherwise(""))
+        found.append(F.transform(orfs, lambda p, i: F.struct((-F.length(p)).alias("n"), (i + frame * 1_000_000).alias("k"), p.alias("orf"))))
+    best = F.array_min(F.concat(*found))["orf"]
+    return F.when(F.length(best) >= least, best)
+
+
+def substitution_channel(ref: Column, alt: Column, before: Column, after: Column) -> Column:
+    """X[R>A]Y with R folded to C or T: A and G take the other strand."""
+    comp = lambda c: F.translate(c, "ACGT", "TGCA")
+    fold = ref.isin("A", "G")
+    r, a = F.when(fold, comp(ref)).otherwise(ref), F.when(fold, comp(alt)).otherwise(alt)
+    x, y = F.when(fold, comp(after)).otherwise(before), F.when(fold, comp(before)).otherwise(after)
+    return F.format_string("%s[%s>%s]%s", x, r, a, y)
+
+
+def wrap(s: Column, width: int = 60) -> Column:
+    """Lines of `width` letters; the last one isn't followed by a line end."""
+    return F.regexp_replace(F.regexp_replace(s, f"(.{{{width}}})", "$1\n"), "\n$", "")
+
+
+def probe_orientation(probe: Column, target: Column, k: int = 25, offsets: Sequence[int] = (0, 10, 20, 30, 40)) -> Column:
+    """same, opposite or unknown: whether target has any k letters of probe as they are
+    or reversed and complemented."""
+    pieces = F.filter(F.array(*[F.substring(probe, o + 1, k) for o in offsets]), lambda p: F.length(p) == k)
+    same = F.exists(pieces, lambda p: F.contains(target, p))
+    other = F.exists(pieces, lambda p: F.contains(target, reverse_complement(p)))
+    return F.when(same, "same").when(other, "opposite").otherwise("unknown")
+
+
+def cigar_sum(cigar: Column, ops: str) -> Column:
+    """The lengths of a CIGAR text's operations out of ops, added up."""
+    hits = F.regexp_extract_all(cigar, F.lit(f"([0-9]+)[{ops}]"), F.lit(1))
+    return F.aggregate(hits, F.lit(0).cast("long"), lambda a, x: a + x.cast("long"))
+
+
+def longest_run(s: Column) -> Column:
+    """The length of the longest run of one letter; 0 for an empty text."""
+    runs = F.regexp_extract_all(s, F.lit(r"((.)\2*)"), F.lit(1))
+    return F.coalesce(F.array_max(F.transform(runs, lambda r: F.length(r))), F.lit(0))
+
+
+def phred_mean(q: Column) -> Column:
+    """The mean quality of Phred+33 text: error probabilities are averaged, then turned back once."""
+    n = F.length(q)
+    total = F.aggregate(F.filter(F.split(q, ""), lambda c: c != ""), F.lit(0.0), lambda a, c: a + F.pow(F.lit(10.0), -(F.ascii(c) - 33) / 10.0))
+    return F.when(n > 0, -10 * F.log10(total / n))
+
+
+def shift_phred(q: Column, shift: int) -> Column:
+    """Phred numbers (an array) less `shift`, kept within 1 and 93."""
+    return F.transform(q, lambda x: F.greatest(F.lit(1), F.least(F.lit(93), x - shift)))
+
+
+def skip_exon(exons: Column, i: int) -> Column:
+    """An exon list without its exon i (from 0)."""
+    return F.filter(exons, lambda x, k: k != i)
+
+
+def retain_intron(exons: Column, i: int) -> Column:
+    """Exons i and i + 1 joined into one with the intron between."""
+    joined = F.struct(F.get(exons, F.lit(i))["start"].alias("start"), F.get(exons, F.lit(i + 1))["end"].alias("end"))
+    return F.when(F.size(exons) > i + 1, F.concat(F.slice(exons, 1, i), F.array(joined), F.slice(exons, i + 3, 1 << 20))).otherwise(exons)
+
+
+def cryptic_site(exons: Column, i: int, by: int) -> Column:
+    """Exon i ends `by` positions later (by < 0: earlier)."""
+    return F.transform(exons, lambda x, k: F.struct(x["start"].alias("start"), F.when(k == i, x["end"] + by).otherwise(x["end"]).alias("end")))
+
+
+def novel_exon(exons: Column, start: Column, end: Column) -> Column:
+    return F.array_sort(F.concat(exons, F.array(F.struct(start.alias("start"), end.alias("end")))))
