@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import small_batches
+from ._shared import small_batches, trimmed
 from ._words import Words, chunks
 from .toxicity import fold, labelled_sample
 
@@ -189,8 +189,8 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     held out. Without any it gives every text 0.5."""
     small_batches(df.sparkSession)
     rows = labelled_sample(df, labels, "quality", fold(id_col, FOLDS) != HELD_OUT, id_col, text_col, sample)
-    blobs = rows.mapInArrow(_featurise, "label int, place long, i binary, x binary")
-    got = blobs.repartition(1).mapInArrow(_train, "bias double, w binary, v binary").collect()
+    blobs = rows.mapInArrow(trimmed(_featurise), "label int, place long, i binary, x binary")
+    got = blobs.repartition(1).mapInArrow(trimmed(_train), "bias double, w binary, v binary").collect()
     return tuple(got[0]) if got else (0.0, np.zeros(WORDS_AT + (1 << BITS), "<f4").tobytes(), np.zeros((WORDS_AT + (1 << BITS)) * RANK, "<f4").tobytes())
 
 
@@ -208,5 +208,5 @@ def quality(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"id {kind}, score double").select(F.col("id").alias(id_col), "score")
+    out = rows.mapInArrow(trimmed(run), f"id {kind}, score double").select(F.col("id").alias(id_col), "score")
     return out.select(id_col, (fold(id_col, FOLDS) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

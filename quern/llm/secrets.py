@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import materialize, new_path, small_batches
+from ._shared import materialize, new_path, small_batches, trimmed
 
 # The base rules, in the order in which kinds are listed.
 ASSIGN = r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -109,7 +109,7 @@ class Ledger:
         new = materialize(new.groupBy("blob", "id").agg(F.sort_array(F.collect_list("rule")).alias("todo")), "unseen")
         first = new.select(F.col("id").alias("__id"), F.col("blob").alias("__blob"), "todo")
         picked = rows.join(first.hint("shuffle_hash"), F.expr("id <=> __id and blob = __blob")).select("blob", "text", "todo")
-        found = picked.mapInArrow(_scan, "blob binary, rule string, kind string, start long, `end` long")
+        found = picked.mapInArrow(trimmed(_scan), "blob binary, rule string, kind string, start long, `end` long")
         found.distinct().write.mode("append").parquet(f"{self.path}/findings")
         new.select("blob", F.explode("todo").alias("rule")).write.mode("append").parquet(f"{self.path}/scanned")
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import materialize, partitions, small_batches
+from ._shared import materialize, partitions, small_batches, trimmed
 from ._words import Words, chunks, mix
 
 MIN_WORDS = 50
@@ -185,10 +185,10 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = source.schema["id"].dataType.simpleString()
     carried = "key long, right binary, left binary, pos int, n_right smallint, n_left smallint"
     result = f"edge boolean, id {kind}, row long, start long, `end` long, other_id {kind}, other_row long, other_start long, {carried}"
-    suffixes = source.mapInArrow(_suffixes(k, min_words), f"key long, right binary, left binary, id {kind}, row long, pos int, n_right smallint, n_left smallint")
+    suffixes = source.mapInArrow(trimmed(_suffixes(k, min_words)), f"key long, right binary, left binary, id {kind}, row long, pos int, n_right smallint, n_left smallint")
     by = ("key", "right", "left", "row", "pos")
     dealt = suffixes.repartitionByRange(partitions(spark), *by).sortWithinPartitions(*by)
-    found = materialize(dealt.mapInArrow(_matcher(k, min_words, across, True), result), "matches")
+    found = materialize(dealt.mapInArrow(trimmed(_matcher(k, min_words, across, True)), result), "matches")
     # The outermost runs of each part, a few rows a part, are compared once more.
     border = found.where("edge").select("key", "right", "left", "id", "row", "pos", "n_right", "n_left")
     again = border.repartition(1).sortWithinPartitions(*by).mapInArrow(_matcher(k, min_words, across, False), result)

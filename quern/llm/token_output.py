@@ -27,7 +27,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._shared import new_path, partitions, small_batches
+from ._shared import new_path, partitions, small_batches, trimmed
 
 SEQ_LEN = 2048
 SEQS_A_BATCH = 64
@@ -199,7 +199,7 @@ def write_tokens(df: DataFrame, tokenizer: str, end_id: int = 1, seq_len: int =
     rows = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     dealt = rows.repartitionByRange(partitions(spark), F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     id_type = pa.string() if rows.schema["doc_id"].dataType.simpleString() == "string" else pa.int64()
-    shards = dealt.mapInArrow(_writer(out, tokenizer, end_id, seq_len, id_type), "shard long, docs long, tokens long").collect()
+    shards = dealt.mapInArrow(trimmed(_writer(out, tokenizer, end_id, seq_len, id_type)), "shard long, docs long, tokens long").collect()
     return out, sorted(tuple(r) for r in shards if r.docs)
 
 

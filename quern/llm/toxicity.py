@@ -15,11 +15,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import materialize, small_batches
+from ._shared import materialize, small_batches, trimmed
 from ._words import Words, chunks, mix
 
 BITS = 20
-SAMPLE = 24_000  # labelled rows that a model is fitted on, at most
+SAMPLE = 20_000  # labelled rows that a model is fitted on, at most
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 1.0
 POSITIVE = 2.0  # an example of label 1 counts as so many
@@ -93,12 +93,14 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = []
     for b in batches:
-        rows += zip(b["place"].to_pylist(), b["label"].to_pylist(), b["features"].to_pylist())
-    rows.sort()
+        # Views of the batch's buffer, not copies.
+        views = [np.frombuffer(c.as_buffer(), "<u4") if len(c.as_buffer()) else np.zeros(0, "<u4") for c in b["features"]]
+        rows += zip(b["place"].to_pylist(), b["label"].to_pylist(), views)
+    rows.sort(key=lambda r: (r[0], r[1], len(r[2])))
     model = Ftrl()
     for _ in range(EPOCHS):
-        for _, label, blob in rows:
-            model.learn(np.frombuffer(blob, "<u4"), label)
+        for _, label, index in rows:
+            model.learn(index, label)
     at, w, bias = model.model()
     yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((at.tobytes(), pa.binary()), (w.tobytes(), pa.binary()), (bias, pa.float64()))], ["at", "w", "bias"])
 
@@ -119,8 +121,8 @@ def fit(df: DataFrame, labels: DataFrame, label: str = "toxic", in_fold: Column
     small_batches(df.sparkSession)
     in_fold = in_fold if in_fold is not None else F.lit(True)
     rows = labelled_sample(df, labels, label, in_fold, id_col, text_col, sample)
-    blobs = rows.mapInArrow(_featurise, "label int, place long, features binary")
-    got = blobs.repartition(1).mapInArrow(_train, "at binary, w binary, bias double").collect()
+    blobs = rows.mapInArrow(trimmed(_featurise), "label int, place long, features binary")
+    got = blobs.repartition(1).mapInArrow(trimmed(_train), "at binary, w binary, bias double").collect()
     if not got:
         return np.zeros(0, np.int32), np.zeros(0, np.float32), PRIOR
     return np.frombuffer(got[0].at, np.int32), np.frombuffer(got[0].w, np.float32), got[0].bias
@@ -155,7 +157,7 @@ def score(df: DataFrame, model, id_col: str = "doc_id", text_col: str = "text")
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, score double").select(F.col("id").alias(id_col), "score")
+    return rows.mapInArrow(trimmed(run), f"id {kind}, score double").select(F.col("id").alias(id_col), "score")
 
 
 def toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
@@ -178,4 +180,4 @@ def keep(df: DataFrame, model, text_col: str = "text", most: float = 0.5) -> Dat
         for rows, words in chunks(batches, text_col):
             yield rows.filter(pa.array(f(words) < most))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(trimmed(run), df.schema)
