@@ -54,10 +54,14 @@ def kmers(s: Column, k: int, without: str = "N") -> Column:
 def spanning_peptides(s: Column, first: Column, n: int, lengths: Sequence[int]) -> Column:
     """Distinct windows of the given lengths that overlap [first, first + n) (from 0),
     lie inside s and have neither * nor X."""
+
+    def cut(size: int):
+        return lambda i: F.substring(s, (i + 1).cast("int"), F.lit(size))
+
     parts = []
     for size in lengths:
         low, high = F.greatest(F.lit(0), first - (size - 1)), F.least(F.length(s) - size, first + (n - 1))
-        parts.append(F.when(high >= low, F.transform(F.sequence(low, high), lambda i, size=size: F.substring(s, (i + 1).cast("int"), F.lit(size)))).otherwise(F.array().cast("array<string>")))
+        parts.append(F.when(high >= low, F.transform(F.sequence(low, high), cut(size))).otherwise(F.array().cast("array<string>")))
     return F.array_distinct(F.filter(F.concat(*parts), lambda x: ~x.rlike("[*X]")))
 
 

@@ -53,10 +53,10 @@ def f7_kmers(t):
     return _dna(t).select("p_partkey", F.size(sq.kmers(F.col("dna"), 9)).cast("long").alias("n"))
 
 
-@query("SELECT p_partkey, list_sort(list_distinct(list_filter(list_concat(list_transform(range(greatest(0, 4 - 3), least(length(p_name) - 4, 4) + 1), lambda i: substr(p_name, CAST(i + 1 AS BIGINT), 4)), list_transform(range(greatest(0, 4 - 4), least(length(p_name) - 5, 4) + 1), lambda i: substr(p_name, CAST(i + 1 AS BIGINT), 5))), lambda x: NOT regexp_matches(x, '[*X]'))))::VARCHAR AS peptides FROM part")
+@query("WITH w AS (SELECT p_partkey, substr(p_name, CAST(i + 1 AS BIGINT), n) AS x FROM part, (VALUES (4), (5)) v(n), unnest(range(0, 5)) u(i) WHERE i >= 4 - n + 1 AND i + n <= length(p_name)) SELECT p_partkey, string_agg(x, '|' ORDER BY x) AS peptides FROM (SELECT DISTINCT p_partkey, x FROM w WHERE x NOT LIKE '%X%' AND x NOT LIKE '%*%') GROUP BY 1")
 def f8_spanning_peptides(t):
     p = F.array_sort(sq.spanning_peptides(F.col("p_name"), F.lit(4), 1, (4, 5)))
-    return t.part.select("p_partkey", F.concat(F.lit("["), F.array_join(F.transform(p, lambda x: F.when(x.rlike("[, ]") & F.lit(False), x).otherwise(x)), ", "), F.lit("]")).alias("peptides"))
+    return t.part.select("p_partkey", F.array_join(p, "|").alias("peptides")).where("peptides <> ''")
 
 
 @query(f"WITH {_P}, {_CODONS}, e AS (SELECT p_partkey, f, k, substr(dna, k * 3 + f + 1, 3) AS codon FROM p, unnest(range(0, 3)) w(f), unnest(range(0, 21)) u(k) WHERE k * 3 + f + 3 <= 64), s AS (SELECT p_partkey, f, string_agg(aa, '' ORDER BY k) AS protein FROM e JOIN codons USING (codon) GROUP BY ALL), o AS (SELECT p_partkey, f, i, regexp_extract(x, 'M.*') AS orf FROM (SELECT p_partkey, f, unnest(range(0, len(parts))) AS i, unnest(parts) AS x FROM (SELECT p_partkey, f, string_split(protein, '*') AS parts FROM s))), b AS (SELECT p_partkey, orf, row_number() OVER (PARTITION BY p_partkey ORDER BY length(orf) DESC, f, i) AS rn FROM o) SELECT p_partkey, CASE WHEN length(orf) >= 3 THEN orf END AS orf FROM b WHERE rn = 1")
