@@ -184,9 +184,9 @@ def a28_sum_with_group_mean_for_missing(t):
     return p.join(g, "p_brand").select("p_partkey", F.round(F.coalesce("x", "mean", F.lit(0.0)), 6).alias("v"), F.round("total", 4).alias("brand_total"))
 
 
-@query("WITH f AS (SELECT l_orderkey, l_returnflag, first_value(l_returnflag) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS first FROM lineitem) SELECT l_orderkey, count(*) FILTER (l_returnflag = first) AS same, count(*) FILTER (l_returnflag <> first) AS opposite FROM f GROUP BY 1 HAVING count(*) > 1")
+@query("WITH f AS (SELECT l_orderkey, l_returnflag, first_value(l_returnflag) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS first FROM lineitem) SELECT l_orderkey, count(*) FILTER (l_returnflag = first) AS same, count(*) FILTER (l_returnflag <> first) AS opposite FROM f GROUP BY 1 HAVING count(*) > 1")
 def a29_majority_orientation(t):
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     d = t.lineitem.withColumn("f", F.first("l_returnflag").over(w))
     out = d.groupBy("l_orderkey").agg(F.count_if(F.col("l_returnflag") == F.col("f")).alias("same"), F.count_if(F.col("l_returnflag") != F.col("f")).alias("opposite"))
     return out.where("same + opposite > 1")

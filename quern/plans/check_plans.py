@@ -180,9 +180,9 @@ def q25_complete_and_indexed(t):
     return checks.none_of(x, "complete")
 
 
-@query("WITH g AS (SELECT l_orderkey, l_linestatus <> first_value(l_linestatus) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS other FROM lineitem), x AS (SELECT count(*) AS n, count(*) FILTER (other) AS opposite FROM g) " + _v("orientation shared", "''", "opposite", "CASE WHEN n < 50 THEN 'SKIP (too few)' WHEN opposite = 0 THEN 'PASS' ELSE 'FAIL (opposite mates)' END", "FROM x"))
+@query("WITH g AS (SELECT l_orderkey, l_linestatus <> first_value(l_linestatus) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS other FROM lineitem), x AS (SELECT count(*) AS n, count(*) FILTER (other) AS opposite FROM g) " + _v("orientation shared", "''", "opposite", "CASE WHEN n < 50 THEN 'SKIP (too few)' WHEN opposite = 0 THEN 'PASS' ELSE 'FAIL (opposite mates)' END", "FROM x"))
 def q26_shared_orientation(t):
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     x = t.lineitem.select((F.col("l_linestatus") != F.first("l_linestatus").over(w)).alias("o")).agg(F.count(F.lit(1)).alias("n"), F.count_if("o").alias("opposite"))
     return checks.row(x, "orientation shared", "", F.col("opposite"), F.when(F.col("n") < 50, "SKIP (too few)").otherwise(checks.verdict(F.col("opposite") == 0, "opposite mates")))
 

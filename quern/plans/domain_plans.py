@@ -144,9 +144,9 @@ def d12_placement_with_reservation(t):
     return intervals.greedy(d, ["p_brand"], "p_partkey").select("p_partkey", "kept")
 
 
-@query("WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS i, sum(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING) AS upto, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem), p AS (SELECT a.l_orderkey, a.i AS i, b.i AS j, abs(a.i * 2 - a.n) + abs(b.i * 2 - b.n) AS off FROM x a JOIN x b ON a.l_orderkey = b.l_orderkey AND a.i < b.i WHERE a.upto % 3 = 0), r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY off, i, j) AS rn FROM p) SELECT l_orderkey, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j FROM r WHERE rn <= 4")
+@query("WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS i, sum(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice ROWS UNBOUNDED PRECEDING) AS upto, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem), p AS (SELECT a.l_orderkey, a.i AS i, b.i AS j, abs(a.i * 2 - a.n) + abs(b.i * 2 - b.n) AS off FROM x a JOIN x b ON a.l_orderkey = b.l_orderkey AND a.i < b.i WHERE a.upto % 3 = 0), r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY off, i, j) AS rn FROM p) SELECT l_orderkey, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j FROM r WHERE rn <= 4")
 def d13_junction_search(t):
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     x = t.lineitem.select("l_orderkey", F.row_number().over(w).alias("i"), F.sum("l_partkey").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"), F.count(F.lit(1)).over(Window.partitionBy("l_orderkey")).alias("n"))
     y = x.select("l_orderkey", F.col("i").alias("j"))
     p = x.where("upto % 3 = 0").join(y, "l_orderkey").where("i < j").withColumn("off", F.abs(F.col("i") * 2 - F.col("n")) + F.abs(F.col("j") * 2 - F.col("n")))
@@ -232,9 +232,9 @@ def d25_recombination(t):
     return d.withColumn("cdr3_aa", sq.translate(F.col("cdr3_nt")))
 
 
-@query("WITH r AS (SELECT l_suppkey, l_partkey, floor((row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey) - 1) / 8) AS arr, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey) AS k FROM lineitem) SELECT l_suppkey, CAST(arr AS BIGINT) AS arr, count(*) AS members, 'A' || string_agg(CAST(l_partkey AS VARCHAR), '-' ORDER BY k) || 'Z' AS text FROM r GROUP BY l_suppkey, arr")
+@query("WITH r AS (SELECT l_suppkey, l_partkey, floor((row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) - 1) / 8) AS arr, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) AS k FROM lineitem) SELECT l_suppkey, CAST(arr AS BIGINT) AS arr, count(*) AS members, 'A' || string_agg(CAST(l_partkey AS VARCHAR), '-' ORDER BY k) || 'Z' AS text FROM r GROUP BY l_suppkey, arr")
 def d26_array_grammar(t):
-    d = windows.numbered(t.lineitem, ["l_orderkey", "l_linenumber", "l_partkey"], by=["l_suppkey"]).withColumn("arr", F.floor((F.col("rn") - 1) / 8))
+    d = windows.numbered(t.lineitem, ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"], by=["l_suppkey"]).withColumn("arr", F.floor((F.col("rn") - 1) / 8))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", "l_partkey"))), lambda x: x["l_partkey"].cast("string")), "-")
     return d.groupBy("l_suppkey", "arr").agg(F.count(F.lit(1)).alias("members"), F.concat(F.lit("A"), joined, F.lit("Z")).alias("text"))
 
@@ -339,10 +339,10 @@ def d16_uniform_slices(t):
     return d.groupBy("o_custkey", "state", "run").agg(F.min("d").alias("first_day"), F.max("d").alias("last_day"), F.count(F.lit(1)).alias("n")).drop("run")
 
 
-@query("WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 2 ELSE 1 END * l_quantity AS n, l_linestatus FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, n AS length_, coalesce(sum(n) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS derived_start, CASE l_linestatus WHEN 'O' THEN '-' ELSE '+' END AS strand FROM x WHERE n > 0")
+@query("WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 2 ELSE 1 END * l_quantity AS n, l_linestatus FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, n AS length_, coalesce(sum(n) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS derived_start, CASE l_linestatus WHEN 'O' THEN '-' ELSE '+' END AS strand FROM x WHERE n > 0")
 def d15_derived_plan(t):
     """Pieces in order: omitted (R), doubled (A) or kept, turned where the status says so."""
     copies = F.when(F.col("l_returnflag") == "R", 0).when(F.col("l_returnflag") == "A", 2).otherwise(1)
     d = t.lineitem.withColumn("length_", copies * F.col("l_quantity")).where("length_ > 0")
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").rowsBetween(Window.unboundedPreceding, -1)
     return d.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "length_", F.coalesce(F.sum("length_").over(w), F.lit(0.0)).alias("derived_start"), F.when(F.col("l_linestatus") == "O", "-").otherwise("+").alias("strand"))

@@ -29,9 +29,9 @@ def w3_mixed_radix_names(t):
     return t.orders.select("o_orderkey", F.concat_ws(":", F.concat(F.lit("L"), digit(1, 1, 4)), digit(1101, 4, 78), digit(1000, 312, 20000), (F.lit(1000) + F.pmod(i * 7, F.lit(30000))).cast("string")).alias("name"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, sum(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING) AS upto, sum(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING) - l_quantity AS offset_ FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, sum(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice ROWS UNBOUNDED PRECEDING) AS upto, sum(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice ROWS UNBOUNDED PRECEDING) - l_quantity AS offset_ FROM lineitem")
 def w4_running_sum(t):
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey").rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").rowsBetween(Window.unboundedPreceding, 0)
     return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.sum("l_quantity").over(w).alias("upto"), (F.sum("l_quantity").over(w) - F.col("l_quantity")).alias("offset_"))
 
 
@@ -46,10 +46,11 @@ def w10_first_wins(t):
     return windows.first_wins(t.events, ["user_id"], ["ts", "event_id"]).select("user_id", F.col("event_id").alias("first_event"), "event_type")
 
 
-@query("WITH r AS (SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, (row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1) / count(*) OVER (PARTITION BY l_returnflag) AS turn FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, row_number() OVER (ORDER BY turn, l_returnflag) AS slot FROM r")
+@query("WITH r AS (SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, (row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1) / count(*) OVER (PARTITION BY l_returnflag) AS turn FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, row_number() OVER (ORDER BY turn, l_returnflag) AS slot FROM r")
 def w12_largest_fraction_interleave(t):
     key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return windows.interleave(t.lineitem.select(*key, "l_returnflag"), "l_returnflag", key).select(*key, "l_returnflag", "slot")
+    rest = ["l_quantity", "l_extendedprice"]
+    return windows.interleave(t.lineitem.select(*key, *rest, "l_returnflag"), "l_returnflag", key + rest).select(*key, "l_returnflag", "slot")
 
 
 @query("WITH c AS (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1), e AS (SELECT c_nationkey, n * 1000 / sum(n) OVER ()::DOUBLE AS x FROM c), f AS (SELECT c_nationkey, floor(x) AS base, row_number() OVER (ORDER BY x - floor(x) DESC, c_nationkey) AS k, 1000 - sum(floor(x)) OVER () AS left_ FROM e) SELECT c_nationkey, CAST(base + CASE WHEN k <= left_ THEN 1 ELSE 0 END AS BIGINT) AS seats FROM f")
