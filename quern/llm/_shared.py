@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 ARROW_ROWS = 1000
 _OWN: list[str] = []
+_RECORDS: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,7 +25,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/quern-{what}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/quern-{what}-{uuid.uuid4().hex[:12]}"
+    for record in _RECORDS:
+        record.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def recording():
+    """A list that gets every path of the shared folder that new_path gives meanwhile."""
+    record: list[str] = []
+    _RECORDS.append(record)
+    try:
+        yield record
+    finally:
+        _RECORDS.remove(record)
 
 
 def materialize(df: DataFrame, what: str) -> DataFrame:
