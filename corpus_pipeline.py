@@ -4,6 +4,9 @@ next one's docs. All stages but the last return the columns of documents."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +15,25 @@ from quern.llm import _shared, decontam, mixing, near_dedup, queries, token_outp
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+_passed: list[str] = []  # paths that the stage before wrote for itself
+
+
+def _stage(f: Callable) -> Callable:
+    """A stage that first deletes what the one before it left in the shared folder: its
+    result is written by then, and these tables would only fill the disk."""
+
+    @wraps(f)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _passed:
+            _shared.remove(spark, _passed.pop())
+        with _shared.recording() as record:
+            out = f(spark, docs, sf_dir)
+        _passed.extend(record)
+        return out
+
+    return run
+
+
 def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """docs under a row number of this stage's own, so that ids that are null or
     repeat, and extra columns, do no harm; written, so that the number stays."""
@@ -25,6 +47,7 @@ def _without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
     return rows.join(decontam.small(dropped), "__row", "left_anti").select(*COLUMNS)
 
 
+@_stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -32,6 +55,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep(docs.select(*COLUMNS), model)
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     rows = _numbered(spark, docs)
@@ -39,6 +63,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _without(rows, found.where("not kept"))
 
 
+@_stage
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     rows = _numbered(spark, docs)
@@ -46,6 +71,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return _without(rows, found.where("contaminated"))
 
 
+@_stage
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: its whole copies, and one more if
     at least half of its words are in the fractional selection. Texts stay whole;
@@ -57,6 +83,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.join(decontam.small(times), "__row").select(*COLUMNS, F.explode(F.array_repeat(F.lit(0), F.col("__times"))).alias("__copy")).select(*COLUMNS)
 
 
+@_stage
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the mix; a row for each document in them."""
     out, shards = token_output.write_tokens(docs, queries.word_tokenizer(), end_id=1)
