@@ -20,9 +20,10 @@ from ._words import Words, chunks, mix
 
 BITS = 20
 SAMPLE = 20_000  # labelled rows that a model is fitted on, at most
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 1.0
-POSITIVE = 2.0  # an example of label 1 counts as so many
+EPOCHS = 5
+ALPHA, BETA, L2 = 5.0, 1.0, 1.0
+L1_LEAST, L1_ROWS = 12.0, 800  # L1 grows with the examples, by one for so many
+POSITIVE = 4.0  # an example of label 1 counts as so many
 FOLDS, HELD_OUT = 5, 0
 PRIOR = -2.4  # the bias before any label is seen: a score of 0.083
 
@@ -52,14 +53,15 @@ def distinct(index: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarr
 class Ftrl:
     """Per-coordinate FTRL-proximal on rows of distinct feature indices."""
 
-    def __init__(self, bits: int = BITS):
+    def __init__(self, l1: float = L1_LEAST, bits: int = BITS):
+        self.l1 = l1
         self.z, self.n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
         self.bias = 1 << bits  # the last coordinate, without L1
 
     def weights(self, i: np.ndarray | slice) -> np.ndarray:
         z, n = self.z[i], self.n[i]
-        w = -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2)
-        return np.where(np.abs(z) <= L1, 0.0, w)
+        w = -(z - np.sign(z) * self.l1) / ((BETA + np.sqrt(n)) / ALPHA + L2)
+        return np.where(np.abs(z) <= self.l1, 0.0, w)
 
     def bias_weight(self) -> float:
         return PRIOR - self.z[self.bias] / ((BETA + np.sqrt(self.n[self.bias])) / ALPHA)
@@ -97,7 +99,7 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         views = [np.frombuffer(c.as_buffer(), "<u4") if len(c.as_buffer()) else np.zeros(0, "<u4") for c in b["features"]]
         rows += zip(b["place"].to_pylist(), b["label"].to_pylist(), views)
     rows.sort(key=lambda r: (r[0], r[1], len(r[2])))
-    model = Ftrl()
+    model = Ftrl(max(L1_LEAST, len(rows) / L1_ROWS))
     for _ in range(EPOCHS):
         for _, label, index in rows:
             model.learn(index, label)

@@ -33,7 +33,7 @@ def test_toxic_features_by_hand():
 
 
 def test_ftrl_is_sparse_and_learns():
-    m = toxicity.Ftrl()
+    m = toxicity.Ftrl(8.0)
     draw = np.random.default_rng(0)
     for _ in range(600):
         bad = int(draw.random() < 0.3)
