@@ -346,3 +346,29 @@ def d15_derived_plan(t):
     d = t.lineitem.withColumn("length_", copies * F.col("l_quantity")).where("length_ > 0")
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").rowsBetween(Window.unboundedPreceding, -1)
     return d.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "length_", F.coalesce(F.sum("length_").over(w), F.lit(0.0)).alias("derived_start"), F.when(F.col("l_linestatus") == "O", "-").otherwise("+").alias("strand"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS BIGINT) + 3 AS matched, 1 AS substituted, 2 AS inserted, CAST(l_linenumber AS BIGINT) AS deleted FROM lineitem")
+def f28_difference_text(t):
+    """:n matches, *xy substitutions, +bases insertions, -bases deletions."""
+    text = F.concat(F.lit(":"), F.col("l_quantity").cast("int").cast("string"), F.lit("*ac+gt:3-"), F.repeat(F.lit("a"), F.col("l_linenumber")))
+    hits = lambda p: F.regexp_extract_all("cs", F.lit(p), F.lit(1))
+    total = lambda p: F.aggregate(hits(p), F.lit(0).cast("long"), lambda a, x: a + F.length(x))
+    d = t.lineitem.withColumn("cs", text)
+    matched = F.aggregate(hits(":([0-9]+)"), F.lit(0).cast("long"), lambda a, x: a + x.cast("long"))
+    return d.select("l_orderkey", "l_linenumber", "l_partkey", matched.alias("matched"), F.size(hits(r"(\*[a-z]{2})")).alias("substituted"), total(r"\+([a-z]+)").cast("int").alias("inserted"), total("-([a-z]+)").alias("deleted"))
+
+
+@query("WITH want AS (SELECT * FROM (VALUES ('click'), ('view'), ('purchase'), ('refund')) v(component)), have AS (SELECT DISTINCT event_type AS component FROM events) SELECT coalesce(want.component, have.component) AS component, CASE WHEN have.component IS NULL THEN CASE WHEN want.component = 'refund' THEN 'absent, allowed' ELSE 'FAIL (absent)' END WHEN want.component IS NULL THEN 'not declared' ELSE 'present' END AS status FROM want FULL JOIN have ON want.component = have.component")
+def d35_bundle_components(t):
+    want = t.spark.createDataFrame([("click", False), ("view", False), ("purchase", False), ("refund", True)], "w string, allowed boolean")
+    have = t.events.select(F.col("event_type").alias("h")).distinct()
+    j = want.join(have, F.col("w") == F.col("h"), "full")
+    status = F.when(F.col("w").isNull(), "not declared").when(F.col("h").isNotNull(), "present").when(F.col("allowed"), "absent, allowed").otherwise("FAIL (absent)")
+    return j.select(F.coalesce("w", "h").alias("component"), status.alias("status"))
+
+
+@query("SELECT conv_id, count(*) AS chunks, max(turn) + 1 AS expected, CASE WHEN count(*) <> max(turn) + 1 THEN 'FAIL (missing chunk)' WHEN count(*) FILTER (length(text) = 0) > 0 THEN 'FAIL (bad framing)' ELSE 'PASS' END AS verdict FROM conversations GROUP BY 1")
+def d39_chunk_guard(t):
+    d = t.conversations.groupBy("conv_id").agg(F.count(F.lit(1)).alias("chunks"), (F.max("turn") + 1).alias("expected"), F.count_if(F.length("text") == 0).alias("empty"))
+    return d.select("conv_id", "chunks", "expected", F.when(F.col("chunks") != F.col("expected"), "FAIL (missing chunk)").when(F.col("empty") > 0, "FAIL (bad framing)").otherwise("PASS").alias("verdict"))

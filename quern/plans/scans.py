@@ -6,6 +6,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import key_values
+from ..operators.intervals import point_join
+from ..operators.sets import union_of_keys
 from ..sources import readers, writers
 from .registry import query
 
@@ -86,8 +89,6 @@ def s20_header_parse(t):
 
 @query("SELECT c_custkey AS key, c_mktsegment AS segment, NULL::BIGINT AS supplier FROM customer UNION ALL SELECT NULL, NULL, s_suppkey FROM supplier")
 def k1_union_of_keys(t):
-    from ..operators.sets import union_of_keys
-
     return union_of_keys(t.customer.select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("segment")), t.supplier.select(F.col("s_suppkey").alias("supplier")))
 
 
@@ -98,8 +99,6 @@ def k2_fixed_columns(t):
 
 @query("SELECT 'chr' || (1 + p_size % 22) || chr(9) || p_partkey || chr(9) || '.' || chr(9) || 'A' || chr(9) || 'C' || chr(9) || '.' || chr(9) || 'PASS' || chr(9) || 'brand=' || p_brand || chr(9) || 'GT:AF' || chr(9) || '0/1' AS value, CAST(1 + p_size % 22 AS INTEGER) AS chrom_rank FROM part")
 def k4_variant_lines(t):
-    from ..functions.scalar import key_values
-
     d = t.part.withColumn("c", F.concat(F.lit("chr"), (F.col("p_size") % 22 + 1).cast("string"))).withColumn("dot", F.lit(".")).withColumn("a", F.lit("A")).withColumn("b", F.lit("C"))
     return d.select(writers.variant_line("c", "p_partkey", "dot", "a", "b", key_values(brand=F.col("p_brand")), F.lit("0/1")).alias("value"), writers.karyotypic(F.col("c")).alias("chrom_rank"))
 
@@ -129,3 +128,43 @@ def k9_cards(t):
 def k11_row_counts(t):
     parts = [getattr(t, n).agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n")) for n in ("nation", "region", "supplier")]
     return parts[0].union(parts[1]).union(parts[2])
+
+
+@query("SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
+def s2_constant_memory_scan(t):
+    return t.events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@query("SELECT c_custkey, s_name FROM customer JOIN supplier ON c_nationkey = s_nationkey AND c_custkey >= s_suppkey * 10 AND c_custkey < s_suppkey * 10 + 150")
+def s8_region_scan(t):
+    spans = t.supplier.select(F.col("s_nationkey").alias("k"), (F.col("s_suppkey") * 10).alias("start"), (F.col("s_suppkey") * 10 + 150).alias("end"), "s_name")
+    points = t.customer.select(F.col("c_nationkey").alias("k"), "c_custkey", F.col("c_custkey").alias("pos"))
+    return point_join(points, spans, ["k"], width=150).select("c_custkey", "s_name")
+
+
+@query("SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 100")
+def s14_head_sample(t):
+    return t.documents.select("doc_id", "lang").orderBy("doc_id").limit(100)
+
+
+@query("SELECT url_host, count(*) AS n FROM (SELECT regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS url_host FROM pages WHERE url NOT LIKE '%print%') GROUP BY 1")
+def s15_discovery_with_exclusions(t):
+    return t.pages.where(~F.contains("url", F.lit("print"))).groupBy(F.regexp_extract("url", "^[a-z]+://([^/]+)", 1).alias("url_host")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT DISTINCT trim(line) AS entry FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM benchmark) WHERE trim(line) <> '' AND NOT starts_with(line, '#')")
+def s16_line_list(t):
+    d = t.benchmark.select(F.explode(F.split("text", "\n")).alias("line")).where((F.trim("line") != "") & ~F.startswith(F.col("line"), F.lit("#")))
+    return d.select(F.trim("line").alias("entry")).distinct()
+
+
+@query("SELECT p_partkey, p_size AS depth, CAST(len(regexp_extract_all(p_name, '[aeiou]')) AS BIGINT) AS alt FROM part")
+def s19_pileup_lines(t):
+    value = writers.text_of(F.lit("chr1"), "p_partkey", F.lit("N"), "p_size", "p_name")
+    d = readers.fields(t.part.select(value.alias("value")), [("chrom", "string"), ("p_partkey", "long"), ("ref", "string"), ("depth", "int"), ("bases", "string")])
+    return d.select("p_partkey", "depth", F.regexp_count("bases", F.lit("[aeiou]")).cast("long").alias("alt"))
+
+
+@query("SELECT 'part-' || p_partkey AS name, CASE WHEN p_size > 40 THEN 'large' WHEN p_size > 10 THEN 'normal' ELSE 'small' END AS class, md5(p_name) AS md5, p_type <> 'PROMO' AS durable, p_name <> '' AS complete FROM part")
+def k12_input_manifest(t):
+    return t.part.select(F.concat(F.lit("part-"), F.col("p_partkey").cast("string")).alias("name"), F.when(F.col("p_size") > 40, "large").when(F.col("p_size") > 10, "normal").otherwise("small").alias("class"), F.md5("p_name").alias("md5"), (F.col("p_type") != "PROMO").alias("durable"), (F.col("p_name") != "").alias("complete"))
