@@ -79,10 +79,22 @@ def variants(df: DataFrame) -> DataFrame:
     return d.where("a is not null and b is not null and a <= size(alts) and b <= size(alts)").select("chrom", "pos", "ref", "alts", "a", "b", F.contains("sample", F.lit("|")).alias("phased"))
 
 
+def carried(df: DataFrame, value: Column, name: str, block: int = 65_536) -> DataFrame:
+    """df (with ordinal) and the last value that is not null up to each row, in order of
+    ordinal. Blocks of rows carry on their own; only one row a block meets the others."""
+    d = df.withColumn("__v", value).withColumn("__b", F.floor(F.col("ordinal") / block))
+    last = d.where("__v is not null").groupBy("__b").agg(F.max_by("__v", "ordinal").alias("__u"))
+    ends = d.groupBy("__b").agg(F.count(F.lit(1)).alias("__n")).join(last, "__b", "left")
+    before = F.last("__u", ignorenulls=True).over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
+    ends = ends.select("__b", before.alias("__before"))
+    within = F.last("__v", ignorenulls=True).over(Window.partitionBy("__b").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, 0))
+    return d.join(ends, "__b").withColumn(name, F.coalesce(within, "__before")).drop("__v", "__b", "__before")
+
+
 def sequences(df: DataFrame) -> DataFrame:
     """FASTA lines (value, ordinal): name and the sequence, upper case, unknown letters N."""
-    w = Window.orderBy("ordinal").rowsBetween(Window.unboundedPreceding, 0)
-    d = df.withColumn("name", F.last(F.when(F.col("value").startswith(">"), F.split(F.substring("value", 2, 1 << 20), r"\s")[0]), ignorenulls=True).over(w)).where("not value like '>%'")
+    head = F.when(F.col("value").startswith(">"), F.split(F.substring("value", 2, 1 << 20), r"\s")[0])
+    d = carried(df, head, "name").where("not value like '>%'")
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "value"))), lambda x: x["value"]), "")
     return d.groupBy("name").agg(F.regexp_replace(F.upper(joined), "[^ACGTN]", "N").alias("seq"))
 

@@ -52,6 +52,14 @@ def test_sequences_and_reads(spark):
     assert (s.flag, s.NM, s.AS) == (16, 2, None)
 
 
+@pytest.mark.parametrize("block", [1, 2, 3, 100])
+def test_carried(spark, block):
+    marks = [None, "a", None, None, "b", None, None, None, "c"]
+    df = spark.createDataFrame([(i, m) for i, m in enumerate(marks)], "ordinal long, m string")
+    got = [r.x for r in readers.carried(df, F.col("m"), "x", block).orderBy("ordinal").collect()]
+    assert got == [None, "a", "a", "a", "b", "b", "b", "b", "c"]
+
+
 def test_aliases(spark):
     df = spark.createDataFrame([("ENST1.2", 1), ("ENST1.3", 2), ("x.1", 3)], "id string, n int")
     assert {r.alias: r.n for r in readers.aliases(df, "id", ["n"]).collect()} == {"ENST1.2": 1, "ENST1.3": 2, "ENST1": 1, "x.1": 3}
