@@ -45,13 +45,33 @@ _BYTES = {b: 256 + k for k, b in enumerate(_HIDDEN)}
 _SPACES = str.maketrans({"\n": " ", "\t": " ", "\r": " "})
 
 
+class _Kept(dict):
+    """Ids of pieces, encoded when first asked for; the last two generations of CACHE_PIECES."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__()
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+        self[piece] = ids
+        return ids
+
+    def turn(self) -> None:
+        if len(self) > CACHE_PIECES:
+            self.older = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Ids of texts by a tokenizers file, special tokens not added.
 
     Where the tokenizer drops white space between words and marks word ends, a text
-    is cut where it cuts it and each piece is encoded by the library once, then kept
-    (2 * CACHE_PIECES at most). Texts of simple characters are cut into its words,
-    others at white space of ASCII only. Any other tokenizer encodes whole texts.
+    is cut where it cuts it and each piece is encoded by the library once, then kept.
+    Texts of simple characters are cut into its words, others at white space of ASCII
+    only. Any other tokenizer encodes whole texts.
     """
 
     def __init__(self, path: str):
@@ -60,46 +80,27 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.kept: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.by_pieces = (spec.get("normalizer"), spec.get("pre_tokenizer"), spec["model"].get("end_of_word_suffix")) == (NORMALIZER, PRE_TOKENIZER, WORD_END)
+        self.words, self.others = _Kept(self._word), _Kept(self._ids)
+        self.tokenize, self.code = self.tokenizer.model.tokenize, self.dtype.char
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _learn(self, words: list[str], others: list[str]) -> None:
-        """Encode pieces that are new; words need nothing but the library's model."""
-        tokenize, kept, code = self.tokenizer.model.tokenize, self.kept, self.dtype.char
-        for w in words:
-            kept[w] = array(code, [t.id for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(_BYTES))]).tobytes()
-        for w in others:
-            kept[w] = self._ids(w)
+    def _word(self, word: str) -> bytes:
+        """A word of a simple text needs nothing but the library's model."""
+        return array(self.code, [t.id for t in self.tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(_BYTES))]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text the bytes of its ids."""
         if not self.by_pieces:
             return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        cut, words, others = [], set(), set()
-        for t in texts:
-            if _SIMPLE.fullmatch(t) and "<|" not in t:
-                cut.append(_PIECE.findall(t.lower()))
-                words.update(cut[-1])
-            else:
-                cut.append(t.translate(_SPACES).split(" "))
-                others.update(cut[-1])
-        if len(self.kept) > CACHE_PIECES:
-            self.kept, self.older = {}, self.kept
-        kept, older = self.kept, self.older
-        words = [w for w in words if w not in kept]
-        others = [w for w in others if w not in kept]
-        if older:
-            kept.update((w, older[w]) for w in words + others if w in older)
-            words, others = ([w for w in new if w not in kept] for new in (words, others))
-        self._learn(words, others)
-        get = self.kept.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in cut]
+        self.words.turn()
+        self.others.turn()
+        word, other = self.words.__getitem__, self.others.__getitem__
+        return [b"".join(map(word, _PIECE.findall(t.lower())) if _SIMPLE.fullmatch(t) and "<|" not in t else map(other, t.translate(_SPACES).split(" "))) for t in texts]
 
 
 @lru_cache(maxsize=2)

@@ -72,3 +72,4 @@ def test_small_cache_gives_the_same(monkeypatch):
     e = to.Encoder(word_tokenizer())
     for t in ("a b c d e", "c d e f g", "a b c x y z", "c d"):
         assert np.frombuffer(e.encode([t])[0], e.dtype).tolist() == e.tokenizer.encode(t).ids
+        assert len(e.words) + len(e.words.older) < 20
