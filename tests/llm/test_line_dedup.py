@@ -98,7 +98,7 @@ def test_distance(spark):
 
 def test_segments_partition(spark):
     for n in range(4, 30):
-        cells = [ld.segment(str(n), k, 3) for k in range(3)]
+        cells = [ld.segment(str(n), str(k), 3) for k in range(3)]
         got = spark.range(1).select(*[F.expr(x).alias(f"c{i}{j}") for i, c in enumerate(cells) for j, x in enumerate(c)]).first()
         at = 0
         for i in range(3):
