@@ -18,9 +18,10 @@ def closure(edges: DataFrame, node: str = "node", parent: str = "parent") -> Dat
         up, down = paths.alias("u"), paths.alias("d")
         longer = up.join(down, F.expr("u.descendant = d.ancestor")).select("u.ancestor", "d.descendant", F.expr("u.depth + d.depth").alias("depth"))
         paths = paths.union(longer.where(F.col("depth") > reach)).distinct()
-        if longer.where(F.col("ancestor") == F.col("descendant")).limit(1).count():
+        cycle, deeper = longer.agg(F.max(F.col("ancestor") == F.col("descendant")), F.max(F.col("depth") == 2 * reach)).first()
+        if cycle:
             raise ValueError("the tree has a cycle")
-        if not longer.where(F.col("depth") == 2 * reach).limit(1).count():
+        if not deeper:
             break
         reach *= 2
     return nodes.select("ancestor", F.col("ancestor").alias("descendant"), F.lit(0).alias("depth")).union(paths)
