@@ -31,6 +31,8 @@ from ._words import Words, chunks, mix, ngram_hashes
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5  # a pair 0.8 alike meets in a band with a probability of 0.99995
+MANY_PAIRS = 200_000  # more pairs than this are first thinned out by central nodes; none is left out
+BLOCK = 500  # nodes of a bucket that are held against as many others in one step
 FEW_NODES = 500_000  # ids of so many nodes, 4 MB, are broadcast at most
 _POISSON = np.cumsum([exp(-1) / factorial(i) for i in range(18)])
 _U = float(1 << 53)
@@ -125,11 +127,12 @@ def _sketcher(bands: int, rows: int, n_words: int, weigh: str):
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of a sorted part: (a, b, near, key). near 0: a node and the bucket's smallest;
-    1: neighbours; 2: the smallest node of a bucket that other parts may continue."""
-    parts = [[b[c].to_numpy() for c in ("key", "node")] for b in batches if b.num_rows]
+    1: neighbours; 2: the smallest node of a bucket that other parts may continue;
+    3: a node of a bucket of three or more, with its agreement with the others as b."""
+    parts = [[b[c].to_numpy() for c in ("key", "tail", "node")] for b in batches if b.num_rows]
     if not parts:
         return
-    key, node = (np.concatenate(x) for x in zip(*parts))
+    key, tail, node = (np.concatenate(x) for x in zip(*parts))
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     sizes = np.diff(np.concatenate([starts, [len(key)]]))
     least = np.minimum.reduceat(node, starts)
@@ -137,15 +140,22 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     near = np.flatnonzero((key[1:] == key[:-1]) & (node[1:] != lead[1:]) & (node[:-1] != lead[:-1]))
     far = np.flatnonzero(node != lead)
     edge = np.unique([0, len(starts) - 1])
-    a = np.concatenate([lead[far], np.minimum(node[near], node[near + 1]), least[edge]])
-    b = np.concatenate([node[far], np.maximum(node[near], node[near + 1]), least[edge]])
-    kind = np.repeat([0, 1, 2], [len(far), len(near), len(edge)]).astype(np.int32)
-    keys = np.concatenate([key[far], key[near], key[starts[edge]]])
+    more = sizes >= 3
+    every = np.flatnonzero(np.repeat(more, sizes))
+    bucket, shared = np.repeat(np.arange(len(sizes)), sizes)[every] << 8, np.zeros(len(every), np.int64)
+    for r in range(8):
+        _, which, n = np.unique(bucket | ((tail[every] >> (8 * r)) & 255), return_inverse=True, return_counts=True)
+        shared += n[which]
+    a = np.concatenate([lead[far], np.minimum(node[near], node[near + 1]), least[edge], node[every]])
+    b = np.concatenate([node[far], np.maximum(node[near], node[near + 1]), least[edge], shared])
+    kind = np.repeat([0, 1, 2, 3], [len(far), len(near), len(edge), len(every)]).astype(np.int32)
+    keys = np.concatenate([key[far], key[near], key[starts[edge]], key[every]])
     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a, b, kind, keys)], ["a", "b", "near", "key"])
 
 
-def candidates(sketches: DataFrame) -> DataFrame:
-    """Pairs of nodes (a < b) to be held against each other, with the least near."""
+def candidates(sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of nodes (a < b) to be held against each other first, with the least near;
+    and (key, node, score) of the buckets in which there are others."""
     spark = sketches.sparkSession
     rows = sketches.select("node", F.posexplode("keys").alias("i", "key"), "tails").select("key", F.expr("tails[i]").alias("tail"), "node")
     by = ("key", "tail", "node")
@@ -156,7 +166,8 @@ def candidates(sketches: DataFrame) -> DataFrame:
     least = ends.groupBy("key").agg(F.min("a").alias("m"))
     across = ends.join(least, "key").where("a != m").select(F.col("m").alias("a"), F.col("a").alias("b"), F.lit(0).alias("near"))
     every = found.where("near < 2").select("a", "b", "near").union(across)
-    return materialize(every.groupBy("a", "b").agg(F.min("near").alias("near")), "pairs")
+    pairs = materialize(every.groupBy("a", "b").agg(F.min("near").alias("near")), "pairs")
+    return pairs, found.where("near = 3").select("key", F.col("a").alias("node"), F.col("b").alias("score"))
 
 
 def jaccard(a: bytes, b: bytes, ca: bytes = b"", cb: bytes = b"") -> float:
@@ -195,6 +206,107 @@ def verified(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFra
     return materialize(out.mapInArrow(trimmed(_verifier(threshold)), "a long, b long, similarity double"), "links")
 
 
+def _alike(sets: list[tuple[bytes, bytes]], threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, similarity) of all pairs i < j of the sets that are at least `threshold` alike."""
+    n = len(sets)
+    element = np.concatenate([np.frombuffer(x, "<u4") for x, _ in sets]).astype(np.uint64) << np.uint64(32)
+    owner = np.repeat(np.arange(n), [len(x) // 4 for x, _ in sets])
+    if any(c for _, c in sets):
+        # A shingle that a set has c times counts as c elements.
+        count = np.concatenate([np.frombuffer(c, "<u4") for _, c in sets]).astype(np.int64)
+        nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        element, owner = np.repeat(element, count) + nth.astype(np.uint64), np.repeat(owner, count)
+    size = np.bincount(owner, minlength=n)
+    _, which, times = np.unique(element, return_inverse=True, return_counts=True)
+    shared = times > 1
+    column = (np.cumsum(shared) - 1)[which]
+    order = np.argsort(np.where(shared[which], column, -1), kind="stable")[np.count_nonzero(~shared[which]) :]
+    column, owner = column[order], owner[order]
+    both = np.zeros((n, n), np.float32)
+    for c in range(0, int(shared.sum()), 4096):
+        x, y = np.searchsorted(column, (c, c + 4096))
+        m = np.zeros((n, min(4096, int(shared.sum()) - c)), np.float32)
+        m[owner[x:y], column[x:y] - c] = 1
+        both += m @ m.T
+    for i in range(n - 1):
+        j = np.arange(i + 1, n)
+        s = both[i, j] / np.maximum(size[i] + size[j] - both[i, j].astype(np.float64), 1)
+        hit = s >= threshold - 1e-12
+        yield np.full(np.count_nonzero(hit), i), j[hit], s[hit]
+
+
+def _block_links(threshold: float):
+    def links(rows: pa.Table) -> pa.RecordBatch:
+        node, root, block = (rows[c].to_numpy() for c in ("node", "root", "block"))
+        i, j, s = (np.concatenate(x) for x in zip(*_alike(list(zip(rows["shingles"].to_pylist(), rows["counts"].to_pylist())), threshold)))
+        # Pairs within a block are those of the step in which it is held against itself.
+        keep = (root[i] != root[j]) & ((block[i] != block[j]) | (block.min() == block.max()))
+        i, j, s = i[keep], j[keep], s[keep]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], node[j])), pa.array(np.maximum(node[i], node[j])), pa.array(s, pa.float64())], ["a", "b", "similarity"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, last = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            step = np.stack([batch[c].to_numpy() for c in ("key", "low", "high")])
+            cuts = [0, *(np.flatnonzero((step[:, 1:] != step[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+            for x, y in zip(cuts, cuts[1:]):
+                now = tuple(step[:, x].tolist())
+                if now != last and kept:
+                    table = pa.Table.from_batches(kept)
+                    if table.num_rows > 1:
+                        yield links(table)
+                    kept = []
+                kept.append(batch.slice(x, y - x))
+                last = now
+        if kept and sum(b.num_rows for b in kept) > 1:
+            yield links(pa.Table.from_batches(kept))
+
+    return run
+
+
+def _several(rows: DataFrame, roots: DataFrame) -> tuple[DataFrame, int]:
+    """Rows (key, node, score, root, n) of the buckets of n nodes that are of several
+    components, and the number of their pairs of different components."""
+    rows = rows.select("key", "node", "score").join(roots.select(F.col("node").alias("__n"), "root"), F.col("node") == F.col("__n"), "left")
+    rows = materialize(rows.select("key", "node", "score", F.coalesce("root", "node").alias("root")), "buckets")
+    sizes = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("q"))
+    sizes = materialize(sizes.where("n * n > q").select(F.col("key").alias("k"), "n", ((F.col("n") * F.col("n") - F.col("q")) / 2).alias("pairs")), "several")
+    out = rows.join(sizes.select("k", "n"), F.col("key") == F.col("k")).drop("k")
+    return materialize(out, "several"), int(sizes.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0])
+
+
+def completed(buckets: DataFrame, sketches: DataFrame, links: DataFrame, threshold: float) -> DataFrame:
+    """node, root by links and by all further links between nodes of a bucket."""
+    roots = materialize(components(links), "roots")
+    rows, n = _several(buckets, roots)
+    before, led = None, None
+    while n > MANY_PAIRS and (before is None or n < 0.75 * before):
+        # The node that agrees most with others, over all its buckets; each leads once.
+        score = rows.groupBy(F.col("node").alias("lead")).agg(F.sum("score").alias("total"))
+        score = materialize(score if led is None else score.join(led, "lead", "left_anti"), "scores")
+        leads = rows.join(score, F.col("node") == F.col("lead")).groupBy(F.col("key").alias("k")).agg(F.max(F.struct("total", "lead", "root")).alias("of"))
+        leads = materialize(leads.select("k", "of.lead", F.col("of.root").alias("lead_root")), "leads")
+        pairs = rows.join(leads, F.expr("key = k and root != lead_root")).select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+        links = links.union(verified(materialize(pairs, "pairs"), sketches, threshold))
+        led = leads.select("lead").distinct() if led is None else led.union(leads.select("lead")).distinct()
+        roots, before = materialize(components(links), "roots"), n
+        rows, n = _several(rows, roots)
+    if not n:
+        return roots
+    blocks = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("long")).withColumn("block", F.expr("pmod(xxhash64(node), blocks)"))
+    steps = blocks.select("key", "node", "root", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    steps = steps.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), F.col("node").alias("__n"), "root", "block")
+    used = materialize(rows.select(F.col("node").alias("__used")).distinct(), "used")
+    used = F.broadcast(used) if used.count() <= FEW_NODES else used
+    sets = materialize(sketches.join(used, F.col("node") == F.col("__used"), "left_semi"), "sets")
+    by = ("key", "low", "high")
+    dealt = steps.join(sets, F.col("__n") == F.col("node")).drop("__n").repartition(partitions(rows.sparkSession), *by).sortWithinPartitions(*by)
+    more = materialize(dealt.mapInArrow(trimmed(_block_links(threshold)), "a long, b long, similarity double"), "links")
+    return roots if more.isEmpty() else materialize(components(links.union(more)), "roots")
+
+
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, weigh: str = "set") -> DataFrame:
     """One row for each row of df: id_col, class_id, class_size, n_links, kept.
 
@@ -215,7 +327,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     nodes = materialize(all_rows.groupBy("h1", "h2").agg(F.min("row").alias("node")), "nodes")
     # A node is known by the row that stands for it: no hot key.
     one = all_rows.join(nodes.select("node"), F.col("row") == F.col("node"), "left_semi")
-    pairs = candidates(one.select(F.col("row").alias("node"), "keys", "tails"))
+    pairs, buckets = candidates(one.select(F.col("row").alias("node"), "keys", "tails"))
     sketches = all_rows.select(F.col("row").alias("node"), "shingles", "counts")
     links = verified(pairs.where("near = 0"), sketches, threshold)
     roots = materialize(components(links), "roots")
@@ -225,8 +337,8 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
         rest = rest.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")), side, "left")
     rest = materialize(rest.where("coalesce(ra, a) != coalesce(rb, b)").select("a", "b"), "rest")
     more = verified(rest, sketches, threshold)
-    roots = materialize(components(links.union(more)), "roots")
     every = links.union(more)
+    roots = completed(buckets, sketches, every, threshold)
     degree = every.select("a").union(every.select("b")).groupBy("a").agg(F.count(F.lit(1)).alias("n_links"))
     of_node = nodes.join(roots.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left").join(degree, F.col("node") == F.col("a"), "left")
     of_node = materialize(of_node.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")), "classes")

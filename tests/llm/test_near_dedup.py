@@ -92,6 +92,27 @@ def test_hot_group_of_near_copies(docs):
     check(nd.near_dedup(docs(pairs)).collect(), pairs)
 
 
+def star(n, draw, edits=5, size=300):
+    """n copies of a text with `edits` words replaced, and the text itself as the last row."""
+    base = [f"b{draw.randrange(10**6)}" for _ in range(size)]
+    out = []
+    for i in range(n):
+        w = list(base)
+        for at in draw.sample(range(size), edits):
+            w[at] = f"x{draw.randrange(10**6)}"
+        out.append((i, " ".join(w), "a"))
+    return out + [(n, " ".join(base), "a")]
+
+
+@pytest.mark.parametrize("many", [nd.MANY_PAIRS, 10**12, 0])
+def test_star_of_copies_alike_through_the_base_only(docs, monkeypatch, many):
+    """Uniform edits: each copy is 0.84 like the base, and less than 0.8 like the others."""
+    monkeypatch.setattr(nd, "MANY_PAIRS", many)
+    pairs = star(1000, random.Random(9))
+    assert len(set(brute(pairs))) == 1
+    check(nd.near_dedup(docs(pairs)).collect(), pairs)
+
+
 @pytest.mark.parametrize("scale", [1.0, 2.5, 0.3])
 def test_signatures_estimate_weighted_similarity(scale):
     draw = np.random.default_rng(1)
