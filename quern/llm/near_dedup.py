@@ -128,7 +128,8 @@ def _sketcher(bands: int, rows: int, n_words: int, weigh: str):
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of a sorted part: (a, b, near, key). near 0: a node and the bucket's smallest;
     1: neighbours; 2: the smallest node of a bucket that other parts may continue;
-    3: a node of a bucket of three or more, with its agreement with the others as b."""
+    3: a node of a bucket of three or more, or of one that other parts may continue,
+    with its agreement with the others as b."""
     parts = [[b[c].to_numpy() for c in ("key", "tail", "node")] for b in batches if b.num_rows]
     if not parts:
         return
@@ -141,6 +142,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     far = np.flatnonzero(node != lead)
     edge = np.unique([0, len(starts) - 1])
     more = sizes >= 3
+    more[edge] = True
     every = np.flatnonzero(np.repeat(more, sizes))
     bucket, shared = np.repeat(np.arange(len(sizes)), sizes)[every] << 8, np.zeros(len(every), np.int64)
     for r in range(8):

@@ -113,6 +113,15 @@ def test_star_of_copies_alike_through_the_base_only(docs, monkeypatch, many):
     check(nd.near_dedup(docs(pairs)).collect(), pairs)
 
 
+def test_buckets_cut_by_parts(docs, monkeypatch):
+    """One bucket, up to a row a part: two copies that only the last row, their base, joins."""
+    pairs = star(2, random.Random(0), edits=6)
+    assert len(set(brute(pairs))) == 1 and len(set(brute(pairs[:2]))) == 2
+    for parts in (1, 3):
+        monkeypatch.setattr(nd, "partitions", lambda spark: parts)
+        check(nd.near_dedup(docs(pairs).coalesce(1).sortWithinPartitions("doc_id"), bands=1, rows=1).collect(), pairs)
+
+
 @pytest.mark.parametrize("scale", [1.0, 2.5, 0.3])
 def test_signatures_estimate_weighted_similarity(scale):
     draw = np.random.default_rng(1)
