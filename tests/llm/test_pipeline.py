@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter
 
@@ -9,6 +10,7 @@ from quern.llm import queries, toxicity
 
 from .test_decontam import brute as contaminated
 from .test_near_dedup import brute as classes
+from .test_near_dedup import star
 
 D = "/root/testdata/sf0.001"
 
@@ -48,6 +50,14 @@ def test_near_dedup(stages):
     assert Counter(of[r.doc_id] for r in after) == Counter(set(of.values()))
 
 
+def test_near_dedup_of_a_large_group(spark):
+    """500 copies that are alike through their base only: one document stays."""
+    rows = [(i, t, "en", s, len(t)) for i, t, s in star(500, random.Random(2))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    assert len(set(classes([(r[0], r[1], "") for r in rows]))) == 1
+    assert cp.near_duplicates(spark, df, D).count() == 1
+
+
 def test_decontamination(spark, stages):
     before, after = stages[2][1:3]
     items = [tuple(r) for r in spark.read.parquet(f"{D}/benchmark.parquet").collect()]
