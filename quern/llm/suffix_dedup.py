@@ -5,7 +5,10 @@ among MIN_WORDS - K + 1 neighbouring runs of K words. It depends on the words al
 so any two copies of a passage of MIN_WORDS words keep a suffix at the same place of
 it. The suffixes are sorted over the whole cluster by their first K words (as a
 hash) and the words that follow, neighbours from different texts are compared, and
-a match is extended word by word to the right and to the left. What each suffix
+a match is extended word by word to the right and to the left. Suffixes with the same
+K words that share MIN_WORDS words by others to the left are not neighbours: of each
+the hashes of all windows of MIN_WORDS words around the K words are compared too,
+over the parts' borders as well. What each suffix
 carries to the sort is the REACH words on either side of its K words, as 16 bits a
 word: a longer passage has more minimisers, and their matches are joined.
 """
@@ -108,6 +111,69 @@ def _agree(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
     return np.minimum(n, most)
 
 
+def _windows(key: np.ndarray, right: np.ndarray, left: np.ndarray, reach: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For l = 0 ... reach a hash of l words to the left, the key and reach - l words to the right."""
+    by = mix(np.arange(1, 2 * reach + 1, dtype=np.uint64)) | np.uint64(1)
+    h = np.zeros(len(key), np.uint64)
+    for j in range(reach):
+        h += right[:, j].astype(np.uint64) * by[j]
+    for l in range(reach + 1):
+        yield l, mix(mix(key.view(np.uint64) + np.uint64(l)) + h)
+        if l < reach:
+            h += left[:, l].astype(np.uint64) * by[reach + l] - right[:, reach - 1 - l].astype(np.uint64) * by[reach - 1 - l]
+
+
+def compare_windows(table: pa.Table, found: dict, k: int, least: int, reach: int, across: bool) -> tuple[dict, dict]:
+    """Matches by windows of `least` words that those found leave out, and the windows
+    (suffix, l, hash) of the first and last key, which other parts may have too: all
+    where one text has it, else those of two texts."""
+    key, row = (table[c].to_numpy() for c in ("key", "row"))
+    n = len(key)
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    sizes = np.diff(np.concatenate([starts, [n]]))
+    n_right, n_left = (table[c].to_numpy().astype(np.int64) for c in ("n_right", "n_left"))
+    # Splits of a window that a match with the run before, or after, or the latest one here covers.
+    low, high = np.full((3, n), reach + 1), np.full((3, n), -1)
+    side = (found["j"] > found["i"]).astype(np.int64)
+    low[side, found["i"]], high[side, found["i"]] = reach - found["r"], found["l"]
+    whole = ((low <= np.maximum(0, reach - n_right)) & (high >= np.minimum(reach, n_left))).any(0)
+    use = (sizes > 2) & ~np.logical_and.reduceat(whole, starts)
+    use[[0, -1]] = True
+    at = np.flatnonzero(np.repeat(use, sizes))
+    border = (key[at] == key[0]) | (key[at] == key[-1])
+    right, left = (_matrix(table[c].combine_chunks() if isinstance(table[c], pa.ChunkedArray) else table[c], reach) for c in ("right", "left"))
+    who = row[at] if across else at
+    out, edge = {c: [] for c in ("i", "j", "l", "r")}, {c: [] for c in ("i", "l", "window")}
+    for l, h in _windows(key[at], right[at], left[at], reach):
+        ok = np.flatnonzero((l <= n_left[at]) & (reach - l <= n_right[at]))
+        if not len(ok):
+            continue
+        ok = ok[np.lexsort((who[ok], h[ok]))]
+        new = np.concatenate([[True], h[ok][1:] != h[ok][:-1]])
+        group = np.cumsum(new) - 1
+        first = np.flatnonzero(new)
+        last = np.concatenate([first[1:], [len(ok)]]) - 1
+        one = (who[ok[first]] == who[ok[last]])[group]
+        here = np.arange(len(ok))
+        send = border[ok] & (one | (here == first[group]) | (here == last[group]))
+        edge["i"].append(at[ok[send]])
+        edge["l"].append(np.full(np.count_nonzero(send), l))
+        edge["window"].append(h[ok[send]].view(np.int64))
+        partner = np.where(who[ok[first]][group] != who[ok], first[group], last[group])
+        i, j = at[ok], at[ok[partner]]
+        todo = ~one & ~((low[:, i] <= l) & (l <= high[:, i])).any(0)
+        i, j = i[todo], j[todo]
+        for a in range(0, len(i), 50_000):
+            x, y = i[a : a + 50_000], j[a : a + 50_000]
+            rr = _agree(right[x], right[y], np.minimum(n_right[x], n_right[y]))
+            ll = _agree(left[x], left[y], np.minimum(n_left[x], n_left[y]))
+            hit = (key[x] == key[y]) & (ll + k + rr >= least)
+            low[2, x[hit]], high[2, x[hit]] = reach - rr[hit], ll[hit]
+            for name, v in (("i", x), ("j", y), ("l", ll), ("r", rr)):
+                out[name].append(v[hit])
+    return tuple({c: np.concatenate(v) if v else np.zeros(0, np.int64) for c, v in d.items()} for d in (out, edge))
+
+
 def compare(table: pa.Table, k: int, least: int, reach: int, across: bool) -> tuple[dict, np.ndarray]:
     """Matches of neighbours in a sorted table, and the rows that neighbours in other parts may match."""
     key, row, pos = (table[c].to_numpy() for c in ("key", "row", "pos"))
@@ -141,7 +207,7 @@ def compare(table: pa.Table, k: int, least: int, reach: int, across: bool) -> tu
 
 
 _RESULT = ["edge", "id", "row", "start", "end", "other_id", "other_row", "other_start"]
-_CARRIED = ["key", "right", "left", "pos", "n_right", "n_left"]
+_CARRIED = ["key", "right", "left", "pos", "n_right", "n_left", "window"]
 
 
 def _matcher(k: int, least: int, across: bool, edges: bool):
@@ -153,16 +219,27 @@ def _matcher(k: int, least: int, across: bool, edges: bool):
             return
         table = pa.Table.from_batches(parts).combine_chunks()
         found, border = compare(table, k, least, reach, across)
+        if edges:
+            further, windows = compare_windows(table, found, k, least, reach, across)
+            found = {c: np.concatenate([found[c], further[c]]) for c in found}
+            table = table.append_column("window", pa.nulls(len(table), pa.int64()))
         i, j, l, r = found["i"], found["j"], found["l"], found["r"]
         pos = table["pos"].to_numpy().astype(np.int64)
         ids, rows = table["id"].combine_chunks(), table["row"].combine_chunks()
         arrays = [pa.array(np.zeros(len(i), bool)), ids.take(pa.array(i)), rows.take(pa.array(i)), pa.array(pos[i] - l), pa.array(pos[i] + k + r), ids.take(pa.array(j)), rows.take(pa.array(j)), pa.array(pos[j] - l)]
-        nulls = [pa.nulls(len(i), table.schema.field(c).type) for c in _CARRIED]
+        types = [table.schema.field(c).type for c in _CARRIED[:-1]] + [pa.int64()]
+        nulls = [pa.nulls(len(i), t) for t in types]
         yield pa.RecordBatch.from_arrays(arrays + nulls, _RESULT + _CARRIED)
         if edges:
             at, n = pa.array(border), len(border)
             none = [pa.nulls(n, t) for t in (pa.int64(), pa.int64(), ids.type, pa.int64(), pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, bool)), ids.take(at), rows.take(at), *none, *[table[c].combine_chunks().take(at) for c in _CARRIED]], _RESULT + _CARRIED)
+            # Windows that other parts may have: neither matches nor rows to compare yet.
+            at, n = windows["i"], len(windows["i"])
+            start = pos[at] - windows["l"].astype(np.int64)
+            none = [pa.nulls(n, t) for t in (ids.type, pa.int64(), pa.int64())]
+            rest = [pa.nulls(n, t) for t in types[:-1]]
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.bool_()), ids.take(pa.array(at)), rows.take(pa.array(at)), pa.array(start), pa.array(start + least), *none, *rest, pa.array(windows["window"].astype(np.int64))], _RESULT + _CARRIED)
 
     return run
 
@@ -172,9 +249,7 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id_col, start, end (words, end exclusive), n_words, other_id, other_start.
 
     Passages of a text that overlap are one row, up to their last word; other_* is
-    where the longest match of it is found again. A suffix is extended against its
-    neighbours in the sort, which agree with it longest to the right; a text further
-    off that agrees by chance some words longer to the left does not lengthen a row. across: only matches between
+    where the longest match of it is found again. across: only matches between
     different rows of df count, else also within a text. Texts that are null, empty
     or shorter have none; equal texts and rows that repeat match whole; a null id
     stays null; an empty table gives no rows. Other columns of df are not read.
@@ -183,7 +258,7 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     small_batches(spark)
     source = df.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    carried = "key long, right binary, left binary, pos int, n_right smallint, n_left smallint"
+    carried = "key long, right binary, left binary, pos int, n_right smallint, n_left smallint, window long"
     result = f"edge boolean, id {kind}, row long, start long, `end` long, other_id {kind}, other_row long, other_start long, {carried}"
     suffixes = source.mapInArrow(trimmed(_suffixes(k, min_words)), f"key long, right binary, left binary, id {kind}, row long, pos int, n_right smallint, n_left smallint")
     by = ("key", "right", "left", "row", "pos")
@@ -193,6 +268,13 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     border = found.where("edge").select("key", "right", "left", "id", "row", "pos", "n_right", "n_left")
     again = border.repartition(1).sortWithinPartitions(*by).mapInArrow(_matcher(k, min_words, across, False), result)
     spans = found.where("not edge").union(again).select("id", "row", "start", "end", "other_id", "other_start")
+    # Windows of keys that a border may cut: each is held against the least and the greatest row that has it.
+    shared = found.where("window is not null").select("window", "id", "row", "start", "end")
+    who = F.col("row") if across else F.struct("row", "start")
+    ends = shared.groupBy("window").agg(F.min(F.struct("row", "start", "id")).alias("lo"), F.max(F.struct("row", "start", "id")).alias("hi"), F.min(who).alias("__a"), F.max(who).alias("__b")).where("__a != __b")
+    other = F.when((F.col("lo.row") != F.col("row")) if across else (F.struct("row", "start") != F.struct("lo.row", "lo.start")), F.col("lo")).otherwise(F.col("hi"))
+    shared = shared.join(ends, "window").withColumn("other", other)
+    spans = spans.union(shared.select("id", "row", "start", "end", F.col("other.id"), F.col("other.start")))
     order = Window.partitionBy("row").orderBy("start", F.col("end").desc())
     before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     spans = spans.withColumn("fresh", F.when(before.isNull() | (F.col("start") > before), 1).otherwise(0)).withColumn("island", F.sum("fresh").over(order))

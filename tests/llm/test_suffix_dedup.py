@@ -74,6 +74,22 @@ def test_one_passage_in_all_texts(docs):
     assert run(docs, pairs) == sorted((str(i), 2, 57) for i in range(200))
 
 
+@pytest.mark.parametrize("parts", [1, 40])
+def test_shared_part_after_other_leads(docs, monkeypatch, parts):
+    """lead + M in two texts, M in 100 others that go on differently, so that they sort between."""
+    monkeypatch.setattr(sd, "partitions", lambda spark: parts)
+    draw = random.Random(8)
+    word = lambda: f"w{draw.randrange(10**6)}"
+    texts = []
+    for n in range(30, 38):
+        m, lead = [word() for _ in range(n)], [word() for _ in range(52 - n)]
+        texts += [[word() for _ in range(30)] + lead + m + [word() for _ in range(60)] for _ in range(2)]
+        texts += [[word() for _ in range(30)] + m + [word() for _ in range(60)] for _ in range(100)]
+    pairs = [(i, " ".join(w), "a") for i, w in enumerate(texts)]
+    want = brute(pairs, 50)
+    assert len(want) == 16 and run(docs, pairs) == want
+
+
 def test_edges(docs, edges):
     assert run(docs, edges) == brute(edges, 50)
     assert sd.repeated_passages(docs([])).collect() == []
