@@ -310,10 +310,9 @@ def completed(buckets: DataFrame, sketches: DataFrame, links: DataFrame, thresho
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, weigh: str = "set") -> DataFrame:
-    """One row for each row of df: id_col, class_id, class_size, n_links, kept.
+    """One row for each row of df: id_col, class_id, class_size, kept.
 
-    class_id is the smallest id of the class, class_size counts its rows, n_links is
-    the number of other shingle sets that the row's set was found alike; kept marks
+    class_id is the smallest id of the class, class_size counts its rows; kept marks
     one row of each class, of the smallest id. weigh: "set" compares sets, "count"
     weighs shingles by their counts. A text of fewer words has one shingle of all its
     words; texts without words (null: empty) are one class each by their exact text.
@@ -339,15 +338,13 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
         rest = rest.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")), side, "left")
     rest = materialize(rest.where("coalesce(ra, a) != coalesce(rb, b)").select("a", "b"), "rest")
     more = verified(rest, sketches, threshold)
-    every = links.union(more)
-    roots = completed(buckets, sketches, every, threshold)
-    degree = every.select("a").union(every.select("b")).groupBy("a").agg(F.count(F.lit(1)).alias("n_links"))
-    of_node = nodes.join(roots.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left").join(degree, F.col("node") == F.col("a"), "left")
-    of_node = materialize(of_node.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")), "classes")
-    placed = materialize(all_rows.select("id", "row", "h1", "h2").join(of_node, F.expr("h1 = g1 and h2 = g2")).select("id", "row", "root", "n_links"), "placed")
+    roots = completed(buckets, sketches, links.union(more), threshold)
+    of_node = nodes.join(roots.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left")
+    of_node = materialize(of_node.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.coalesce("root", "node").alias("root")), "classes")
+    placed = materialize(all_rows.select("id", "row", "h1", "h2").join(of_node, F.expr("h1 = g1 and h2 = g2")).select("id", "row", "root"), "placed")
     classes = materialize(placed.groupBy("root").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("stays")).withColumnRenamed("root", "__root"), "classes")
     joined = placed.join(classes, F.col("root") == F.col("__root"))
-    return joined.select(F.col("id").alias(id_col), "class_id", "class_size", "n_links", (F.col("row") == F.col("stays.row")).alias("kept"))
+    return joined.select(F.col("id").alias(id_col), "class_id", "class_size", (F.col("row") == F.col("stays.row")).alias("kept"))
 
 
 def _sketcher_with_text(bands: int, rows: int, n_words: int, weigh: str):

@@ -92,6 +92,10 @@ def test_hot_group_of_near_copies(docs):
     check(nd.near_dedup(docs(pairs)).collect(), pairs)
 
 
+def test_no_column_depends_on_the_pairs_tested(docs):
+    assert nd.near_dedup(docs([(1, "a b", "a")])).columns == ["doc_id", "class_id", "class_size", "kept"]
+
+
 def star(n, draw, edits=5, size=300):
     """n copies of a text with `edits` words replaced, and the text itself as the last row."""
     base = [f"b{draw.randrange(10**6)}" for _ in range(size)]
