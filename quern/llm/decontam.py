@@ -104,18 +104,25 @@ def phrase_matches(index: Index, flat: DataFrame) -> DataFrame:
     return materialize(long.select("row", "start", "phrase", "size").union(short), "matches")
 
 
-def proximity_matches(index: Index, pairs: DataFrame, within: int = WORDS) -> DataFrame:
+def proximity_matches(index: Index, pairs: DataFrame, within: int = WORDS, both: bool = False) -> DataFrame:
     """(row, query, pos, other): places of word a and the nearest earlier or same
-    place of word b, at most `within` words before. pairs: query, a, b (words).
+    place of word b, at most `within` words before. both: also the nearest later
+    place, at most `within` words after, as a row of its own. pairs: query, a, b (words).
 
     Lists are merged in order of place, text by text: linear in their lengths."""
     named = index.terms.select("word", "term")
     asked = pairs.select("query", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("word")), F.struct(F.lit(1).alias("side"), F.col("b").alias("word")))).alias("x"))
     asked = materialize(asked.select("query", "x.side", "x.word").join(named, "word").select("query", "side", "term"), "asked")
-    both = index.postings.join(small(asked), "term")
+    both_sides = index.postings.join(small(asked), "term")
     order = Window.partitionBy("row", "query").orderBy("pos", F.col("side").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    merged = both.withColumn("other", F.last(F.when(F.col("side") == 1, F.col("pos")), ignorenulls=True).over(order))
-    return merged.where(f"side = 0 and pos - other <= {int(within)}").select("row", "query", "pos", "other")
+    merged = both_sides.withColumn("other", F.last(F.when(F.col("side") == 1, F.col("pos")), ignorenulls=True).over(order))
+    before = merged.where(f"side = 0 and pos - other <= {int(within)}").select("row", "query", "pos", "other")
+    if not both:
+        return before
+    # From the end on; a place of b that is the same is one of `before`.
+    order = Window.partitionBy("row", "query").orderBy(F.col("pos").desc(), "side").rowsBetween(Window.unboundedPreceding, 0)
+    merged = both_sides.withColumn("other", F.last(F.when(F.col("side") == 1, F.col("pos")), ignorenulls=True).over(order))
+    return before.union(merged.where(f"side = 0 and other - pos <= {int(within)}").select("row", "query", "pos", "other"))
 
 
 def decontaminate(df: DataFrame, items: DataFrame, n: int = WORDS, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:

@@ -81,3 +81,20 @@ def test_proximity(spark, docs):
                 if x == a and near:
                     want.add((i, q, p, near[-1]))
     assert {(r.doc_id, r.query, r.pos, r.other) for r in got} == want
+
+
+def test_proximity_on_both_sides(spark, docs):
+    draw = random.Random(6)
+    pairs = [(i, " ".join(draw.choice("pqrstuv") for _ in range(40)), "a") for i in range(20)] + [(20, "p q", "a"), (21, "q p", "a")]
+    index = decontam.build_index(docs(pairs), decontam.vocabulary(spark.createDataFrame([("p q r",)], "text string")))
+    queries = [(1, "p", "q"), (2, "r", "p"), (3, "q", "q")]
+    ask = spark.createDataFrame(queries, "query int, a string, b string")
+    got = decontam.proximity_matches(index, ask, 3, both=True).join(index.docs, "row").collect()
+    want = []
+    for i, t, _ in pairs:
+        w = t.split()
+        for q, a, b in queries:
+            for p in (p for p, x in enumerate(w) if x == a):
+                want += [(i, q, p, k) for k in [k for k in range(max(0, p - 3), p + 1) if w[k] == b][-1:]]
+                want += [(i, q, p, k) for k in [k for k in range(p + 1, min(len(w), p + 4)) if w[k] == b][:1]]
+    assert sorted((r.doc_id, r.query, r.pos, r.other) for r in got) == sorted(want)
