@@ -5,11 +5,14 @@ Arrow IPC files: shard-N.arrow holds record batches of fixed-size lists, input_i
 and mask, each list a sequence of seq_len ids of the shard's documents one after
 the other (the last one is padded, mask false); shard-N.docs.arrow holds doc_id,
 start and n_tokens of its documents. Sequence k of a shard is slot k % SEQS_A_BATCH
-of batch k // SEQS_A_BATCH, so a memory map gives any sequence without a copy.
+of batch k // SEQS_A_BATCH, so a memory map gives any sequence, and its mask, without
+a copy. Masks are Arrow booleans, a bit each: a byte each would make files half as
+large again.
 """
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import json
 import os
@@ -24,14 +27,15 @@ from urllib.parse import urlparse
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ._shared import new_path, partitions, small_batches, trimmed
 
 SEQ_LEN = 2048
 SEQS_A_BATCH = 64
-CACHE_PIECES = 300_000
+CACHE_PIECES = 60_000  # about 12 MB, and as much for those kept before them
 # The parts of a tokenizers file under which pieces can be encoded alone.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
@@ -64,6 +68,10 @@ class _Kept(dict):
             self.older = dict(self)
             self.clear()
 
+    def drop(self) -> None:
+        self.older = {}
+        self.clear()
+
 
 class Encoder:
     """Ids of texts by a tokenizers file, special tokens not added.
@@ -102,6 +110,11 @@ class Encoder:
         word, other = self.words.__getitem__, self.others.__getitem__
         return [b"".join(map(word, _PIECE.findall(t.lower())) if _SIMPLE.fullmatch(t) and "<|" not in t else map(other, t.translate(_SPACES).split(" "))) for t in texts]
 
+    def drop(self) -> None:
+        """Forget the pieces: workers stay alive, idle, beside those of other stages."""
+        self.words.drop()
+        self.others.drop()
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
@@ -112,13 +125,14 @@ def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path) if urlparse(path).scheme else (pafs.LocalFileSystem(), path)
 
 
-def _put(fs: pafs.FileSystem, path: str, write: Callable) -> None:
-    """Write a file aside and rename it: a task that is lost or runs twice leaves
-    one whole file with the same content."""
-    aside = f"{path}.{uuid.uuid4().hex}.tmp"
-    with fs.open_output_stream(aside) as sink:
-        write(sink)
-    fs.move(aside, path)
+def _put(fs: pafs.FileSystem, paths: list[str], write: Callable) -> None:
+    """Write files aside and rename them: a task that is lost or runs twice leaves
+    whole files with the same content."""
+    aside = [f"{p}.{uuid.uuid4().hex}.tmp" for p in paths]
+    with contextlib.ExitStack() as open_files:
+        write(*[open_files.enter_context(fs.open_output_stream(a)) for a in aside])
+    for a, p in zip(aside, paths):
+        fs.move(a, p)
 
 
 class _Shard:
@@ -156,32 +170,31 @@ def _writer(out: str, path: str, end_id: int, seq_len: int, id_type: pa.DataType
         fs, folder = _filesystem(out)
         fs.create_dir(folder)
         end = np.array([end_id], enc.dtype).tobytes()
-        ids_of, counts = [], []
+        index = pa.schema([("doc_id", id_type), ("start", pa.int64()), ("n_tokens", pa.int64())])
+        docs = tokens = 0
 
-        def tokens(sink) -> None:
-            file = _Shard(sink, enc.dtype, seq_len)
+        def both(ids_sink, docs_sink) -> None:
+            nonlocal docs, tokens
+            file, table = _Shard(ids_sink, enc.dtype, seq_len), pa.ipc.new_file(docs_sink, index)
             for batch in batches:
-                ids_of.append(batch.column(0))
+                counts = []
                 for at in range(0, batch.num_rows, 64):
                     encoded = enc.encode([t or "" for t in batch.column(1).slice(at, 64).to_pylist()])
-                    counts.extend(len(e) // enc.dtype.itemsize + 1 for e in encoded)
+                    counts += [len(e) // enc.dtype.itemsize + 1 for e in encoded]
                     file.add(b"".join(e + end for e in encoded))
+                n = np.array(counts, np.int64)
+                table.write_batch(pa.RecordBatch.from_arrays([batch.column(0).cast(id_type), pa.array(tokens + np.cumsum(n) - n), pa.array(n)], schema=index))
+                docs, tokens = docs + len(counts), tokens + int(n.sum())
             file.close()
+            table.close()
 
-        def index(sink) -> None:
-            n = np.array(counts, np.int64)
-            table = pa.table({"doc_id": pa.chunked_array(ids_of, id_type), "start": np.cumsum(n) - n, "n_tokens": n})
-            with pa.ipc.new_file(sink, table.schema) as file:
-                file.write_table(table)
-
-        name = f"{folder}/shard-{shard:06d}"
         gc.disable()  # lists of many pieces, without cycles
         try:
-            _put(fs, f"{name}.arrow", tokens)
+            _put(fs, [f"{folder}/shard-{shard:06d}.arrow", f"{folder}/shard-{shard:06d}.docs.arrow"], both)
         finally:
             gc.enable()
-        _put(fs, f"{name}.docs.arrow", index)
-        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([len(counts)], pa.int64()), pa.array([sum(counts)], pa.int64())], ["shard", "docs", "tokens"])
+            enc.drop()
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (shard, docs, tokens)], ["shard", "docs", "tokens"])
 
     return write
 
@@ -189,35 +202,42 @@ def _writer(out: str, path: str, end_id: int, seq_len: int, id_type: pa.DataType
 def write_tokens(df: DataFrame, tokenizer: str, end_id: int = 1, seq_len: int = SEQ_LEN, id_col: str = "doc_id", text_col: str = "text", out: str | None = None) -> tuple[str, list]:
     """Write df's texts as a store; its folder, and for each shard (shard, docs, tokens).
 
-    Rows are dealt by ranges of id and sorted by id (null first), then text. A null
-    text is empty: its document is the end id alone. What comes to the driver is one
-    small row a shard. An empty table gives a store without documents. A very long
-    text is encoded as a whole; a batch of 64 texts must fit in a worker's memory.
+    Rows are dealt by ranges of id and sorted by id (null first), then text: rows that
+    repeat are documents of their own, next to each other. Ids keep their own type. A
+    null text is empty: its document is the end id alone. What comes to the driver is
+    one small row a shard. An empty table gives a store without documents. Other
+    columns of df are not read. A very long text is encoded as a whole; a batch of 64
+    texts must fit in a worker's memory, all else that a task holds is bounded.
     """
     spark = df.sparkSession
     small_batches(spark)
     out = out or new_path(spark, "tokens")
     rows = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     dealt = rows.repartitionByRange(partitions(spark), F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    id_type = pa.string() if rows.schema["doc_id"].dataType.simpleString() == "string" else pa.int64()
-    shards = dealt.mapInArrow(trimmed(_writer(out, tokenizer, end_id, seq_len, id_type)), "shard long, docs long, tokens long").collect()
+    shards = dealt.mapInArrow(trimmed(_writer(out, tokenizer, end_id, seq_len, to_arrow_type(rows.schema["doc_id"].dataType))), "shard long, docs long, tokens long").collect()
     return out, sorted(tuple(r) for r in shards if r.docs)
 
 
 def open_store(path: str):
-    """An IPC file reader; on a local path over a memory map."""
+    """An IPC file reader; on a local path over a memory map. The file of a shard
+    without documents has no batches; a path that isn't there raises FileNotFoundError."""
     fs, name = _filesystem(path)
     return pa.ipc.open_file(pa.memory_map(name) if isinstance(fs, pafs.LocalFileSystem) else fs.open_input_file(name))
 
 
-def sequence(reader, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask of sequence k of a shard; the ids are a view of the file."""
-    batch = reader.get_batch(k // SEQS_A_BATCH)
-    ids, mask = (batch.column(i) for i in range(2))
-    n, j = ids.type.list_size, k % SEQS_A_BATCH
-    if not 0 <= j < len(ids):
+def sequence(reader, k: int) -> tuple[np.ndarray, pa.BooleanArray]:
+    """Ids and mask of sequence k of a shard, both views of the file: numpy has no
+    arrays of bits, so the mask stays an Arrow array (to_numpy(False) copies it). All
+    but a shard's last sequence have a mask of ones; a k that the shard doesn't have
+    raises IndexError."""
+    at, j = divmod(k, SEQS_A_BATCH)
+    if not 0 <= at < reader.num_record_batches:
+        raise IndexError(k)
+    ids, mask = reader.get_batch(at).columns
+    if j >= len(ids):
         raise IndexError(k)
-    return ids.values.slice(j * n, n).to_numpy(), mask.values.slice(j * n, n).to_numpy(zero_copy_only=False)
+    n = ids.type.list_size
+    return ids.values.slice(j * n, n).to_numpy(), mask.values.slice(j * n, n)
 
 
 def _reader(out: str) -> Callable:
@@ -225,7 +245,7 @@ def _reader(out: str) -> Callable:
         for batch in batches:
             for shard, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 name = f"{out}/shard-{shard:06d}"
-                docs = open_store(f"{name}.docs.arrow").read_all().combine_chunks()
+                docs = open_store(f"{name}.docs.arrow").read_all()
                 starts, sizes = docs["start"].to_numpy(), docs["n_tokens"].to_numpy()
                 ids = open_store(f"{name}.arrow")
                 crc = np.zeros(len(starts), np.int64)
@@ -239,14 +259,16 @@ def _reader(out: str) -> Callable:
                             break
                         d += 1
                     at += len(part)
-                yield pa.RecordBatch.from_arrays([docs["doc_id"].combine_chunks(), pa.array(starts + base), pa.array(sizes), pa.array(crc)], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                out_ids = docs["doc_id"].combine_chunks()
+                yield pa.RecordBatch.from_arrays([out_ids, pa.array(starts + base), pa.array(sizes), pa.array(crc)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return read
 
 
 def read_tokens(spark: SparkSession, out: str, shards: list, id_type: str = "long") -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, read from the files;
-    start counts the ids of all documents before it in the store."""
+    """doc_id (of id_type), start, n_tokens, ids_crc32 of every document, read from the
+    files; start counts the ids of all documents before it in the store. Null ids stay
+    null, repeated ones are a row each; a store without shards gives no rows."""
     rows, base = [], 0
     for shard, _, tokens in shards:
         rows.append((shard, base))

@@ -45,10 +45,29 @@ def test_sequences_and_masks(spark, docs):
         own, flat = flat[:tokens], flat[tokens:]
         for k in range(-(-tokens // 8)):
             ids, mask = to.sequence(file, k)
-            assert len(ids) == len(mask) == 8 and ids[mask].tolist() == own[8 * k : 8 * k + 8]
+            assert len(ids) == len(mask) == 8 and ids[mask.to_numpy(False)].tolist() == own[8 * k : 8 * k + 8]
+        with pytest.raises(IndexError):
+            to.sequence(file, -(-tokens // 8))
     assert not flat
 
 
+def test_sequences_and_masks_are_views(spark, docs):
+    """Both point into the same mapped batch whenever they are asked for."""
+    out, shards = to.write_tokens(docs([(i, "a b c d e f g h", "a") for i in range(200)]), word_tokenizer(), seq_len=8)
+    file = to.open_store(f"{out}/shard-{shards[0][0]:06d}.arrow")
+    (ids, mask), (again, mask_again) = to.sequence(file, 1), to.sequence(file, 1)
+    assert ids.__array_interface__["data"][0] == again.__array_interface__["data"][0]
+    assert not ids.flags.owndata and mask.buffers()[1].address == mask_again.buffers()[1].address
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "smallint"])
+def test_ids_of_any_type(spark, kind):
+    df = spark.createDataFrame([(i, f"text {i}") for i in (3, 1, 2)] + [(None, "no id")], "doc_id int, text string").selectExpr(f"cast(doc_id as {kind}) doc_id", "text")
+    out, shards = to.write_tokens(df, word_tokenizer())
+    got = to.read_tokens(spark, out, shards, kind).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, *[str(i) if kind == "string" else i for i in (1, 2, 3)]]
+
+
 def test_empty_table(spark, docs):
     out, shards = to.write_tokens(docs([]), word_tokenizer())
     assert shards == [] and to.read_tokens(spark, out, shards).collect() == []
