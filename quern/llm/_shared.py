@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-ARROW_ROWS = 1000
+ARROW_ROWS, ARROW_BYTES = 1000, 4 << 20
 _OWN: list[str] = []
 _RECORDS: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Where a session has none (tests
-    on one machine) a temporary folder is made and set for that session."""
+    """The folder named by spark.checkpoint.dir. Where a session has none a temporary
+    folder is made, on one machine only: on a cluster executors would not share it."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not _OWN:
         _OWN.append("file://" + tempfile.mkdtemp(prefix="quern-shared-"))
     return _OWN[0]
@@ -39,7 +42,7 @@ def recording():
     try:
         yield record
     finally:
-        _RECORDS.remove(record)
+        _RECORDS[:] = [r for r in _RECORDS if r is not record]
 
 
 def materialize(df: DataFrame, what: str) -> DataFrame:
@@ -58,13 +61,25 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextlib.contextmanager
+def leaving(spark: SparkSession):
+    """Deletes, at its end, the paths that new_path gave meanwhile, but for those added
+    to the set that it yields: tables that nothing reads any more don't fill the disk."""
+    kept: set[str] = set()
+    with recording() as record:
+        yield kept
+    for path in record:
+        if path not in kept:
+            remove(spark, path)
+
+
 def small_batches(spark: SparkSession) -> None:
-    """Python workers get at most ARROW_ROWS rows at once, so that rows with long
-    texts fit in their memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
+    """Python workers get at most ARROW_ROWS rows or ARROW_BYTES (and one row) at once,
+    so that rows with long texts fit in their memory."""
+    for key, most in (("maxRecordsPerBatch", ARROW_ROWS), ("maxBytesPerBatch", ARROW_BYTES)):
+        now = re.fullmatch(r"(\d+)b?", spark.conf.get(f"spark.sql.execution.arrow.{key}"))
+        if not now or not 0 < int(now[1]) <= most:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
 def trimmed(run):

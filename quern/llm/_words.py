@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -34,14 +34,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, CHUNK_BYTES + 4096)
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        for k, factor in enumerate((_BASE, inverse)):
-            table = np.full(size, factor, np.uint64)
-            table[0] = 1
-            _powers[k] = np.multiply.accumulate(table)
-    return _powers[0], _powers[1]
+    """Powers of the base and of its inverse; those of a piece's size are kept."""
+    if len(_powers[0]) >= n:
+        return _powers[0], _powers[1]
+    size = max(n, CHUNK_BYTES + 4096)
+    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+    tables = []
+    for factor in (_BASE, inverse):
+        table = np.full(size, factor, np.uint64)
+        table[0] = 1
+        tables.append(np.multiply.accumulate(table))
+    if n <= CHUNK_BYTES + 4096:
+        _powers[:] = tables
+    return tables[0], tables[1]
 
 
 class Words:

@@ -93,3 +93,20 @@ def test_edges(spark, edges, tmp_path):
         spark.createDataFrame([], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
         spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
         assert (cp.run(spark, d).count() > 0) == bool(data)
+
+
+def test_results_of_two_runs_stay_readable(spark):
+    first, second = cp.run(spark, D), cp.run(spark, D)
+    a, b = (sorted(map(str, x.collect())) for x in (first, second))
+    assert a == b and a
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from quern.llm import _shared
+
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+        session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: None), sparkContext=SimpleNamespace(master=master))
+        with pytest.raises(ValueError):
+            _shared.shared_dir(session)
