@@ -7,10 +7,15 @@ it. The suffixes are sorted over the whole cluster by their first K words (as a
 hash) and the words that follow, neighbours from different texts are compared, and
 a match is extended word by word to the right and to the left. Suffixes with the same
 K words that share MIN_WORDS words by others to the left are not neighbours: of each
-the hashes of all windows of MIN_WORDS words around the K words are compared too,
-over the parts' borders as well. What each suffix
-carries to the sort is the REACH words on either side of its K words, as 16 bits a
-word: a longer passage has more minimisers, and their matches are joined.
+the hashes of all windows of MIN_WORDS words around the K words are compared too. What
+each suffix carries to the sort is the REACH words on either side of its K words, as
+16 bits a word: a longer passage has more minimisers, and their matches are joined.
+A passage's K words are compared by 63 bits; of the others, two that differ agree by
+chance once in 65,536, so a passage's end is a word off as rarely as that.
+
+A sorted part is gone through in pieces of PIECE suffixes, cut between keys where a key
+is not larger than that. The windows of keys that a cut may divide are compared once
+more over the cluster, so nothing depends on where parts or pieces end.
 """
 
 from __future__ import annotations
@@ -27,6 +32,7 @@ from ._words import Words, chunks, mix
 
 MIN_WORDS = 50
 K = 10
+PIECE = 50_000  # suffixes that a task holds at once, about 10 MB
 
 
 def run_hashes(words: Words, k: int) -> np.ndarray:
@@ -123,10 +129,10 @@ def _windows(key: np.ndarray, right: np.ndarray, left: np.ndarray, reach: int) -
             h += left[:, l].astype(np.uint64) * by[reach + l] - right[:, reach - 1 - l].astype(np.uint64) * by[reach - 1 - l]
 
 
-def compare_windows(table: pa.Table, found: dict, k: int, least: int, reach: int, across: bool) -> tuple[dict, dict]:
+def compare_windows(table: pa.Table, found: dict, k: int, least: int, reach: int, across: bool, cut: tuple[bool, bool]) -> tuple[dict, dict]:
     """Matches by windows of `least` words that those found leave out, and the windows
-    (suffix, l, hash) of the first and last key, which other parts may have too: all
-    where one text has it, else those of two texts."""
+    (suffix, l, hash) of the first and the last key, where cut says that other pieces
+    may have them too: all where one text has it, else those of two texts."""
     key, row = (table[c].to_numpy() for c in ("key", "row"))
     n = len(key)
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -138,9 +144,10 @@ def compare_windows(table: pa.Table, found: dict, k: int, least: int, reach: int
     low[side, found["i"]], high[side, found["i"]] = reach - found["r"], found["l"]
     whole = ((low <= np.maximum(0, reach - n_right)) & (high >= np.minimum(reach, n_left))).any(0)
     use = (sizes > 2) & ~np.logical_and.reduceat(whole, starts)
-    use[[0, -1]] = True
+    use[0] |= cut[0]
+    use[-1] |= cut[1]
     at = np.flatnonzero(np.repeat(use, sizes))
-    border = (key[at] == key[0]) | (key[at] == key[-1])
+    border = ((key[at] == key[0]) & cut[0]) | ((key[at] == key[-1]) & cut[1])
     right, left = (_matrix(table[c].combine_chunks() if isinstance(table[c], pa.ChunkedArray) else table[c], reach) for c in ("right", "left"))
     who = row[at] if across else at
     out, edge = {c: [] for c in ("i", "j", "l", "r")}, {c: [] for c in ("i", "l", "window")}
@@ -174,9 +181,9 @@ def compare_windows(table: pa.Table, found: dict, k: int, least: int, reach: int
     return tuple({c: np.concatenate(v) if v else np.zeros(0, np.int64) for c, v in d.items()} for d in (out, edge))
 
 
-def compare(table: pa.Table, k: int, least: int, reach: int, across: bool) -> tuple[dict, np.ndarray]:
-    """Matches of neighbours in a sorted table, and the rows that neighbours in other parts may match."""
-    key, row, pos = (table[c].to_numpy() for c in ("key", "row", "pos"))
+def compare(table: pa.Table, k: int, least: int, reach: int, across: bool) -> dict:
+    """Matches of neighbours in a sorted table."""
+    key, row = (table[c].to_numpy() for c in ("key", "row"))
     n_right, n_left = (table[c].to_numpy().astype(np.int64) for c in ("n_right", "n_left"))
     right, left = (_matrix(table[c].combine_chunks() if isinstance(table[c], pa.ChunkedArray) else table[c], reach) for c in ("right", "left"))
     n = len(key)
@@ -197,49 +204,57 @@ def compare(table: pa.Table, k: int, least: int, reach: int, across: bool) -> tu
             hit = l + k + r >= least
             for name, v in (("i", x), ("j", y), ("l", l), ("r", r)):
                 found[name].append(v[hit])
-    out = {c: np.concatenate(v) if v else np.zeros(0, np.int64) for c, v in found.items()}
-    edge = np.zeros(n, bool)
-    for a in {0, len(starts) - 1}:
-        edge[starts[a] : ends[a]] = True
-    edge[ends[0] : ends[0] + 1] = True
-    edge[max(0, starts[-1] - 1) : starts[-1]] = True
-    return out, np.flatnonzero(edge)
-
-
-_RESULT = ["edge", "id", "row", "start", "end", "other_id", "other_row", "other_start"]
-_CARRIED = ["key", "right", "left", "pos", "n_right", "n_left", "window"]
+    return {c: np.concatenate(v) if v else np.zeros(0, np.int64) for c, v in found.items()}
 
 
-def _matcher(k: int, least: int, across: bool, edges: bool):
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, tuple[bool, bool]]]:
+    """A sorted part in tables of about PIECE rows, and whether the first and the last
+    key of each may go on in another table or part."""
+    held: list[pa.RecordBatch] = []
+    rows, cut = 0, True  # the part's first key may have begun in the part before
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        rows += batch.num_rows
+        if rows < PIECE:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        key = table["key"].to_numpy()
+        at = int(np.searchsorted(key, key[-1]))  # where the last key begins
+        if at:
+            yield table.slice(0, at).combine_chunks(), (cut, False)
+            rest, cut = table.slice(at), False
+            # A last key that is a whole piece by itself is cut.
+            if rest.num_rows >= PIECE:
+                yield rest.combine_chunks(), (False, True)
+                rest, cut = rest.slice(rest.num_rows), True
+        else:
+            yield table, (cut, True)
+            rest, cut = table.slice(rows), True
+        held, rows = rest.to_batches(), rest.num_rows
+    if rows:
+        yield pa.Table.from_batches(held).combine_chunks(), (cut, True)
+
+
+_RESULT = ["id", "row", "start", "end", "other_id", "other_start", "window"]
+
+
+def _matcher(k: int, least: int, across: bool):
     reach = least - k
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [b for b in batches if b.num_rows]
-        if not parts:
-            return
-        table = pa.Table.from_batches(parts).combine_chunks()
-        found, border = compare(table, k, least, reach, across)
-        if edges:
-            further, windows = compare_windows(table, found, k, least, reach, across)
-            found = {c: np.concatenate([found[c], further[c]]) for c in found}
-            table = table.append_column("window", pa.nulls(len(table), pa.int64()))
-        i, j, l, r = found["i"], found["j"], found["l"], found["r"]
-        pos = table["pos"].to_numpy().astype(np.int64)
-        ids, rows = table["id"].combine_chunks(), table["row"].combine_chunks()
-        arrays = [pa.array(np.zeros(len(i), bool)), ids.take(pa.array(i)), rows.take(pa.array(i)), pa.array(pos[i] - l), pa.array(pos[i] + k + r), ids.take(pa.array(j)), rows.take(pa.array(j)), pa.array(pos[j] - l)]
-        types = [table.schema.field(c).type for c in _CARRIED[:-1]] + [pa.int64()]
-        nulls = [pa.nulls(len(i), t) for t in types]
-        yield pa.RecordBatch.from_arrays(arrays + nulls, _RESULT + _CARRIED)
-        if edges:
-            at, n = pa.array(border), len(border)
-            none = [pa.nulls(n, t) for t in (pa.int64(), pa.int64(), ids.type, pa.int64(), pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, bool)), ids.take(at), rows.take(at), *none, *[table[c].combine_chunks().take(at) for c in _CARRIED]], _RESULT + _CARRIED)
-            # Windows that other parts may have: neither matches nor rows to compare yet.
-            at, n = windows["i"], len(windows["i"])
+        for table, cut in _pieces(batches):
+            found = compare(table, k, least, reach, across)
+            further, windows = compare_windows(table, found, k, least, reach, across, cut)
+            i, j, l, r = (np.concatenate([found[c], further[c]]).astype(np.int64) for c in ("i", "j", "l", "r"))
+            pos = table["pos"].to_numpy().astype(np.int64)
+            ids, rows = table["id"].combine_chunks(), table["row"].combine_chunks()
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(i)), rows.take(pa.array(i)), pa.array(pos[i] - l), pa.array(pos[i] + k + r), ids.take(pa.array(j)), pa.array(pos[j] - l), pa.nulls(len(i), pa.int64())], _RESULT)
+            # Windows that other pieces may have: no matches yet.
+            at, n = windows["i"].astype(np.int64), len(windows["i"])
             start = pos[at] - windows["l"].astype(np.int64)
-            none = [pa.nulls(n, t) for t in (ids.type, pa.int64(), pa.int64())]
-            rest = [pa.nulls(n, t) for t in types[:-1]]
-            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.bool_()), ids.take(pa.array(at)), rows.take(pa.array(at)), pa.array(start), pa.array(start + least), *none, *rest, pa.array(windows["window"].astype(np.int64))], _RESULT + _CARRIED)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(at)), rows.take(pa.array(at)), pa.array(start), pa.array(start + least), pa.nulls(n, ids.type), pa.nulls(n, pa.int64()), pa.array(windows["window"].astype(np.int64))], _RESULT)
 
     return run
 
@@ -249,7 +264,8 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id_col, start, end (words, end exclusive), n_words, other_id, other_start.
 
     Passages of a text that overlap are one row, up to their last word; other_* is
-    where the longest match of it is found again. across: only matches between
+    where the longest match that was compared is found again (of words whose K words
+    many texts share, a match is min_words long). across: only matches between
     different rows of df count, else also within a text. Texts that are null, empty
     or shorter have none; equal texts and rows that repeat match whole; a null id
     stays null; an empty table gives no rows. Other columns of df are not read.
@@ -258,17 +274,13 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     small_batches(spark)
     source = df.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
-    carried = "key long, right binary, left binary, pos int, n_right smallint, n_left smallint, window long"
-    result = f"edge boolean, id {kind}, row long, start long, `end` long, other_id {kind}, other_row long, other_start long, {carried}"
+    result = f"id {kind}, row long, start long, `end` long, other_id {kind}, other_start long, window long"
     suffixes = source.mapInArrow(trimmed(_suffixes(k, min_words)), f"key long, right binary, left binary, id {kind}, row long, pos int, n_right smallint, n_left smallint")
     by = ("key", "right", "left", "row", "pos")
     dealt = suffixes.repartitionByRange(partitions(spark), *by).sortWithinPartitions(*by)
-    found = materialize(dealt.mapInArrow(trimmed(_matcher(k, min_words, across, True)), result), "matches")
-    # The outermost runs of each part, a few rows a part, are compared once more.
-    border = found.where("edge").select("key", "right", "left", "id", "row", "pos", "n_right", "n_left")
-    again = border.repartition(1).sortWithinPartitions(*by).mapInArrow(_matcher(k, min_words, across, False), result)
-    spans = found.where("not edge").union(again).select("id", "row", "start", "end", "other_id", "other_start")
-    # Windows of keys that a border may cut: each is held against the least and the greatest row that has it.
+    found = materialize(dealt.mapInArrow(trimmed(_matcher(k, min_words, across)), result), "matches")
+    spans = found.where("window is null").select("id", "row", "start", "end", "other_id", "other_start")
+    # Windows of keys that a cut may divide: each is held against the least and the greatest row that has it.
     shared = found.where("window is not null").select("window", "id", "row", "start", "end")
     who = F.col("row") if across else F.struct("row", "start")
     ends = shared.groupBy("window").agg(F.min(F.struct("row", "start", "id")).alias("lo"), F.max(F.struct("row", "start", "id")).alias("hi"), F.min(who).alias("__a"), F.max(who).alias("__b")).where("__a != __b")
