@@ -5,7 +5,7 @@ key scaled by its quality weight: key = -ln(u) / weight. Within a source, docume
 in key order are prefix-summed to the source's budget. A budget above the source's
 size first takes every document as often as it wholly fits (complete epochs); only
 the rest is a selection. The prefix sums are taken in three levels (source, slice of
-keys, document), so no source meets in one task.
+the keys' range, document), so no source meets in one task.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from ._shared import materialize
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_EPOCHS = 2
-ROWS_A_SLICE = 64
-MAX_SLICES = 65536
+ROWS_A_CELL = 256  # rows for each cell that a unit of log(key) is cut into
+MAX_CELLS = 1 << 14
 
 
 def word_count(text: Column) -> Column:
@@ -27,10 +27,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long"), F.lit(0).cast("long"))
 
 
-def quality_weight(text: Column, size: Column) -> Column:
-    """Between 0 and 1, largest where characters a word are near 6.5, as in prose."""
-    mean = F.coalesce(F.length(text), F.lit(0)).cast("double") / F.greatest(size, F.lit(1)).cast("double")
-    return F.lit(1.0) / (F.lit(1.0) + F.abs(mean - F.lit(6.5)) / F.lit(6.5))
+def quality_weight(text: Column) -> Column:
+    """The square of the share of letters (ASCII ones, and all characters beyond ASCII)
+    in the characters that are not white space, 0.01 at least: prose of any script is
+    near 1, tables, markup and junk draw late. It does not depend on spaces."""
+    seen = F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", ""))
+    letters = F.length(F.regexp_replace(text, r"[\x00-\x40\x5B-\x60\x7B-\x7F]+", ""))
+    share = F.coalesce(letters, F.lit(0)).cast("double") / F.greatest(F.coalesce(seen, F.lit(0)), F.lit(1)).cast("double")
+    return F.greatest(F.lit(0.01), share * share)
 
 
 def uniform(key: Column, seed: int) -> Column:
@@ -70,27 +74,30 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
 
     size: words of the text. taken = epochs * size + part: epochs whole copies and,
     of the sampled documents, part = size, but less for the one on which the budget
-    ends. Keys are drawn from draw_col, by default the id. A null text is empty and has size 0; null is a source of its own, the last
-    one; a null id draws like an empty one; rows with equal keys go by id, then by
-    their place in the table. No rows give none. Other columns are not read.
+    ends. Keys are drawn from draw_col, by default the id. A null text is empty and
+    has size 0; null is a source of its own, the last one; a null id draws like an
+    empty one; rows with equal keys go by id, then by size: rows that share all three
+    are alike here, so the rows returned do not depend on how a table is split. No
+    rows give none. Other columns are not read.
     """
     text = F.col(text_col).cast("string")
     rows = df.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(text).alias("size"), text.alias("__text"), F.col(draw_col or id_col).alias("draw"))
-    rows = rows.withColumn("weight", quality_weight(F.col("__text"), F.col("size"))).drop("__text")
+    rows = rows.withColumn("weight", quality_weight(F.col("__text"))).drop("__text")
     rows = rows.withColumn("key", -F.log(uniform(F.col("draw"), seed)) / F.col("weight")).withColumn("row", F.monotonically_increasing_id()).drop("draw")
     rows = materialize(rows, "sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     targets = materialize(source_targets(sizes.select("source", "source_size"), weights, share, most), "targets")
-    slices = max(1, min(MAX_SLICES, rows.count() // ROWS_A_SLICE))
-    # Larger keys have larger slices; 1 - exp(-key) spreads exponential keys evenly.
-    rows = rows.withColumn("slice", F.least(F.lit(slices - 1), F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * slices)).cast("int"))
+    # Slices are as wide as each other in log(key). Of keys with one weight, whatever it is, a unit
+    # of log(key) has e**-1 at most, so the largest slice has 0.37 / cells of a source's rows.
+    cells = max(1, min(MAX_CELLS, rows.count() // ROWS_A_CELL))
+    rows = rows.withColumn("slice", F.floor(F.log("key") * cells).cast("int"))
     sums = rows.groupBy("source", "slice").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("base", F.coalesce(F.sum("words").over(earlier), F.lit(0).cast("long"))).drop("words")
     t, b = targets.alias("t"), sums.alias("b")
-    within = Window.partitionBy("source", "slice").orderBy("key", F.col("id").asc_nulls_first(), "row").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "slice").orderBy("key", F.col("id").asc_nulls_first(), "size", "row").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("ahead", F.coalesce(F.sum("size").over(within), F.lit(0).cast("long"))).alias("r")
-    # A source of a third of all rows has as many (source, slice) pairs as rows / 64: no hot key.
+    # A source of a third of all rows has thousands of (source, slice) pairs: no hot key.
     rows = rows.join(b, F.expr("r.source <=> b.source and r.slice = b.slice"), "left")
     rows = rows.join(F.broadcast(t) if targets.count() <= 100_000 else t, F.expr("r.source <=> t.source"), "left")
     epochs = F.coalesce(F.floor(F.col("target") / F.col("source_size")), F.lit(0)).cast("long")

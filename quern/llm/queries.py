@@ -85,10 +85,12 @@ FROM documents
 _OP5 = """
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
+         CAST(coalesce(length(regexp_replace(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+', '', 'g')), 0) AS DOUBLE) AS not_letters,
          CAST(coalesce(length(text), 0) AS DOUBLE) AS chars,
+         CAST(coalesce(length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g')), 0) AS DOUBLE) AS seen,
          (CAST(CAST('0x' || substr(md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT) AS DOUBLE) + 0.5) / 281474976710656.0 AS u
   FROM documents),
-k AS (SELECT *, -ln(u) / (1.0 / (1.0 + abs(chars / greatest(size, 1) - 6.5) / 6.5)) AS key FROM d),
+k AS (SELECT *, -ln(u) / greatest(0.01::DOUBLE, ((chars - not_letters) / greatest(seen, 1)) * ((chars - not_letters) / greatest(seen, 1))) AS key FROM d),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS i FROM d GROUP BY source),
 w AS (SELECT source, source_size, CASE i % 3 WHEN 1 THEN 5.0 WHEN 2 THEN 2.0 ELSE 1.0 END::DOUBLE AS w, 2.0::DOUBLE * source_size AS cap FROM s),
 r AS (SELECT *, 1.5::DOUBLE * sum(source_size) OVER () AS total,

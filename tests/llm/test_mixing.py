@@ -62,7 +62,7 @@ def test_selection_follows_keys(docs):
     """Against the method in plain Python."""
     import hashlib
 
-    pairs = [(i, "abcdef " * (i % 13 + 1), "ab"[i % 2]) for i in range(400)]
+    pairs = [(i, ("abcdef ", "a1b2-- ", "//12 ")[i % 3] * (i % 13 + 1), "ab"[i % 2]) for i in range(400)]
     want = {}
     sizes = {s: sum(i % 13 + 1 for i, _, x in pairs if x == s) for s in "ab"}
     for s, target in water(sizes).items():
@@ -71,9 +71,31 @@ def test_selection_follows_keys(docs):
             if x == s:
                 n = i % 13 + 1
                 u = (int(hashlib.md5(f"7:{i}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48
-                keyed.append((-math.log(u) / (1 / (1 + abs(len(t) / n - 6.5) / 6.5)), i, n))
+                seen = re.sub(r"\s+", "", t)
+                share = len(re.sub(r"[^a-z]", "", t)) / len(seen)
+                keyed.append((-math.log(u) / max(0.01, share * share), i, n))
         epochs, ahead = int(target // sizes[s]), 0
         for _, i, n in sorted(keyed):
             want[i] = epochs * n + max(0, min(n, round(target) - epochs * sizes[s] - ahead))
             ahead += n
     assert {r.doc_id: r.taken for r in mix(docs(pairs)).collect()} == want
+
+
+def test_slices_of_a_source_without_spaces_are_even(spark):
+    """The place of a row in the mix is found among few others, whatever the script."""
+    from pyspark.sql import functions as F
+
+    from quern.llm import mixing
+
+    df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("\u6f22\u5b57"), 200).alias("text"), F.lit("s").alias("source"))
+    keys = df.select((-F.log(mixing.uniform(F.col("doc_id"), 7)) / mixing.quality_weight(F.col("text"))).alias("key"))
+    cells = 20_000 // mixing.ROWS_A_CELL
+    assert keys.groupBy(F.floor(F.log("key") * cells)).count().agg(F.max("count")).first()[0] < 0.02 * 20_000
+    got = mix(df).agg(F.sum("taken"), F.max("target")).first()
+    assert abs(got[0] - got[1]) <= 1
+
+
+def test_rows_that_repeat_do_not_depend_on_the_split(docs):
+    pairs = [(i % 5, "w " * (1 + i % 7), "a") for i in range(60)]
+    a, b = (sorted((r.doc_id, r.size, r.taken) for r in mix(docs(p).repartition(n)).collect()) for p, n in ((pairs, 1), (pairs[::-1], 9)))
+    assert a == b
