@@ -15,13 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import small_batches, trimmed
+from ._shared import leaving, small_batches, trimmed
 from ._words import Words, chunks
-from .toxicity import fold, labelled_sample
+from .toxicity import examples, fold
 
 BITS = 15
 RANK = 4
 SAMPLE = 12_000  # labelled rows that a model is fitted on, at most
+SAMPLE_BYTES = 32 << 20  # and bytes of their inputs
 EPOCHS = 8
 BATCH = 64
 RATE, DECAY = 0.1, 1e-4
@@ -169,13 +170,13 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = []
     for b in batches:
-        rows += zip(*(b[k].to_pylist() for k in ("place", "label", "i", "x")))
+        rows += zip(*(b[k].to_pylist() for k in ("place", "row", "label", "i", "x")))
     rows.sort()
     if rows:
-        i = [np.frombuffer(r[2], "<u4") for r in rows]
-        x = np.concatenate([np.frombuffer(r[3], "<f4") for r in rows])
+        i = [np.frombuffer(r[3], "<u4") for r in rows]
+        x = np.concatenate([np.frombuffer(r[4], "<f4") for r in rows])
         ptr = np.concatenate([[0], np.cumsum([len(a) for a in i])])
-        labels = np.array([r[1] for r in rows])
+        labels = np.array([r[2] for r in rows])
         share = (labels.sum() + 0.5) / (len(labels) + 1)
         machine = Machine(float(np.log(share / (1 - share)))).fit(Rows(np.concatenate(i).astype(np.int32), x, ptr), labels)
     else:
@@ -184,13 +185,14 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([a], t) for a, t in zip(machine.dump(), (pa.float64(), pa.binary(), pa.binary()))], ["bias", "w", "v"])
 
 
-def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> tuple:
+def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> tuple:
     """A machine (as of Machine.dump) fitted on at most `sample` labelled rows, none
-    held out. Without any it gives every text 0.5."""
-    small_batches(df.sparkSession)
-    rows = labelled_sample(df, labels, "quality", fold(id_col, FOLDS) != HELD_OUT, id_col, text_col, sample)
-    blobs = rows.mapInArrow(trimmed(_featurise), "label int, place long, i binary, x binary")
-    got = blobs.repartition(1).mapInArrow(trimmed(_train), "bias double, w binary, v binary").collect()
+    held out, with at most sample_bytes of inputs. Without any it gives every text 0.5."""
+    spark = df.sparkSession
+    small_batches(spark)
+    with leaving(spark):
+        rows = examples(df, labels, "quality", fold(id_col, FOLDS) != HELD_OUT, id_col, text_col, sample, sample_bytes, _featurise, "i x")
+        got = rows.repartition(1).mapInArrow(trimmed(_train), "bias double, w binary, v binary").collect()
     return tuple(got[0]) if got else (0.0, np.zeros(WORDS_AT + (1 << BITS), "<f4").tobytes(), np.zeros((WORDS_AT + (1 << BITS)) * RANK, "<f4").tobytes())
 
 

@@ -12,14 +12,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import materialize, small_batches, trimmed
+from ._shared import leaving, materialize, small_batches, trimmed
 from ._words import Words, chunks, mix
 
 BITS = 20
 SAMPLE = 20_000  # labelled rows that a model is fitted on, at most
+SAMPLE_BYTES = 100 << 20  # and bytes of their features
 EPOCHS = 5
 ALPHA, BETA, L2 = 5.0, 1.0, 1.0
 L1_LEAST, L1_ROWS = 12.0, 800  # L1 grows with the examples, by one for so many
@@ -97,34 +98,48 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         # Views of the batch's buffer, not copies.
         views = [np.frombuffer(c.as_buffer(), "<u4") if len(c.as_buffer()) else np.zeros(0, "<u4") for c in b["features"]]
-        rows += zip(b["place"].to_pylist(), b["label"].to_pylist(), views)
-    rows.sort(key=lambda r: (r[0], r[1], len(r[2])))
+        rows += zip(b["place"].to_pylist(), b["row"].to_pylist(), b["label"].to_pylist(), views)
+    rows.sort(key=lambda r: r[:3])
     model = Ftrl(max(L1_LEAST, len(rows) / L1_ROWS))
     for _ in range(EPOCHS):
-        for _, label, index in rows:
+        for *_, label, index in rows:
             model.learn(index, label)
     at, w, bias = model.model()
     yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in ((at.tobytes(), pa.binary()), (w.tobytes(), pa.binary()), (bias, pa.float64()))], ["at", "w", "bias"])
 
 
-def labelled_sample(df: DataFrame, labels: DataFrame, label: str, in_fold: Column, id_col: str, text_col: str, most: int) -> DataFrame:
-    """label, place, text of at most `most` labelled rows, by a hash of the id. Rows
-    with a null id or label are no examples; a label other than 0 counts as 1."""
+def examples(df: DataFrame, labels: DataFrame, label: str, in_fold: Column, id_col: str, text_col: str, most: int, most_bytes: int, featurise: Callable, columns: str) -> DataFrame:
+    """place, row, label and columns (binary, by featurise) of labelled rows: the first
+    by a hash of the id, then by place in df, up to `most` rows and most_bytes in all.
+
+    Rows with a null id or label are no examples; a label other than 0 counts as 1.
+    An id that labels or df have several times gives an example each time, within the
+    bounds. What meets in one task are bounded rows of three numbers.
+    """
     picked = labels.where(in_fold & F.col(label).isNotNull() & F.col(id_col).isNotNull())
     picked = picked.select(F.col(id_col).alias("__id"), (F.col(label) != 0).cast("int").alias("label"), F.xxhash64(F.lit(11), F.col(id_col).cast("string")).alias("place"))
     picked = materialize(picked.orderBy("place", "__id", "label").limit(most), "sample")  # at most `most` small rows: broadcast
     texts = df.select(F.col(id_col).alias("__doc"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(picked), F.col("__doc") == F.col("__id")).select("label", "place", "text")
-
-
-def fit(df: DataFrame, labels: DataFrame, label: str = "toxic", in_fold: Column | None = None, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, float]:
-    """(index, weight, bias) fitted on at most `sample` labelled rows, those of
-    in_fold. Without any, no feature counts and the bias is PRIOR."""
-    small_batches(df.sparkSession)
+    texts = texts.join(F.broadcast(picked), F.col("__doc") == F.col("__id")).select("label", "place", "text")
+    made = texts.mapInArrow(trimmed(featurise), f"label int, place long, {', '.join(f'{c} binary' for c in columns.split())}")
+    made = materialize(made.withColumn("row", F.monotonically_increasing_id()), "examples")
+    size = sum((F.length(c) for c in columns.split()), F.lit(0).cast("long"))
+    first = made.select("place", "row", size.alias("size")).orderBy("place", "row").limit(most)
+    so_far = F.sum("size").over(Window.orderBy("place", "row").rowsBetween(Window.unboundedPreceding, 0))
+    first = materialize(first.withColumn("so_far", so_far).where(F.col("so_far") <= most_bytes).select("row"), "sample")
+    return made.join(F.broadcast(first), "row")
+
+
+def fit(df: DataFrame, labels: DataFrame, label: str = "toxic", in_fold: Column | None = None, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> tuple[np.ndarray, np.ndarray, float]:
+    """(index, weight, bias) fitted on at most `sample` labelled rows of in_fold with
+    at most sample_bytes of features (see examples), in one task that holds just them.
+    Without any, no feature counts and the bias is PRIOR."""
+    spark = df.sparkSession
+    small_batches(spark)
     in_fold = in_fold if in_fold is not None else F.lit(True)
-    rows = labelled_sample(df, labels, label, in_fold, id_col, text_col, sample)
-    blobs = rows.mapInArrow(trimmed(_featurise), "label int, place long, features binary")
-    got = blobs.repartition(1).mapInArrow(trimmed(_train), "at binary, w binary, bias double").collect()
+    with leaving(spark):
+        rows = examples(df, labels, label, in_fold, id_col, text_col, sample, sample_bytes, _featurise, "features")
+        got = rows.repartition(1).mapInArrow(trimmed(_train), "at binary, w binary, bias double").collect()
     if not got:
         return np.zeros(0, np.int32), np.zeros(0, np.float32), PRIOR
     return np.frombuffer(got[0].at, np.int32), np.frombuffer(got[0].w, np.float32), got[0].bias

@@ -80,3 +80,85 @@ def test_statistics():
     assert s["upper"][0] == pytest.approx(2 * 2 / 11) and s["bar"][0] == pytest.approx(10 / 11)
     assert s["repeated_lines"].tolist() == [0, 0, 0, pytest.approx(2 / 3)] and s["repeated_words"][3] == pytest.approx(6 / 9)
     assert np.isfinite(quality.statistics(w)).all()
+
+
+def test_the_sample_is_bounded(spark, docs):
+    """One labelled id on many rows, and more labels than the sample takes."""
+    from pyspark.sql import functions as F
+
+    pairs = [(1, f"word{i} again", "a") for i in range(300)] + [(i, f"text {i} of five words", "a") for i in range(2, 40)]
+    lab = labels(spark, [(i, i % 2, i % 2) for i in range(40)] + [(1, 1, 1)])
+
+    def taken(most, most_bytes):
+        out = toxicity.examples(docs(pairs), lab, "toxic", F.lit(True), "doc_id", "text", most, most_bytes, toxicity._featurise, "features").collect()
+        assert all(set(r.asDict()) == {"row", "label", "place", "features"} for r in out)
+        return len(out), sum(len(r.features) for r in out)
+
+    assert taken(10, 1 << 20)[0] == 10
+    assert taken(10_000, 1 << 20)[0] == 2 * 300 + 38
+    assert 0 < taken(10_000, 400)[1] <= 400
+    assert taken(0, 400) == (0, 0) == taken(10, 0)
+    for run in (toxicity.toxicity, quality.quality):
+        assert run(docs(pairs), lab, sample=7).count() == len(pairs)
+
+
+def test_ftrl_equals_the_plain_form():
+    """Coordinate by coordinate, as in the published algorithm."""
+    draw = np.random.default_rng(2)
+    rows = [(np.unique(draw.integers(0, 40, draw.integers(0, 9))), int(draw.random() < 0.4)) for _ in range(300)]
+    model, z, n = toxicity.Ftrl(1.5, 6), {}, {}
+    b = 1 << 6
+    rate = lambda k: (toxicity.BETA + np.sqrt(n.get(k, 0.0))) / toxicity.ALPHA
+
+    def weight(k):
+        if k == b:
+            return toxicity.PRIOR - z.get(k, 0.0) / rate(k)
+        v = z.get(k, 0.0)
+        return 0.0 if abs(v) <= 1.5 else -(v - np.sign(v) * 1.5) / (rate(k) + toxicity.L2)
+
+    for index, label in rows:
+        model.learn(index, label)
+        ks = [*index.tolist(), b]
+        w = {k: weight(k) for k in ks}
+        g = (1 / (1 + np.exp(-sum(w.values()))) - label) * (toxicity.POSITIVE if label else 1.0)
+        for k in ks:
+            before = n.get(k, 0.0)
+            n[k] = before + g * g
+            z[k] = z.get(k, 0.0) + g - (np.sqrt(n[k]) - np.sqrt(before)) / toxicity.ALPHA * (w[k] - (toxicity.PRIOR if k == b else 0.0))
+    at, w, bias = model.model()
+    want = {k: weight(k) for k in range(b) if weight(k)}
+    assert dict(zip(at.tolist(), w.tolist())) == pytest.approx(want, rel=1e-4) and 3 < len(want) < 40
+    assert bias == pytest.approx(weight(b))
+
+
+def test_fit_equals_plain_adagrad_over_pairs(monkeypatch):
+    """Gradients of the pairwise sum, one product after the other."""
+    draw = np.random.default_rng(4)
+    lists = [(np.sort(draw.choice(6, draw.integers(1, 5), False)), draw.integers(0, 2)) for _ in range(20)]
+    xs = [draw.normal(size=len(i)) for i, _ in lists]
+    marks = np.array([y for _, y in lists])
+    monkeypatch.setattr(quality, "BATCH", 7)
+    m = quality.Machine(0.2)
+    w, v = m.w.copy(), m.v.copy()
+    m.fit(quality.Rows(np.concatenate([i for i, _ in lists]), np.concatenate(xs), np.concatenate([[0], np.cumsum([len(x) for x in xs])])), marks, epochs=3)
+    gw, gv = np.full(len(w), 1e-6), np.full(v.shape, 1e-6)
+    order = np.random.default_rng(6)
+    for _ in range(3):
+        deal = order.permutation(len(marks))
+        for a in range(0, len(deal), 7):
+            pick = deal[a : a + 7]
+            dw, dv = {}, {}
+            for r in pick:
+                (i, _), x = lists[r], xs[r]
+                total = 0.2 + sum(w[a] * p for a, p in zip(i, x)) + sum(p * q * (v[a] @ v[b]) for k, (a, p) in enumerate(zip(i, x)) for b, q in zip(i[:k], x[:k]))
+                g = (1 / (1 + np.exp(-total)) - marks[r]) / len(pick)
+                for a, p in zip(i, x):
+                    dw[a] = dw.get(a, 0) + g * p
+                    dv[a] = dv.get(a, 0) + g * p * sum((q * v[b] for b, q in zip(i, x) if b != a), np.zeros(quality.RANK))
+            for a in dw:
+                one, many = dw[a] + quality.DECAY * w[a], dv[a] + quality.DECAY * v[a]
+                gw[a] += one * one
+                gv[a] += many * many
+                w[a] -= quality.RATE * one / np.sqrt(gw[a])
+                v[a] = v[a] - quality.RATE * many / np.sqrt(gv[a])
+    assert m.w[:6] == pytest.approx(w[:6]) and m.v[:6] == pytest.approx(v[:6])
