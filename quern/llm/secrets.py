@@ -27,6 +27,7 @@ MORE = {"pem": r"-----BEGIN [A-Z ]*PRIVATE KEY-----", "jwt": r"\beyJ[A-Za-z0-9_-
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, *MORE)
 RULES = {"base": 1, "more": 1}  # a changed rule set gets a higher number
+SMALL = 1_000_000  # unseen blobs, of two numbers each, that are broadcast at most
 
 _assign, _access, _hex = re.compile(ASSIGN), re.compile(ACCESS), re.compile(HEX)
 _more = {k: re.compile(v) for k, v in MORE.items()}
@@ -58,19 +59,27 @@ def listed(spans) -> str:
     return ",".join(f"{k}:{s}:{e}" for s, e, k in sorted(spans, key=lambda x: (x[0], KINDS.index(x[2]), x[1])))
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        blobs, rules, kinds, starts, ends = [], [], [], [], []
-        for blob, text, todo in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            for rule in todo:
-                name = rule.split("@")[0]
-                for s, e, k in SCANS[name](text or ""):
-                    blobs.append(blob), rules.append(rule), kinds.append(k), starts.append(s), ends.append(e)
-        yield pa.RecordBatch.from_arrays([pa.array(blobs, pa.binary()), pa.array(rules, pa.string()), pa.array(kinds, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], ["blob", "rule", "kind", "start", "end"])
+def _scanner(names: list[str]):
+    """Scans by those rules (of names) that a row's bits ask for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blobs, rules, kinds, starts, ends = [], [], [], [], []
+            for blob, text, todo in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                for i, rule in enumerate(names):
+                    if todo >> i & 1:
+                        for s, e, k in SCANS[rule.split("@")[0]](text or ""):
+                            blobs.append(blob), rules.append(rule), kinds.append(k), starts.append(s), ends.append(e)
+            yield pa.RecordBatch.from_arrays([pa.array(blobs, pa.binary()), pa.array(rules, pa.string()), pa.array(kinds, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], ["blob", "rule", "kind", "start", "end"])
+
+    return run
 
 
 class Ledger:
-    """A ledger in a folder that all executors share. Tables are only appended to."""
+    """A ledger in a folder that all executors share. A version's paths are written as
+    a whole, in place of what an attempt before left; a finding that two attempts
+    recorded counts once; blobs are recorded as scanned last. So a version that is
+    added again, after a failure at any point, gives the same ledger."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark, self.path = spark, path or new_path(spark, "ledger")
@@ -88,7 +97,7 @@ class Ledger:
         return self._read("findings", "blob binary, rule string, kind string, start long, `end` long")
 
     def paths(self, id_type: str = "long") -> DataFrame:
-        return self._read("paths", f"id {id_type}, version string, blob binary")
+        return self._read("paths", f"id {id_type}, blob binary, version string")
 
     def add(self, df: DataFrame, version: str, id_col: str = "doc_id", text_col: str = "text", rules: dict[str, int] | None = None) -> None:
         """Record a version of the rows of df and scan what no version had.
@@ -100,23 +109,31 @@ class Ledger:
         texts = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
         rows = texts.withColumn("blob", F.unhex(F.sha2("text", 256)))
         id_type = rows.schema["id"].dataType.simpleString()
-        rows.select("id", F.lit(version).alias("version"), "blob").write.mode("append").parquet(f"{self.path}/paths")
+        rows.select("id", "blob", F.lit(version).alias("version")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(f"{self.path}/paths")
         here = self.paths(id_type).where(F.col("version") == version).select("id", "blob")
         # One row stands for each blob; a hot blob's copies meet as digests, summed before the shuffle.
         todo = F.array(*[F.lit(r) for r in rules])
         new = here.groupBy("blob").agg(F.min("id").alias("id"))
         new = new.select("blob", "id", F.explode(todo).alias("rule")).join(self.scanned(), ["blob", "rule"], "left_anti")
-        new = materialize(new.groupBy("blob", "id").agg(F.sort_array(F.collect_list("rule")).alias("todo")), "unseen")
-        first = new.select(F.col("id").alias("__id"), F.col("blob").alias("__blob"), "todo")
-        picked = rows.join(first.hint("shuffle_hash"), F.expr("id <=> __id and blob = __blob")).select("blob", "text", "todo")
-        found = picked.mapInArrow(trimmed(_scan), "blob binary, rule string, kind string, start long, `end` long")
+        bit = F.element_at(F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r), F.lit(1 << i).cast("long"))]), F.col("rule"))
+        new = materialize(new.groupBy("blob", "id").agg(F.sum(bit).alias("todo")), "unseen")
+        # Few unseen blobs go to the texts, as 64 bits of row and blob (a row too many, by chance, is
+        # scanned and found again); many meet them in a shuffle.
+        key = F.xxhash64("blob", "id")
+        if new.count() <= SMALL:
+            picked = rows.withColumn("__key", key).join(F.broadcast(new.select(key.alias("__key"), "todo")), "__key").select("blob", "text", "todo")
+        else:
+            first = new.select(F.col("id").alias("__id"), F.col("blob").alias("__blob"), "todo")
+            picked = rows.join(first.hint("shuffle_hash"), F.expr("id <=> __id and blob = __blob")).select("blob", "text", "todo")
+        found = picked.mapInArrow(trimmed(_scanner(rules)), "blob binary, rule string, kind string, start long, `end` long")
         found.distinct().write.mode("append").parquet(f"{self.path}/findings")
-        new.select("blob", F.explode("todo").alias("rule")).write.mode("append").parquet(f"{self.path}/scanned")
-
+        done = F.explode(F.expr(f"filter(array({', '.join(f'if(todo & {1 << i} != 0, {chr(39)}{r}{chr(39)}, null)' for i, r in enumerate(rules))}), x -> x is not null)"))
+        new.select("blob", done.alias("rule")).write.mode("append").parquet(f"{self.path}/scanned")
 
     def report(self, ids: DataFrame, version: str, id_col: str = "doc_id", rules: dict[str, int] | None = None) -> DataFrame:
         """The findings of a version's rows, joined back to every path: id_col,
-        n_<kind> for every kind, base_sha256, spans."""
+        n_<kind> for every kind, base_sha256, spans. The findings of one blob, as many
+        as its text has, meet in one row; a version that was not added has no rows."""
         rules = [f"{k}@{v}" for k, v in (rules or RULES).items()]
         rank = F.element_at(F.create_map(*[x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))]), F.col("kind"))
         one = F.struct("start", rank.alias("rank"), "end", "kind")

@@ -51,3 +51,25 @@ def test_only_unseen_pairs_are_scanned(spark, docs, tmp_path, monkeypatch):
     check(ledger.report(docs(TEXTS[1:]), "v2").collect(), TEXTS[1:])
     ledger.add(docs(TEXTS[:3]), "v3", rules={"base": 1, "more": 2})
     assert ledger.scanned().where("rule = 'more@2'").count() == 2 and ledger.scanned().where("rule = 'base@1'").count() == 5
+
+
+def test_a_version_can_be_added_again(spark, docs, tmp_path, monkeypatch):
+    ledger = Ledger(spark, f"file://{tmp_path}/ledger")
+    for _ in range(2):
+        ledger.add(docs(TEXTS[:3]), "v/1 =")
+    check(ledger.report(docs(TEXTS[:3]), "v/1 =").collect(), TEXTS[:3])
+    assert ledger.paths().count() == 3 and ledger.scanned().count() == 4
+
+    # A failure before blobs are recorded as scanned, and the same version once more.
+    whole = Ledger.scanned
+    monkeypatch.setattr(Ledger, "scanned", lambda self: whole(self).limit(0))
+    ledger.add(docs(TEXTS), "v2")
+    monkeypatch.undo()
+    ledger.add(docs(TEXTS), "v2")
+    check(ledger.report(docs(TEXTS), "v2").collect(), TEXTS)
+
+
+def test_many_unseen_blobs_give_the_same(docs, monkeypatch):
+    want = sorted(map(str, scan_secrets(docs(TEXTS)).collect()))
+    monkeypatch.setattr(secrets, "SMALL", 0)
+    assert sorted(map(str, scan_secrets(docs(TEXTS)).collect())) == want
