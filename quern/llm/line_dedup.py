@@ -138,8 +138,9 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ta
     copies counts a line's rows; n_links is the number of other distinct lines within
     tau edits (of code points), all of them; class_id is the smallest line_id that
     links lead to; kept marks one row of each class, the first by id (null last), row
-    and line. Lines of tau characters or fewer, too short for segments, are compared
-    by length. An empty table gives no rows. Other columns of df are not read.
+    and line. Lines of tau characters or fewer are all within tau edits of each other:
+    they are one class, and their mutual links are counted, not made. An empty table
+    gives no rows. Other columns of df are not read.
     """
     rows = df.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("line_no", "line"))
     rows = rows.where(F.col("line").rlike(r"[^ \t\r\x0B\x0C]"))
@@ -152,13 +153,16 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ta
     copies = materialize(maybe.join(groups, F.expr("h1 = g1 and h2 = g2")).where("line_id != rep").select(F.col("line_id").alias("copy"), "rep"), "line-copies")
     lines = written.select("line_id", "line", "n", "bag").join(small(copies.select("copy")), F.col("line_id") == F.col("copy"), "left_anti")
     links = edit_links(lines, tau)
-    roots = components(links, "a", "b")
-    degree = links.select("a").union(links.select("b")).groupBy("a").agg(F.count(F.lit(1)).alias("n_links"))
+    short = materialize(lines.where(f"n <= {tau}").select("line_id"), "short-lines")
+    few = short.agg(F.count(F.lit(1)), F.min("line_id")).first()
+    roots = components(links.select("a", "b").union(short.where(f"line_id != {few[1]}").select(F.lit(few[1]).cast("long"), "line_id")) if few[0] else links, "a", "b")
+    one = F.lit(1).cast("long")
+    ends = links.select("a", one.alias("n")).union(links.select("b", one)).union(short.select("line_id", F.lit(few[0] - 1).cast("long")))
+    degree = ends.groupBy("a").agg(F.sum("n").alias("n_links")).where("n_links > 0")
     linked = materialize(degree.join(roots, F.col("a") == F.col("node")).select(F.col("a").alias("linked"), "n_links", "root"), "linked-lines")
     places = written.select("id", "line_no", F.col("line_id").alias("place")).join(small(copies), F.col("place") == F.col("copy"), "left")
     places = places.select("id", "line_no", "place", F.coalesce("rep", "place").alias("line_id"))
     counts = groups.select(F.col("rep").alias("counted"), "copies")
-    one = F.lit(1).cast("long")
     out = places.join(small(linked), F.col("line_id") == F.col("linked"), "left").join(small(counts), F.col("line_id") == F.col("counted"), "left")
     out = out.select("id", "line_no", "place", "line_id", F.coalesce("copies", one).alias("copies"), F.coalesce("n_links", one * 0).alias("n_links"), F.coalesce("root", "line_id").alias("class_id"), (F.col("linked").isNotNull() | F.col("counted").isNotNull()).alias("several"))
     # Only classes of several rows need their first row looked for.
@@ -169,7 +173,8 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ta
 
 
 def edit_links(lines: DataFrame, tau: int = TAU) -> DataFrame:
-    """a < b, distance: all pairs of lines (line_id, line, n, bag; distinct) within tau edits."""
+    """a < b, distance: all pairs of lines (line_id, line, n, bag; distinct) within tau
+    edits, but for those of two lines of tau characters or fewer: all of these are."""
     long = lines.where(f"n > {tau}")
     index = keyed(long, index_cells(tau), tau, "line_id", "bag").select(F.col("line_id").alias("a"), F.col("bag").alias("bag_a"), "key")
     # A line probes under its own segments too (how = -1); of two lines that share one, the lesser is found.
@@ -177,10 +182,11 @@ def edit_links(lines: DataFrame, tau: int = TAU) -> DataFrame:
     # An edit changes two counts by one, but one that changes the length only one.
     near = bags_near("bag_a", "bag_b", f"{2 * tau} - greatest(how, 0)")
     pairs = index.join(probes, F.expr(f"key = k and a != b and (how >= 0 or a < b) and {near}")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    tiny = lines.where(f"n <= {2 * tau}").select("line_id", F.explode(F.expr(f"sequence(greatest(0, n - {tau}), n + {tau})")).alias("key"), F.expr("n").alias("own"))
-    # Lines too short to have tau + 1 segments, against all of a length near their own.
-    s, t = tiny.where("key = own").select(F.col("line_id").alias("a"), "key", F.col("own").alias("na")), tiny.select(F.col("line_id").alias("b"), "key", F.col("own").alias("nb"))
-    pairs = pairs.union(s.join(t, "key").where(f"a != b and (na <= {tau} or nb <= {tau})").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    # Of a line of more than tau characters, one that is within tau edits of it keeps one at least.
+    letter = F.explode(F.array_distinct(F.filter(F.split("line", ""), lambda x: x != ""))).alias("letter")
+    s = lines.where(f"n <= {tau}").select(F.col("line_id").alias("a"), F.col("n").alias("na"), letter)
+    t = lines.where(f"n > {tau} and n <= {2 * tau}").select(F.col("line_id").alias("b"), F.col("n").alias("nb"), letter)
+    pairs = pairs.union(s.join(t, "letter").where(f"nb - na <= {tau}").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     pairs = materialize(pairs.distinct(), "line-pairs")
     used = materialize(pairs.select(F.col("a").alias("u")).union(pairs.select("b")).distinct(), "used-lines")
     texts = materialize(lines.join(small(used), F.col("line_id") == F.col("u"), "left_semi").select("line_id", "line", "n"), "pair-lines")

@@ -105,3 +105,17 @@ def test_segments_partition(spark):
             assert got[2 * i] == at and n // 3 <= got[2 * i + 1] <= n // 3 + 1
             at += got[2 * i + 1]
         assert at == n
+
+
+def test_short_lines(docs, monkeypatch):
+    """Against brute force, and without a pair for each two of them."""
+    draw = random.Random(3)
+    pairs = [(i, "\n".join("".join(draw.choice("abcé\U0001f600") for _ in range(draw.randrange(1, 6))) for _ in range(5)), "a") for i in range(25)]
+    check(ld.line_dedup(docs(pairs)).collect(), pairs)
+
+    made, edit_links = [], ld.edit_links
+    monkeypatch.setattr(ld, "edit_links", lambda *a: made.append(edit_links(*a)) or made[-1])
+    many = [(i, "\n".join(chr(0x4E00 + 100 * i + k) for k in range(100)) + "\nabc", "a") for i in range(30)]
+    got = ld.line_dedup(docs(many)).where("n_links > 0").collect()
+    assert len(got) == 3000 and {r.n_links for r in got} == {2999} and len({r.class_id for r in got}) == 1 and sum(r.kept for r in got) == 1
+    assert made[0].count() == 0
