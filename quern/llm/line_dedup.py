@@ -23,7 +23,7 @@ from .decontam import small
 
 TAU = 2
 HEAD = 32
-LETTERS = "etnhoasir"
+LETTERS = "etoa"
 
 
 def segment(length: str, k: str, parts: int) -> tuple[str, str]:
