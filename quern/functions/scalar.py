@@ -70,8 +70,10 @@ def ordered_overlap(start: Column, end: Column, other_start: Column, other_end:
 
 
 def clean_pileup(bases: Column) -> Column:
-    """Pileup bases without read starts, ends and indel texts of one-digit lengths."""
+    """Pileup bases, upper case, without read starts, ends and indel texts: a sign, a
+    number of any digits, and as many letters as it says."""
     out = F.regexp_replace(F.regexp_replace(bases, r"\^.", ""), r"\$", "")
-    for n in range(1, 10):
-        out = F.regexp_replace(out, rf"[+-]{n}[A-Za-z]{{{n}}}", "")
-    return F.upper(out)
+    number = lambda p: F.regexp_extract(p, "^[+-]([0-9]+)", 1)
+    rest = lambda p: F.substring(p, F.length(number(p)) + 2 + number(p).cast("int"), F.length(p))
+    pieces = F.transform(F.split(out, "(?=[+-][0-9])"), lambda p: F.when(p.rlike("^[+-][0-9]"), rest(p)).otherwise(p))
+    return F.upper(F.array_join(pieces, ""))

@@ -111,15 +111,15 @@ def a15_offending_characters(t):
     return t.documents.select(F.explode(F.split(rest, "")).alias("ch")).where("ch <> ''").groupBy("ch").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("WITH c AS (SELECT unnest(range(1, 21)) AS pos, p_name FROM part), h AS (SELECT pos, substr(p_name, pos, 1) AS ch, count(*) AS n FROM c WHERE pos <= length(p_name) GROUP BY ALL) SELECT CAST(pos AS INTEGER) AS pos, ch, n, round(n / sum(n) OVER (PARTITION BY pos), 9) AS frequency FROM h")
+@query("WITH c AS (SELECT unnest(range(1, length(p_name) + 1)) AS pos, p_name FROM part), h AS (SELECT pos, substr(p_name, pos, 1) AS ch, count(*) AS n FROM c WHERE pos <= length(p_name) GROUP BY ALL) SELECT CAST(pos AS INTEGER) AS pos, ch, n, round(n / sum(n) OVER (PARTITION BY pos), 9) AS frequency FROM h")
 def a16_position_histogram(t):
-    h = t.part.select(F.posexplode(F.split(F.substring("p_name", 1, 20), ""))).where("col <> ''").groupBy((F.col("pos") + 1).alias("pos"), F.col("col").alias("ch")).agg(F.count(F.lit(1)).alias("n"))
+    h = t.part.select(F.posexplode(F.split("p_name", ""))).where("col <> ''").groupBy((F.col("pos") + 1).alias("pos"), F.col("col").alias("ch")).agg(F.count(F.lit(1)).alias("n"))
     return h.withColumn("frequency", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("pos")), 9))
 
 
-@query("WITH c AS (SELECT p_brand, unnest(range(1, 13)) AS pos, p_name FROM part), h AS (SELECT p_brand, pos, substr(p_name, pos, 1) AS ch, count(*) AS n FROM c WHERE pos <= length(p_name) GROUP BY ALL), b AS (SELECT p_brand, pos, ch, n, sum(n) OVER (PARTITION BY p_brand, pos) AS total, row_number() OVER (PARTITION BY p_brand, pos ORDER BY n DESC, ch) AS rn FROM h) SELECT p_brand, string_agg(ch, '' ORDER BY pos) AS consensus, round(min(n / total), 9) AS worst_agreement FROM b WHERE rn = 1 GROUP BY 1")
+@query("WITH c AS (SELECT p_brand, unnest(range(1, length(p_name) + 1)) AS pos, p_name FROM part), h AS (SELECT p_brand, pos, substr(p_name, pos, 1) AS ch, count(*) AS n FROM c WHERE pos <= length(p_name) GROUP BY ALL), b AS (SELECT p_brand, pos, ch, n, sum(n) OVER (PARTITION BY p_brand, pos) AS total, row_number() OVER (PARTITION BY p_brand, pos ORDER BY n DESC, ch) AS rn FROM h) SELECT p_brand, string_agg(ch, '' ORDER BY pos) AS consensus, round(min(n / total), 9) AS worst_agreement FROM b WHERE rn = 1 GROUP BY 1")
 def a17_mode_consensus(t):
-    h = t.part.select("p_brand", F.posexplode(F.split(F.substring("p_name", 1, 12), ""))).where("col <> ''").groupBy("p_brand", "pos", F.col("col").alias("ch")).agg(F.count(F.lit(1)).alias("n"))
+    h = t.part.select("p_brand", F.posexplode(F.split("p_name", ""))).where("col <> ''").groupBy("p_brand", "pos", F.col("col").alias("ch")).agg(F.count(F.lit(1)).alias("n"))
     best = h.groupBy("p_brand", "pos").agg(F.min(F.struct((-F.col("n")).alias("m"), "ch")).alias("b"), F.sum("n").alias("total"))
     letters = F.transform(F.array_sort(F.collect_list(F.struct("pos", "b.ch"))), lambda x: x["ch"])
     return best.groupBy("p_brand").agg(F.array_join(letters, "").alias("consensus"), F.round(F.min(-F.col("b.m") / F.col("total")), 9).alias("worst_agreement"))

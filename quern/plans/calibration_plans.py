@@ -73,8 +73,3 @@ def c10_alignment_summary(t):
 def w15_homopolymers(t):
     h = F.md5("p_name")
     return t.part.select("p_partkey", F.length(F.regexp_extract(h, "^[0-9]*", 0)).cast("long").alias("lead_"), sq.longest_run(h).alias("longest"))
-
-
-@query("SELECT c_mktsegment, CAST(sum((c_acctbal > 0)::INT) AS BIGINT) AS agree, CAST(sum((NOT c_acctbal > 0)::INT) AS BIGINT) AS disagree, sum((NOT c_acctbal > 0)::INT) > sum((c_acctbal > 0)::INT) AS flip FROM customer GROUP BY 1")
-def c11_orientation_votes(t):
-    return sets.majority_flip(t.customer, ["c_mktsegment"], F.col("c_acctbal") > 0)

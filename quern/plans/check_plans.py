@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import scalar as sc
 from ..operators import aggregates as agg
 from ..operators import checks, intervals, sets, windows
 from ._times import days
@@ -240,8 +239,3 @@ def q35_staging_gate(t):
 def q36_failure_classes(t):
     e, v = F.col("event_type"), F.col("value")
     return t.events.select("event_id", F.when((e == "error") & (v > 50), "out of memory").when(e == "error", "retryable").when(e == "signup", "cancelled").when(v < 1, "failed verdict").otherwise("ok").alias("class"), (e == "error").alias("retry"))
-
-
-@query("SELECT event_id, CASE WHEN value IS NULL THEN 'na' WHEN value < 5 THEN 'low' WHEN value < 50 THEN 'mid' ELSE 'high' END AS tier FROM events")
-def q37_tiers(t):
-    return t.events.select("event_id", sc.tier(F.col("value"), [5, 50], ["low", "mid", "high"]).alias("tier"))

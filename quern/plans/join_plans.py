@@ -19,9 +19,9 @@ def j2_left_join_with_default(t):
     return t.customer.join(n, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query("SELECT p_partkey FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R')")
+@query("SELECT p_partkey FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 45)")
 def j7_anti_join(t):
-    return t.part.join(t.lineitem.where("l_returnflag = 'R'"), F.col("l_partkey") == F.col("p_partkey"), "left_anti").select("p_partkey")
+    return t.part.join(t.lineitem.where("l_quantity > 45"), F.col("l_partkey") == F.col("p_partkey"), "left_anti").select("p_partkey")
 
 
 @query("SELECT p_partkey FROM part WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 49)")
@@ -29,13 +29,13 @@ def j8_semi_join(t):
     return t.part.join(t.lineitem.where("l_quantity > 49"), F.col("l_partkey") == F.col("p_partkey"), "left_semi").select("p_partkey")
 
 
-@query("SELECT s_suppkey, coalesce(CASE WHEN r_name LIKE 'A%' THEN n_name END, r_name, 'none') AS place FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey LEFT JOIN region ON r_regionkey = n_regionkey")
+@query("SELECT s_suppkey, coalesce(CASE WHEN r_name LIKE 'A%' THEN n_name END, r_name) AS place FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey LEFT JOIN region ON r_regionkey = n_regionkey")
 def j9_lookup_with_fallback(t):
     nations = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     named = nations.where("r_name like 'A%'").select("n_nationkey", "n_name")
     regions = nations.select("n_nationkey", "r_name")
     out = sets.lookup_chain(t.supplier, [(named, "s_nationkey", "n_nationkey", "n_name"), (regions, "s_nationkey", "n_nationkey", "r_name")], "place")
-    return out.select("s_suppkey", F.coalesce("place", F.lit("none")).alias("place"))
+    return sets.require_resolved(out, "place").select("s_suppkey", "place")
 
 
 @query("WITH a AS (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS ordinal FROM conversations), b AS (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS ordinal FROM conversations WHERE turn > 0) SELECT coalesce(a.conv_id, b.conv_id) AS conv_id, coalesce(a.ordinal, b.ordinal) AS ordinal, a.role AS left_name, b.role AS right_name, CASE WHEN a.conv_id IS NULL THEN 'left exhausted' WHEN b.conv_id IS NULL THEN 'right exhausted' WHEN a.role IS NOT DISTINCT FROM b.role THEN 'paired' ELSE 'name differs' END AS status FROM a FULL JOIN b ON a.conv_id = b.conv_id AND a.ordinal = b.ordinal")
@@ -131,17 +131,22 @@ def u5_union_distinct(t):
     return t.customer.select(F.col("c_nationkey").alias("k")).union(t.nation.select("n_nationkey")).distinct()
 
 
-_KMERS = "d AS (SELECT DISTINCT doc_id, unnest(list_distinct(string_split(lower(text), ' '))) AS w FROM documents), i AS (SELECT DISTINCT item_id, unnest(list_distinct(string_split(lower(text), ' '))) AS w FROM benchmark)"
+_RUNS = "SELECT DISTINCT {k}, array_to_string(w[i:i + 4], ' ') AS r FROM (SELECT {k}, w, unnest(range(1, len(w) - 3)) AS i FROM (SELECT {k}, string_split(lower(text), ' ') AS w FROM {t}) WHERE len(w) >= 5)"
 
 
-@query(f"WITH {_KMERS}, n AS (SELECT item_id, count(*) AS n FROM i WHERE length(w) >= 8 GROUP BY 1) SELECT item_id AS a_key, doc_id AS b_key, count(*) AS shared, round(count(*) / any_value(n), 9) AS containment FROM i JOIN d USING (w) JOIN n USING (item_id) WHERE length(w) >= 8 GROUP BY ALL")
+@query(f"WITH i AS ({_RUNS.format(k='item_id', t='benchmark')}), d AS ({_RUNS.format(k='doc_id', t='documents')}), n AS (SELECT item_id, count(*) AS n FROM i GROUP BY 1) SELECT item_id AS a_key, doc_id AS b_key, count(*) AS shared, round(count(*) / any_value(n), 9) AS containment FROM i JOIN d USING (r) JOIN n USING (item_id) GROUP BY ALL")
 def u6_containment(t):
-    words = lambda df, key: df.select(F.col(key).alias("key"), F.explode(F.split(F.lower("text"), " ")).alias("w")).where(F.length("w") >= 8)
-    out = sets.containment(words(t.benchmark, "item_id"), words(t.documents, "doc_id"), "key", "w")
+    """By all runs of five words of whole texts."""
+    def runs(df, key):
+        w = df.select(F.col(key).alias("key"), F.split(F.lower("text"), " ").alias("w")).where("size(w) >= 5")
+        return w.select("key", F.explode(F.expr("transform(sequence(1, size(w) - 4), i -> array_join(slice(w, i, 5), ' '))")).alias("r"))
+
+    out = sets.containment(runs(t.benchmark, "item_id"), runs(t.documents, "doc_id"), "key", "r")
     return out.withColumn("containment", F.round("containment", 9))
 
 
-@query("SELECT 'declared' AS side, CAST(k AS VARCHAR) AS k FROM (SELECT n_nationkey AS k FROM nation EXCEPT SELECT s_nationkey FROM supplier) UNION ALL SELECT 'found', CAST(k AS VARCHAR) FROM (SELECT s_nationkey AS k FROM supplier EXCEPT SELECT n_nationkey FROM nation)")
+@query("SELECT 'declared' AS side, CAST(k AS VARCHAR) AS k FROM (SELECT c_custkey AS k FROM customer EXCEPT SELECT user_id FROM events WHERE event_type = 'purchase') UNION ALL SELECT 'found', CAST(k AS VARCHAR) FROM (SELECT user_id AS k FROM events WHERE event_type = 'purchase' EXCEPT SELECT c_custkey FROM customer)")
 def u7_completeness_guard(t):
-    out = sets.symmetric_difference(t.nation.select(F.col("n_nationkey").alias("k")), t.supplier.select(F.col("s_nationkey").alias("k")), "k")
+    found = t.events.where("event_type = 'purchase'").select(F.col("user_id").alias("k"))
+    out = sets.symmetric_difference(t.customer.select(F.col("c_custkey").alias("k")), found, "k")
     return out.select(F.when(F.col("side") == "left", "declared").otherwise("found").alias("side"), F.col("k").cast("string").alias("k"))

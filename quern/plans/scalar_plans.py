@@ -163,9 +163,9 @@ def f26_exon_edits(t):
     return d.select("p_partkey", F.size(sq.skip_exon(F.col("e"), 1)).alias("n_skip"), F.size(sq.retain_intron(F.col("e"), 1)).alias("n_retain"), sq.cryptic_site(F.col("e"), 3, 5)[3]["end"].alias("cryptic_end"), sq.novel_exon(F.col("e"), s + 150, s + 160)[2]["start"].alias("novel_start"))
 
 
-@query("SELECT p_partkey, upper(substr(p_name, 1, 5)) AS bases FROM part")
+@query("SELECT p_partkey, upper(substr(p_name, 1, 5)) || 'TT' AS bases FROM part")
 def f27_pileup_cleaning(t):
-    text = F.concat(F.lit("^]"), F.substring("p_name", 1, 5), F.lit("+2ac$-1g"))
+    text = F.concat(F.lit("^]"), F.substring("p_name", 1, 5), F.lit("+2ac$-1g+12acgtacgtacgtt-100"), F.repeat(F.lit("n"), 100), F.lit("t"))
     return t.part.select("p_partkey", sc.clean_pileup(text).alias("bases"))
 
 

@@ -6,7 +6,8 @@ tables that are empty, so that absence never passes. Nothing is read on the driv
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,15 +33,104 @@ def lines(spark: SparkSession, path: str, skip: str | None = None) -> DataFrame:
     return d.where(~F.startswith(F.col("value"), F.lit(skip))) if skip else d
 
 
+def ordered_lines(spark: SparkSession, path: str, first: int | None = None) -> DataFrame:
+    """value, ordinal: lines with their number from 0, kept as data (Spark has no row
+    order). Blocks of files are counted, a row a block is summed up, and lines are
+    numbered within their block; first: only so many lines, of the blocks they are in."""
+    d = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("__f"), F.col("_metadata.file_block_start").alias("__s"), F.monotonically_increasing_id().alias("__m"))
+    base = F.sum("__n").over(Window.orderBy("__f", "__s").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = d.groupBy("__f", "__s").agg(F.count(F.lit(1)).alias("__n")).select("__f", "__s", F.coalesce(base, F.lit(0).cast("long")).alias("__base"))
+    within = F.row_number().over(Window.partitionBy("__f", "__s").orderBy("__m")) - 1
+    blocks = blocks if first is None else blocks.where(F.col("__base") < first)
+    out = d.join(blocks, ["__f", "__s"]).select("value", (F.col("__base") + within).alias("ordinal"))
+    return out if first is None else out.where(F.col("ordinal") < first)
+
+
 def first_lines(spark: SparkSession, path: str, n: int) -> DataFrame:
-    """The first n values in order of place: file, then line."""
-    return ordered_lines(spark, path).orderBy("ordinal").limit(n).select("value")
+    """value, ordinal of the first n lines in order of place: file, then line. Four
+    times a number of records keeps whole records."""
+    return ordered_lines(spark, path, n)
+
+
+def line_list(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+    """entry: a file's trimmed lines that are neither empty nor comments, in order; the
+    first `limit` of them. A missing file is an empty list."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], "entry string")
+    d = ordered_lines(spark, path).select(F.trim("value").alias("entry"), "ordinal").where("entry <> '' and not entry like '#%'")
+    return (d if limit is None else d.orderBy("ordinal").limit(limit)).select("entry")
+
+
+def by_header(df: DataFrame, names: Sequence[str], sep: str = "\t") -> DataFrame:
+    """Ordered lines (value, ordinal) whose first one names the columns: names, as texts,
+    wherever they stand, and ordinal. A name that the header lacks is null."""
+    head = df.where("ordinal = 0").select(F.split("value", sep).alias("__head"))  # one row
+    d = df.where("ordinal > 0").crossJoin(F.broadcast(head)).withColumn("__cells", F.split("value", sep))
+    return d.select(*[F.when(F.array_position("__head", F.lit(n)) > 0, F.get("__cells", (F.array_position("__head", F.lit(n)) - 1).cast("int"))).alias(n) for n in names], "ordinal")
+
+
+def discover(spark: SparkSession, patterns: Sequence[str], without: str | None = None) -> list[str]:
+    """Paths of the first glob pattern that matches any, but for those that the regular
+    expression `without` finds; no match is an empty list. Names only, on the driver."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for pattern in patterns:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+        names = [x.getPath().toString() for x in p.getFileSystem(conf).globStatus(p) or []]
+        names = sorted(n for n in names if not (without and re.search(without, n)))
+        if names:
+            return names
+    return []
+
+
+def cached(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table at path, or what build gives, written there first."""
+    if not exists(spark, f"{path}/_SUCCESS"):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def config(spark: SparkSession, path: str) -> dict:
+    """A YAML file as a dict, on the driver: settings, not data. A missing file is empty."""
+    import yaml
+
+    if not exists(spark, path):
+        return {}
+    return yaml.safe_load("\n".join(r.value for r in ordered_lines(spark, path).orderBy("ordinal").collect())) or {}
+
+
+def parsed(text: Column, schema: str, default: dict) -> Column:
+    """A JSON text as a struct; fields that it lacks, all of them where it does not
+    parse, have their default (null where none is given)."""
+    got = F.from_json(text, schema)
+    return F.struct(*[F.coalesce(got[name], F.lit(default.get(name))).alias(name) for name in (f.split()[0] for f in schema.split(","))])
+
+
+def simulated_source(text: Column) -> Column:
+    """source, strand, start, end of a simulator's read header ("... name,+strand,5-9 ...");
+    null fields where it has none (junk reads)."""
+    part = lambda i: F.nullif(F.regexp_extract(text, r"([^\s,]+),([+-])strand,(\d+)-(\d+)", i), F.lit(""))
+    return F.struct(part(1).alias("source"), part(2).alias("strand"), part(3).try_cast("long").alias("start"), part(4).try_cast("long").alias("end"))
+
+
+def binding_scores(df: DataFrame) -> DataFrame:
+    """allele, peptide and the three scores of a binding predictor's report lines (value):
+    rows of 16 cells and more that begin with a number and an HLA name; others are text."""
+    c = df.select(F.split(F.trim("value"), r"\s+").alias("c")).where("size(c) >= 16 and c[0] rlike '^[0-9]+$' and c[1] like 'HLA-%'")
+    d = c.select(F.col("c")[1].alias("allele"), F.col("c")[2].alias("peptide"), *[F.col("c")[i].try_cast("double").alias(n) for i, n in ((12, "rank_el"), (14, "rank_ba"), (15, "affinity"))])
+    return d.where("rank_el is not null and rank_ba is not null and affinity is not null")
+
+
+def captured_depth(df: DataFrame) -> DataFrame:
+    """bases, covered, depth of coverage lines (value: chrom, start, end, covered bases);
+    shorter lines don't count; no lines give null."""
+    c = df.select(F.split("value", "\t").alias("c")).where("size(c) >= 4").select((F.col("c")[2].cast("long") - F.col("c")[1].cast("long")).alias("n"), F.col("c")[3].cast("long").alias("k"))
+    return c.agg(F.sum("n").alias("bases"), F.sum("k").alias("covered"), F.try_divide(F.sum("k"), F.sum("n")).alias("depth"))
 
 
-def ordered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """value, ordinal: lines with their number, kept as data (Spark has no row order)."""
-    rdd = spark.read.text(path).rdd.zipWithIndex().map(lambda x: (x[0][0], x[1]))
-    return spark.createDataFrame(rdd, "value string, ordinal long")
+def drawn_strands(df: DataFrame) -> DataFrame:
+    """name, strand of a read simulator's alignment lines (value) ">reference name start strand"."""
+    c = df.where("value like '>%'").select(F.split(F.trim(F.expr("substring(value, 2)")), r"\s+").alias("c")).where("size(c) >= 4")
+    return c.select(F.col("c")[1].alias("name"), F.element_at("c", -1).alias("strand"))
 
 
 def fields(df: DataFrame, schema: Sequence[tuple[str, str]], sep: str = "\t") -> DataFrame:
@@ -93,7 +183,7 @@ def carried(df: DataFrame, value: Column, name: str, block: int = 65_536) -> Dat
 
 def sequences(df: DataFrame) -> DataFrame:
     """FASTA lines (value, ordinal): name and the sequence, upper case, unknown letters N."""
-    head = F.when(F.col("value").startswith(">"), F.split(F.substring("value", 2, 1 << 20), r"\s")[0])
+    head = F.when(F.col("value").startswith(">"), F.split(F.expr("substring(value, 2)"), r"\s")[0])
     d = carried(df, head, "name").where("not value like '>%'")
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "value"))), lambda x: x["value"]), "")
     return d.groupBy("name").agg(F.regexp_replace(F.upper(joined), "[^ACGTN]", "N").alias("seq"))
@@ -112,7 +202,7 @@ def reads(df: DataFrame) -> DataFrame:
     part = lambda i: F.max(F.when(F.col("part") == i, F.col("value")))
     d = d.groupBy("record").agg(part(0).alias("head"), part(1).alias("seq"), part(2).alias("plus"), part(3).alias("qual"), F.count(F.lit(1)).alias("n"))
     whole = (F.col("n") == 4) & F.col("head").startswith("@") & F.col("plus").startswith("+")
-    return d.select(F.col("record").alias("ordinal"), F.split(F.substring("head", 2, 1 << 20), r"\s")[0].alias("name"), "seq", "qual", whole.alias("whole"))
+    return d.select(F.col("record").alias("ordinal"), F.split(F.expr("substring(head, 2)"), r"\s")[0].alias("name"), "seq", "qual", whole.alias("whole"))
 
 
 def alignments(df: DataFrame, *tags: str) -> DataFrame:

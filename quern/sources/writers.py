@@ -4,6 +4,7 @@ written folder appear whole or not at all."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,22 @@ def write_lines(df: DataFrame, path: str, order: Sequence[str]) -> None:
     df.repartitionByRange(*order).sortWithinPartitions(*order).select("value").write.mode("overwrite").text(path)
 
 
+def replace(df: DataFrame, path: str) -> None:
+    """Write df as Parquet in place of what path holds, which df may read: written aside,
+    then renamed, so that readers see the old table or the new one, never a part."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    at, aside, old = (jvm.Path(path + x) for x in ("", ".new", ".old"))
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    df.write.mode("overwrite").parquet(f"{path}.new")
+    fs.delete(old, True)
+    if fs.exists(at):
+        fs.rename(at, old)
+    if not fs.rename(aside, at):
+        raise OSError(f"cannot rename {path}.new")
+    fs.delete(old, True)
+
+
 def variant_line(chrom: str, pos: str, id_: str, ref: str, alt: str, info: Column, gt: Column) -> Column:
     return text_of(chrom, pos, id_, ref, alt, F.lit("."), F.lit("PASS"), info, F.lit("GT:AF"), gt)
 
@@ -52,4 +69,25 @@ def card(title: Column, **parts: Column) -> Column:
 def manifest(spark, path: str) -> DataFrame:
     """name, bytes, md5, sha256 of every file under a path."""
     d = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return d.select(F.regexp_extract("path", "[^/]+$", 0).alias("name"), F.col("length").alias("bytes"), F.md5("content").alias("md5"), F.sha2("content", 256).alias("sha256"))
+    return d.select("path", F.regexp_extract("path", "[^/]+$", 0).alias("name"), F.col("length").alias("bytes"), F.md5("content").alias("md5"), F.sha2("content", 256).alias("sha256"))
+
+
+def bundle(spark, tables: dict[str, str]) -> DataFrame:
+    """table, files, bytes, rows, sha256 of text tables (name: path): rows are the lines
+    read back, sha256 is of the files' own, joined in order of their names."""
+    out = []
+    for name, path in tables.items():
+        m = manifest(spark, path).where("name rlike '^part-'").agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).cast("long").alias("bytes"), F.array_sort(F.collect_list(F.struct("name", "sha256"))).alias("s"))
+        n = spark.read.text(path).agg(F.count(F.lit(1)).alias("rows"))
+        out.append(m.crossJoin(n).select(F.lit(name).alias("table"), "files", "bytes", "rows", F.when(F.size("s") == 1, F.col("s")[0]["sha256"]).otherwise(F.sha2(F.array_join(F.transform("s", lambda x: x["sha256"]), ","), 256)).alias("sha256")))  # one row each
+    return reduce(DataFrame.unionByName, out)
+
+
+def inputs(spark, path: str, classes: dict[str, str], durable: str) -> DataFrame:
+    """path, class (the first whose pattern finds it, else "other"), md5, durable (the
+    pattern finds it) and complete (not empty, not a temporary name) of every file."""
+    m = manifest(spark, path).where("not name rlike '^[_.]'")
+    kind = F.lit("other")
+    for name, pattern in reversed(classes.items()):
+        kind = F.when(F.col("path").rlike(pattern), name).otherwise(kind)
+    return m.select("path", kind.alias("class"), "md5", F.col("path").rlike(durable).alias("durable"), ((F.col("bytes") > 0) & ~F.col("name").rlike("[.]tmp$")).alias("complete"))

@@ -126,6 +126,7 @@ def test_scalars(spark):
     assert one(spark, sc.without_mate(s), s="r1/2") == "r1" and one(spark, sc.without_mate(s), s="r1/12") == "r1/12"
     assert one(spark, sc.infix(s, "#", "x"), s="a#b#c") == "a#xb#c" and one(spark, sc.infix(s, "#", "x"), s="abc") == "abc"
     assert one(spark, sc.clean_pileup(s), s="^]a+2acG$,-1t") == "AG,"
+    assert one(spark, sc.clean_pileup(s), s="^+a+12acgtacgtacgtT-10NNNNNNNNNNg*+1") == "ATG*"
     assert one(spark, sc.key_values(a=F.lit("1"), b=F.lit(""), c=F.lit(None).cast("string"), d=F.lit("x")), s="") == "a=1;d=x"
 
 
