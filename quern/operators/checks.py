@@ -63,3 +63,36 @@ def set_equality(a: DataFrame, b: DataFrame, key: str, check: str, file: str = "
     x, y = a.select(F.col(key).alias("k")).distinct().withColumn("x", F.lit(1)), b.select(F.col(key).alias("k")).distinct().withColumn("y", F.lit(1))
     n = x.join(y, "k", "full").agg(F.sum(F.when(F.col("x").isNull() | F.col("y").isNull(), 1).otherwise(0)).alias("n"), F.count(F.lit(1)).alias("all"))
     return row(n, check, file, F.coalesce("n", F.lit(0)), verdict(F.col("n") == 0, "sets differ", F.col("all")))
+
+
+AMBIGUITY = "RYSWKMBDHV"  # fixed value: codes for several bases
+
+
+def alphabet(df: DataFrame, by: Column | str, seq: str, check: str = "bases are ACGTN") -> DataFrame:
+    """Of each group of sequences the number of letters other than A, C, G, T and N, with
+    a verdict that names them and their cause; a group without sequences has no row.
+    Letters are counted per sequence and group first: a row a letter meets the others."""
+    d = df.select((F.col(by) if isinstance(by, str) else by).cast("string").alias("file"), F.explode_outer(F.filter(F.split(F.regexp_replace(seq, "[ACGTN]", ""), ""), lambda x: x != "")).alias("letter"))
+    d = d.groupBy("file", "letter").agg(F.count("letter").alias("n")).groupBy("file").agg(F.sum("n").alias("n"), F.array_join(F.array_sort(F.collect_set("letter")), "").alias("letters"))
+    codes = F.col("letters").rlike(f"[{AMBIGUITY}]")
+    only = F.col("letters").rlike(f"^[{AMBIGUITY}]*$")
+    cause = F.when(only, "; ambiguity codes").when(codes, "; ambiguity codes and a symbolic allele").otherwise("; symbolic allele")
+    return row(d, check, F.col("file"), F.col("n"), verdict(F.col("n") == 0, F.concat("letters", cause)))
+
+
+def strand_direction(df: DataFrame, by: Column | str, read: str, probe: str, check: str = "antisense", length: int = 20, least: int = 200) -> DataFrame:
+    """Of each group of reads how many carry their probe (its first `length` letters) as
+    it is: none may; most carry its reverse complement. Reads that carry neither, and
+    probes that are shorter, say nothing; fewer than `least` that do skip the check."""
+    p = F.substring(probe, 1, length)
+    sense = F.contains(F.col(read), p)
+    anti = ~sense & F.contains(F.col(read), F.reverse(F.translate(p, "ACGT", "TGCA")))
+    d = df.where(F.length(probe) >= length).groupBy((F.col(by) if isinstance(by, str) else by).cast("string").alias("file")).agg(F.count_if(sense).alias("s"), F.count_if(anti).alias("a"))
+    how = F.when(F.col("s") + F.col("a") < least, "SKIP (too few)").when(F.col("s") == 0, "PASS").otherwise(F.concat(F.lit("FAIL ("), F.col("s").cast("string"), F.lit(" of "), (F.col("s") + F.col("a")).cast("string"), F.lit(" sense)")))
+    return row(d, check, F.col("file"), F.col("s"), how)
+
+
+def resume_block(record: Column, code: Column, map_there: Column, recorded: Column, found: Column) -> Column:
+    """Why a library cannot be resumed from, or null: no completion record, other code,
+    no read map, or another number of reads, the first that holds."""
+    return F.when(~F.coalesce(record, F.lit(False)), "no completion record").when(~F.coalesce(code, F.lit(False)), "other code").when(~F.coalesce(map_there, F.lit(False)), "read map is gone").when(~recorded.eqNullSafe(found), "truncated")

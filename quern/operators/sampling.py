@@ -55,21 +55,45 @@ def stride(i: Column, span: Column | int, seed: int, low: int = 0) -> Column:
     return F.lit(low) + F.pmod(i * 7919 + F.lit(seed * 104729), span)
 
 
-def power_law_sizes(n: int, total: int, largest: int) -> list[int]:
-    """n sizes k ** -a from the largest down that sum to total: the exponent by bisection,
-    rounding repaired from the largest on. On the driver: n is a number of groups."""
-    low, high = 0.0, 8.0
-    for _ in range(60):
-        a = (low + high) / 2
-        low, high = (a, high) if sum(largest * k**-a for k in range(1, n + 1)) > total else (low, a)
-    sizes = [max(1, round(largest * k**-low)) for k in range(1, n + 1)]
-    off, k = total - sum(sizes), 0
-    while off:
-        step = 1 if off > 0 else -1
-        if sizes[k % n] + step >= 1:
-            sizes[k % n] += step
-            off -= step
-        k += 1
-        if k > 10 * n + 10 * abs(total):
-            break
-    return sizes
+def ranked_sizes(groups: DataFrame, n: str, total: str, share: float, top: int) -> DataFrame:
+    """For each row of groups its columns and rank, size: n sizes that fall as a power of
+    their rank, whose largest `top` hold `share` of the total, and which sum to it.
+
+    The exponent lies between 0.1 and 4 and is halved in on sixty times, as an
+    expression. Sizes are rounded, at least 1; what rounding leaves over goes one by one
+    to the ranks in turn, what it lacks is taken in turn from those above 1. If the total
+    is less than n, all sizes are 1. No groups, or n below 1, give no rows."""
+    ranks = F.sequence(F.lit(1), F.col(n).cast("int"))
+
+    def weights(exponent):
+        return F.transform(ranks, lambda k: F.pow(k.cast("double"), -exponent))
+
+    def summed(xs):
+        return F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
+
+    def halved(s, _):
+        mid = (s["low"] + s["high"]) / 2
+        w = weights(mid)
+        small = summed(F.slice(w, 1, top)) / summed(w) < share
+        return F.struct(F.when(small, mid).otherwise(s["low"]).alias("low"), F.when(small, s["high"]).otherwise(mid).alias("high"))
+
+    def worked_out(df, name, value):
+        """value as a column that later ones read, instead of repeating its expression."""
+        return df.select("*", F.explode(F.array(value)).alias(name))
+
+    d = worked_out(groups.where(F.col(n) >= 1), "__x", F.aggregate(F.sequence(F.lit(1), F.lit(60)), F.struct(F.lit(0.1).alias("low"), F.lit(4.0).alias("high")), halved))
+    d = worked_out(d, "__w", weights((F.col("__x.low") + F.col("__x.high")) / 2))
+    d = worked_out(d, "__all", summed(F.col("__w")))
+    d = worked_out(d, "__s", F.transform("__w", lambda w: F.greatest(F.lit(1), F.round(F.col(total) * w / F.col("__all"))).cast("long")))
+    long_sum = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x)
+    d = worked_out(d, "__off", F.col(total) - long_sum(F.col("__s")))
+    # Whole rounds in which every size above 1 gives one, and what the last round lacks.
+    given = lambda r: long_sum(F.transform("__s", lambda s: F.least(r, s - 1)))
+    rounds = F.when(F.col("__off") < 0, F.array_max(F.filter(F.sequence(F.lit(0).cast("long"), F.least(-F.col("__off"), F.array_max("__s") - 1)), lambda r: given(r) <= -F.col("__off")))).otherwise(F.lit(0).cast("long"))
+    d = worked_out(worked_out(d, "__r", rounds), "__more", -F.col("__off") - given(F.col("__r")))
+    d = d.withColumn("__n", F.col(n).cast("long"))
+    d = d.select(*groups.columns, "__off", "__r", "__more", "__n", "__s", F.posexplode("__s").alias("__i", "__size"))
+    more = F.floor(F.col("__off") / F.col("__n")) + F.when(F.col("__i") < F.pmod("__off", "__n"), 1).otherwise(0)
+    ahead = F.size(F.filter(F.slice("__s", F.lit(1), F.col("__i")), lambda s: s - 1 > F.col("__r")))
+    less = F.least("__r", F.col("__size") - 1) + F.when((F.col("__size") - 1 > F.col("__r")) & (ahead < F.col("__more")), 1).otherwise(0)
+    return d.select(*groups.columns, (F.col("__i") + 1).alias("rank"), F.when(F.col("__off") >= 0, F.col("__size") + more).otherwise(F.col("__size") - less).cast("long").alias("size"))

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import scalar as sc
 from ..operators import aggregates as agg
 from ..operators import checks, intervals, sets, windows
 from ._times import days
 from .registry import query
+from .scalar_plans import _P, _dna
 
 _NONE = "FAIL (nothing measured)"
 
@@ -69,11 +71,46 @@ def q8_status_of_a_run(t):
     return checks.failures(q2_ratio_to_baseline(t))
 
 
-@query("SELECT 'rule ' || r AS \"check\", '' AS file, CAST(n AS DOUBLE) AS value, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL (violations)' END AS verdict FROM (SELECT 'tax' AS r, count(*) FILTER (NOT l_tax BETWEEN 0 AND 0.05) AS n FROM lineitem UNION ALL SELECT 'price', count(*) FILTER (NOT l_extendedprice > 0) FROM lineitem UNION ALL SELECT 'status', count(*) FILTER (NOT (l_linestatus IN ('O', 'F'))) FROM lineitem)")
+_RANK = "CASE WHEN rank <= 0.5 THEN 'strong' WHEN rank <= 2 THEN 'weak' ELSE 'non' END"
+_CATALOG = f"""{_P}, c AS (SELECT p_partkey AS id, substr(dna, 21, 1) AS want_ref, CASE WHEN p_partkey % 97 = 0 THEN 'N' ELSE substr(dna, 21, 1) END AS ref, 'AC' AS alt,
+  substr(dna, 1, 20) || CASE WHEN p_partkey % 89 = 0 THEN 'T' ELSE 'AC' END || substr(dna, 22, 20) AS mut, substr(dna, 1, 41) AS wt, p_size / 48.0::DOUBLE AS vaf, CAST(p_size // 18 AS INTEGER) AS step,
+  p_size / 10.0::DOUBLE AS rank, CASE WHEN p_size % 9 = 0 THEN '' ELSE substr(p_name, 1, 5) END AS pep, CASE WHEN p_partkey % 70 = 0 THEN substr(p_name, 1, 5) ELSE substr(p_name, 2, 4) || '#' END AS wt_pep,
+  CASE p_partkey % 3 WHEN 0 THEN 'frameshift' WHEN 1 THEN 'stop_loss' ELSE 'inframe_insertion' END AS consequence FROM p),
+e AS (SELECT *, CASE WHEN id % 50 = 0 THEN 'weak' ELSE {_RANK} END AS tier FROM c),
+m AS (SELECT step, median(vaf) AS m, lag(median(vaf)) OVER (ORDER BY step) AS before FROM e GROUP BY step),
+s AS (SELECT consequence, count(*) AS n, avg((pep <> '')::INT) AS share FROM e GROUP BY 1)"""
+_RULES = {
+    "1 reference": "count(*) FILTER (ref <> want_ref)", "2 window": "count(*) FILTER (substr(mut, 21, length(alt)) <> alt)", "3 length": "count(*) FILTER (length(mut) <> length(wt) + length(alt) - length(ref))",
+    "4 fraction": "count(*) FILTER (vaf < 0 OR vaf > 1)", "6 peptide": "count(*) FILTER ((tier IN ('strong', 'weak', 'non') AND pep = '') OR (tier = 'na' AND pep <> ''))",
+    "7 tier": f"count(*) FILTER (tier <> {_RANK})", "9 counterpart": "count(*) FILTER (pep <> '' AND wt_pep <> '' AND (wt_pep = pep OR length(wt_pep) <> length(pep)))",
+}
+
+
+@query(f"WITH {_CATALOG}, r AS ({' UNION ALL '.join(f'SELECT {chr(39)}{k}{chr(39)} AS r, {v} AS n FROM e' for k, v in _RULES.items())} UNION ALL SELECT '5 ladder', count(*) FILTER (m > before) FROM m UNION ALL SELECT '8 share', count(*) FILTER (n >= 10 AND share < CASE consequence WHEN 'stop_loss' THEN 0.5 ELSE 0.95 END) FROM s) SELECT 'rule ' || r AS \"check\", '' AS file, CAST(n AS DOUBLE) AS value, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL (violations)' END AS verdict FROM r")
 def q9_self_consistency(t):
-    rules = {"tax": "l_tax between 0 and 0.05", "price": "l_extendedprice > 0", "status": "l_linestatus in ('O', 'F')"}
-    x = t.lineitem.agg(*[F.count_if(~F.expr(r)).alias(k) for k, r in rules.items()])
-    return checks.report(*[checks.row(x, f"rule {k}", "", F.col(k), checks.verdict(F.col(k) == 0, "violations")) for k in rules])
+    """Nine rules on rows of a catalog, most in one pass; the ladder and the shares on groups."""
+    k, s = F.col("p_partkey"), F.col("p_size")
+    cut = lambda c, i, n: F.substring(c, i, n)
+    d = _dna(t).select(
+        k.alias("id"), cut("dna", 21, 1).alias("want_ref"), F.when(k % 97 == 0, "N").otherwise(cut("dna", 21, 1)).alias("ref"), F.lit("AC").alias("alt"),
+        F.concat(cut("dna", 1, 20), F.when(k % 89 == 0, "T").otherwise("AC"), cut("dna", 22, 20)).alias("mut"), cut("dna", 1, 41).alias("wt"), (s / 48.0).alias("vaf"), F.floor(s / 18).alias("step"),
+        (s / 10.0).alias("rank"), F.when(s % 9 == 0, "").otherwise(cut("p_name", 1, 5)).alias("pep"), F.when(k % 70 == 0, cut("p_name", 1, 5)).otherwise(F.concat(cut("p_name", 2, 4), F.lit("#"))).alias("wt_pep"),
+        F.element_at(F.array(F.lit("frameshift"), F.lit("stop_loss"), F.lit("inframe_insertion")), (k % 3 + 1).cast("int")).alias("consequence"))
+    by_rank = sc.tier(F.col("rank"), [0.5, 2], ["strong", "weak", "non"], inclusive=True)
+    d = d.withColumn("tier", F.when(F.col("id") % 50 == 0, "weak").otherwise(by_rank))
+    c = F.col
+    bad = {
+        "1 reference": c("ref") != c("want_ref"), "2 window": F.substring(c("mut"), F.lit(21), F.length("alt")) != c("alt"), "3 length": F.length("mut") != F.length("wt") + F.length("alt") - F.length("ref"),
+        "4 fraction": ~c("vaf").between(0, 1), "6 peptide": (c("tier").isin("strong", "weak", "non") & (c("pep") == "")) | ((c("tier") == "na") & (c("pep") != "")),
+        "7 tier": c("tier") != by_rank, "9 counterpart": (c("pep") != "") & (c("wt_pep") != "") & ((c("wt_pep") == c("pep")) | (F.length("wt_pep") != F.length("pep"))),
+    }
+    x = d.agg(*[F.count_if(v).alias(name) for name, v in bad.items()])
+    steps = d.groupBy("step").agg(F.median("vaf").alias("m"))  # a row a step of the ladder
+    ladder = steps.withColumn("before", F.lag("m").over(Window.orderBy("step"))).agg(F.count_if(c("m") > c("before")).alias("n"))
+    share = d.groupBy("consequence").agg(F.count(F.lit(1)).alias("n"), F.avg((c("pep") != "").cast("int")).alias("share"))
+    share = share.agg(F.count_if((c("n") >= 10) & (c("share") < F.when(c("consequence") == "stop_loss", 0.5).otherwise(0.95))).alias("n"))
+    one = lambda df, name, value: checks.row(df, f"rule {name}", "", value, checks.verdict(value == 0, "violations"))
+    return checks.report(*[one(x, name, F.col(f"`{name}`")) for name in bad], one(ladder, "5 ladder", F.col("n")), one(share, "8 share", F.col("n")))
 
 
 @query("WITH s AS (SELECT l_orderkey, l_linenumber * 10 AS s, l_linenumber * 10 + 8 AS e FROM lineitem) " + _v("straddles", "''", "n", "CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL (violations)' END", "FROM (SELECT count(*) AS n FROM s JOIN orders ON o_orderkey = l_orderkey WHERE o_custkey % 80 > s AND o_custkey % 80 < e)"))
@@ -117,16 +154,22 @@ def q16_anchored_and_named(t):
     return checks.report(checks.row(x, "anchored", "", F.round("a", 9), checks.verdict(F.col("a") == 1, "not all", F.col("n"))), checks.row(x, "unnamed", "", F.round("u", 9), checks.band(F.col("u"), high=0.03)))
 
 
-@query("WITH x AS (SELECT lang, CAST(sum(length(regexp_replace(text, '[\\x20-\\x7E\\n]', '', 'g'))) AS BIGINT) AS n FROM documents GROUP BY 1) " + _v("alphabet", "lang", "n", "CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL (' || n || ' characters outside)' END", "FROM x"))
+@query(f"WITH {_P}, d AS (SELECT p_size % 4 AS f, dna || CASE p_size % 4 WHEN 1 THEN 'RN' WHEN 2 THEN '*' WHEN 3 THEN 'Y*' ELSE '' END AS seq FROM p), x AS (SELECT f, CAST(sum(length(regexp_replace(seq, '[ACGTN]', '', 'g'))) AS BIGINT) AS n FROM d GROUP BY 1) " + _v("bases are ACGTN", "f", "n", "CASE f WHEN 0 THEN 'PASS' WHEN 1 THEN 'FAIL (R; ambiguity codes)' WHEN 2 THEN 'FAIL (*; symbolic allele)' ELSE 'FAIL (*Y; ambiguity codes and a symbolic allele)' END", "FROM x"))
 def q17_alphabet(t):
-    x = t.documents.groupBy("lang").agg(F.sum(F.length(F.regexp_replace("text", r"[\x20-\x7E\n]", ""))).alias("n"))
-    return checks.row(x, "alphabet", F.col("lang"), F.col("n"), checks.verdict(F.col("n") == 0, F.concat(F.col("n").cast("string"), F.lit(" characters outside"))))
+    """Every letter of every sequence, with the cause of those that are none."""
+    more = F.element_at(F.array(F.lit(""), F.lit("RN"), F.lit("*"), F.lit("Y*")), (F.col("p_size") % 4 + 1).cast("int"))
+    d = _dna(t).select((F.col("p_size") % 4).alias("f"), F.concat("dna", more).alias("seq"))
+    return checks.alphabet(d, "f", "seq")
 
 
-@query("WITH x AS (SELECT event_type, count(*) FILTER (value < 1) AS sense, count(*) AS n FROM events GROUP BY 1) " + _v("direction", "event_type", "sense", "CASE WHEN n < 200 THEN 'SKIP (too few)' WHEN sense = 0 THEN 'PASS' ELSE 'FAIL (sense reads)' END", "FROM x"))
+@query(f"WITH {_P}, d AS (SELECT p_size % 3 AS f, CASE WHEN p_size = 5 THEN dna ELSE reverse(translate(dna, 'ACGT', 'TGCA')) END AS read, substr(dna, 7, 10 + p_size) AS probe FROM p), x AS (SELECT f, count(*) FILTER (contains(read, substr(probe, 1, 20))) AS s, count(*) FILTER (NOT contains(read, substr(probe, 1, 20)) AND contains(read, reverse(translate(substr(probe, 1, 20), 'ACGT', 'TGCA')))) AS a FROM (SELECT * FROM d WHERE length(probe) >= 20 UNION ALL SELECT 9, dna, substr(dna, 1, 20) FROM p WHERE p_partkey < 20 UNION ALL SELECT 2, dna, substr(dna, 1, 20) FROM p WHERE p_size = 20) GROUP BY 1) " + _v("antisense", "f", "s", "CASE WHEN s + a < 20 THEN 'SKIP (too few)' WHEN s = 0 THEN 'PASS' ELSE 'FAIL (' || s || ' of ' || (s + a) || ' sense)' END", "FROM x"))
 def q18_direction(t):
-    x = t.events.groupBy("event_type").agg(F.count_if(F.col("value") < 1).alias("sense"), F.count(F.lit(1)).alias("n"))
-    return checks.row(x, "direction", F.col("event_type"), F.col("sense"), F.when(F.col("n") < 200, "SKIP (too few)").otherwise(checks.verdict(F.col("sense") == 0, "sense reads")))
+    """Reads of one kind are turned the wrong way; another has too few."""
+    d = _dna(t).select((F.col("p_size") % 3).alias("f"), F.when(F.col("p_size") == 5, F.col("dna")).otherwise(F.reverse(F.translate("dna", "ACGT", "TGCA"))).alias("read"), F.substring(F.col("dna"), F.lit(7), F.col("p_size") + 10).alias("probe"))
+    turned = _dna(t).select("dna", F.substring("dna", 1, 20).alias("probe"), "p_partkey", "p_size")
+    few = turned.where("p_partkey < 20").select(F.lit(9).alias("f"), "dna", "probe")
+    wrong = turned.where("p_size = 20").select(F.lit(2).alias("f"), "dna", "probe")
+    return checks.strand_direction(d.union(few).union(wrong), "f", "read", "probe", least=20)
 
 
 @query("WITH b AS (SELECT * FROM (VALUES ('click', 1.0, 60.0), ('view', 1.0, 60.0), ('ghost', 0.0, 1.0)) v(kind, low, high)), m AS (SELECT event_type, avg(value) AS m FROM events GROUP BY 1) SELECT 'bands' AS \"check\", coalesce(kind, event_type) AS file, round(m, 6) AS value, CASE WHEN kind IS NULL THEN 'FAIL (unknown kind)' WHEN m IS NULL THEN 'FAIL (missing report)' WHEN m BETWEEN low AND high THEN 'PASS' ELSE 'FAIL (out of bound)' END AS verdict FROM b FULL JOIN m ON kind = event_type")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import editing
 from ..functions import scalar as sc
 from ..functions import sequence as sq
-from ..operators import copynumber, hierarchy, intervals, sampling, sets, windows
+from ..operators import checks, copynumber, hierarchy, intervals, sampling, sets, windows
 from ._times import days
 from .interval_plans import _CLOSE, _TREE, _tree
 from .registry import query
@@ -318,11 +318,14 @@ def d38_element_insertion(t):
     return d.select("p_partkey", F.concat(F.when(F.col("p_size") % 2 == 0, F.col("body")).otherwise(sq.reverse_complement(F.col("body"))), F.substring("dna", 1, 8)).alias("inserted"))
 
 
-@query("SELECT o_custkey, count(*) AS chunks, count(*) FILTER (o_orderstatus = 'F') AS done, CASE WHEN count(*) FILTER (o_orderstatus = 'F') = count(*) THEN 'complete' WHEN count(*) FILTER (o_orderstatus = 'F') = 0 THEN 'restart' ELSE 'resume' END AS action FROM orders GROUP BY 1")
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'no completion record' WHEN o_orderpriority <> '1-URGENT' AND o_orderpriority <> '2-HIGH' THEN 'other code' WHEN c_custkey IS NULL THEN 'read map is gone' WHEN coalesce(n, 0) <> o_orderkey % 4 + 2 THEN 'truncated' END AS blocked FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_acctbal > 0 LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey")
 def d40_resume_legality(t):
-    done = F.count_if(F.col("o_orderstatus") == "F")
-    d = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("chunks"), done.alias("done"))
-    return d.withColumn("action", F.when(F.col("done") == F.col("chunks"), "complete").when(F.col("done") == 0, "restart").otherwise("resume"))
+    """Record, code stamp, read map and number of reads, in this order."""
+    found = t.lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    maps = t.customer.where("c_acctbal > 0").select("c_custkey")
+    d = t.orders.join(maps, F.col("c_custkey") == F.col("o_custkey"), "left").join(found, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    why = checks.resume_block(F.col("o_orderstatus") != "P", F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.col("c_custkey").isNotNull(), F.col("o_orderkey") % 4 + 2, F.coalesce("n", F.lit(0).cast("long")))
+    return d.select("o_orderkey", why.alias("blocked"))
 
 
 @query("SELECT event_type, count(*) AS files, CAST(sum(coalesce(CAST(json_extract(props, '$.reads') AS BIGINT), CAST(json_extract(props, '$.k') AS BIGINT), 0)) AS BIGINT) AS reads FROM events GROUP BY 1")

@@ -87,7 +87,23 @@ def o13_sites_without_rejection(t):
     return sampling.pick_n(t.part.where("p_size between 5 and 40 and p_type <> 'PROMO'"), 13, ["p_partkey"], 3, ["p_brand"]).select("p_brand", "p_partkey")
 
 
-@query()
+_SIZES = """
+WITH RECURSIVE g AS (SELECT c_nationkey AS k, CAST(10 + c_nationkey AS BIGINT) AS n, count(*) * 7 AS total FROM customer GROUP BY 1),
+b AS (SELECT k, n, total, 0 AS i, 0.1::DOUBLE AS low, 4.0::DOUBLE AS high FROM g
+      UNION ALL
+      SELECT k, n, total, i + 1, CASE WHEN small THEN mid ELSE low END, CASE WHEN small THEN high ELSE mid END
+      FROM (SELECT *, (low + high) / 2 AS mid, list_sum(list_transform(range(1, 4), lambda x: power(x, -(low + high) / 2))) / list_sum(list_transform(range(1, n + 1), lambda x: power(x, -(low + high) / 2))) < 0.4 AS small FROM b) WHERE i < 60),
+w AS (SELECT k, n, total, unnest(range(1, n + 1)) AS rank, -(low + high) / 2 AS e FROM b WHERE i = 60),
+s AS (SELECT *, CAST(greatest(1, round(total * power(rank, e) / sum(power(rank, e)) OVER (PARTITION BY k))) AS BIGINT) AS size FROM w),
+o AS (SELECT *, CAST(total - sum(size) OVER (PARTITION BY k) AS BIGINT) AS off FROM s),
+r AS (SELECT k, max(r) AS r, max(given) AS given FROM (SELECT o.k, r, sum(least(r, size - 1)) AS given FROM o, range(0, 200) x(r) WHERE off < 0 GROUP BY o.k, r HAVING sum(least(r, size - 1)) <= max(-off)) GROUP BY k),
+f AS (SELECT o.*, r.r, r.given, count(*) FILTER (size - 1 > r.r) OVER (PARTITION BY o.k ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ahead FROM o LEFT JOIN r ON r.k = o.k)
+SELECT k, CAST(rank AS INTEGER) AS rank, CAST(CASE WHEN off >= 0 THEN size + off // n + CASE WHEN rank <= off % n THEN 1 ELSE 0 END ELSE size - least(r, size - 1) - CASE WHEN size - 1 > r AND ahead < -off - given THEN 1 ELSE 0 END END AS BIGINT) AS size FROM f
+"""
+
+
+@query(_SIZES)
 def o14_power_law_sizes(t):
-    sizes = sampling.power_law_sizes(t.nation.count(), t.customer.count(), max(1, t.customer.count() // 5))
-    return t.spark.createDataFrame(list(enumerate(sizes, 1)), "rank int, size int")
+    """The three largest of 10 to 34 groups hold 40 % of the total."""
+    d = t.customer.groupBy(F.col("c_nationkey").alias("k")).agg((F.count(F.lit(1)) * 7).alias("total")).withColumn("n", F.col("k") + 10)
+    return sampling.ranked_sizes(d, "n", "total", 0.4, 3).select("k", "rank", "size")

@@ -80,10 +80,28 @@ def test_draws_do_not_depend_on_partitions(spark):
     assert a == b and 100 < len(a) < 200
 
 
-@pytest.mark.parametrize("n,total,largest", [(5, 100, 50), (30, 1000, 100), (3, 3, 1)])
-def test_power_law_sizes(n, total, largest):
-    sizes = sampling.power_law_sizes(n, total, largest)
-    assert len(sizes) == n and sum(sizes) == total and min(sizes) >= 1
+def test_ranked_sizes(spark):
+    """Against the halving and the repair in plain Python."""
+    cases = [(1, 5, 100), (2, 30, 1200), (3, 3, 3), (4, 10, 12), (5, 40, 41), (6, 4, 1000), (7, 6, 2), (8, 0, 5)]
+
+    def plain(n, total):
+        low, high = 0.1, 4.0
+        for _ in range(60):
+            mid = (low + high) / 2
+            w = [k**-mid for k in range(1, n + 1)]
+            low, high = (mid, high) if sum(w[:3]) / sum(w) < 0.5 else (low, mid)
+        w = [k ** -((low + high) / 2) for k in range(1, n + 1)]
+        sizes = [max(1, int(total * x / sum(w) + 0.5)) for x in w]
+        k = 0
+        while sum(sizes) != total and not (sum(sizes) > total and max(sizes) == 1):
+            if sum(sizes) < total or sizes[k % n] > 1:
+                sizes[k % n] += 1 if sum(sizes) < total else -1
+            k += 1
+        return sizes
+
+    df = spark.createDataFrame(cases, "g int, n int, total long")
+    got = sampling.ranked_sizes(df, "n", "total", 0.5, 3).orderBy("g", "rank").collect()
+    assert [(r.g, r.rank, r.size) for r in got] == [(g, k, s) for g, n, total in cases if n for k, s in enumerate(plain(n, total), 1)]
 
 
 def test_prefix_shadows_and_containment(spark):
