@@ -119,8 +119,8 @@ def common(a: str, b: str, behind: bool = False) -> Column:
 
 
 def bag(line: str = "line") -> Column:
-    """How often a line has each of LETTERS, 6 bits each, modulo 64."""
-    return F.expr(" + ".join(f"cast((length({line}) - length(replace({line}, '{c}', ''))) % 64 as bigint) * {1 << (6 * i)}" for i, c in enumerate(LETTERS)))
+    """How often a line has each of LETTERS (a byte each), 6 bits each, modulo 64."""
+    return F.expr(" + ".join(f"cast((octet_length({line}) - octet_length(replace({line}, '{c}', ''))) % 64 as bigint) * {1 << (6 * i)}" for i, c in enumerate(LETTERS)))
 
 
 def bags_near(a: str, b: str, most: str) -> str:
@@ -143,7 +143,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ta
     gives no rows. Other columns of df are not read.
     """
     rows = df.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("line_no", "line"))
-    rows = rows.where(F.col("line").rlike(r"[^ \t\r\x0B\x0C]"))
+    rows = rows.where(F.ltrim("line", F.lit(" \t\r\x0b\x0c")) != "")
     rows = rows.select("id", "line_no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.col("line")).alias("h2"), F.length("line").alias("n"), bag().alias("bag"), F.monotonically_increasing_id().alias("line_id"), "line")
     written = materialize(rows, "lines")  # the texts are cut once; what follows reads columns of this
     bits = exact_dedup.filter_bits(written.count())
