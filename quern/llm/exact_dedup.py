@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ._shared import materialize
 
-MAX_BITS = 1 << 27  # 16 MB in 4 kB blocks, the most that is broadcast
+MAX_BITS = 1 << 30  # 128 MB in 4 kB blocks, the most that is broadcast
 MIN_BITS = 1 << 17
 BITS_A_ROW = 16
 HASHES = 2

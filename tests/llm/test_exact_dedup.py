@@ -1,7 +1,7 @@
 import hashlib
 from collections import defaultdict
 
-from quern.llm.exact_dedup import exact_dedup, filter_bits
+from quern.llm.exact_dedup import MAX_BITS, exact_dedup, filter_bits, possibly_repeated, repeated_slots
 
 
 def brute(pairs):
@@ -41,4 +41,10 @@ def test_saturated_filter_gives_the_same(docs, monkeypatch):
 
 
 def test_filter_bits_are_bounded():
-    assert filter_bits(0) == 1 << 17 and filter_bits(10**12) == 1 << 27
+    assert filter_bits(0) == 1 << 17 and filter_bits(10**12) == MAX_BITS == 1 << 30
+
+
+def test_largest_filter_tells_repeated_rows(spark):
+    digests = spark.range(3000).selectExpr("id", "unhex(sha2(cast(id % 2900 as string), 256)) AS digest")
+    got = possibly_repeated(digests, repeated_slots(digests, MAX_BITS), MAX_BITS).where("__maybe").collect()
+    assert sorted(r.id for r in got) == [*range(100), *range(2900, 3000)]
