@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+FEW_ELEMENTS = 1_000_000
+
 
 def union_of_keys(*parts: DataFrame) -> DataFrame:
     """All rows under all columns, in first-seen order; columns that a part lacks are null."""
@@ -30,11 +32,15 @@ def symmetric_difference(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 def containment(a: DataFrame, b: DataFrame, key: str, element: str) -> DataFrame:
     """For each key of a and of b that share an element: |A and B| / |A|. By a join on
-    the elements of distinct (key, element) rows."""
+    the elements of distinct (key, element) rows. Where a has few elements, counted
+    first, rows of b without any of them don't shuffle. Null elements are shared with none."""
     x = a.select(F.col(key).alias("a_key"), element).distinct()
-    y = b.select(F.col(key).alias("b_key"), element).distinct()
     size = x.groupBy("a_key").agg(F.count(F.lit(1)).alias("n"))
-    both = x.join(y, element).groupBy("a_key", "b_key").agg(F.count(F.lit(1)).alias("shared"))
+    y = b.select(F.col(key).alias("b_key"), element)
+    wanted = x.select(F.xxhash64(element).alias("__hash")).distinct()  # 8 bytes each, whatever the elements' length
+    if wanted.limit(FEW_ELEMENTS + 1).count() <= FEW_ELEMENTS:
+        y = y.join(F.broadcast(wanted), F.xxhash64(element) == F.col("__hash"), "left_semi")
+    both = x.join(y.distinct(), element).groupBy("a_key", "b_key").agg(F.count(F.lit(1)).alias("shared"))
     return both.join(size, "a_key").select("a_key", "b_key", "shared", (F.col("shared") / F.col("n")).alias("containment"))
 
 

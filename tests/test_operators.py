@@ -112,6 +112,14 @@ def test_prefix_shadows_and_containment(spark):
     assert [(r.a_key, r.b_key, r.containment) for r in got] == [(1, 9, 0.5)]
 
 
+def test_containment_with_few_and_many_elements(spark, monkeypatch):
+    a = spark.range(300).selectExpr("id % 7 AS k", "concat('e', id % 40) AS e").union(spark.sql("SELECT 1L, CAST(null AS string)"))
+    b = spark.range(500).selectExpr("id % 9 AS k", "concat('e', id % 90) AS e").union(spark.sql("SELECT 1L, CAST(null AS string)"))
+    few = sorted(map(tuple, sets.containment(a, b, "k", "e").collect()))
+    monkeypatch.setattr(sets, "FEW_ELEMENTS", 3)
+    assert few and few == sorted(map(tuple, sets.containment(a, b, "k", "e").collect()))
+
+
 def test_unresolved_rows_stop(spark):
     df = spark.createDataFrame([(1,), (2,)], "k int")
     out = sets.lookup_chain(df, [(spark.createDataFrame([(1, "one")], "k int, v string"), "k", "k", "v")], "v")
