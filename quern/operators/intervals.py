@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+WIDTH = 1 << 20  # places whose rows may meet in one task
+
 
 def bins(start: Column, end: Column, width: int) -> Column:
     """The bins that [start, end) touches; an empty interval touches none."""
@@ -54,18 +56,48 @@ def overlap_semi(a: DataFrame, b: DataFrame, by: Sequence[str], width: int = 100
     return a.join(hit, F.col("__id") == F.col("__hit"), "left_anti" if anti else "left_semi").drop("__id")
 
 
-def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], pos: str, payload: Sequence[str], strict: bool = False) -> DataFrame:
+def _bordered(d: DataFrame, by: Sequence[str], before: dict[str, tuple[Column, str]] = {}, after: dict[str, tuple[Column, str]] = {}) -> DataFrame:
+    """d, which has a column __bin that never falls as the order rises, with a row at the
+    head (tail) of each bin that stands for its group's bins before (after) it.
+
+    A window over (by, __bin) in order of __side (-1 head, 0 rows, 1 tail) then sees what one
+    over the whole group would, and only a row a bin meets per group. before, after: by
+    column the aggregate of a bin and how bins combine: near (the next one), max or sum.
+    No joins, so null keys are a group like others."""
+    w = Window.partitionBy(*by)
+    fold = {
+        "near": lambda c, o: F.lag(c).over(o),
+        "max": lambda c, o: F.max(c).over(o.rowsBetween(Window.unboundedPreceding, -1)),
+        "sum": lambda c, o: F.sum(c).over(o.rowsBetween(Window.unboundedPreceding, -1)),
+    }
+    out = d.withColumn("__side", F.lit(0))
+    for side, values, order in ((-1, before, w.orderBy("__bin")), (1, after, w.orderBy(F.desc("__bin")))):
+        if values:
+            per = d.groupBy(*by, "__bin").agg(*[v.alias(c) for c, (v, _) in values.items()])
+            per = per.select(*by, "__bin", *[fold[how](c, order).alias(c) for c, (_, how) in values.items()], F.lit(side).alias("__side"))
+            out = out.unionByName(per, allowMissingColumns=True)
+    return out
+
+
+def _in_bins(by: Sequence[str], *order: str):
+    return Window.partitionBy(*by, "__bin").orderBy("__side", *order)
+
+
+def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], pos: str, payload: Sequence[str], strict: bool = False, width: int = WIDTH) -> DataFrame:
     """left with the payload of right's last row at or before (strict: before) its place.
 
-    Both sides are merged in one sort by (by, pos); ties of right go to the largest
-    payload. A row without a predecessor gets nulls."""
+    Both sides are merged in one sort by (by, bin of `width` places, pos); each bin gets
+    the last row of those before it. Ties of right go to the largest payload. A row
+    without a predecessor, or without a place, gets nulls; rows of right without a place
+    match nothing; null keys equal each other. `width` bounds what meets in a task."""
     keys = [F.col(c) for c in (*by, pos)]
     rest = [c for c in left.columns if c not in (*by, pos)]
-    one = left.select(*keys, F.struct(*rest).alias("__l") if rest else F.lit(None).alias("__l"), F.lit(None).cast(right.select(F.struct(*payload).alias("r")).schema["r"].dataType).alias("__r"), F.lit(0 if strict else 1).alias("__side"))
-    two = right.select(*keys, F.lit(None).cast(one.schema["__l"].dataType).alias("__l"), F.struct(*payload).alias("__r"), F.lit(1 if strict else 0).alias("__side"))
-    w = Window.partitionBy(*by).orderBy(F.col(pos), "__side", "__r").rowsBetween(Window.unboundedPreceding, 0)
-    both = one.withColumn("__left", F.lit(True)).unionByName(two.withColumn("__left", F.lit(False)))
-    both = both.withColumn("__last", F.last("__r", ignorenulls=True).over(w)).where("__left")
+    one = left.select(*keys, F.struct(*rest).alias("__l") if rest else F.lit(None).alias("__l"), F.lit(None).cast(right.select(F.struct(*payload).alias("r")).schema["r"].dataType).alias("__r"), F.lit(0 if strict else 1).alias("__late"))
+    two = right.where(F.col(pos).isNotNull()).select(*keys, F.lit(None).cast(one.schema["__l"].dataType).alias("__l"), F.struct(*payload).alias("__r"), F.lit(1 if strict else 0).alias("__late"))
+    both = one.withColumn("__left", F.lit(True)).unionByName(two.withColumn("__left", F.lit(False))).withColumn("__bin", F.floor(F.col(pos) / width))
+    both = _bordered(both, by, before={"__far": (F.max(F.when(~F.col("__left"), F.struct(pos, "__r"))), "max")})
+    w = _in_bins(by, pos, "__late", "__r").rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumn("__last", F.last(F.coalesce("__r", "__far.__r"), ignorenulls=True).over(w)).where("__left")
     return both.select(*keys, *[F.col(f"__l.{c}").alias(c) for c in rest], *[F.col(f"__last.{c}").alias(c) for c in payload])
 
 
@@ -77,53 +109,96 @@ def edge_distance(points: DataFrame, spans: DataFrame, by: Sequence[str], key: S
     return points.select(*key).distinct().join(hit, list(key), "left")
 
 
-def islands(df: DataFrame, by: Sequence[str], start: str = "start", end: str = "end", gap: int = 0, **aggs: Column) -> DataFrame:
-    """Spans merged where start - (largest end so far) <= gap: by, start, end, n, aggs."""
-    w = Window.partitionBy(*by).orderBy(start, end)
-    before = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = F.when(before.isNull() | (F.col(start) - before > gap), 1).otherwise(0)
-    d = df.withColumn("__new", fresh).withColumn("__island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    more = [c.alias(k) for k, c in aggs.items()]
-    return d.groupBy(*by, "__island").agg(F.min(start).alias(start), F.max(end).alias(end), F.count(F.lit(1)).alias("n"), *more).drop("__island")
+def _placed(df: DataFrame, start: str, end: str, width: int) -> DataFrame:
+    return df.where(F.col(start).isNotNull() & F.col(end).isNotNull()).withColumn("__bin", F.floor(F.col(start) / width))
 
 
-def coalesce_equal(df: DataFrame, by: Sequence[str], state: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
-    """Adjacent pieces (previous end = start) of equal state joined into one."""
-    w = Window.partitionBy(*by).orderBy(start)
-    same = F.lag(end).over(w) == F.col(start)
-    for c in state:
-        same = same & F.lag(c).over(w).eqNullSafe(F.col(c))
-    d = df.withColumn("__new", F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).withColumn("__run", F.sum("__new").over(w))
-    return d.groupBy(*by, *state, "__run").agg(F.min(start).alias(start), F.max(end).alias(end), F.count(F.lit(1)).alias("n")).drop("__run")
+def _labelled(df: DataFrame, by: Sequence[str], start: str, end: str, gap: int, width: int) -> DataFrame:
+    """df with __island, the start of the island that a row belongs to."""
+    d = _bordered(_placed(df, start, end, width), by, before={end: (F.max(end), "max")})
+    w = _in_bins(by, start, end)
+    ends = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    d = d.withColumn("__new", F.when(ends.isNull() | (F.col(start) - ends > gap), F.col(start))).where("__side = 0")
+    d = d.withColumn("__open", F.max("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    last = d.groupBy(*by, "__bin").agg(F.max("__new").alias("__new"))
+    before = F.max("__new").over(Window.partitionBy(*by).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1))
+    last = last.select(*[F.col(c).alias(f"__{c}") for c in by], F.col("__bin").alias("__of"), before.alias("__far"))
+    cond = F.col("__bin") == F.col("__of")
+    for c in by:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return d.join(last, cond).withColumn("__island", F.coalesce("__open", "__far")).drop("__new", "__open", "__far", "__of", "__side", "__bin", *[f"__{c}" for c in by])
 
 
-def flanks(df: DataFrame, by: Sequence[str], reach: int, start: str = "start", end: str = "end") -> DataFrame:
-    """Bands of `reach` on either side, cut where the previous or next span begins."""
-    w = Window.partitionBy(*by).orderBy(start, end)
+def islands(df: DataFrame, by: Sequence[str], start: str = "start", end: str = "end", gap: int = 0, width: int = WIDTH, **aggs: Column) -> DataFrame:
+    """Spans merged where start - (largest end so far) <= gap: by, start, end, n, aggs.
+
+    Rows of one start are counted first (not with aggs, which need the rows); then spans
+    that begin within `width` places meet in a task, and bins hand on their largest end
+    and last island. Spans without a start or end are left out; end >= start."""
+    more = [c.alias(k) for k, c in aggs.items()]
+    d = df.withColumn("__n", F.lit(1)) if aggs else df.groupBy(*by, start).agg(F.max(end).alias(end), F.count_if(F.col(end).isNotNull()).alias("__n"))
+    d = _labelled(d, by, start, end, gap, width)
+    return d.groupBy(*by, "__island").agg(F.max(end).alias(end), F.sum("__n").alias("n"), *more).select(*by, F.col("__island").alias(start), end, "n", *aggs)
+
+
+def coalesce_equal(df: DataFrame, by: Sequence[str], state: Sequence[str], start: str = "start", end: str = "end", width: int = WIDTH) -> DataFrame:
+    """Adjacent pieces (previous end = start) of equal state joined into one: by, state,
+    start, end, n. Pieces of a group don't overlap; null states equal each other. A
+    piece's state and end are handed to the next bin of `width` places."""
+    whole = F.struct(F.col(end).alias("e"), *[F.col(c).alias(f"s{i}") for i, c in enumerate(state)])
+    d = _placed(df.withColumn("__piece", whole), start, end, width)
+    d = _bordered(d, by, before={"__piece": (F.max_by("__piece", start), "near")})
+    last = F.lag("__piece").over(_in_bins(by, start))
+    same = last["e"] == F.col(start)
+    for i, c in enumerate(state):
+        same = same & last[f"s{i}"].eqNullSafe(F.col(c))
+    d = d.withColumn("__long", F.when(F.coalesce(same, F.lit(False)), F.lit(None)).otherwise(F.col(start))).where("__side = 0")
+    d = _bordered(d.drop("__side"), by, before={"__long": (F.max("__long"), "max")})
+    d = d.withColumn("__run", F.max("__long").over(_in_bins(by, start).rowsBetween(Window.unboundedPreceding, 0))).where("__side = 0")
+    return d.groupBy(*by, *state, "__run").agg(F.max(end).alias(end), F.count(F.lit(1)).alias("n")).select(*by, *state, F.col("__run").alias(start), end, "n")
+
+
+def flanks(df: DataFrame, by: Sequence[str], reach: int, start: str = "start", end: str = "end", width: int = WIDTH) -> DataFrame:
+    """Bands of `reach` on either side, cut where the previous or next span begins.
+
+    In order of (start, end); spans without either are left out. Spans that begin within
+    `width` places meet in a task; the neighbours across are handed on."""
+    d = _placed(df, start, end, width)
+    d = _bordered(d, by, before={end: (F.max_by(end, F.struct(start, end)), "near")}, after={start: (F.min(start), "near")})
+    w = _in_bins(by, start, end)
     left = F.greatest(F.col(start) - reach, F.coalesce(F.lag(end).over(w), F.col(start) - reach))
     right = F.least(F.col(end) + reach, F.coalesce(F.lead(start).over(w), F.col(end) + reach))
-    return df.withColumn("left_start", F.least(left, F.col(start))).withColumn("right_end", F.greatest(right, F.col(end)))
+    d = d.withColumn("left_start", F.least(left, F.col(start))).withColumn("right_end", F.greatest(right, F.col(end)))
+    return d.where("__side = 0").drop("__side", "__bin")
 
 
-def gaps(df: DataFrame, by: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
-    """The space between consecutive spans: by, gap_start, gap_end."""
-    w = Window.partitionBy(*by).orderBy(start, end)
-    return df.select(*by, F.col(end).alias("gap_start"), F.lead(start).over(w).alias("gap_end")).where("gap_end > gap_start")
+def gaps(df: DataFrame, by: Sequence[str], start: str = "start", end: str = "end", width: int = WIDTH) -> DataFrame:
+    """The space between consecutive spans: by, gap_start, gap_end. Of spans with one
+    start only the longest can be before a gap; bins of `width` places hand on the next start."""
+    d = df.groupBy(*by, start).agg(F.max(end).alias(end))
+    d = _bordered(_placed(d, start, end, width), by, after={start: (F.min(start), "near")})
+    d = d.withColumn("gap_end", F.lead(start).over(_in_bins(by, start))).where("__side = 0")
+    return d.select(*by, F.col(end).alias("gap_start"), "gap_end").where("gap_end > gap_start")
 
 
-def elementary(df: DataFrame, by: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
-    """The pieces between all distinct cut points of a group's spans: by, start, end."""
+def elementary(df: DataFrame, by: Sequence[str], start: str = "start", end: str = "end", width: int = WIDTH) -> DataFrame:
+    """The pieces between all distinct cut points of a group's spans: by, start, end. Cuts
+    within `width` places meet in a task; null cuts are left out."""
     cuts = df.select(*by, F.explode(F.array(start, end)).alias("start")).distinct()
-    return cuts.withColumn("end", F.lead("start").over(Window.partitionBy(*by).orderBy("start"))).where(F.col("end").isNotNull())
+    d = _bordered(_placed(cuts, "start", "start", width), by, after={"start": (F.min("start"), "near")})
+    return d.withColumn("end", F.lead("start").over(_in_bins(by, "start"))).where("__side = 0 and end is not null").select(*by, "start", "end")
 
 
-def depth(df: DataFrame, by: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
-    """How many spans cover each elementary piece, by a running sum of +1 and -1."""
-    steps = df.select(*by, F.explode(F.array(F.struct(F.col(start).alias("at"), F.lit(1).alias("step")), F.struct(F.col(end).alias("at"), F.lit(-1).alias("step")))).alias("e")).select(*by, "e.at", "e.step")
+def depth(df: DataFrame, by: Sequence[str], start: str = "start", end: str = "end", width: int = WIDTH) -> DataFrame:
+    """How many spans cover each elementary piece, by a running sum of +1 and -1, summed by
+    place first; bins of `width` places hand on their sums. Spans without both ends are left out."""
+    d = df.where(F.col(start).isNotNull() & F.col(end).isNotNull())
+    steps = d.select(*by, F.explode(F.array(F.struct(F.col(start).alias("at"), F.lit(1).alias("step")), F.struct(F.col(end).alias("at"), F.lit(-1).alias("step")))).alias("e")).select(*by, "e.at", "e.step")
     steps = steps.groupBy(*by, "at").agg(F.sum("step").alias("step"))
-    w = Window.partitionBy(*by).orderBy("at")
+    steps = _bordered(_placed(steps, "at", "at", width), by, before={"step": (F.sum("step"), "sum")}, after={"at": (F.min("at"), "near")})
+    w = _in_bins(by, "at")
     out = steps.withColumn("depth", F.sum("step").over(w)).withColumn("end", F.lead("at").over(w))
-    return out.where(F.col("end").isNotNull()).select(*by, F.col("at").alias("start"), "end", "depth")
+    return out.where("__side = 0 and end is not null").select(*by, F.col("at").alias("start"), "end", "depth")
 
 
 def tiles(df: DataFrame, size: int, start: str = "start", end: str = "end") -> DataFrame:
@@ -139,12 +214,14 @@ def chunks(df: DataFrame, length: str, size: int, overlap: int) -> DataFrame:
     return d.withColumn("chunk_start", F.col("chunk") * step).withColumn("chunk_end", F.least(F.col(length).cast("long"), F.col("chunk") * step + size).cast("long"))
 
 
-def greedy(df: DataFrame, by: Sequence[str], key: str, start: str = "start", end: str = "end") -> DataFrame:
+def greedy(df: DataFrame, by: Sequence[str], key: str, start: str = "start", end: str = "end", width: int = WIDTH) -> DataFrame:
     """First-come selection of spans that don't overlap, in order of (start, end, key):
-    kept, and the dropped ones too. A fold over each group's sorted spans, since each
-    decision needs the last kept end. The largest group must fit in a task."""
+    kept, and the dropped ones too. A fold over each island's sorted spans, since each
+    decision needs the last kept end: no choice reaches past a place that no span crosses.
+    The largest island must fit in a task. Spans without a start or end are left out."""
     one = F.struct(F.col(start).alias("s"), F.col(end).alias("e"), F.col(key).alias("k"))
-    folded = df.groupBy(*by).agg(F.array_sort(F.collect_list(one)).alias("all"))
+    d = _labelled(df.select(*by, start, end, key), by, start, end, -1, width)
+    folded = d.groupBy(*by, "__island").agg(F.array_sort(F.collect_list(one)).alias("all"))
     kind = df.select(one.alias("x")).schema["x"].dataType.simpleString()
     begin = F.expr(f"named_struct('last', cast(null as bigint), 'out', cast(array() as array<struct<x:{kind},kept:boolean>>))")
     fold = F.aggregate("all", begin, lambda a, x: F.struct(

@@ -9,17 +9,20 @@ from pyspark.sql import functions as F
 
 
 def numbered(df: DataFrame, order: Sequence[Column | str], name: str = "rn", by: Sequence[str] = (), buckets: Column | None = None) -> DataFrame:
-    """Row numbers from 1 by order. Without `by`, `buckets` (a column that never falls
-    as order rises) splits the sort: counts per bucket give each one's offset, so the
-    rows need not meet in one task."""
-    if by or buckets is None:
+    """Row numbers from 1 by order (in each group of `by`). `buckets`, a column that never
+    falls as order rises, splits the sort: counts per bucket give each one's offset, so
+    the rows of a group need not meet in one task."""
+    if buckets is None:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
     d = df.withColumn("__b", buckets)
-    sizes = d.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
-    before = F.coalesce(F.sum("__n").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sizes = sizes.select(F.col("__b").alias("__c"), before.alias("__off"))
-    d = d.withColumn("__r", F.row_number().over(Window.partitionBy("__b").orderBy(*order)))
-    return d.join(sizes, F.col("__b").eqNullSafe(F.col("__c"))).withColumn(name, F.col("__r") + F.col("__off")).drop("__b", "__c", "__r", "__off")
+    sizes = d.groupBy(*by, "__b").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select(*[F.col(c).alias(f"__by_{c}") for c in by], F.col("__b").alias("__c"), before.alias("__off"))
+    d = d.withColumn("__r", F.row_number().over(Window.partitionBy(*by, "__b").orderBy(*order)))
+    cond = F.col("__b").eqNullSafe(F.col("__c"))
+    for c in by:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__by_{c}"))
+    return d.join(sizes, cond).withColumn(name, F.col("__r") + F.col("__off")).drop("__b", "__c", "__r", "__off", *[f"__by_{c}" for c in by])
 
 
 def first_wins(df: DataFrame, by: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -54,14 +57,15 @@ def apportion(df: DataFrame, weight: str, seats: int, tie: Sequence[Column | str
     return d.withColumn("seats", F.col("__base") + F.when(F.col("__rank") <= F.col("__left"), 1).otherwise(0)).drop("__exact", "__base", "__rank", "__left")
 
 
-def interleave(df: DataFrame, source: str, order: Sequence[Column | str]) -> DataFrame:
+def interleave(df: DataFrame, source: str, order: Sequence[Column | str], buckets: Column | None = None, cells: int = 1024) -> DataFrame:
     """Merge sources so that each step takes from the one with the largest remaining
     fraction: a row's turn is (its number - 1) / its source's count, ties to the
-    lesser source. Adds turn and the place in the merge, `slot`."""
-    own = Window.partitionBy(source)
-    d = df.withColumn("__rn", F.row_number().over(own.orderBy(*order))).withColumn("__n", F.count(F.lit(1)).over(own))
+    lesser source. Adds turn and the place in the merge, `slot`. `buckets` as in
+    numbered: without it a source is numbered in one task. The merge is sorted in `cells` parts."""
+    sizes = df.groupBy(F.col(source).alias("__of")).agg(F.count(F.lit(1)).alias("__n"))  # a row a source
+    d = numbered(df, order, "__rn", [source], buckets).join(sizes, F.col(source).eqNullSafe(F.col("__of")))
     d = d.withColumn("turn", (F.col("__rn") - 1) / F.col("__n"))
-    return numbered(d, ["turn", source], "slot", buckets=F.floor(F.col("turn") * 1024)).drop("__rn", "__n")
+    return numbered(d, ["turn", source], "slot", buckets=F.floor(F.col("turn") * cells)).drop("__rn", "__n", "__of")
 
 
 def ordinals(df: DataFrame, order: Sequence[Column | str], by: Sequence[str] = ()) -> DataFrame:

@@ -8,6 +8,7 @@ from ..operators import checks, hierarchy, intervals
 from ._times import HOUR, days, micros
 from .registry import query
 
+_DAY = 24 * HOUR
 _EV = "e AS (SELECT event_id, user_id, event_type, value, epoch_us(ts) AS us FROM events)"
 _SPAN = f"w AS (SELECT event_id AS w_id, user_id, value AS w_value, us AS s, us + {HOUR} AS t FROM e WHERE event_type = 'purchase')"
 
@@ -50,7 +51,7 @@ def j5_interval_anti_join(t):
 def j6_asof_join(t):
     e = _events(t)
     views = e.where("event_type = 'view'").select("user_id", "us", F.col("event_id").alias("view_id"))
-    return intervals.asof_join(e.where("event_type = 'purchase'").select("event_id", "user_id", "us"), views, ["user_id"], "us", ["view_id"]).select("event_id", "view_id")
+    return intervals.asof_join(e.where("event_type = 'purchase'").select("event_id", "user_id", "us"), views, ["user_id"], "us", ["view_id"], width=_DAY).select("event_id", "view_id")
 
 
 @query(f"WITH {_EV}, {_SPAN}, c AS (SELECT * FROM e WHERE event_type = 'click') SELECT c.event_id, min(least(c.us - w.s, w.t - 1 - c.us)) AS edge FROM c LEFT JOIN w ON c.user_id = w.user_id AND c.us >= w.s AND c.us < w.t GROUP BY c.event_id")
@@ -68,23 +69,23 @@ def j11_pairs_within_distance(t):
 
 @query(f"WITH {_EV}, {_spans_sql('click', 2)}, f AS (SELECT *, CASE WHEN s - max(t) OVER (PARTITION BY user_id ORDER BY s, t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= {HOUR} THEN 0 ELSE 1 END AS fresh FROM w), g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY s, t ROWS UNBOUNDED PRECEDING) AS island FROM f) SELECT user_id, min(s) AS start, max(t) AS \"end\", count(*) AS n FROM g GROUP BY user_id, island")
 def w5_islands(t):
-    return intervals.islands(_spans(t, "click", 2), ["user_id"], gap=HOUR)
+    return intervals.islands(_spans(t, "click", 2), ["user_id"], gap=HOUR, width=_DAY)
 
 
 @query(f"WITH {_EV}, m AS (SELECT user_id, floor(us / {24 * HOUR}) AS day, count(*) AS c FROM e GROUP BY ALL), x AS (SELECT user_id, CAST(day AS BIGINT) AS start, CAST(day AS BIGINT) + 1 AS \"end\", c > 1 AS busy FROM m), f AS (SELECT *, CASE WHEN lag(\"end\") OVER o = start AND lag(busy) OVER o = busy THEN 0 ELSE 1 END AS fresh FROM x WINDOW o AS (PARTITION BY user_id ORDER BY start)), g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY start) AS run FROM f) SELECT user_id, busy, min(start) AS start, max(\"end\") AS \"end\", count(*) AS n FROM g GROUP BY user_id, busy, run")
 def w6_coalesce_equal(t):
     days_ = _events(t).groupBy("user_id", F.floor(F.col("us") / (24 * HOUR)).alias("start")).agg((F.count(F.lit(1)) > 1).alias("busy"))
-    return intervals.coalesce_equal(days_.withColumn("end", F.col("start") + 1), ["user_id"], ["busy"])
+    return intervals.coalesce_equal(days_.withColumn("end", F.col("start") + 1), ["user_id"], ["busy"], width=30)
 
 
 @query(f"WITH {_EV}, {_spans_sql('error', 1)}, f AS (SELECT w_id, s, t, lag(t) OVER o AS p, lead(s) OVER o AS q FROM w WINDOW o AS (PARTITION BY user_id ORDER BY s, t)) SELECT w_id, least(s, greatest(s - {24 * HOUR}, coalesce(p, s - {24 * HOUR}))) AS left_start, greatest(t, least(t + {24 * HOUR}, coalesce(q, t + {24 * HOUR}))) AS right_end FROM f")
 def w7_neighbour_clipping(t):
-    return intervals.flanks(_spans(t, "error"), ["user_id"], 24 * HOUR).select("w_id", "left_start", "right_end")
+    return intervals.flanks(_spans(t, "error"), ["user_id"], 24 * HOUR, width=_DAY).select("w_id", "left_start", "right_end")
 
 
 @query(f"WITH {_EV}, {_spans_sql('signup', 1)}, f AS (SELECT user_id, t AS gap_start, lead(s) OVER (PARTITION BY user_id ORDER BY s, t) AS gap_end FROM w) SELECT user_id, count(*) AS gaps, CAST(sum(gap_end - gap_start) AS BIGINT) AS total FROM f WHERE gap_end > gap_start GROUP BY user_id")
 def w8_gaps(t):
-    g = intervals.gaps(_spans(t, "signup"), ["user_id"])
+    g = intervals.gaps(_spans(t, "signup"), ["user_id"], width=_DAY)
     return g.groupBy("user_id").agg(F.count(F.lit(1)).alias("gaps"), F.sum(F.col("gap_end") - F.col("gap_start")).alias("total"))
 
 
@@ -93,12 +94,12 @@ _CUTS = f"WITH {_EV}, {_spans_sql('view', 24)}, c AS (SELECT user_id, s AS cut F
 
 @query(_CUTS + " SELECT user_id, start, \"end\" FROM p WHERE \"end\" IS NOT NULL")
 def w16_elementary_intervals(t):
-    return intervals.elementary(_spans(t, "view", 24), ["user_id"])
+    return intervals.elementary(_spans(t, "view", 24), ["user_id"], width=_DAY)
 
 
 @query(_CUTS + ", d AS (SELECT p.user_id, p.start, p.\"end\", (SELECT count(*) FROM w WHERE w.user_id = p.user_id AND w.s <= p.start AND w.t >= p.\"end\") AS depth FROM p WHERE \"end\" IS NOT NULL) SELECT user_id, start, \"end\", depth FROM d")
 def w16_depth(t):
-    return intervals.depth(_spans(t, "view", 24), ["user_id"]).withColumn("depth", F.col("depth").cast("long"))
+    return intervals.depth(_spans(t, "view", 24), ["user_id"], width=_DAY).withColumn("depth", F.col("depth").cast("long"))
 
 
 @query(f"WITH {_EV}, {_spans_sql('purchase', 5)} SELECT w_id, k AS tile, s + k * {2 * HOUR} AS tile_start, least(t, s + (k + 1) * {2 * HOUR}) AS tile_end FROM w, unnest(range(0, 3)) AS u(k)")
@@ -113,7 +114,7 @@ def w17_overlapping_chunks(t):
 
 @query(f"WITH RECURSIVE {_EV}, {_spans_sql('click', 12)}, r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY s, t, w_id) AS k FROM w), f AS (SELECT user_id, k, w_id, true AS kept, t AS last FROM r WHERE k = 1 UNION ALL SELECT r.user_id, r.k, r.w_id, r.s >= f.last, CASE WHEN r.s >= f.last THEN r.t ELSE f.last END FROM f JOIN r ON r.user_id = f.user_id AND r.k = f.k + 1) SELECT w_id, kept FROM f")
 def w11_greedy_non_overlap(t):
-    return intervals.greedy(_spans(t, "click", 12), ["user_id"], "w_id").select("w_id", "kept")
+    return intervals.greedy(_spans(t, "click", 12), ["user_id"], "w_id", width=_DAY).select("w_id", "kept")
 
 
 @query(f"WITH {_EV}, {_spans_sql('purchase', 6, 'a')}, {_spans_sql('view', 6, 'b')}, j AS (SELECT a.w_id, b.w_value AS v, least(a.t, b.t) - greatest(a.s, b.s) AS n FROM a JOIN b ON a.user_id = b.user_id AND a.t > b.s AND a.s < b.t) SELECT w_id, round(sum(v * n) / sum(n), 6) AS weighted_mean, CAST(sum(n) AS BIGINT) AS covered FROM j WHERE n >= {HOUR} GROUP BY w_id")

@@ -50,7 +50,7 @@ def w10_first_wins(t):
 def w12_largest_fraction_interleave(t):
     key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     rest = ["l_quantity", "l_extendedprice"]
-    return windows.interleave(t.lineitem.select(*key, *rest, "l_returnflag"), "l_returnflag", key + rest).select(*key, "l_returnflag", "slot")
+    return windows.interleave(t.lineitem.select(*key, *rest, "l_returnflag"), "l_returnflag", key + rest, buckets=F.floor(F.col("l_orderkey") / 1000)).select(*key, "l_returnflag", "slot")
 
 
 @query("WITH c AS (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1), e AS (SELECT c_nationkey, n * 1000 / sum(n) OVER ()::DOUBLE AS x FROM c), f AS (SELECT c_nationkey, floor(x) AS base, row_number() OVER (ORDER BY x - floor(x) DESC, c_nationkey) AS k, 1000 - sum(floor(x)) OVER () AS left_ FROM e) SELECT c_nationkey, CAST(base + CASE WHEN k <= left_ THEN 1 ELSE 0 END AS BIGINT) AS seats FROM f")

@@ -95,3 +95,80 @@ def test_exclusive_reports_negative(spark):
     rows = [("T", None, 1.0), ("A", "T", 0.7), ("B", "T", 0.6)]
     got = {r.node: r for r in hierarchy.exclusive(spark.createDataFrame(rows, "node string, parent string, share double")).collect()}
     assert not got["T"].ok and got["A"].ok and got["T"].exclusive == pytest.approx(-0.3)
+
+
+@pytest.mark.parametrize("seed,width", [(5, 1), (6, 7), (7, 40)])
+def test_bins_change_nothing(spark, seed, width):
+    draw = random.Random(seed)
+    rows = spans(draw, 80, 300) + [(None, 900 + i, 3 * i, 3 * i + 4) for i in range(5)] + [("a", 990, None, 5), ("b", 991, 5, None)]
+    df = spark.createDataFrame(rows, SPANS)
+    whole = [r for r in rows if r[2] is not None and r[3] is not None]
+    got = lambda d: sorted(map(tuple, d.collect()), key=str)
+    for gap in (0, 4):
+        want = []
+        for k in ("a", "b", None):
+            for _, _, s, e in sorted((r for r in whole if r[0] == k), key=lambda r: (r[2], r[3])):
+                if want and want[-1][0] == k and s - want[-1][2] <= gap:
+                    want[-1] = (k, want[-1][1], max(want[-1][2], e), want[-1][3] + 1)
+                else:
+                    want.append((k, s, e, 1))
+        assert got(intervals.islands(df, ["k"], gap=gap, width=width)) == sorted(want, key=str)
+        more = intervals.islands(df, ["k"], gap=gap, width=width, least=F.min("id")).drop("least")
+        assert got(more) == sorted(want, key=str)
+    ordered = {k: sorted((r[2], r[3]) for r in whole if r[0] == k) for k in ("a", "b", None)}
+    want = [(k, x[1], y[0]) for k, v in ordered.items() for x, y in zip(v, v[1:]) if y[0] > x[1]]
+    assert got(intervals.gaps(df, ["k"], width=width)) == sorted(want, key=str)
+    want = []
+    for k, v in ordered.items():
+        for i, (s, e) in enumerate(v):
+            left = max(s - 9, v[i - 1][1] if i else s - 9)
+            right = min(e + 9, v[i + 1][0] if i + 1 < len(v) else e + 9)
+            want.append((k, s, e, min(left, s), max(right, e)))
+    assert got(intervals.flanks(df, ["k"], 9, width=width).drop("id")) == sorted(want, key=str)
+    want = []
+    for k, v in ordered.items():
+        cuts = sorted({p for x in v for p in x})
+        want += [(k, x, y, sum(s <= x and e >= y for s, e in v)) for x, y in zip(cuts, cuts[1:])]
+    assert got(intervals.depth(df, ["k"], width=width)) == sorted(want, key=str)
+    assert got(intervals.elementary(df.where("start is not null and `end` is not null"), ["k"], width=width)) == sorted((w[:3] for w in want), key=str)
+    kept = {}
+    for k in ordered:
+        last = None
+        for s, e, i in sorted((r[2], r[3], r[1]) for r in whole if r[0] == k):
+            kept[i] = last is None or s >= last
+            last = e if kept[i] else last
+    assert {r.id: r.kept for r in intervals.greedy(df, ["k"], "id", width=width).collect()} == kept
+
+
+@pytest.mark.parametrize("width", [1, 5, 1000])
+def test_coalesce_and_asof_over_bins(spark, width):
+    draw = random.Random(8)
+    rows, at = [], 0
+    for _ in range(60):
+        at += draw.choice([0, 0, 0, 2])
+        n = draw.choice([1, 3, 12])
+        rows.append((draw.choice(["a", "a", "b"]), draw.choice(["x", "x", None, "y"]), at, at + n))
+        at += n
+    want = []
+    for k in "ab":
+        run = None
+        for _, c, s, e in (r for r in rows if r[0] == k):
+            if run and run[1] == c and run[3] == s:
+                run = (k, c, run[2], e, run[4] + 1)
+            else:
+                want += [run] if run else []
+                run = (k, c, s, e, 1)
+        want.append(run)
+    df = spark.createDataFrame(rows, "k string, c string, start long, `end` long")
+    got = intervals.coalesce_equal(df, ["k"], ["c"], width=width).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+    left = [(draw.choice(["a", "b", None]), draw.choice([None, *range(60)]), i) for i in range(50)]
+    right = [(draw.choice(["a", None]), draw.choice([None, *range(0, 60, 3)]), draw.randrange(9)) for _ in range(25)]
+    x, y = spark.createDataFrame(left, "k string, pos long, n int"), spark.createDataFrame(right, "k string, pos long, v int")
+    for strict in (False, True):
+        best = {}
+        for k, p, n in left:
+            of = [(q, v) for j, q, v in right if j == k and None not in (p, q) and (q < p or q == p and not strict)]
+            best[n] = max(of)[1] if of else None
+        assert {r.n: r.v for r in intervals.asof_join(x, y, ["k"], "pos", ["v"], strict, width).collect()} == best
