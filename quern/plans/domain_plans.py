@@ -9,7 +9,6 @@ from ..functions import editing
 from ..functions import scalar as sc
 from ..functions import sequence as sq
 from ..operators import checks, copynumber, hierarchy, intervals, sampling, sets, windows
-from ._times import days
 from .interval_plans import _CLOSE, _TREE, _tree
 from .registry import query
 from .scalar_plans import _CODONS, _P, _dna
@@ -102,19 +101,6 @@ def d6_consequence(t):
     return d.select("p_partkey", editing.consequence("cds", "tail", "pos", "ref", "alt").alias("c")).groupBy("c.consequence").agg(F.count(F.lit(1)).alias("n"))
 
 
-_PEP = "m AS (SELECT DISTINCT p_partkey, substr(p_name, CAST(i AS BIGINT), 5) AS pep FROM part, unnest(range(1, 20)) u(i) WHERE i + 4 <= length(p_name)), w AS (SELECT DISTINCT substr(p_type, CAST(i AS BIGINT), 5) AS pep FROM part, unnest(range(1, 30)) u(i) WHERE i + 4 <= length(p_type))"
-
-
-@query(f"WITH {_PEP}, n AS (SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM w WHERE upper(w.pep) = upper(m.pep))), s AS (SELECT p_partkey, pep, a AS allele, round({_U.format(seed=21, key="pep || ':' || a")} * 20, 6) AS rank FROM n, (VALUES ('A'), ('B'), ('C')) v(a)), b AS (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY rank, allele, pep) AS rn, count(*) FILTER (rank <= 2) OVER (PARTITION BY p_partkey) AS n FROM s) SELECT p_partkey, pep AS best_peptide, allele AS best_allele, rank AS best_rank, n AS n_low, CASE WHEN rank <= 0.5 THEN 'strong' WHEN rank <= 2 THEN 'weak' ELSE 'non' END AS tier FROM b WHERE rn = 1")
-def d7_neoepitopes(t):
-    own = t.part.select("p_partkey", F.explode(sq.kmers(F.col("p_name"), 5, "\0")).alias("pep"))
-    wild = t.part.select(F.explode(sq.kmers(F.col("p_type"), 5, "\0")).alias("w")).select(F.upper("w").alias("w")).distinct()
-    new = own.join(wild, F.upper("pep") == F.col("w"), "left_anti")
-    scored = new.withColumn("allele", F.explode(F.array(F.lit("A"), F.lit("B"), F.lit("C")))).withColumn("rank", F.round(sampling.uniform(21, "pep", "allele") * 20, 6))
-    best = scored.groupBy("p_partkey").agg(F.min(F.struct("rank", "allele", "pep")).alias("b"), F.count_if(F.col("rank") <= 2).alias("n_low"))
-    return best.select("p_partkey", F.col("b.pep").alias("best_peptide"), F.col("b.allele").alias("best_allele"), F.col("b.rank").alias("best_rank"), "n_low", sc.tier(F.col("b.rank"), [0.5, 2], ["strong", "weak", "non"], inclusive=True).alias("tier"))
-
-
 @query("WITH cells AS (SELECT s, p, k FROM (SELECT DISTINCT c_mktsegment AS s FROM customer), (SELECT DISTINCT o_orderpriority AS p FROM orders), unnest(range(1, 4)) u(k)), r AS (SELECT c_mktsegment AS s, o_orderpriority AS p, o_orderkey, row_number() OVER (PARTITION BY c_mktsegment, o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS k FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus = 'F' AND o_totalprice > 300000) SELECT s, p, CAST(cells.k AS INTEGER) AS k, o_orderkey, o_orderkey IS NOT NULL AS filled FROM cells LEFT JOIN r USING (s, p, k)")
 def d9_grid_fill(t):
     k = t.spark.range(1, 4).select(F.col("id").cast("int").alias("k"))
@@ -144,15 +130,6 @@ def d12_placement_with_reservation(t):
     return intervals.greedy(d, ["p_brand"], "p_partkey").select("p_partkey", "kept")
 
 
-@query("WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS i, sum(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice ROWS UNBOUNDED PRECEDING) AS upto, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem), p AS (SELECT a.l_orderkey, a.i AS i, b.i AS j, abs(a.i * 2 - a.n) + abs(b.i * 2 - b.n) AS off FROM x a JOIN x b ON a.l_orderkey = b.l_orderkey AND a.i < b.i WHERE a.upto % 3 = 0), r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY off, i, j) AS rn FROM p) SELECT l_orderkey, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j FROM r WHERE rn <= 4")
-def d13_junction_search(t):
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    x = t.lineitem.select("l_orderkey", F.row_number().over(w).alias("i"), F.sum("l_partkey").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"), F.count(F.lit(1)).over(Window.partitionBy("l_orderkey")).alias("n"))
-    y = x.select("l_orderkey", F.col("i").alias("j"))
-    p = x.where("upto % 3 = 0").join(y, "l_orderkey").where("i < j").withColumn("off", F.abs(F.col("i") * 2 - F.col("n")) + F.abs(F.col("j") * 2 - F.col("n")))
-    return windows.numbered(p, ["off", "i", "j"], by=["l_orderkey"]).where("rn <= 4").select("l_orderkey", "i", "j")
-
-
 @query()
 def d14_haplotype_edits(t):
     letter = lambda at: F.substring(F.col("dna"), at, F.lit(1))
@@ -172,13 +149,6 @@ def d36_normalised_variants(t):
     return d.select("p_partkey", "v.pos", "v.ref", "v.alt", same.alias("same_sequence"))
 
 
-@query("WITH w AS (SELECT l_partkey, l_linenumber * 100 - 30 AS s, l_linenumber * 100 + 60 + l_suppkey % 50 AS e FROM lineitem), f AS (SELECT *, CASE WHEN s - max(e) OVER (PARTITION BY l_partkey ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= 20 THEN 0 ELSE 1 END AS fresh FROM w), g AS (SELECT *, sum(fresh) OVER (PARTITION BY l_partkey ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS k FROM f), m AS (SELECT l_partkey, min(s) AS start, max(e) AS \"end\" FROM g GROUP BY l_partkey, k), n AS (SELECT *, lag(\"end\") OVER o AS p, lead(start) OVER o AS q FROM m WINDOW o AS (PARTITION BY l_partkey ORDER BY start, \"end\")) SELECT l_partkey, start, \"end\", least(start, greatest(start - 50, coalesce(p, start - 50))) AS left_start, greatest(\"end\", least(\"end\" + 50, coalesce(q, \"end\" + 50))) AS right_end FROM n")
-def d17_capture_windows(t):
-    x = F.col("l_linenumber").cast("long") * 100
-    d = t.lineitem.select("l_partkey", (x - 30).alias("start"), (x + 60 + F.col("l_suppkey") % 50).alias("end"))
-    return intervals.flanks(intervals.islands(d, ["l_partkey"], gap=20).drop("n"), ["l_partkey"], 50)
-
-
 @query(f"WITH {_P}, k AS (SELECT p_partkey, dna, CASE p_partkey % 4 WHEN 0 THEN 'DEL' WHEN 1 THEN 'DUP' WHEN 2 THEN 'INV' ELSE 'INS' END AS kind FROM p) SELECT p_partkey, kind, 0 AS part, CASE kind WHEN 'DEL' THEN substr(dna, 11, 10) || substr(dna, 41, 10) WHEN 'DUP' THEN substr(dna, 31, 10) || substr(dna, 21, 10) WHEN 'INV' THEN substr(dna, 11, 10) || reverse(translate(substr(dna, 31, 10), 'ACGT', 'TGCA')) ELSE substr(dna, 11, 10) || 'NNNN' END AS contig FROM k UNION ALL SELECT p_partkey, kind, 1, 'NNNN' || substr(dna, 21, 10) FROM k WHERE kind = 'INS'")
 def d18_junction_contigs(t):
     d = _dna(t).withColumn("kind", F.element_at(F.array(*[F.lit(x) for x in ("DEL", "DUP", "INV", "INS")]), (F.col("p_partkey") % 4 + 1).cast("int")))
@@ -298,17 +268,6 @@ def d34_manifest(t):
     return d.select("dataset", "sample", F.concat_ws("_", F.lower("dataset"), "sample", F.concat(F.lit("run"), F.chr(F.col("rn") + 64))).alias("run_name"))
 
 
-@query("WITH s AS (SELECT user_id, event_id, epoch_us(ts) AS us, value, lag(epoch_us(ts)) OVER o AS before, lead(epoch_us(ts)) OVER o AS after FROM events WINDOW o AS (PARTITION BY user_id ORDER BY ts, event_id)) SELECT event_id, CAST(least(coalesce(us - before, after - us), coalesce(after - us, us - before)) AS BIGINT) AS nearest, (SELECT count(*) FROM events e WHERE e.user_id = s.user_id AND e.event_id <> s.event_id AND abs(epoch_us(e.ts) - s.us) <= 3600000000) AS within_hour FROM s")
-def d37_context_features(t):
-    from ._times import HOUR, micros
-
-    e = t.events.select("user_id", "event_id", micros("ts").alias("us"))
-    w = Window.partitionBy("user_id").orderBy("us", "event_id")
-    near = e.select("event_id", "user_id", "us", (F.col("us") - F.lag("us").over(w)).alias("b"), (F.lead("us").over(w) - F.col("us")).alias("a"))
-    around = Window.partitionBy("user_id").orderBy("us").rangeBetween(-HOUR, HOUR)
-    return near.select("event_id", F.least("a", "b").alias("nearest"), (F.count(F.lit(1)).over(around) - 1).alias("within_hour"))
-
-
 @query(f"WITH {_P} SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN body ELSE reverse(translate(body, 'ACGT', 'TGCA')) END || substr(dna, 1, 8) AS inserted FROM (SELECT p_partkey, dna, p_size, right(dna, 40 - p_size % 20) || repeat('A', 10 + p_size % 20) AS body FROM p)")
 def d38_element_insertion(t):
     """The donor's end, a poly-A tail that fills the length, either strand, and the doubled target site."""
@@ -334,23 +293,6 @@ def d41_sidecar_summary(t):
     return t.events.select("event_type", F.coalesce(p["reads"], p["k"], F.lit(0).cast("long")).alias("n")).groupBy("event_type").agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("reads"))
 
 
-@query("WITH b AS (SELECT o_custkey, datediff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS d, o_orderstatus AS s, o_orderkey FROM orders), f AS (SELECT *, CASE WHEN lag(s) OVER o = s THEN 0 ELSE 1 END AS fresh FROM b WINDOW o AS (PARTITION BY o_custkey ORDER BY d, o_orderkey)), g AS (SELECT *, sum(fresh) OVER (PARTITION BY o_custkey ORDER BY d, o_orderkey) AS run FROM f) SELECT o_custkey, s AS state, min(d) AS first_day, max(d) AS last_day, count(*) AS n FROM g GROUP BY o_custkey, s, run")
-def d16_uniform_slices(t):
-    d = t.orders.select("o_custkey", days("o_orderdate").alias("d"), F.col("o_orderstatus").alias("state"), "o_orderkey")
-    w = Window.partitionBy("o_custkey").orderBy("d", "o_orderkey")
-    d = d.withColumn("fresh", F.when(F.lag("state").over(w) == F.col("state"), 0).otherwise(1)).withColumn("run", F.sum("fresh").over(w))
-    return d.groupBy("o_custkey", "state", "run").agg(F.min("d").alias("first_day"), F.max("d").alias("last_day"), F.count(F.lit(1)).alias("n")).drop("run")
-
-
-@query("WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 2 ELSE 1 END * l_quantity AS n, l_linestatus FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, n AS length_, coalesce(sum(n) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS derived_start, CASE l_linestatus WHEN 'O' THEN '-' ELSE '+' END AS strand FROM x WHERE n > 0")
-def d15_derived_plan(t):
-    """Pieces in order: omitted (R), doubled (A) or kept, turned where the status says so."""
-    copies = F.when(F.col("l_returnflag") == "R", 0).when(F.col("l_returnflag") == "A", 2).otherwise(1)
-    d = t.lineitem.withColumn("length_", copies * F.col("l_quantity")).where("length_ > 0")
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").rowsBetween(Window.unboundedPreceding, -1)
-    return d.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "length_", F.coalesce(F.sum("length_").over(w), F.lit(0.0)).alias("derived_start"), F.when(F.col("l_linestatus") == "O", "-").otherwise("+").alias("strand"))
-
-
 @query("SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS BIGINT) + 3 AS matched, 1 AS substituted, 2 AS inserted, CAST(l_linenumber AS BIGINT) AS deleted FROM lineitem")
 def f28_difference_text(t):
     """:n matches, *xy substitutions, +bases insertions, -bases deletions."""
