@@ -6,6 +6,7 @@ measured nothing fails: absence is never a pass.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -96,3 +97,56 @@ def resume_block(record: Column, code: Column, map_there: Column, recorded: Colu
     """Why a library cannot be resumed from, or null: no completion record, other code,
     no read map, or another number of reads, the first that holds."""
     return F.when(~F.coalesce(record, F.lit(False)), "no completion record").when(~F.coalesce(code, F.lit(False)), "other code").when(~F.coalesce(map_there, F.lit(False)), "read map is gone").when(~recorded.eqNullSafe(found), "truncated")
+
+
+LEAKS = r"chr|hap|NORMAL|_T_|_A1?_|_B_"  # fixed value: what a read's name must not tell
+
+
+def read_names(df: DataFrame, name: str, file: str = "") -> DataFrame:
+    """Two rows: all names are unique, and none tells its source. Every name is seen."""
+    x = df.groupBy(F.col(name).alias("__name")).agg(F.count(F.lit(1)).alias("__n"))
+    x = x.agg(F.sum("__n").alias("n"), F.count(F.lit(1)).alias("d"), F.coalesce(F.sum(F.when(F.col("__name").rlike(LEAKS), F.col("__n"))), F.lit(0)).alias("leaky"))
+    unique = row(x, "read names unique", file, F.col("n") - F.col("d"), verdict(F.col("n") == F.col("d"), "duplicates", F.col("n")))
+    return report(unique, row(x, "read names carry no truth", file, F.col("leaky"), verdict(F.col("leaky") == 0, "source information", F.col("n"))))
+
+
+def long_read_format(files: DataFrame, reads: DataFrame, tags: Sequence[str], least: int = 5, index: int = 128) -> DataFrame:
+    """Seven rows a file. files: file, id, unit, model (of its read group), index_bytes;
+    reads: file, name, tags (map). The id is eight hex digits, the unit begins with m, a
+    model is there, all names have the form movie/hole/ccs, every tag occurs, np has
+    `least` values, the index is longer than `index` bytes. A file without reads has no
+    rows about them."""
+    f = files.withColumn("file", F.col("file").cast("string"))
+    one = lambda check, ok: row(f, check, F.col("file"), F.coalesce(ok, F.lit(False)).cast("int"), verdict(F.coalesce(ok, F.lit(False)), "not met"))
+    head = [one("rg_id_is_8_hex", F.col("id").rlike("^[0-9a-f]{8}$")), one("rg_pu_is_movie", F.col("unit").startswith("m")), one("rg_pm_is_instrument", F.col("model") != ""), one("index_present", F.col("index_bytes") > index)]
+    x = reads.groupBy(F.col("file").cast("string").alias("file")).agg(
+        F.count_if(~F.coalesce(F.col("name").rlike("^m[^/]*/[0-9]+/ccs"), F.lit(False))).alias("bad"), F.countDistinct(F.col("tags")["np"]).alias("np"), *[F.count(F.col("tags")[g]).alias(f"t_{g}") for g in tags])
+    lacking = sum(((F.col(f"t_{g}") == 0).cast("int") for g in tags), F.lit(0))
+    body = [row(x, "read_name", F.col("file"), F.col("bad"), verdict(F.col("bad") == 0, "malformed")), row(x, "tags_present", F.col("file"), lacking, verdict(lacking == 0, "missing")), row(x, "np_varies", F.col("file"), F.col("np"), verdict(F.col("np") >= least, "too few values"))]
+    return report(*head, *body)
+
+
+def receptor_truth(df: DataFrame, by: str, least: int = 5) -> DataFrame:
+    """Four rows a file of clonotypes (two chains: trb, tra; their genes trb_v, trb_j,
+    tra_v, tra_j; antigen): chains run from C to F, at most 3 % have a C inside, all
+    genes are named, `least` clonotypes are linked to an antigen. A missing chain is not
+    anchored; an empty gene or antigen is none."""
+    there = lambda c: F.coalesce(F.col(c) != "", F.lit(False))
+    each = lambda test: sum((F.coalesce(test(F.col(c)), F.lit(False)).cast("int") for c in ("trb", "tra")), F.lit(0))
+    anchored = each(lambda c: c.startswith("C") & c.endswith("F"))
+    inside = each(lambda c: F.contains(F.substring(c, F.lit(2), F.length(c) - 2), F.lit("C")))
+    x = df.groupBy(F.col(by).cast("string").alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(anchored).alias("a"), F.sum(inside).alias("c"), F.count_if(there("trb_v") & there("trb_j") & there("tra_v") & there("tra_j")).alias("g"), F.count_if(there("antigen")).alias("k"))
+    one = lambda check, value, ok, why: row(x, check, F.col("file"), value, verdict(ok, why))
+    return report(
+        one("cdr3_anchored_C_to_F", F.col("a"), F.col("a") == 2 * F.col("n"), "not all"), one("cdr3_internal_cysteine", F.col("c"), F.col("c") <= 0.03 * 2 * F.col("n"), "too many"),
+        one("clonotype_names_v_and_j", F.col("g"), F.col("g") == F.col("n"), "not all"), one("antigen_linked", F.col("k"), F.col("k") >= least, "too few"))
+
+
+def conserved(merged: DataFrame, reported: DataFrame, n: str, mapped: DataFrame, file: str = "") -> DataFrame:
+    """Two rows: the merged rows are as many as the shards reported in sum, and as the rows
+    of the map. No rows at all were not measured."""
+    c = lambda d, name: d.agg(F.count(F.lit(1)).alias(name))
+    x = c(merged, "a").crossJoin(reported.agg(F.coalesce(F.sum(n), F.lit(0)).alias("b"))).crossJoin(c(mapped, "m"))  # one row each
+    one = lambda check, other: row(x, check, file, F.col("a") - F.col(other), verdict(F.col("a") == F.col(other), "counts differ", F.col("a") + F.col(other)))
+    return report(one("merged equals shards", "b"), one("merged equals map", "m"))

@@ -57,5 +57,35 @@ def source_plan(df: DataFrame, key: Sequence[str], purity: float) -> DataFrame:
     return parts.select(*key, *cols).unionByName(normal.select(*key, *cols))
 
 
+# The share of the mutated haplotype under an allelic setting; balanced keeps the copies' share.
+ALLELIC = {"silenced": 0.1, "dominant": 0.9}
+
+
+def haplotype_shares(df: DataFrame, keep: Sequence[str], setting: Column, mutant: Column, ploidy: Column) -> DataFrame:
+    """keep, hap, share, dosage: how expression splits between haplotypes and scales.
+
+    df: cn_a, cn_b. Shares follow the copies; a setting hands the mutated haplotype (0 or
+    1) its fixed share, only where both have copies. Without any copies shares and dosage
+    are 0. dosage is the copies over the clone's own ploidy, 1 where that is 0."""
+    a, total = F.col("cn_a"), F.col("cn_a") + F.col("cn_b")
+    first = F.coalesce(F.try_divide(a, total), F.lit(0.0))
+    fixed = F.lit(None).cast("double")
+    for name, share in ALLELIC.items():
+        fixed = F.when(setting == name, F.lit(share)).otherwise(fixed)
+    by_setting = F.when(mutant == 0, fixed).when(mutant == 1, 1 - fixed)
+    first = F.when((a > 0) & (F.col("cn_b") > 0), F.coalesce(by_setting, first)).otherwise(first)
+    d = df.select(*keep, total.alias("__n"), F.coalesce(F.try_divide(total, ploidy), F.lit(1.0)).alias("dosage"), first.alias("__first"))
+    d = d.withColumn("__both", F.array(F.col("__first"), F.when(F.col("__n") > 0, 1 - F.col("__first")).otherwise(0.0)))
+    return d.select(*keep, F.posexplode("__both").alias("hap", "share"), "dosage")
+
+
+def expressed_records(shares: DataFrame, abundance: str, weight: str, length: str, least_length: int, least: float, designed: Column) -> DataFrame:
+    """shares (of haplotype_shares, joined with its transcripts and sources) with
+    expressed = abundance * dosage * share * weight: transcripts of `least` abundance or
+    a designed event, of `least_length`, on haplotypes with a share."""
+    d = shares.where(((F.col(abundance) >= least) | designed) & (F.col(length) >= least_length) & (F.col("share") > 0))
+    return d.withColumn("expressed", F.col(abundance) * F.col("dosage") * F.col("share") * F.col(weight))
+
+
 def coverage(depth: float, weight: Column, denominator: Column, factor: Column, least: float = 0.001) -> Column:
     return F.greatest(F.lit(least), F.lit(depth) * weight / denominator * factor)

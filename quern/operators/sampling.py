@@ -36,17 +36,27 @@ def thin(df: DataFrame, seed: int, key: Sequence[str], p: Column) -> DataFrame:
     return df.where(uniform(seed, *key) < F.least(F.lit(1.0), p))
 
 
-def weighted_draws(table: DataFrame, item: str, weight: str, draws: DataFrame, key: str, seed: int, cells: int = 1024) -> DataFrame:
-    """For each row of draws an item of table, with replacement, by weight.
+def weighted_draws(table: DataFrame, item: str, weight: str, draws: DataFrame, key: str, seed: int, cells: int = 1024, by: Sequence[str] = ()) -> DataFrame:
+    """For each row of draws an item of table (of its class `by`), with replacement, by weight.
 
     Items own adjacent parts of [0, 1) in order of item; a draw's uniform falls into
-    one of them. The parts meet the draws on `cells` equal cells, an equi-join."""
-    w = Window.partitionBy(F.lit(0))  # the table of items: a dimension
+    one of them. The parts meet the draws on `cells` equal cells, an equi-join. Draws of
+    a class without any weight, and null weights, have no row."""
+    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # the table of items: a dimension
+    table = table.where(F.col(weight) > 0)
     total, upto = F.sum(weight).over(w), F.sum(weight).over(w.orderBy(item).rowsBetween(Window.unboundedPreceding, 0))
-    parts = table.where(F.col(weight) > 0).select(item, ((upto - F.col(weight)) / total).alias("__lo"), F.when(upto == total, 1.0).otherwise(upto / total).alias("__hi"))
+    parts = table.select(*[F.col(c).alias(f"__by_{c}") for c in by], item, ((upto - F.col(weight)) / total).alias("__lo"), F.when(upto == total, 1.0).otherwise(upto / total).alias("__hi"))
     parts = parts.withColumn("__cell", F.explode(F.sequence(F.floor(F.col("__lo") * cells), F.floor(F.col("__hi") * cells))))
     d = draws.withColumn("u", uniform(seed, key)).withColumn("__at", F.floor(F.col("u") * cells))
-    return d.join(parts, (F.col("__at") == F.col("__cell")) & (F.col("u") >= F.col("__lo")) & (F.col("u") < F.col("__hi"))).drop("__at", "__cell", "__lo", "__hi")
+    cond = (F.col("__at") == F.col("__cell")) & (F.col("u") >= F.col("__lo")) & (F.col("u") < F.col("__hi"))
+    for c in by:
+        cond = cond & (F.col(c) == F.col(f"__by_{c}"))
+    return d.join(parts, cond).drop("__at", "__cell", "__lo", "__hi", *[f"__by_{c}" for c in by])
+
+
+def normal(seed: int | str, *key: Column | str) -> Column:
+    """A standard normal number from two uniforms of the key."""
+    return F.sqrt(-2 * F.log(1 - uniform(f"{seed}:a", *key))) * F.cos(2 * F.pi() * uniform(f"{seed}:b", *key))
 
 
 def stride(i: Column, span: Column | int, seed: int, low: int = 0) -> Column:

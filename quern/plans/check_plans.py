@@ -41,10 +41,10 @@ def q3_calibrated_depth(t):
     return checks.row(x, "normal depth", "", F.round("r", 9), checks.band(F.col("r"), 0.88, 1.12))
 
 
-@query(_v("names unique", "''", "n - d", "CASE WHEN n = 0 THEN '" + _NONE + "' WHEN n = d THEN 'PASS' ELSE 'FAIL (repeats)' END", "FROM (SELECT count(*) AS n, count(DISTINCT c_name) AS d FROM customer)"))
+@query("WITH n AS (SELECT CASE WHEN c_custkey % 50 = 7 THEN 'x_hap1:' ELSE '' END || replace(c_name, '1', '2') AS name FROM customer), c AS (SELECT count(*) AS n, count(DISTINCT name) AS d, count(*) FILTER (regexp_matches(name, 'chr|hap|NORMAL|_T_|_A1?_|_B_')) AS l FROM n) " + _v("read names unique", "''", "n - d", "CASE WHEN n = d THEN 'PASS' ELSE 'FAIL (duplicates)' END", "FROM c") + " UNION ALL " + _v("read names carry no truth", "''", "l", "CASE WHEN l = 0 THEN 'PASS' ELSE 'FAIL (source information)' END", "FROM c"))
 def q4_names_unique(t):
-    x = t.customer.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("c_name").alias("d"))
-    return checks.row(x, "names unique", "", F.col("n") - F.col("d"), checks.verdict(F.col("n") == F.col("d"), "repeats", F.col("n")))
+    name = F.concat(F.when(F.col("c_custkey") % 50 == 7, "x_hap1:").otherwise(""), F.replace("c_name", F.lit("1"), F.lit("2")))
+    return checks.read_names(t.customer.select(name.alias("name")), "name")
 
 
 @query(_v("unresolved", "''", "n", "CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL (violations)' END", "FROM (SELECT count(*) AS n FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey))") + " UNION ALL " + _v("resolved share", "''", "round(s, 9)", "CASE WHEN s BETWEEN 0.35 AND 0.85 THEN 'PASS' ELSE 'FAIL (out of bound)' END", "FROM (SELECT avg((o_orderstatus = 'F')::INT) AS s FROM lineitem JOIN orders ON o_orderkey = l_orderkey)"))
@@ -137,21 +137,36 @@ def q13_map_row_counts(t):
     return checks.equal_counts(t.orders, t.lineitem.select("l_orderkey").distinct(), "map row count")
 
 
-@query("SELECT 'variety' AS \"check\", l_returnflag AS file, CAST(count(DISTINCT l_quantity) AS DOUBLE) AS value, CASE WHEN count(DISTINCT l_quantity) >= 5 THEN 'PASS' ELSE 'FAIL (out of bound)' END AS verdict FROM lineitem GROUP BY 2")
+@query("WITH f AS (SELECT CAST(s_suppkey AS VARCHAR) AS file, substr(md5('g' || s_suppkey), 1, CAST(7 + (s_suppkey % 5 <> 0)::INT AS BIGINT)) AS id, s_suppkey % 7 <> 0 AS unit, s_suppkey % 11 <> 0 AS model, s_suppkey % 200 * 3 AS bytes FROM supplier), r AS (SELECT CAST(l_suppkey AS VARCHAR) AS file, l_orderkey % 997 <> 0 AS named, CASE WHEN l_suppkey % 9 = 0 THEN l_linenumber % 2 ELSE l_linenumber END AS np, l_suppkey % 13 <> 0 AS ec FROM lineitem), x AS (SELECT file, count(*) FILTER (NOT named) AS bad, count(DISTINCT np) AS np, (count(*) FILTER (ec) = 0)::INT AS lacking FROM r GROUP BY 1) "
+    + " UNION ALL ".join(_v(name, "file", f"({ok})::INT", f"CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL (not met)' END", "FROM f") for name, ok in (("rg_id_is_8_hex", "length(id) = 8"), ("rg_pu_is_movie", "unit"), ("rg_pm_is_instrument", "model"), ("index_present", "bytes > 128")))
+    + " UNION ALL " + _v("read_name", "file", "bad", "CASE WHEN bad = 0 THEN 'PASS' ELSE 'FAIL (malformed)' END", "FROM x") + " UNION ALL " + _v("tags_present", "file", "lacking", "CASE WHEN lacking = 0 THEN 'PASS' ELSE 'FAIL (missing)' END", "FROM x") + " UNION ALL " + _v("np_varies", "file", "np", "CASE WHEN np >= 5 THEN 'PASS' ELSE 'FAIL (too few values)' END", "FROM x"))
 def q14_variety(t):
-    d = t.lineitem.groupBy("l_returnflag").agg(F.countDistinct("l_quantity").alias("n"))
-    return checks.row(d, "variety", F.col("l_returnflag"), F.col("n"), checks.band(F.col("n"), 5))
+    k = F.col("s_suppkey")
+    id_ = F.substring(F.md5(F.concat(F.lit("g"), k.cast("string"))), F.lit(1), 7 + (k % 5 != 0).cast("int"))
+    files = t.supplier.select(k.alias("file"), id_.alias("id"), F.when(k % 7 != 0, "m64").otherwise("x64").alias("unit"), F.when(k % 11 != 0, "REVIO").alias("model"), (k % 200 * 3).alias("index_bytes"))
+    name = F.concat(F.lit("m64/"), F.col("l_orderkey").cast("string"), F.when(F.col("l_orderkey") % 997 != 0, "/ccs").otherwise("/x"))
+    np = F.when(F.col("l_suppkey") % 9 == 0, F.col("l_linenumber") % 2).otherwise(F.col("l_linenumber")).cast("string")
+    reads = t.lineitem.select(F.col("l_suppkey").alias("file"), name.alias("name"), F.create_map(F.lit("np"), np, F.lit("ec"), F.when(F.col("l_suppkey") % 13 != 0, "1.5")).alias("tags"))
+    return checks.long_read_format(files, reads, ["np", "ec"])
 
 
-@query(_v("name form", "''", "n", "CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL (violations)' END", "FROM (SELECT count(*) AS n FROM supplier WHERE NOT regexp_matches(s_name, '^Supplier#[0-9]{9}$'))"))
+@query("WITH x AS (SELECT l_returnflag AS f, count(*) AS n, count(*) FILTER (l_orderkey % 500 = 0) AS bad, count(DISTINCT (l_quantity, l_discount, l_tax)) AS d FROM lineitem GROUP BY 1) " + _v("read_name", "f", "bad", "CASE WHEN bad = 0 THEN 'PASS' ELSE 'FAIL (malformed)' END", "FROM x") + " UNION ALL " + _v("r1_quality_variety", "f", "d", "CASE WHEN d BETWEEN 1200 AND 6000 THEN 'PASS' ELSE 'FAIL (out of bound)' END", "FROM x"))
 def q15_name_form(t):
-    return checks.none_of(t.supplier.where(~F.col("s_name").rlike("^Supplier#[0-9]{9}$")), "name form")
+    """Names of seven fields between colons, and as many quality texts as real ones have."""
+    name = F.concat_ws(":", F.lit("A00123:45:HXX:1:1101"), F.col("l_partkey").cast("string"), F.when(F.col("l_orderkey") % 500 != 0, F.col("l_suppkey").cast("string")))
+    quality = F.concat_ws("|", F.col("l_quantity").cast("string"), F.col("l_discount").cast("string"), F.col("l_tax").cast("string"))
+    d = t.lineitem.select("l_returnflag", name.alias("name"), quality.alias("q"))
+    x = d.groupBy("l_returnflag").agg(F.count_if(~F.col("name").rlike("^[A-Z0-9]+:[0-9]+:[A-Z0-9]+:[0-9]+:[0-9]+:[0-9]+:[0-9]+$")).alias("bad"), F.countDistinct("q").alias("d"))
+    return checks.report(checks.row(x, "read_name", F.col("l_returnflag"), F.col("bad"), checks.verdict(F.col("bad") == 0, "malformed")), checks.row(x, "r1_quality_variety", F.col("l_returnflag"), F.col("d"), checks.band(F.col("d"), 1200, 6000)))
 
 
-@query("WITH x AS (SELECT avg((p_name LIKE '% %')::INT) AS anchored, avg((p_type IS NULL)::INT) AS unnamed, count(*) AS n FROM part) " + _v("anchored", "''", "round(anchored, 9)", "CASE WHEN n = 0 THEN '" + _NONE + "' WHEN anchored = 1 THEN 'PASS' ELSE 'FAIL (not all)' END", "FROM x") + " UNION ALL " + _v("unnamed", "''", "round(unnamed, 9)", "CASE WHEN unnamed <= 0.03 THEN 'PASS' ELSE 'FAIL (out of bound)' END", "FROM x"))
+@query("WITH d AS (SELECT p_brand AS f, 'C' || substr(upper(p_name), 1, CAST(p_size % 9 AS BIGINT)) || CASE WHEN p_size % 49 = 0 THEN '' ELSE 'F' END AS trb, 'CA' || CAST(p_size AS VARCHAR) || 'F' AS tra, p_size % 48 <> 0 AS named, p_size % 4 = 0 AS linked FROM part), x AS (SELECT f, count(*) AS n, CAST(sum((trb LIKE 'C%F')::INT + (tra LIKE 'C%F')::INT) AS BIGINT) AS a, CAST(sum((length(trb) > 2 AND contains(substr(trb, 2, length(trb) - 2), 'C'))::INT) AS BIGINT) AS c, count(*) FILTER (named) AS g, count(*) FILTER (linked) AS k FROM d GROUP BY 1) " + " UNION ALL ".join(_v(name, "f", value, f"CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL ({why})' END", "FROM x") for name, value, ok, why in (("cdr3_anchored_C_to_F", "a", "a = 2 * n", "not all"), ("cdr3_internal_cysteine", "c", "c <= 0.06 * n", "too many"), ("clonotype_names_v_and_j", "g", "g = n", "not all"), ("antigen_linked", "k", "k >= 5", "too few"))))
 def q16_anchored_and_named(t):
-    x = t.part.agg(F.avg(F.contains("p_name", F.lit(" ")).cast("int")).alias("a"), F.avg(F.col("p_type").isNull().cast("int")).alias("u"), F.count(F.lit(1)).alias("n"))
-    return checks.report(checks.row(x, "anchored", "", F.round("a", 9), checks.verdict(F.col("a") == 1, "not all", F.col("n"))), checks.row(x, "unnamed", "", F.round("u", 9), checks.band(F.col("u"), high=0.03)))
+    size = F.col("p_size")
+    trb = F.concat(F.lit("C"), F.substring(F.upper("p_name"), F.lit(1), size % 9), F.when(size % 49 == 0, "").otherwise("F"))
+    gene = F.when(size % 48 != 0, "V1").otherwise("")
+    d = t.part.select("p_brand", trb.alias("trb"), F.concat(F.lit("CA"), size.cast("string"), F.lit("F")).alias("tra"), gene.alias("trb_v"), F.lit("J1").alias("trb_j"), F.lit("V2").alias("tra_v"), F.lit("J2").alias("tra_j"), F.when(size % 4 == 0, "x").alias("antigen"))
+    return checks.receptor_truth(d, "p_brand")
 
 
 @query(f"WITH {_P}, d AS (SELECT p_size % 4 AS f, dna || CASE p_size % 4 WHEN 1 THEN 'RN' WHEN 2 THEN '*' WHEN 3 THEN 'Y*' ELSE '' END AS seq FROM p), x AS (SELECT f, CAST(sum(length(regexp_replace(seq, '[ACGTN]', '', 'g'))) AS BIGINT) AS n FROM d GROUP BY 1) " + _v("bases are ACGTN", "f", "n", "CASE f WHEN 0 THEN 'PASS' WHEN 1 THEN 'FAIL (R; ambiguity codes)' WHEN 2 THEN 'FAIL (*; symbolic allele)' ELSE 'FAIL (*Y; ambiguity codes and a symbolic allele)' END", "FROM x"))
@@ -265,11 +280,10 @@ def q33_genotype_expressible(t):
     return checks.row(t.orders, "genotype", F.col("o_orderkey"), k, v)
 
 
-@query(_v("conserved", "''", "a - b", "CASE WHEN a = b THEN 'PASS' ELSE 'FAIL (counts differ)' END", "FROM (SELECT (SELECT count(*) FROM lineitem) AS a, (SELECT sum(n) FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_suppkey)) AS b)"))
+@query("WITH c AS (SELECT (SELECT count(*) FROM lineitem) AS a, (SELECT CAST(sum(n) AS BIGINT) FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_suppkey)) AS b, (SELECT count(*) FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus <> 'P') AS m) " + _v("merged equals shards", "''", "a - b", "CASE WHEN a = b THEN 'PASS' ELSE 'FAIL (counts differ)' END", "FROM c") + " UNION ALL " + _v("merged equals map", "''", "a - m", "CASE WHEN a = m THEN 'PASS' ELSE 'FAIL (counts differ)' END", "FROM c"))
 def q34_merge_conservation(t):
-    shards = t.lineitem.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("b"))
-    x = t.lineitem.agg(F.count(F.lit(1)).alias("a")).crossJoin(shards)  # one row each
-    return checks.row(x, "conserved", "", F.col("a") - F.col("b"), checks.verdict(F.col("a") == F.col("b"), "counts differ", F.col("a")))
+    mapped = t.lineitem.join(t.orders.where("o_orderstatus <> 'P'"), F.col("o_orderkey") == F.col("l_orderkey"), "left_semi")
+    return checks.conserved(t.lineitem, t.lineitem.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n")), "n", mapped)
 
 
 @query("SELECT o_orderkey, max(datediff('day', CAST(l_shipdate AS DATE), CAST(o_orderdate AS DATE))) > 0 AS held FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1")

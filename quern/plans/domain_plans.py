@@ -86,12 +86,13 @@ def d8_retained_copies(t):
     return cn.groupBy("clone").agg(F.sum("cn_a").alias("a"), F.sum("cn_b").alias("b"), (F.sum("cn_b") == 0).alias("lost"))
 
 
-@query(f"WITH RECURSIVE {_cn_sql("SELECT c_custkey AS key, 'n' || c_nationkey AS clone, c_custkey AS pos FROM customer")} SELECT key, u.hap, round(CASE u.hap WHEN 0 THEN cn_a ELSE cn_b END / nullif(cn_a + cn_b, 0)::DOUBLE, 9) AS share, round((cn_a + cn_b) / 2.0::DOUBLE, 9) AS dosage FROM cn, (VALUES (0), (1)) u(hap)")
+@query(f"WITH RECURSIVE {_cn_sql("SELECT c_custkey AS key, 'n' || c_nationkey AS clone, c_custkey AS pos FROM customer")}, x AS (SELECT key, cn_a, cn_b, CASE c_custkey % 3 WHEN 0 THEN 0.1 WHEN 1 THEN 0.9 END::DOUBLE AS m, c_custkey // 3 % 3 AS mut, c_custkey % 4 + 1 AS ploidy FROM cn JOIN customer ON c_custkey = key), y AS (SELECT *, CASE WHEN cn_a > 0 AND cn_b > 0 AND m IS NOT NULL AND mut < 2 THEN CASE mut WHEN 0 THEN m ELSE 1 - m END ELSE coalesce(cn_a / nullif(cn_a + cn_b, 0)::DOUBLE, 0) END AS s FROM x) SELECT key, CAST(u.hap AS INTEGER) AS hap, round(CASE WHEN u.hap = 0 THEN s WHEN cn_a + cn_b > 0 THEN 1 - s ELSE 0 END, 9) AS share, round((cn_a + cn_b) / ploidy::DOUBLE, 9) AS dosage FROM y, (VALUES (0), (1)) u(hap)")
 def d20_haplotype_shares(t):
+    k = F.col("key")
     cn = copynumber.copies_at(_customer_points(t), _segments(t), hierarchy.closure(_tree(t)), ["key"], 150)
-    total = F.col("cn_a") + F.col("cn_b")
-    d = cn.select("key", total.alias("total"), F.posexplode(F.array("cn_a", "cn_b")).alias("hap", "cn"))
-    return d.select("key", "hap", F.round(F.try_divide("cn", "total"), 9).alias("share"), F.round(F.col("total") / 2.0, 9).alias("dosage"))
+    setting = F.when(k % 3 == 0, "silenced").when(k % 3 == 1, "dominant").otherwise("balanced")
+    out = copynumber.haplotype_shares(cn, ["key"], setting, F.floor(k / 3) % 3, k % 4 + 1)
+    return out.withColumn("share", F.round("share", 9)).withColumn("dosage", F.round("dosage", 9))
 
 
 @query()
@@ -163,12 +164,21 @@ def d19_payload_weight(t):
     return t.supplier.select("s_suppkey", F.round(F.lit(_PURITY) * (F.col("s_nationkey") / 25.0) * (1 + F.col("s_suppkey") % 4), 9).alias("weight"))
 
 
-@query("WITH r AS (SELECT p_partkey, s, h, p_size * 10 + 100 AS len_, round(p_retailprice * w, 6) AS abundance FROM part, (VALUES ('T', 0.6), ('A', 0.3), ('N', 0.1)) v(s, w), (VALUES (0), (1)) u(h)) SELECT s AS source, CAST(h AS INTEGER) AS hap, count(*) AS records, round(sum(abundance), 4) AS abundance FROM r WHERE len_ >= 150 AND abundance >= 100 GROUP BY ALL")
+_SOURCES = (("n1", 0.6), ("n7", 0.3))  # clones; the normal, on both haplotypes alike, has the rest
+
+
+@query(f"WITH RECURSIVE {_cn_sql("SELECT p_partkey AS key, v.clone, p_partkey % 1100 AS pos FROM part, (VALUES ('n1'), ('n7')) v(clone)")}, s AS (SELECT key, clone AS source, CASE clone WHEN 'n1' THEN 0.6 ELSE 0.3 END AS w, cn_a / nullif(cn_a + cn_b, 0)::DOUBLE AS a, (cn_a + cn_b) / 2.0 AS dose FROM cn UNION ALL SELECT p_partkey, 'NORMAL', 0.1, 0.5, 1.0 FROM part), r AS (SELECT key, source, u.hap, p_retailprice * dose * CASE u.hap WHEN 0 THEN a ELSE 1 - a END * w AS ab FROM s JOIN part ON p_partkey = key, (VALUES (0), (1)) u(hap) WHERE (p_retailprice >= 1200 OR p_size % 10 = 0) AND p_size * 10 >= 150 AND CASE u.hap WHEN 0 THEN a ELSE 1 - a END > 0) SELECT source, CAST(hap AS INTEGER) AS hap, count(*) AS records, round(sum(ab), 3) AS abundance FROM r GROUP BY ALL")
 def d21_record_assembly(t):
-    sources = F.array(*[F.struct(F.lit(s).alias("source"), F.lit(w).alias("w")) for s, w in (("T", 0.6), ("A", 0.3), ("N", 0.1))])
-    d = t.part.withColumn("len_", F.col("p_size") * 10 + 100).where("len_ >= 150").select("p_partkey", "p_retailprice", F.explode(sources).alias("s")).withColumn("hap", F.explode(F.array(F.lit(0), F.lit(1))))
-    d = d.withColumn("abundance", F.round(F.col("p_retailprice") * F.col("s.w"), 6)).where("abundance >= 100")
-    return d.groupBy("s.source", "hap").agg(F.count(F.lit(1)).alias("records"), F.round(F.sum("abundance"), 4).alias("abundance"))
+    """Transcript x source x haplotype, by each clone's copies at the transcript's place."""
+    clones = F.explode(F.array(*[F.struct(F.lit(c).alias("clone"), F.lit(w).alias("w")) for c, w in _SOURCES])).alias("c")
+    points = t.part.select(F.col("p_partkey").alias("key"), (F.col("p_partkey") % 1100).alias("pos"), clones).select("key", "pos", "c.clone")
+    cn = copynumber.copies_at(points, _segments(t), hierarchy.closure(_tree(t)), ["key"], 150)
+    weight = F.when(F.col("clone") == _SOURCES[0][0], _SOURCES[0][1]).otherwise(_SOURCES[1][1])
+    tumour = copynumber.haplotype_shares(cn, ["key", "clone"], F.lit(None).cast("string"), F.lit(None).cast("int"), F.lit(2)).select("key", F.col("clone").alias("source"), "hap", "share", "dosage", weight.alias("w"))
+    normal = t.part.select(F.col("p_partkey").alias("key"), F.lit("NORMAL").alias("source"), F.posexplode(F.array(F.lit(0.5), F.lit(0.5))).alias("hap", "share"), F.lit(1.0).alias("dosage"), F.lit(0.1).alias("w"))
+    d = tumour.unionByName(normal).join(t.part.select("p_partkey", "p_retailprice", "p_size", (F.col("p_size") * 10).alias("length_")), F.col("key") == F.col("p_partkey"))
+    d = copynumber.expressed_records(d, "p_retailprice", "w", "length_", 150, 1200, F.col("p_size") % 10 == 0)
+    return d.groupBy("source", "hap").agg(F.count(F.lit(1)).alias("records"), F.round(F.sum("expressed"), 3).alias("abundance"))
 
 
 @query("WITH d AS (SELECT p_retailprice AS ab, p_size + 50 AS len_ FROM part), k AS (SELECT 1000000.0 * 2 * 100 / sum(ab * len_) AS k FROM d), c AS (SELECT ab * k AS cov, len_, CAST(greatest(0, least(59, floor((log10(ab * k) + 1) / 0.1))) AS BIGINT) AS bin FROM d, k) SELECT bin, count(*) AS n, round(sum(cov * len_) / sum(len_), 6) AS coverage FROM c GROUP BY bin")
@@ -186,11 +196,18 @@ def d23_cell_roster(t):
     return d.select("c_custkey", "c_mktsegment", (F.substring(sampling.token(42, "c_custkey"), 1, 3) < "0f5").alias("doublet"))
 
 
-@query(f"WITH p AS (SELECT p_partkey, p_size::DOUBLE AS w FROM part), c AS (SELECT p_partkey, (sum(w) OVER o - w) / sum(w) OVER () AS lo, sum(w) OVER o / sum(w) OVER () AS hi FROM p WINDOW o AS (ORDER BY p_partkey ROWS UNBOUNDED PRECEDING)), m AS (SELECT c_custkey, c_custkey || ':' || i AS molecule FROM customer, unnest(range(0, 5)) u(i)), d AS (SELECT c_custkey, molecule, {_U.format(seed=43, key='molecule')} AS u FROM m) SELECT c_custkey, count(*) AS molecules, count(DISTINCT p_partkey) AS records FROM d JOIN c ON u >= lo AND u < hi GROUP BY 1")
+@query(f"WITH k AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'other' ELSE 'n' || c_nationkey % 3 END AS class, c_custkey AS key FROM customer), n AS (SELECT *, greatest(50, trunc(60 + 21 * sqrt(-2 * ln(1 - {_U.format(seed='44:a', key='key')})) * cos(2 * pi() * {_U.format(seed='44:b', key='key')}))) AS n FROM k), w AS (SELECT p_partkey, class, CASE WHEN class = 'other' THEN CASE WHEN p_size % 5 = 0 THEN 0 ELSE p_size END WHEN p_size % 5 = 0 AND class <> 'n' || p_size % 3 THEN 0 ELSE p_size * ((p_partkey + length(class) + ascii(right(class, 1))) % 4) END::DOUBLE AS w FROM part, (SELECT DISTINCT class FROM k)), c AS (SELECT class, p_partkey, (sum(w) OVER o - w) / sum(w) OVER (PARTITION BY class) AS lo, sum(w) OVER o / sum(w) OVER (PARTITION BY class) AS hi FROM w WHERE w > 0 WINDOW o AS (PARTITION BY class ORDER BY p_partkey ROWS UNBOUNDED PRECEDING)), m AS (SELECT c_custkey, class, c_custkey || ':' || i AS molecule FROM n, unnest(range(0, CAST(n AS BIGINT))) u(i)), d AS (SELECT *, {_U.format(seed=43, key='molecule')} AS u FROM m) SELECT c_custkey, count(*) AS molecules, count(DISTINCT p_partkey) AS records FROM d JOIN c ON c.class = d.class AND u >= lo AND u < hi GROUP BY 1")
 def d24_molecule_pool(t):
-    draws = t.customer.select("c_custkey", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("i")).withColumn("molecule", F.concat(F.col("c_custkey").cast("string"), F.lit(":"), F.col("i").cast("string")))
-    table = t.part.select("p_partkey", F.col("p_size").cast("double").alias("w"))
-    out = sampling.weighted_draws(table, "p_partkey", "w", draws, "molecule", 43)
+    """A cell draws a number of molecules of its own, from its class's table: designed
+    transcripts (every fifth size) only in their clone, others by the clone's copies."""
+    size = F.col("p_size")
+    k = t.customer.select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, "other").otherwise(F.concat(F.lit("n"), (F.col("c_nationkey") % 3).cast("string"))).alias("class"))
+    n = F.greatest(F.lit(50), (60 + 21 * sampling.normal(44, "c_custkey")).cast("int"))
+    draws = k.withColumn("i", F.explode(F.sequence(F.lit(0), n - 1))).withColumn("molecule", F.concat(F.col("c_custkey").cast("string"), F.lit(":"), F.col("i").cast("string")))
+    copies = (F.col("p_partkey") + F.length("class") + F.ascii(F.right("class", F.lit(1)))) % 4
+    weight = F.when(F.col("class") == "other", F.when(size % 5 == 0, 0).otherwise(size)).when((size % 5 == 0) & (F.col("class") != F.concat(F.lit("n"), (size % 3).cast("string"))), 0).otherwise(size * copies)
+    table = t.part.crossJoin(F.broadcast(k.select("class").distinct())).select("p_partkey", "class", weight.cast("double").alias("w"))  # four classes
+    out = sampling.weighted_draws(table, "p_partkey", "w", draws, "molecule", 43, by=["class"])
     return out.groupBy("c_custkey").agg(F.count(F.lit(1)).alias("molecules"), F.countDistinct("p_partkey").alias("records"))
 
 

@@ -198,3 +198,41 @@ def test_verdicts(spark):
     assert checks.set_equality(k, k.limit(1), "k", "c").first().verdict == "FAIL (sets differ)"
     rows = checks.none_of(df.limit(0), "c")
     assert [checks.failures(x).first().status for x in (rows, checks.none_of(df, "d"), rows.limit(0))] == [0, 1, 2]
+
+
+def test_haplotype_shares(spark):
+    rows = [(1, 2, 0, "dominant", 0), (2, 1, 3, "silenced", 1), (3, 1, 1, "balanced", 0), (4, 0, 0, "dominant", 0), (5, 1, 3, None, None)]
+    d = spark.createDataFrame(rows, "k int, cn_a int, cn_b int, s string, m int")
+    got = {(r.k, r.hap): (round(r.share, 6), r.dosage) for r in copynumber.haplotype_shares(d, ["k"], F.col("s"), F.col("m"), F.lit(2)).collect()}
+    assert got[1, 0] == (1.0, 1.0) and got[1, 1] == (0.0, 1.0)  # no copies, no expression
+    assert got[2, 0] == (0.9, 2.0) and got[2, 1] == (0.1, 2.0)
+    assert got[3, 0][0] == 0.5 and got[4, 0] == got[4, 1] == (0.0, 0.0) and got[5, 1][0] == 0.75
+
+
+def test_weighted_draws_by_class(spark):
+    table = spark.createDataFrame([("x", 1, 1.0), ("x", 2, 3.0), ("y", 1, 0.0), ("y", 3, 2.0), ("z", 1, None)], "c string, i int, w double")
+    draws = spark.range(2000).select(F.col("id"), F.element_at(F.array(F.lit("x"), F.lit("y"), F.lit("z"), F.lit("q")), (F.col("id") % 4 + 1).cast("int")).alias("c"))
+    got = {(r.c, r.i): r["count"] for r in sampling.weighted_draws(table, "i", "w", draws, "id", 1, by=["c"]).groupBy("c", "i").count().collect()}
+    assert set(got) == {("x", 1), ("x", 2), ("y", 3)} and got["y", 3] == 500 and got["x", 1] + got["x", 2] == 500 and 80 < got["x", 1] < 170
+    z = [r.z for r in spark.range(4000).select(sampling.normal(3, "id").alias("z")).collect()]
+    assert abs(sum(z) / 4000) < 0.06 and abs(sum(x * x for x in z) / 4000 - 1) < 0.1
+
+
+def test_format_checks(spark):
+    names = spark.createDataFrame([("m1",), ("m1",), ("x_chr3",)], "n string")
+    got = {r.check: r for r in checks.read_names(names, "n").collect()}
+    assert got["read names unique"].value == 1 and got["read names carry no truth"].value == 1
+    assert {r.verdict for r in checks.read_names(names.limit(0), "n").collect()} == {"FAIL (nothing measured)"}
+    assert {r.verdict for r in checks.conserved(names, spark.createDataFrame([(1,), (2,)], "k int"), "k", names).collect()} == {"PASS"}
+    empty = spark.createDataFrame([], "k int")
+    assert {r.verdict for r in checks.conserved(names.limit(0), empty, "k", empty).collect()} == {"FAIL (nothing measured)"}
+    kind = "f string, trb string, tra string, trb_v string, trb_j string, tra_v string, tra_j string, antigen string"
+    good = [("a", "CASSF", "CAVF", "v", "j", "v", "j", "x")] * 5
+    bad = [("b", None, "CACF", "v", "", "v", "j", None), ("b", "CF", "C", "v", "j", "v", None, "")]
+    v = {(r.file, r.check): (r.value, r.verdict) for r in checks.receptor_truth(spark.createDataFrame(good + bad, kind), "f").collect()}
+    assert {x[1] for (f, _), x in v.items() if f == "a"} == {"PASS"}
+    assert v["b", "cdr3_anchored_C_to_F"][0] == 2 and v["b", "cdr3_internal_cysteine"] == (1, "FAIL (too many)") and v["b", "clonotype_names_v_and_j"][0] == 0
+    files = spark.createDataFrame([("a", "0123abcd", "m1", "R", 200), ("b", None, "x", None, None)], "file string, id string, unit string, model string, index_bytes long")
+    reads = spark.createDataFrame([("a", f"m1/{i}/ccs", {"np": str(i), "ec": "1"}) for i in range(5)] + [("b", None, {"np": "1"})], "file string, name string, tags map<string,string>")
+    v = {(r.file, r.check): r.verdict for r in checks.long_read_format(files, reads, ["np", "ec"]).collect()}
+    assert len(v) == 14 and {x for (f, _), x in v.items() if f == "a"} == {"PASS"} and not {x for (f, _), x in v.items() if f == "b"} & {"PASS"}
