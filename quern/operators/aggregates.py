@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.sequence import cigar_sum
+
 
 def frequency_tables(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """field, key, n: one count table for each column, in a single pass and shuffle."""
@@ -84,3 +86,42 @@ def rescale_to_budget(df: DataFrame, by: Sequence[str], value: str, budget: Data
 def shares(value: str, by: Sequence[str] = ()) -> Column:
     """A row's part of its group's sum; without `by` of the whole, for tables of groups."""
     return F.col(value) / F.sum(value).over(Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0)))
+
+
+def middle(df: DataFrame, by: Sequence[str], value: str, name: str) -> DataFrame:
+    """by, name: the median of each group, from counts of its distinct values: a row a value
+    meets the others of its group. Null values don't count; a group of them has no row."""
+    c = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy(*by)
+    upto = F.sum("__n").over(w.orderBy("__v").rowsBetween(Window.unboundedPreceding, 0))
+    c = c.withColumn("__upto", upto).withColumn("__all", F.sum("__n").over(w))
+    # Places (all - 1) // 2 and all // 2, from 0: the same one of an odd number.
+    low, high = F.floor((F.col("__all") - 1) / 2), F.floor(F.col("__all") / 2)
+    holds = lambda at: (at < F.col("__upto")) & (at >= F.col("__upto") - F.col("__n"))
+    return c.groupBy(*by).agg(((F.max(F.when(holds(low), F.col("__v"))) + F.max(F.when(holds(high), F.col("__v")))) / 2).alias(name))
+
+
+def pass_counts(df: DataFrame, by: Sequence[str], np: str, ec: str) -> DataFrame:
+    """by, reads, np_mean, np_median, ec_over_np (the median ratio): of reads with a number
+    of passes; those without coverage, or with none, don't count in the ratio."""
+    d = df.where(F.col(np) > 0)
+    head = d.groupBy(*by).agg(F.count(F.lit(1)).alias("reads"), F.avg(np).alias("np_mean"))
+    ratio = d.where(F.col(ec) != 0).withColumn("__ratio", F.col(ec) / F.col(np))
+    return head.join(middle(d, by, np, "np_median"), list(by), "left").join(middle(ratio, by, "__ratio", "ec_over_np"), list(by), "left")
+
+
+def alignment_identity(df: DataFrame, by: Sequence[str], cigar: str, nm: str, quality: str) -> DataFrame:
+    """One row a group of primary alignments: reads, aligned, clipped_fraction, nm,
+    inserted, deleted, true_identity (1 - nm / aligned), claimed_identity (from the mean
+    error probability of all qualities, converted once), indel_fraction (of nm), ratio of
+    true to claimed error. Divisions by nothing are null; null qualities don't count."""
+    errors = F.aggregate(F.transform(F.filter(F.split(F.col(quality), ""), lambda c: c != ""), lambda c: F.pow(F.lit(10.0), -(F.ascii(c) - 33) / 10.0)), F.lit(0.0), lambda a, x: a + x)
+    one = lambda ops: F.sum(cigar_sum(F.col(cigar), ops))
+    filled = F.length(quality) > 0
+    d = df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("reads"), one("M=XID").alias("aligned"), one("SH").alias("clipped"), F.sum(nm).alias("nm"), one("I").alias("inserted"), one("D").alias("deleted"),
+        F.sum(F.when(filled, errors)).alias("__q"), F.sum(F.when(filled, F.length(quality))).alias("__bases"))
+    true, claimed = F.try_divide("nm", "aligned"), F.try_divide("__q", "__bases")
+    return d.select(
+        *by, "reads", "aligned", F.try_divide("clipped", F.col("aligned") + F.col("clipped")).alias("clipped_fraction"), "nm", "inserted", "deleted", (1 - true).alias("true_identity"), (1 - claimed).alias("claimed_identity"),
+        F.try_divide(F.col("inserted") + F.col("deleted"), F.col("nm")).alias("indel_fraction"), F.try_divide(true, claimed).alias("ratio"))

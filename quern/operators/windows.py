@@ -87,3 +87,25 @@ def runs_of_equal(df: DataFrame, by: Sequence[str], order: Sequence[Column | str
     w = Window.partitionBy(*by).orderBy(*order)
     d = df.withColumn("__new", F.when(F.lag(state).over(w).eqNullSafe(F.col(state)) & (F.row_number().over(w) > 1), 0).otherwise(1))
     return d.withColumn("run", F.sum("__new").over(w)).groupBy(*by, state, "run").agg(F.count(F.lit(1)).alias("n"))
+
+
+def packed(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], size: Column, most: int, block: int = 1 << 16, buckets: Column | None = None) -> DataFrame:
+    """Rows in order put into arrays of drawn sizes: adds array and member (both from 0).
+
+    size is a column of by, __block and array, the number of rows that an array takes,
+    held between 1 and `most`; the last one takes what is left. Arrays are filled inside of
+    blocks of `block` rows and array counts on from block to block by `block`, so that a
+    group need not meet in one task; `buckets` as in numbered does the same for its order."""
+    d = numbered(df, order, "__rn", by, buckets).withColumn("__at", F.col("__rn") - 1)
+    d = d.withColumn("__block", F.floor(F.col("__at") / block)).withColumn("__at", F.col("__at") % block)
+    sizes = d.groupBy(*by, "__block").agg(F.count(F.lit(1)).alias("__n"))
+    a = sizes.withColumn("array", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)))
+    a = a.withColumn("__size", F.least(F.greatest(size, F.lit(1)), F.lit(most)).cast("long"))
+    upto = F.sum("__size").over(Window.partitionBy(*by, "__block").orderBy("array").rowsBetween(Window.unboundedPreceding, 0))
+    a = a.withColumn("__first", upto - F.col("__size")).where("__first < __n").withColumn("__at", F.explode(F.sequence(F.col("__first"), F.least(F.col("__first") + F.col("__size"), F.col("__n")) - 1)))
+    a = a.select(*[F.col(c).alias(f"__by_{c}") for c in by], F.col("__block").alias("__b"), F.col("__at").alias("__to"), "array", (F.col("__at") - F.col("__first")).alias("member"))
+    cond = (F.col("__block") == F.col("__b")) & (F.col("__at") == F.col("__to"))
+    for c in by:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__by_{c}"))
+    out = d.join(a, cond).withColumn("array", F.col("__block") * block + F.col("array"))
+    return out.drop("__rn", "__at", "__block", "__b", "__to", *[f"__by_{c}" for c in by])

@@ -28,6 +28,11 @@ def c3_pass_count_cdf(t):
     return agg.empirical_cdf(t.lineitem, "l_linenumber", ["l_linestatus"]).withColumn("cdf", F.round("cdf", 9))
 
 
+@query("SELECT l_linestatus, count(*) AS reads, round(avg(l_linenumber), 9) AS np_mean, median(l_linenumber) AS np_median, round(median(l_quantity / l_linenumber), 9) AS ec_over_np FROM lineitem GROUP BY 1")
+def c3_pass_count_summary(t):
+    return agg.pass_counts(t.lineitem, ["l_linestatus"], "l_linenumber", "l_quantity").withColumn("np_mean", F.round("np_mean", 9)).withColumn("ec_over_np", F.round("ec_over_np", 9))
+
+
 @query("WITH h AS (SELECT l_linenumber, l_quantity AS q, count(*) AS n FROM lineitem GROUP BY ALL) SELECT l_linenumber, q, n, round(n / sum(n) OVER (PARTITION BY l_linenumber), 9) AS frequency FROM h")
 def c4_quality_by_position(t):
     h = t.lineitem.groupBy("l_linenumber", F.col("l_quantity").alias("q")).agg(F.count(F.lit(1)).alias("n"))
@@ -50,9 +55,14 @@ def c7_run_enrichment(t):
     return t.documents.groupBy("lang").agg(F.sum(runs).alias("runs"), F.round(F.sum(runs) * 1000.0 / F.sum(F.length("text")), 9).alias("per_thousand"))
 
 
-@query("SELECT l_returnflag, count(*) AS reads, round(avg(1 - l_discount), 9) AS claimed, round(1 - sum(l_tax * l_quantity) / sum(l_quantity), 9) AS measured FROM lineitem GROUP BY 1")
+@query("WITH r AS (SELECT l_returnflag, CAST(l_quantity AS BIGINT) AS q, l_linenumber AS k, l_orderkey % 30 AS b FROM lineitem), s AS (SELECT l_returnflag, count(*) AS reads, sum(q + 5 + 2 + k) AS aligned, count(*) * 5 AS clipped, sum(k + 3) AS nm, count(*) * 2 AS inserted, sum(k) AS deleted, sum(q * pow(10.0, -(5 + b) / 10.0)) AS e, sum(q) AS bases FROM r GROUP BY 1) SELECT l_returnflag, reads, CAST(aligned AS BIGINT) AS aligned, round(clipped / (aligned + clipped), 9) AS clipped_fraction, CAST(nm AS BIGINT) AS nm, inserted, CAST(deleted AS BIGINT) AS deleted, round(1 - nm / aligned, 9) AS true_identity, round(1 - e / bases, 9) AS claimed_identity, round((inserted + deleted) / nm, 9) AS indel_fraction, round((nm / aligned) / (e / bases), 6) AS ratio FROM s")
 def c8_claimed_and_measured(t):
-    return t.lineitem.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("reads"), F.round(F.avg(1 - F.col("l_discount")), 9).alias("claimed"), F.round(1 - F.sum(F.col("l_tax") * F.col("l_quantity")) / F.sum("l_quantity"), 9).alias("measured"))
+    n, k = F.col("l_quantity").cast("int"), F.col("l_linenumber")
+    cigar = F.concat(F.lit("5S"), n.cast("string"), F.lit("M2I"), k.cast("string"), F.lit("D5M"))
+    quality = F.repeat(F.chr(33 + 5 + F.col("l_orderkey") % 30), n)
+    d = t.lineitem.select("l_returnflag", cigar.alias("cigar"), (k + 3).cast("long").alias("nm"), quality.alias("quality"))
+    out = agg.alignment_identity(d, ["l_returnflag"], "cigar", "nm", "quality")
+    return out.withColumns({c: F.round(c, 6 if c == "ratio" else 9) for c in ("clipped_fraction", "true_identity", "claimed_identity", "indel_fraction", "ratio")})
 
 
 @query("WITH r AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value) - 1 AS i, count(*) OVER (PARTITION BY event_type) AS n FROM events), p AS (SELECT event_type, max(CASE WHEN i = least(n - 1, CAST(floor(n * 0.05) AS BIGINT)) THEN value END) AS p5, max(CASE WHEN i = least(n - 1, CAST(floor(n * 0.95) AS BIGINT)) THEN value END) AS p95 FROM r GROUP BY 1) SELECT event_type, p5, p95, mean, sd FROM p JOIN (SELECT event_type, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS sd FROM events GROUP BY 1) USING (event_type)")

@@ -219,11 +219,15 @@ def d25_recombination(t):
     return d.withColumn("cdr3_aa", sq.translate(F.col("cdr3_nt")))
 
 
-@query("WITH r AS (SELECT l_suppkey, l_partkey, floor((row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) - 1) / 8) AS arr, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) AS k FROM lineitem) SELECT l_suppkey, CAST(arr AS BIGINT) AS arr, count(*) AS members, 'A' || string_agg(CAST(l_partkey AS VARCHAR), '-' ORDER BY k) || 'Z' AS text FROM r GROUP BY l_suppkey, arr")
+@query(f"WITH RECURSIVE r AS (SELECT l_suppkey, l_partkey, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) - 1 AS k, count(*) OVER (PARTITION BY l_suppkey) AS n FROM lineitem), z AS (SELECT DISTINCT l_suppkey, n FROM r), a AS (SELECT l_suppkey, n, CAST(i AS BIGINT) AS arr, CAST(least(8, greatest(1, 9 - floor(pow({_U.format(seed=45, key="l_suppkey || ':' || i")}, 2) * 9))) AS BIGINT) AS size FROM z, unnest(range(0, n)) u(i)), c AS (SELECT *, CAST(sum(size) OVER (PARTITION BY l_suppkey ORDER BY arr) AS BIGINT) AS upto FROM a) SELECT r.l_suppkey, arr, count(*) AS members, string_agg('[' || (k - (upto - size)) || ']' || l_partkey, '' ORDER BY k) || '[' || count(*) || ']' AS text FROM r JOIN c ON c.l_suppkey = r.l_suppkey AND k >= upto - size AND k < upto GROUP BY r.l_suppkey, arr")
 def d26_array_grammar(t):
-    d = windows.numbered(t.lineitem, ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"], by=["l_suppkey"]).withColumn("arr", F.floor((F.col("rn") - 1) / 8))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", "l_partkey"))), lambda x: x["l_partkey"].cast("string")), "-")
-    return d.groupBy("l_suppkey", "arr").agg(F.count(F.lit(1)).alias("members"), F.concat(F.lit("A"), joined, F.lit("Z")).alias("text"))
+    """Up to eight members by a drawn yield, each behind its adapter, and the closing one."""
+    size = 9 - F.floor(F.pow(sampling.uniform(45, "l_suppkey", "array"), 2) * 9)
+    d = windows.packed(t.lineitem, ["l_suppkey"], ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"], size, 8)
+    one = F.struct("member", F.concat(F.lit("["), F.col("member").cast("string"), F.lit("]"), F.col("l_partkey").cast("string")).alias("s"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["s"]), "")
+    n = F.count(F.lit(1))
+    return d.groupBy("l_suppkey", F.col("array").alias("arr")).agg(n.alias("members"), F.concat(joined, F.lit("["), n.cast("string"), F.lit("]")).alias("text"))
 
 
 @query("WITH w AS (SELECT DISTINCT item_id, x FROM (SELECT item_id, unnest(string_split(lower(text), ' ')) AS x FROM benchmark)), a AS (SELECT DISTINCT x FROM (SELECT unnest(string_split(lower(text), ' ')) AS x FROM conversations WHERE role = 'user')), b AS (SELECT DISTINCT x FROM (SELECT unnest(string_split(lower(text), ' ')) AS x FROM conversations WHERE role = 'assistant')), c AS (SELECT item_id, count(a.x) / count(*)::DOUBLE AS in_a, count(b.x) / count(*)::DOUBLE AS in_b FROM w LEFT JOIN a USING (x) LEFT JOIN b USING (x) GROUP BY 1) SELECT item_id, round(in_a, 9) AS in_a, round(in_b, 9) AS in_b, CASE WHEN abs(in_a - in_b) < 0.02 THEN 'indeterminate' WHEN in_a > in_b THEN 'a' ELSE 'b' END AS phase FROM c")

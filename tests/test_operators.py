@@ -236,3 +236,35 @@ def test_format_checks(spark):
     reads = spark.createDataFrame([("a", f"m1/{i}/ccs", {"np": str(i), "ec": "1"}) for i in range(5)] + [("b", None, {"np": "1"})], "file string, name string, tags map<string,string>")
     v = {(r.file, r.check): r.verdict for r in checks.long_read_format(files, reads, ["np", "ec"]).collect()}
     assert len(v) == 14 and {x for (f, _), x in v.items() if f == "a"} == {"PASS"} and not {x for (f, _), x in v.items() if f == "b"} & {"PASS"}
+
+
+@pytest.mark.parametrize("block", [4, 100])
+def test_packed(spark, block):
+    rows = [(g, i) for g in ("a", "b", None) for i in range(10)]
+    got = windows.packed(spark.createDataFrame(rows, "g string, i int"), ["g"], ["i"], F.lit(3) - F.col("array") % 3, 2, block, F.floor(F.col("i") / 4)).collect()
+    assert len(got) == 30
+    for g in ("a", "b", None):
+        mine = sorted((r.array, r.member, r.i) for r in got if r.g == g)
+        assert [x[2] for x in mine] == list(range(10))
+        want, at = [], 0
+        for start in range(0, 10, block):
+            at, array, end = start, 0, min(10, start + block)
+            while at < end:
+                n = min(max(1, min(2, 3 - array % 3)), end - at)
+                want += [(start // block * block + array, m, at + m) for m in range(n)]
+                at, array = at + n, array + 1
+        assert mine == want
+    assert windows.packed(spark.createDataFrame([], "g string, i int"), ["g"], ["i"], F.lit(3), 2).count() == 0
+
+
+def test_pass_counts_and_identity(spark):
+    rows = [("a", 3, 6.0), ("a", 5, 0.0), ("a", 8, 4.0), ("a", 9, None), ("a", None, 1.0), ("b", 0, 2.0), ("b", 4, None)]
+    got = {r.f: r for r in aggregates.pass_counts(spark.createDataFrame(rows, "f string, np int, ec double"), ["f"], "np", "ec").collect()}
+    assert (got["a"].reads, got["a"].np_mean, got["a"].np_median, got["a"].ec_over_np) == (4, 6.25, 6.5, 1.25)
+    assert got["b"].reads == 1 and got["b"].np_median == 4 and got["b"].ec_over_np is None
+    rows = [("a", "2S8M1I1D", 3, "++++"), ("a", "10=", 0, None), ("b", None, None, "")]
+    got = {r.f: r for r in aggregates.alignment_identity(spark.createDataFrame(rows, "f string, c string, nm long, q string"), ["f"], "c", "nm", "q").collect()}
+    a = got["a"]
+    assert (a.reads, a.aligned, a.nm, a.inserted, a.deleted) == (2, 20, 3, 1, 1)
+    assert a.true_identity == pytest.approx(0.85) and a.claimed_identity == pytest.approx(0.9) and a.ratio == pytest.approx(1.5) and a.clipped_fraction == pytest.approx(2 / 22)
+    assert got["b"].true_identity is None and got["b"].claimed_identity is None
