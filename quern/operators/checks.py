@@ -150,3 +150,52 @@ def conserved(merged: DataFrame, reported: DataFrame, n: str, mapped: DataFrame,
     x = c(merged, "a").crossJoin(reported.agg(F.coalesce(F.sum(n), F.lit(0)).alias("b"))).crossJoin(c(mapped, "m"))  # one row each
     one = lambda check, other: row(x, check, file, F.col("a") - F.col(other), verdict(F.col("a") == F.col(other), "counts differ", F.col("a") + F.col(other)))
     return report(one("merged equals shards", "b"), one("merged equals map", "m"))
+
+
+RETRYABLE = "FAILED|OUT_OF_MEMORY|TIMEOUT|NODE_FAIL|DEADLINE"  # fixed value: states of a task
+
+
+def failure_class(state: Column, code: Column, verdict_code: int) -> Column:
+    """class, retry of a task: ok, cancelled, failed verdict (it ran and found the data
+    wanting: the reserved exit code), out of memory, retryable, or unknown. Only the last
+    but one and out of memory are tried again. A null state is unknown."""
+    name = F.when(state.startswith("CANCELLED"), "cancelled").when((state == "FAILED") & (code == verdict_code), "failed verdict").when(state == "OUT_OF_MEMORY", "out of memory")
+    name = name.when(state.rlike(f"^({RETRYABLE})"), "retryable").when(state.startswith("COMPLETED"), "ok").otherwise("unknown")
+    return F.struct(name.alias("class"), name.isin("out of memory", "retryable").alias("retry"))
+
+
+def complete_and_indexed(files: DataFrame) -> DataFrame:
+    """A row a file (file, complete, indexed, written, index_written): it is complete; and a
+    row each that needs an index: it is there and not older than the file."""
+    ok = F.coalesce(F.col("complete"), F.lit(False))
+    current = F.when(F.col("index_written").isNull(), "FAIL (no index)").when(F.col("index_written") < F.col("written"), "FAIL (stale index)").otherwise("PASS")
+    return report(row(files, "complete", F.col("file"), ok.cast("int"), verdict(ok, "truncated or malformed")), row(files.where("indexed"), "index present and current", F.col("file"), F.col("index_written") - F.col("written"), current))
+
+
+def preflight(reports: DataFrame, expected: DataFrame) -> DataFrame:
+    """A row an expected file (file): the exit code and what its tool said of it in its JSON
+    report (file, text). A missing or unreadable report fails; a parse error, which
+    faults the data, is told from any other exit; of several stages the one that spoke is named."""
+    kind = "tool string, stage string, parse_error boolean, ok boolean, exit_code int, stages array<struct<ok:boolean>>"
+    r = reports.select(F.col("file").alias("__f"), F.lit(True).alias("__there"), F.from_json("text", kind).alias("r"))
+    d = expected.select("file").join(r, F.col("file") == F.col("__f"), "left")
+    who = F.coalesce(F.when(F.size("r.stages") > 1, F.concat(F.col("r.tool"), F.lit(" at "), F.coalesce("r.stage", "r.tool"))), F.col("r.tool"), F.lit("?"))
+    no = F.lit(False)
+    how = F.when(F.col("__there").isNull(), "FAIL (no report)").when(F.col("r.ok").isNull() & F.col("r.parse_error").isNull(), "FAIL (unreadable report)")
+    how = how.when(F.coalesce("r.parse_error", no), F.concat(F.lit("FAIL ("), who, F.lit(" rejected the data)"))).when(~F.coalesce("r.ok", no), F.concat(F.lit("FAIL ("), who, F.lit(" exited)"))).otherwise("PASS")
+    return row(d, "consumer preflight", F.col("file"), F.col("r.exit_code"), how)
+
+
+def header_layout(reads: DataFrame, maps: DataFrame, fields: Sequence[str], leaks: str) -> DataFrame:
+    """Three rows a file of reads (file, header): no header matches the pattern of `leaks`; all
+    carry `fields` as name=value in this order; the map (file, rows) has a row a read.
+    Every header is seen. A file without a map fails."""
+    names = F.transform(F.filter(F.slice(F.split("header", r"\s+"), 2, 1 << 20), lambda w: F.contains(w, F.lit("="))), lambda w: F.substring_index(w, "=", 1))
+    same = F.coalesce(F.array_join(names, ",") == ",".join(fields), F.lit(False))
+    x = reads.groupBy(F.col("file").cast("string").alias("file")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("header").rlike(leaks)).alias("leaky"), F.count_if(~same).alias("other"))
+    x = x.join(maps.select(F.col("file").cast("string").alias("__f"), F.col("rows").alias("__rows")), F.col("file") == F.col("__f"), "left")
+    current = F.when(F.col("__rows").isNull(), "FAIL (absent)").otherwise(verdict(F.col("__rows") == F.col("n"), "map does not describe these reads"))
+    return report(
+        row(x, "no simulator truth", F.col("file"), F.col("leaky"), verdict(F.col("leaky") == 0, "leaks")),
+        row(x, "measured layout", F.col("file"), F.col("other"), verdict(F.col("other") == 0, "other layout")),
+        row(x, "read map current", F.col("file"), F.col("__rows") - F.col("n"), current))

@@ -11,25 +11,61 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as sc
+from ..functions.sequence import reverse_complement
 from .intervals import asof_join, coalesce_equal, flanks, greedy, overlap_semi, point_join
 from .sampling import uniform
 
 STOPS = ("TAA", "TAG", "TGA")  # fixed values: stop codons of the standard code
 
 
+def fetched(spans: DataFrame, key: Sequence[str], blocks: DataFrame, width: int) -> DataFrame:
+    """key, text: the letters of each span (key, contig, start, end; cut at the contig's ends).
+    blocks: contig, block, seq, `width` letters each but the last. A span meets the few blocks
+    that it touches; one outside of all has no row."""
+    d = spans.select(*key, F.col("contig").alias("__on"), F.greatest("start", F.lit(0)).alias("__s"), F.col("end").alias("__e")).where("__e > __s")
+    d = d.withColumn("__b", F.explode(F.sequence(F.floor(F.col("__s") / width), F.floor((F.col("__e") - 1) / width))))
+    b = blocks.select(F.col("contig").alias("__c"), F.col("block").alias("__k"), F.col("seq").alias("__seq"))
+    low, high = F.greatest("__s", F.col("__k") * width), F.least(F.col("__e"), F.col("__k") * width + F.length("__seq"))
+    d = d.join(b, (F.col("__on") == F.col("__c")) & (F.col("__b") == F.col("__k"))).where(high > low)
+    piece = F.substring(F.col("__seq"), (low - F.col("__k") * width + 1).cast("int"), (high - low).cast("int"))
+    d = d.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("__k", piece.alias("s")))).alias("__p"))  # a few blocks
+    return d.select(*key, F.array_join(F.transform("__p", lambda x: x["s"]), "").alias("text"))
+
+
 def surroundings(sites: DataFrame, blocks: DataFrame, width: int, reach: int) -> DataFrame:
     """contig, pos, text, at: the letters in [pos - reach, pos + reach), cut at the contig's
-    ends, and where in them the site stands. blocks: contig, block, seq, `width` letters
-    each but the last. A site meets the few blocks that it touches; places outside of all
-    blocks have no row."""
-    near = sites.withColumn("__b", F.explode(F.sequence(F.floor(F.greatest(F.col("pos") - reach, F.lit(0)) / width), F.floor((F.col("pos") + reach - 1) / width))))
-    b = blocks.select(F.col("contig").alias("__c"), F.col("block").alias("__k"), "seq")
-    low = F.greatest(F.col("pos") - reach, F.lit(0), F.col("__k") * width)
-    high = F.least(F.col("pos") + reach, F.col("__k") * width + F.length("seq"))
-    d = near.join(b, (F.col("contig") == F.col("__c")) & (F.col("__b") == F.col("__k"))).withColumn("__low", low).where(high > F.col("__low"))
-    piece = F.substring(F.col("seq"), (F.col("__low") - F.col("__k") * width + 1).cast("int"), (high - F.col("__low")).cast("int"))
-    d = d.groupBy("contig", "pos").agg(F.array_sort(F.collect_list(F.struct(F.col("__low").alias("low"), piece.alias("s")))).alias("p"))  # a few blocks
-    return d.select("contig", "pos", F.array_join(F.transform("p", lambda x: x["s"]), "").alias("text"), (F.col("pos") - F.col("p")[0]["low"]).cast("int").alias("at"))
+    ends, and where in them the site stands. Blocks as in fetched, without holes."""
+    spans = sites.select("contig", "pos", (F.col("pos") - reach).alias("start"), (F.col("pos") + reach).alias("end"))
+    return fetched(spans, ["contig", "pos"], blocks, width).withColumn("at", (F.col("pos") - F.greatest(F.col("pos") - reach, F.lit(0))).cast("int"))
+
+
+def junction_contigs(events: DataFrame, blocks: DataFrame, width: int, flank: int) -> DataFrame:
+    """event, side, kind, sequence: what a read over each new join shows, `flank` letters a side.
+
+    events: event, kind, contig, start, end_contig, end (places from 1), element (the text
+    put in). DEL and TRA go on from start to end, DUP from end back to start, INV meets the
+    other strand before end. INS and VIRUS have two joins, 5p into the element and 3p out
+    of it. Other kinds, nulls, and joins shorter than `flank` have no row."""
+    e = events.select("event", "kind", "contig", F.coalesce("end_contig", "contig").alias("far"), "start", F.coalesce("end", "start").alias("end"), "element")
+    s, t, own, far, none = F.col("start"), F.col("end"), F.col("contig"), F.col("far"), F.lit(None).cast("string")
+
+    def piece(side: str, part: int, contig, low, turned: bool = False, text=none):
+        return F.struct(F.lit(side).alias("side"), F.lit(part).alias("part"), contig.alias("on"), (low - 1).cast("long").alias("low"), F.lit(turned).alias("turned"), text.alias("text"))
+
+    upto = lambda side, part, contig, at, turned=False: piece(side, part, contig, at - flank + 1, turned)
+    into = piece("5p", 1, F.lit(None).cast(events.schema["contig"].dataType), F.lit(None).cast("long"), text=F.substring("element", F.lit(1), F.lit(flank)))
+    out = piece("3p", 0, F.lit(None).cast(events.schema["contig"].dataType), F.lit(None).cast("long"), text=F.right("element", F.lit(flank)))
+    parts = F.when(F.col("kind").isin("DEL", "TRA"), F.array(upto("", 0, own, s), piece("", 1, F.when(F.col("kind") == "TRA", far).otherwise(own), t)))
+    parts = parts.when(F.col("kind") == "DUP", F.array(upto("", 0, own, t), piece("", 1, own, s)))
+    parts = parts.when(F.col("kind") == "INV", F.array(upto("", 0, own, s), upto("", 1, own, t, True)))
+    parts = parts.when(F.col("kind").isin("INS", "VIRUS") & (F.length("element") > 0), F.array(upto("5p", 0, own, s), into, out, piece("3p", 1, own, s + 1)))
+    d = e.where("start is not null").select("event", "kind", F.explode(parts).alias("p")).select("event", "kind", "p.*")
+    key = ["event", "side", "part"]
+    spans = d.where("text is null").select(*key, F.col("on").alias("contig"), F.col("low").alias("start"), (F.col("low") + flank).alias("end"))
+    got = fetched(spans, key, blocks, width).withColumnRenamed("text", "__text")
+    d = d.join(got, key, "left").withColumn("text", F.coalesce("text", F.when(F.col("turned"), reverse_complement(F.col("__text"))).otherwise(F.col("__text")), F.lit("")))
+    d = d.groupBy("event", "side", "kind").agg(F.array_sort(F.collect_list(F.struct("part", "text"))).alias("p"))  # two parts
+    return d.select("event", "side", "kind", F.array_join(F.transform("p", lambda x: x["text"]), "").alias("sequence")).where(F.length("sequence") >= flank)
 
 
 def run_length(text: Column, at: Column, reach: int = 12) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as sc
 from ..operators import aggregates as agg
 from ..operators import checks, intervals, sets, windows
-from ._times import days
+from ._times import days, micros
 from .registry import query
 from .scalar_plans import _P, _dna
 
@@ -126,10 +126,14 @@ def q11_length_targets(t):
     return checks.row(m, "length target", F.col("lang"), F.round("m", 6), checks.band(F.col("m"), 1500, 3000))
 
 
-@query("WITH c AS (SELECT count(*) FILTER (regexp_matches(url, 'token|truth')) AS n, count(*) AS a FROM pages) " + _v("leaks in names", "''", "n", "CASE WHEN a = 0 THEN '" + _NONE + "' WHEN n = 0 THEN 'PASS' ELSE 'FAIL (leaks)' END", "FROM c"))
+@query("WITH x AS (SELECT l_suppkey AS file, count(*) AS n, count(*) FILTER (l_orderkey % 2999 = 0) AS leaky, count(*) FILTER (l_partkey % 997 = 0) AS other FROM lineitem GROUP BY 1), m AS (SELECT s_suppkey AS file, (SELECT count(*) FROM lineitem WHERE l_suppkey = s_suppkey) + (s_suppkey % 5 = 0)::INT AS rows FROM supplier WHERE s_suppkey % 7 <> 0), j AS (SELECT x.*, m.rows FROM x LEFT JOIN m USING (file)) " + _v("no simulator truth", "file", "leaky", "CASE WHEN leaky = 0 THEN 'PASS' ELSE 'FAIL (leaks)' END", "FROM j") + " UNION ALL " + _v("measured layout", "file", "other", "CASE WHEN other = 0 THEN 'PASS' ELSE 'FAIL (other layout)' END", "FROM j") + " UNION ALL " + _v("read map current", "file", "rows - n", "CASE WHEN rows IS NULL THEN 'FAIL (absent)' WHEN rows = n THEN 'PASS' ELSE 'FAIL (map does not describe these reads)' END", "FROM j"))
 def q12_header_leaks(t):
-    c = t.pages.agg(F.count_if(F.col("url").rlike("token|truth")).alias("n"), F.count(F.lit(1)).alias("a"))
-    return checks.row(c, "leaks in names", "", F.col("n"), checks.verdict(F.col("n") == 0, "leaks", F.col("a")))
+    run, read = F.concat(F.lit("runid="), F.col("l_partkey").cast("string")), F.concat(F.lit("read="), F.col("l_orderkey").cast("string"))
+    header = F.concat_ws(" ", F.lit("@id"), F.when(F.col("l_partkey") % 997 == 0, read).otherwise(run), F.when(F.col("l_partkey") % 997 == 0, run).otherwise(read), F.when(F.col("l_orderkey") % 2999 == 0, "error-free_length 9"))
+    reads = t.lineitem.select(F.col("l_suppkey").alias("file"), header.alias("header"))
+    n = t.lineitem.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    maps = t.supplier.where("s_suppkey % 7 <> 0").join(n, F.col("l_suppkey") == F.col("s_suppkey"), "left").select(F.col("s_suppkey").alias("file"), (F.coalesce("n", F.lit(0)) + (F.col("s_suppkey") % 5 == 0).cast("int")).alias("rows"))
+    return checks.header_layout(reads, maps, ["runid", "read"], "error-free_length")
 
 
 @query(_v("map row count", "''", "a - b", "CASE WHEN a + b = 0 THEN '" + _NONE + "' WHEN a = b THEN 'PASS' ELSE 'FAIL (counts differ)' END", "FROM (SELECT (SELECT count(*) FROM orders) AS a, (SELECT count(DISTINCT l_orderkey) FROM lineitem) AS b)"))
@@ -196,10 +200,13 @@ def q19_bands_per_kind(t):
     return checks.row(j, "bands", F.coalesce("kind", "event_type"), F.round("m", 6), v)
 
 
-@query("WITH x AS (SELECT event_type, count(*) FILTER (json_extract(props, '$.k') IS NULL) AS bad, count(*) AS n FROM events GROUP BY 1) " + _v("preflight", "event_type", "bad", "CASE WHEN bad = 0 THEN 'PASS' ELSE 'FAIL (parse error)' END", "FROM x"))
+@query("WITH x AS (SELECT s_suppkey AS file, s_suppkey % 6 AS k, s_suppkey % 2 = 0 AS chain FROM supplier) " + _v("consumer preflight", "file", "CASE k WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 5 THEN 0 END", "CASE k WHEN 3 THEN 'FAIL (no report)' WHEN 4 THEN 'FAIL (unreadable report)' WHEN 1 THEN 'FAIL (' || CASE WHEN chain THEN 'star at quant' ELSE 'star' END || ' rejected the data)' WHEN 2 THEN 'FAIL (' || CASE WHEN chain THEN 'star at quant' ELSE 'star' END || ' exited)' ELSE 'PASS' END", "FROM x"))
 def q20_parse_errors(t):
-    x = t.events.groupBy("event_type").agg(F.count_if(F.from_json("props", "k int")["k"].isNull()).alias("bad"))
-    return checks.row(x, "preflight", F.col("event_type"), F.col("bad"), checks.verdict(F.col("bad") == 0, "parse error"))
+    k = F.col("s_suppkey") % 6
+    stages = F.when(F.col("s_suppkey") % 2 == 0, '[{"ok":true},{"ok":false}]').otherwise("[]")
+    said = F.when(k == 1, '"parse_error":true,"ok":false,"exit_code":1').when(k == 2, '"parse_error":false,"ok":false,"exit_code":2').otherwise('"ok":true,"exit_code":0')
+    text = F.when(k == 4, "{oops").otherwise(F.concat(F.lit('{"tool":"star","stage":"quant","stages":'), stages, F.lit(","), said, F.lit("}")))
+    return checks.preflight(t.supplier.where(k != 3).select(F.col("s_suppkey").alias("file"), text.alias("text")), t.supplier.select(F.col("s_suppkey").alias("file")))
 
 
 @query("WITH x AS (SELECT c_mktsegment AS f, count(*) / (SELECT count(*) / 5.0 FROM customer) AS y FROM customer GROUP BY 1) " + _v("yield", "f", "round(y, 9)", "CASE WHEN abs(y - 1) <= 0.15 THEN 'PASS' ELSE 'FAIL (out of bound)' END", "FROM x"))
@@ -231,10 +238,12 @@ def q24_mates_paired(t):
     return checks.none_of(j, "mates paired")
 
 
-@query("WITH x AS (SELECT conv_id, max(turn) + 1 AS last, count(*) AS n FROM conversations GROUP BY 1) " + _v("complete", "''", "bad", "CASE WHEN bad = 0 THEN 'PASS' ELSE 'FAIL (violations)' END", "FROM (SELECT count(*) AS bad FROM x WHERE last <> n)"))
+@query("WITH f AS (SELECT o_orderkey AS file, n = o_orderkey % 4 + 2 AS ok, o_orderstatus <> 'P' AS indexed, epoch(o_orderdate) AS w, epoch(last) AS i FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n, max(l_shipdate) - INTERVAL 60 DAY AS last FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey) " + _v("complete", "file", "coalesce(ok, false)::INT", "CASE WHEN coalesce(ok, false) THEN 'PASS' ELSE 'FAIL (truncated or malformed)' END", "FROM f") + " UNION ALL " + _v("index present and current", "file", "i - w", "CASE WHEN i IS NULL THEN 'FAIL (no index)' WHEN i < w THEN 'FAIL (stale index)' ELSE 'PASS' END", "FROM f WHERE indexed"))
 def q25_complete_and_indexed(t):
-    x = t.conversations.groupBy("conv_id").agg((F.max("turn") + 1).alias("last"), F.count(F.lit(1)).alias("n")).where("last <> n")
-    return checks.none_of(x, "complete")
+    seconds = lambda c: F.floor(micros(c) / 1_000_000)
+    found = t.lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), (F.max(seconds("l_shipdate")) - 60 * 86400).alias("index_written"))
+    d = t.orders.join(found, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    return checks.complete_and_indexed(d.select(F.col("o_orderkey").alias("file"), (F.col("n") == F.col("o_orderkey") % 4 + 2).alias("complete"), (F.col("o_orderstatus") != "P").alias("indexed"), seconds("o_orderdate").alias("written"), "index_written"))
 
 
 @query("WITH g AS (SELECT l_orderkey, l_linestatus <> first_value(l_linestatus) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS other FROM lineitem), x AS (SELECT count(*) AS n, count(*) FILTER (other) AS opposite FROM g) " + _v("orientation shared", "''", "opposite", "CASE WHEN n < 50 THEN 'SKIP (too few)' WHEN opposite = 0 THEN 'PASS' ELSE 'FAIL (opposite mates)' END", "FROM x"))
@@ -292,7 +301,9 @@ def q35_staging_gate(t):
     return j.groupBy("o_orderkey").agg((F.max(days("o_orderdate") - days("l_shipdate")) > 0).alias("held"))
 
 
-@query("SELECT event_id, CASE WHEN event_type = 'error' AND value > 50 THEN 'out of memory' WHEN event_type = 'error' THEN 'retryable' WHEN event_type = 'signup' THEN 'cancelled' WHEN value < 1 THEN 'failed verdict' ELSE 'ok' END AS class, event_type = 'error' AS retry FROM events")
+@query("WITH x AS (SELECT event_id, CASE event_id % 7 WHEN 0 THEN 'FAILED' WHEN 1 THEN 'OUT_OF_MEMORY' WHEN 2 THEN 'CANCELLED by 0' WHEN 3 THEN 'TIMEOUT' WHEN 4 THEN 'COMPLETED' WHEN 5 THEN 'NODE_FAIL' ELSE 'PENDING' END AS s, CASE WHEN event_type = 'error' THEN 9 ELSE 1 END AS c FROM events), y AS (SELECT event_id, CASE WHEN s = 'CANCELLED by 0' THEN 'cancelled' WHEN s = 'FAILED' AND c = 9 THEN 'failed verdict' WHEN s = 'OUT_OF_MEMORY' THEN 'out of memory' WHEN s IN ('FAILED', 'TIMEOUT', 'NODE_FAIL') THEN 'retryable' WHEN s = 'COMPLETED' THEN 'ok' ELSE 'unknown' END AS class FROM x) SELECT event_id, class, class IN ('out of memory', 'retryable') AS retry FROM y")
 def q36_failure_classes(t):
-    e, v = F.col("event_type"), F.col("value")
-    return t.events.select("event_id", F.when((e == "error") & (v > 50), "out of memory").when(e == "error", "retryable").when(e == "signup", "cancelled").when(v < 1, "failed verdict").otherwise("ok").alias("class"), (e == "error").alias("retry"))
+    states = F.array(*[F.lit(x) for x in ("FAILED", "OUT_OF_MEMORY", "CANCELLED by 0", "TIMEOUT", "COMPLETED", "NODE_FAIL", "PENDING")])
+    state = F.element_at(states, (F.col("event_id") % 7 + 1).cast("int"))
+    code = F.when(F.col("event_type") == "error", 9).otherwise(1)
+    return t.events.select("event_id", checks.failure_class(state, code, 9).alias("f")).select("event_id", "f.class", "f.retry")

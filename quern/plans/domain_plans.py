@@ -150,15 +150,6 @@ def d36_normalised_variants(t):
     return d.select("p_partkey", "v.pos", "v.ref", "v.alt", same.alias("same_sequence"))
 
 
-@query(f"WITH {_P}, k AS (SELECT p_partkey, dna, CASE p_partkey % 4 WHEN 0 THEN 'DEL' WHEN 1 THEN 'DUP' WHEN 2 THEN 'INV' ELSE 'INS' END AS kind FROM p) SELECT p_partkey, kind, 0 AS part, CASE kind WHEN 'DEL' THEN substr(dna, 11, 10) || substr(dna, 41, 10) WHEN 'DUP' THEN substr(dna, 31, 10) || substr(dna, 21, 10) WHEN 'INV' THEN substr(dna, 11, 10) || reverse(translate(substr(dna, 31, 10), 'ACGT', 'TGCA')) ELSE substr(dna, 11, 10) || 'NNNN' END AS contig FROM k UNION ALL SELECT p_partkey, kind, 1, 'NNNN' || substr(dna, 21, 10) FROM k WHERE kind = 'INS'")
-def d18_junction_contigs(t):
-    d = _dna(t).withColumn("kind", F.element_at(F.array(*[F.lit(x) for x in ("DEL", "DUP", "INV", "INS")]), (F.col("p_partkey") % 4 + 1).cast("int")))
-    at = lambda i: F.substring("dna", i, 10)
-    one = F.when(F.col("kind") == "DEL", F.concat(at(11), at(41))).when(F.col("kind") == "DUP", F.concat(at(31), at(21))).when(F.col("kind") == "INV", F.concat(at(11), sq.reverse_complement(at(31)))).otherwise(F.concat(at(11), F.lit("NNNN")))
-    parts = F.array_compact(F.array(one, F.when(F.col("kind") == "INS", F.concat(F.lit("NNNN"), at(21)))))
-    return d.select("p_partkey", "kind", F.posexplode(parts).alias("part", "contig"))
-
-
 @query(f"SELECT s_suppkey, round({_PURITY}::DOUBLE * (s_nationkey / 25.0) * (1 + s_suppkey % 4), 9) AS weight FROM supplier")
 def d19_payload_weight(t):
     return t.supplier.select("s_suppkey", F.round(F.lit(_PURITY) * (F.col("s_nationkey") / 25.0) * (1 + F.col("s_suppkey") % 4), 9).alias("weight"))

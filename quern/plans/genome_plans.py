@@ -178,3 +178,22 @@ def d17_capture_windows(t):
     far = genome.distal(spans.select("contig", "length").distinct(), spans, 40, 500, 2000, 35, 100)
     named = lambda d, band, depth: d.select("contig", F.lit(band).alias("band"), F.lit(depth).alias("depth"), "start", "end")
     return named(spans, "target", 1.0).unionByName(bands).unionByName(named(far, "distal", 0.012))
+
+
+_RC = "reverse(translate({0}, 'ACGT', 'TGCA'))"
+_AT = "substr({0}, CAST(greatest({1}, 1) AS BIGINT), CAST(greatest(0, {1} + 20 - greatest({1}, 1)) AS BIGINT))"  # 20 letters from a place
+
+
+@query(f"""WITH {_P}, k AS (SELECT *, p_partkey // 8 AS contig, p_partkey % 8 * 64 AS base FROM p), g AS (SELECT contig, string_agg(dna, '' ORDER BY base) AS seq FROM k GROUP BY 1),
+e AS (SELECT k.p_partkey AS event, ['DEL', 'DUP', 'INV', 'TRA', 'INS', 'VIRUS'][k.p_partkey % 6 + 1] AS kind, a.seq AS s, b.seq AS f, base + p_size AS x, base + p_size + 3 + 7 * (p_size % 5) AS y, substr(dna, 1, CAST(10 + p_size % 30 AS BIGINT)) AS el FROM k JOIN g a ON a.contig = k.contig JOIN g b ON b.contig = k.p_partkey // 16),
+o AS (SELECT event, '' AS side, kind, CASE kind WHEN 'DEL' THEN {_AT.format("s", "x - 19")} || {_AT.format("s", "y")} WHEN 'TRA' THEN {_AT.format("s", "x - 19")} || {_AT.format("f", "y")} WHEN 'DUP' THEN {_AT.format("s", "y - 19")} || {_AT.format("s", "x")} ELSE {_AT.format("s", "x - 19")} || {_RC.format(_AT.format("s", "y - 19"))} END AS sequence FROM e WHERE kind NOT IN ('INS', 'VIRUS')
+ UNION ALL SELECT event, '5p', kind, {_AT.format("s", "x - 19")} || substr(el, 1, 20) FROM e WHERE kind IN ('INS', 'VIRUS') UNION ALL SELECT event, '3p', kind, right(el, 20) || {_AT.format("s", "x + 1")} FROM e WHERE kind IN ('INS', 'VIRUS'))
+SELECT * FROM o WHERE length(sequence) >= 20""")
+def d18_junction_contigs(t):
+    k, size = F.col("p_partkey"), F.col("p_size")
+    d = _dna(t)
+    blocks = d.select(F.floor(k / 8).alias("contig"), (k % 8).alias("block"), F.col("dna").alias("seq"))
+    kind = F.element_at(F.array(*[F.lit(x) for x in ("DEL", "DUP", "INV", "TRA", "INS", "VIRUS")]), (k % 6 + 1).cast("int"))
+    start = k % 8 * 64 + size
+    events = d.select(k.alias("event"), kind.alias("kind"), F.floor(k / 8).alias("contig"), start.alias("start"), F.floor(k / 16).alias("end_contig"), (start + 3 + size % 5 * 7).alias("end"), F.substring(F.col("dna"), F.lit(1), 10 + size % 30).alias("element"))
+    return genome.junction_contigs(events, blocks, 64, 20)

@@ -101,3 +101,19 @@ def test_derived_plan(spark):
     assert report["t", "a"] == report["t", "b"] == "placed"
     rows, report = plan(cut)  # inside of a duplicate
     assert rows["a"] == whole and report["t", "a"] == "not placed" and report["u", "c"] == "skipped"
+
+
+def test_junction_contigs(spark):
+    seq = "ACGTTGCAAC" * 4
+    blocks = spark.createDataFrame([("c", i, seq[i * 8 : i * 8 + 8]) for i in range(5)] + [("d", 0, "TTTTTTTT")], "contig string, block long, seq string")
+    rows = [
+        (1, "DEL", "c", 10, None, 20, None), (2, "DUP", "c", 10, None, 20, None), (3, "INV", "c", 10, None, 20, None), (4, "TRA", "c", 10, "d", 2, None), (5, "INS", "c", 10, None, None, "GGGGGGG"),
+        (6, "INS", "c", 10, None, 10, None), (7, "CNV", "c", 10, None, 20, None), (8, "DEL", "c", None, None, 20, None), (9, "DEL", "x", 10, None, 20, None), (10, "DEL", "c", 2, None, 39, None),
+    ]
+    events = spark.createDataFrame(rows, "event int, kind string, contig string, start long, end_contig string, `end` long, element string")
+    got = {(r.event, r.side): r.sequence for r in genome.junction_contigs(events, blocks, 8, 4).collect()}
+    turned = seq[16:20][::-1].translate(str.maketrans("ACGT", "TGCA"))
+    assert got == {
+        (1, ""): seq[6:10] + seq[19:23], (2, ""): seq[16:20] + seq[9:13], (3, ""): seq[6:10] + turned, (4, ""): seq[6:10] + "TTTT",
+        (5, "5p"): seq[6:10] + "GGGG", (5, "3p"): "GGGG" + seq[10:14], (10, ""): seq[0:2] + seq[38:40],
+    }

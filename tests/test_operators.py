@@ -268,3 +268,22 @@ def test_pass_counts_and_identity(spark):
     assert (a.reads, a.aligned, a.nm, a.inserted, a.deleted) == (2, 20, 3, 1, 1)
     assert a.true_identity == pytest.approx(0.85) and a.claimed_identity == pytest.approx(0.9) and a.ratio == pytest.approx(1.5) and a.clipped_fraction == pytest.approx(2 / 22)
     assert got["b"].true_identity is None and got["b"].claimed_identity is None
+
+
+def test_file_checks(spark):
+    tasks = spark.createDataFrame([("FAILED", 9), ("FAILED", 1), ("CANCELLED by 7", 9), ("OUT_OF_MEMORY", 0), (None, None), ("COMPLETED", 0)], "s string, c int")
+    got = [(r.f["class"], r.f["retry"]) for r in tasks.select(checks.failure_class(F.col("s"), F.col("c"), 9).alias("f")).collect()]
+    assert got == [("failed verdict", False), ("retryable", True), ("cancelled", False), ("out of memory", True), ("unknown", False), ("ok", False)]
+    files = spark.createDataFrame([("a", True, True, 5, 5), ("b", None, True, 5, 4), ("c", False, True, 5, None), ("d", True, False, 5, None)], "file string, complete boolean, indexed boolean, written long, index_written long")
+    got = {(r.file, r.check): r.verdict for r in checks.complete_and_indexed(files).collect()}
+    assert got["a", "complete"] == got["a", "index present and current"] == "PASS" and got["b", "complete"].startswith("FAIL")
+    assert got["b", "index present and current"] == "FAIL (stale index)" and got["c", "index present and current"] == "FAIL (no index)" and ("d", "index present and current") not in got
+    expected = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "file string")
+    reports = spark.createDataFrame([("a", '{"tool":"t","ok":true}'), ("b", None), ("c", '{"tool":"t","stage":"u","parse_error":true,"stages":[{"ok":true},{"ok":false}]}')], "file string, text string")
+    got = {r.file: r.verdict for r in checks.preflight(reports, expected).collect()}
+    assert got == {"a": "PASS", "b": "FAIL (unreadable report)", "c": "FAIL (t at u rejected the data)", "d": "FAIL (no report)"}
+    reads = spark.createDataFrame([("a", "@x p=1 q=2"), ("a", "@x\tp=1  q=3"), ("b", "@x q=1 p=2"), ("b", None), ("c", "@x p=1 q=1 hap=2")], "file string, header string")
+    maps = spark.createDataFrame([("a", 2), ("b", 3)], "file string, rows long")
+    got = {(r.file, r.check): r.verdict for r in checks.header_layout(reads, maps, ["p", "q"], "hap").collect()}
+    assert {v for (f, _), v in got.items() if f == "a"} == {"PASS"}
+    assert got["b", "measured layout"] == "FAIL (other layout)" and got["b", "read map current"].startswith("FAIL (map") and got["c", "read map current"] == "FAIL (absent)" and got["c", "no simulator truth"] == "FAIL (leaks)"
