@@ -31,11 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ._kept import Kept
 from ._shared import new_path, partitions, small_batches, trimmed
 
 SEQ_LEN = 2048
 SEQS_A_BATCH = 64
-CACHE_PIECES = 60_000  # about 12 MB, and as much for those kept before them
+KEPT_BYTES = 8 << 20  # of pieces' ids; as much for those kept before them, and both again for words of simple texts
 # The parts of a tokenizers file under which pieces can be encoded alone.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
@@ -49,30 +50,6 @@ _BYTES = {b: 256 + k for k, b in enumerate(_HIDDEN)}
 _SPACES = str.maketrans({"\n": " ", "\t": " ", "\r": " "})
 
 
-class _Kept(dict):
-    """Ids of pieces, encoded when first asked for; the last two generations of CACHE_PIECES."""
-
-    def __init__(self, encode: Callable[[str], bytes]):
-        super().__init__()
-        self.encode, self.older = encode, {}
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
-        if ids is None:
-            ids = self.encode(piece)
-        self[piece] = ids
-        return ids
-
-    def turn(self) -> None:
-        if len(self) > CACHE_PIECES:
-            self.older = dict(self)
-            self.clear()
-
-    def drop(self) -> None:
-        self.older = {}
-        self.clear()
-
-
 class Encoder:
     """Ids of texts by a tokenizers file, special tokens not added.
 
@@ -91,7 +68,7 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.by_pieces = (spec.get("normalizer"), spec.get("pre_tokenizer"), spec["model"].get("end_of_word_suffix")) == (NORMALIZER, PRE_TOKENIZER, WORD_END)
-        self.words, self.others = _Kept(self._word), _Kept(self._ids)
+        self.words, self.others = Kept(self._word, KEPT_BYTES), Kept(self._ids, KEPT_BYTES)
         self.tokenize, self.code = self.tokenizer.model.tokenize, self.dtype.char
 
     def _ids(self, text: str) -> bytes:
@@ -105,8 +82,6 @@ class Encoder:
         """For each text the bytes of its ids."""
         if not self.by_pieces:
             return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        self.words.turn()
-        self.others.turn()
         word, other = self.words.__getitem__, self.others.__getitem__
         return [b"".join(map(word, _PIECE.findall(t.lower())) if _SIMPLE.fullmatch(t) and "<|" not in t else map(other, t.translate(_SPACES).split(" "))) for t in texts]
 
@@ -145,11 +120,11 @@ class _Shard:
         self.dtype, self.rest, self.writer = dtype, b"", pa.ipc.new_file(sink, self.schema)
 
     def add(self, ids: bytes) -> None:
-        self.rest += ids
-        step = self.size * self.dtype.itemsize
-        while len(self.rest) >= step:
-            self._batch(np.frombuffer(self.rest[:step], self.dtype), self.size)
-            self.rest = self.rest[step:]
+        data, at, step = memoryview(self.rest + ids), 0, self.size * self.dtype.itemsize
+        while len(data) - at >= step:
+            self._batch(np.frombuffer(data[at : at + step], self.dtype), self.size)
+            at += step
+        self.rest = bytes(data[at:])
 
     def _batch(self, ids: np.ndarray, real: int) -> None:
         lists = [pa.FixedSizeListArray.from_arrays(x, self.n) for x in (pa.array(ids), pa.array(np.arange(len(ids)) < real))]
@@ -245,22 +220,23 @@ def _reader(out: str) -> Callable:
         for batch in batches:
             for shard, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 name = f"{out}/shard-{shard:06d}"
-                docs = open_store(f"{name}.docs.arrow").read_all()
-                starts, sizes = docs["start"].to_numpy(), docs["n_tokens"].to_numpy()
-                ids = open_store(f"{name}.arrow")
-                crc = np.zeros(len(starts), np.int64)
-                d = at = 0
-                for b in range(ids.num_record_batches):
-                    part = ids.get_batch(b).column(0).values.to_numpy()
-                    while d < len(starts) and starts[d] < at + len(part):
-                        lo, hi = max(starts[d] - at, 0), min(starts[d] + sizes[d] - at, len(part))
-                        crc[d] = zlib.crc32(part[lo:hi].astype("<u4").tobytes(), int(crc[d]))
-                        if starts[d] + sizes[d] > at + len(part):
-                            break
-                        d += 1
-                    at += len(part)
-                out_ids = docs["doc_id"].combine_chunks()
-                yield pa.RecordBatch.from_arrays([out_ids, pa.array(starts + base), pa.array(sizes), pa.array(crc)], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                docs, ids = open_store(f"{name}.docs.arrow"), open_store(f"{name}.arrow")
+                part, at, following = np.zeros(0, np.uint32), 0, 0  # a batch of ids and where it begins
+                for d in range(docs.num_record_batches):
+                    rows = docs.get_batch(d)
+                    starts, sizes = rows.column("start").to_numpy(), rows.column("n_tokens").to_numpy()
+                    crc = np.zeros(len(starts), np.int64)
+                    for i, (lo, end) in enumerate(zip(starts.tolist(), (starts + sizes).tolist())):
+                        seen = 0
+                        while lo < end:
+                            while lo >= at + len(part):
+                                at += len(part)
+                                part, following = ids.get_batch(following).column(0).values.to_numpy(), following + 1
+                            piece = part[lo - at : end - at]
+                            seen = zlib.crc32(piece.astype("<u4").tobytes(), seen)
+                            lo += len(piece)
+                        crc[i] = seen
+                    yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(starts + base), pa.array(sizes), pa.array(crc)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return read
 

@@ -87,8 +87,33 @@ def test_fixture_documents_match_the_library(spark):
 
 
 def test_small_cache_gives_the_same(monkeypatch):
-    monkeypatch.setattr(to, "CACHE_PIECES", 3)
+    monkeypatch.setattr(to, "KEPT_BYTES", 1000)
     e = to.Encoder(word_tokenizer())
     for t in ("a b c d e", "c d e f g", "a b c x y z", "c d"):
         assert np.frombuffer(e.encode([t])[0], e.dtype).tolist() == e.tokenizer.encode(t).ids
         assert len(e.words) + len(e.words.older) < 20
+
+
+def test_long_pieces_are_not_kept():
+    """Texts without spaces: nothing of them stays in a worker."""
+
+    def resident():
+        with open("/proc/self/status") as f:
+            return next(int(line.split()[1]) for line in f if line.startswith("VmRSS")) / 1024
+
+    e, r = to.Encoder(word_tokenizer()), np.random.default_rng(1)
+    e.encode(["\u7684" * 1600])
+    before = resident()
+    for _ in range(60):
+        e.encode(["".join(map(chr, r.integers(0x4E00, 0x9FFF, 1600))) for _ in range(64)])
+    assert not e.others and not e.words and resident() - before < 20
+
+
+def test_a_long_text_goes_into_many_batches(spark, tmp_path):
+    text = "word " * 700_000
+    df = spark.createDataFrame([(1, text), (2, "b")], "doc_id long, text string")
+    out, shards = to.write_tokens(df, word_tokenizer(), out=f"file://{tmp_path}/store")
+    got = sorted(map(tuple, to.read_tokens(spark, out, shards).collect()))
+    ids = to.Encoder(word_tokenizer()).tokenizer.encode(text).ids + [1]
+    assert got[0] == (1, 0, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    assert sum(to.open_store(f"{out}/shard-{s:06d}.arrow").num_record_batches for s, _, _ in shards) > 5
