@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -102,14 +103,15 @@ class Ledger:
     def add(self, df: DataFrame, version: str, id_col: str = "doc_id", text_col: str = "text", rules: dict[str, int] | None = None) -> None:
         """Record a version of the rows of df and scan what no version had.
 
-        A null text is empty. Rows that repeat, ids included, are one path each time.
+        A null text is empty. Rows that repeat, ids included, are one path each time; null
+        ids are paths too. A version without rows has none, also if it had some before.
         """
         small_batches(self.spark)
         rules = [f"{k}@{v}" for k, v in (rules or RULES).items()]
         texts = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
         rows = texts.withColumn("blob", F.unhex(F.sha2("text", 256)))
         id_type = rows.schema["id"].dataType.simpleString()
-        rows.select("id", "blob", F.lit(version).alias("version")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(f"{self.path}/paths")
+        rows.select("id", "blob").write.mode("overwrite").parquet(f"{self.path}/paths/version={quote(version, safe='')}")
         here = self.paths(id_type).where(F.col("version") == version).select("id", "blob")
         # One row stands for each blob; a hot blob's copies meet as digests, summed before the shuffle.
         todo = F.array(*[F.lit(r) for r in rules])

@@ -69,6 +69,15 @@ def test_a_version_can_be_added_again(spark, docs, tmp_path, monkeypatch):
     check(ledger.report(docs(TEXTS), "v2").collect(), TEXTS)
 
 
+def test_a_version_added_again_without_rows_is_empty(spark, docs, tmp_path):
+    ledger = Ledger(spark, f"file://{tmp_path}/ledger")
+    ledger.add(docs(TEXTS[:3]), "v1")
+    ledger.add(docs([]), "v1")
+    assert ledger.report(docs(TEXTS[:3]), "v1").collect() == [] and ledger.paths().count() == 0
+    ledger.add(docs(TEXTS), "v1")
+    check(ledger.report(docs(TEXTS), "v1").collect(), TEXTS)
+
+
 def test_many_unseen_blobs_give_the_same(docs, monkeypatch):
     want = sorted(map(str, scan_secrets(docs(TEXTS)).collect()))
     monkeypatch.setattr(secrets, "SMALL", 0)
