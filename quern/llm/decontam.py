@@ -53,7 +53,7 @@ def build_index(df: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_co
     rows = df.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), words(F.col(text_col)).alias("words"))
     # An empty word ends each text: its place is the number of words, under term 0.
     lists = rows.select("row", "doc_id", F.posexplode(F.array_append("words", F.lit(""))).alias("pos", "word"))
-    known = terms.select("word", "term").union(df.sparkSession.createDataFrame([("", 0)], "word string, term long"))
+    known = terms.select("word", "term").union(df.sparkSession.range(1).select(F.lit("").alias("word"), F.lit(0).cast("long").alias("term")))
     known = F.broadcast(known) if terms.count() <= SMALL else known
     placed = lists.join(known, "word").select("row", F.when(F.col("term") == 0, F.col("doc_id")).alias("doc_id"), "pos", "term")
     index = materialize(placed, "postings")
