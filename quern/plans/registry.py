@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 FLAGSHIP = "d31_truth_fraction"
-MODULES = ("interval_plans", "aggregate_plans", "window_plans", "join_plans", "sampling_plans", "scalar_plans", "scans", "projections", "domain_plans", "genome_plans", "check_plans", "calibration_plans")
+MODULES = ("interval_plans", "aggregate_plans", "window_plans", "join_plans", "sampling_plans", "scalar_plans", "scans", "projections", "domain_plans", "genome_plans", "check_plans", "calibration_plans", "assay_plans")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 

@@ -224,3 +224,21 @@ def aliases(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     both = df.withColumn("alias", F.explode(F.when(F.col(key).startswith("ENST"), F.array_distinct(F.array(F.col(key), short))).otherwise(F.array(F.col(key)))))
     w = Window.partitionBy("alias").orderBy((F.col("alias") != F.col(key)).cast("int"), *order)
     return both.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+
+
+def sidecar_totals(spark: SparkSession, path: str, kind: str, keys: dict[str, list[str]], distinct: dict[str, str] = {}) -> DataFrame:
+    """kind, sidecars, read_, bytes and a column for each entry of keys and distinct.
+
+    Each line of the files under path (in folders kind=...) is a JSON document of some
+    version. keys: sums of whole numbers, each under the first of its paths that the
+    document has as a number; distinct: how many different texts a path has. read_ counts
+    the lines that are JSON documents; others, and empty lines, add nothing but to
+    sidecars. Bytes are the files' sizes, whatever they hold. Documents are taken as
+    VARIANT, so no schema is given and none is found out by reading twice."""
+    d = spark.read.text(path).select(F.col(kind).cast("string").alias(kind), F.try_parse_json(F.when(F.trim("value") != "", F.col("value"))).alias("v"), F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_size").alias("__size"))
+    first = lambda paths: F.coalesce(*[F.try_variant_get("v", p, "long") for p in paths], F.lit(0))
+    sums = [F.sum(first(p)).alias(name) for name, p in keys.items()]
+    texts = [F.count_distinct(F.try_variant_get("v", p, "string")).alias(name) for name, p in distinct.items()]
+    rows = d.groupBy(kind).agg(F.count(F.lit(1)).alias("sidecars"), F.count("v").alias("read_"), *sums, *texts)
+    sizes = d.groupBy(kind, "__file").agg(F.max("__size").alias("__size")).groupBy(kind).agg(F.sum("__size").alias("bytes"))
+    return rows.join(sizes, kind)
