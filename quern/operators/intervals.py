@@ -6,6 +6,7 @@ columns (times: microseconds or seconds as long). Null starts or ends match noth
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,39 +15,76 @@ from pyspark.sql import functions as F
 WIDTH = 1 << 20  # places whose rows may meet in one task
 
 
-def bins(start: Column, end: Column, width: int) -> Column:
-    """The bins that [start, end) touches; an empty interval touches none."""
-    return F.when(end > start, F.sequence(F.floor(start / width), F.floor((end - 1) / width)))
+SPREAD = 8  # bins of a span's level that it touches, about, at most; a level's bins are as many times as wide as those below
+
+
+def level(start: Column, end: Column, width: int) -> Column:
+    """The level of [start, end): bins of width * SPREAD ** level are the finest of which it
+    touches at most SPREAD + 1. An empty or null interval has none."""
+    size = (end - start) / F.lit(float(width * SPREAD))
+    return F.when(end > start, F.greatest(F.lit(0), F.ceil(F.log2(size) / math.log2(SPREAD)))).cast("int")
+
+
+def bin_of(pos: Column, level: Column, width: int) -> Column:
+    return F.floor(pos / (F.lit(float(width)) * F.pow(F.lit(float(SPREAD)), level)))
+
+
+def bins(start: Column, end: Column, level: Column, width: int) -> Column:
+    """The level's bins that [start, end) touches; an empty interval touches none."""
+    return F.when(end > start, F.sequence(bin_of(start, level, width), bin_of(end - 1, level, width)))
+
+
+def _levels(spans: DataFrame, start: str, end: str, width: int) -> Column:
+    """The levels that spans has, a few numbers, as an array worked out once before the join."""
+    return spans.select(level(F.col(start), F.col(end), width).alias("l")).agg(F.sort_array(F.collect_set("l"))).scalar()
 
 
 def point_join(points: DataFrame, spans: DataFrame, by: Sequence[str], pos: str = "pos", start: str = "start", end: str = "end", width: int = 1000, how: str = "inner") -> DataFrame:
     """Points with the spans that contain them, start <= pos < end, equal in `by`.
 
-    An equi-join on (by, bin) with the exact test as residual: never a nested loop.
-    how: inner, left_semi or left_anti (of points). Columns other than `by` must differ.
-    """
-    p = points.withColumn("__bin", F.floor(F.col(pos) / width))
-    s = spans.select(*[F.col(c).alias(f"__{c}") if c in by else F.col(c) for c in spans.columns])
-    s = s.withColumn("__sbin", F.explode(bins(F.col(start), F.col(end), width)))
-    cond = (F.col("__bin") == F.col("__sbin")) & (F.col(pos) >= F.col(start)) & (F.col(pos) < F.col(end))
+    An equi-join on (by, level, bin) with the exact test as residual: never a nested loop.
+    A span is in the few bins of its own level, a point in one bin of each level that spans
+    have; so neither a long span nor many short ones make many rows. how: inner, left_semi
+    or left_anti (of points; points that repeat stay). Columns other than `by` must differ.
+    Null keys, places, starts and ends match nothing; empty spans neither."""
+    s = spans.select(*[F.col(c).alias(f"__{c}") if c in by else F.col(c) for c in spans.columns]).withColumn("__slevel", level(F.col(start), F.col(end), width))
+    s = s.withColumn("__sbin", F.explode(bins(F.col(start), F.col(end), F.col("__slevel"), width)))
+    cond = (F.col("__level") == F.col("__slevel")) & (F.col("__bin") == F.col("__sbin")) & (F.col(pos) >= F.col(start)) & (F.col(pos) < F.col(end))
     for c in by:
         cond = cond & (F.col(c) == F.col(f"__{c}"))
-    return p.join(s, cond, how).drop("__bin", "__sbin", *[f"__{c}" for c in by])
+    p = points if how == "inner" else points.withColumn("__point", F.monotonically_increasing_id())
+    found = p.where(F.col(pos).isNotNull()).withColumn("__levels", _levels(spans, start, end, width)).withColumn("__level", F.explode("__levels")).drop("__levels")
+    found = found.withColumn("__bin", bin_of(F.col(pos), F.col("__level"), width)).join(s, cond, "inner" if how == "inner" else "left_semi")
+    if how == "inner":
+        return found.drop("__level", "__bin", "__slevel", "__sbin", *[f"__{c}" for c in by])
+    hit = found.select(F.col("__point").alias("__hit"))
+    return p.join(hit, F.col("__point") == F.col("__hit"), how).drop("__point")
 
 
 def overlap_join(a: DataFrame, b: DataFrame, by: Sequence[str], width: int = 1000, prefix: str = "b_") -> DataFrame:
     """Pairs of spans of a and b (columns by, start, end, others) with end > other's
-    start and start < other's end. b's columns get a prefix. A pair is emitted in
-    the bin of the later start only, so no pair repeats."""
-    x = a.withColumn("__bin", F.explode(bins(F.col("start"), F.col("end"), width)))
+    start and start < other's end, equal in `by`. b's columns get a prefix.
+
+    A span is in the bins of its own level and of each higher level that the other side
+    has; a pair is emitted at the higher of its levels, in the bin of the later start, so
+    no pair repeats. Empty spans and null keys, starts and ends match nothing."""
     y = b.select(*[F.col(c).alias(prefix + c) for c in b.columns])
-    y = y.withColumn("__bin2", F.explode(bins(F.col(f"{prefix}start"), F.col(f"{prefix}end"), width)))
-    cond = F.col("__bin") == F.col("__bin2")
+
+    def placed(d: DataFrame, other: DataFrame, pre: str, tag: str, their: str) -> DataFrame:
+        s, e = F.col(f"{pre}start"), F.col(f"{pre}end")
+        d = d.withColumn(f"__own{tag}", level(s, e, width)).withColumn("__levels", _levels(other, f"{their}start", f"{their}end", width))
+        own = F.col(f"__own{tag}")
+        d = d.withColumn(f"__level{tag}", F.explode(F.concat(F.array(own), F.filter("__levels", lambda x: x > own)))).drop("__levels")
+        return d.withColumn(f"__bin{tag}", F.explode(bins(s, e, F.col(f"__level{tag}"), width)))
+
+    x, z = placed(a, y, "", "1", prefix), placed(y, a, prefix, "2", "")
+    at = F.col("__level1")
+    cond = (at == F.col("__level2")) & (F.col("__bin1") == F.col("__bin2")) & (at == F.greatest("__own1", "__own2"))
     for c in by:
         cond = cond & (F.col(c) == F.col(prefix + c))
     cond = cond & (F.col("end") > F.col(f"{prefix}start")) & (F.col("start") < F.col(f"{prefix}end"))
-    cond = cond & (F.col("__bin") == F.floor(F.greatest(F.col("start"), F.col(f"{prefix}start")) / width))
-    return x.join(y, cond).drop("__bin", "__bin2")
+    cond = cond & (F.col("__bin1") == bin_of(F.greatest(F.col("start"), F.col(f"{prefix}start")), at, width))
+    return x.join(z, cond).drop("__bin1", "__bin2", "__level1", "__level2", "__own1", "__own2")
 
 
 def overlap_semi(a: DataFrame, b: DataFrame, by: Sequence[str], width: int = 1000, anti: bool = False) -> DataFrame:

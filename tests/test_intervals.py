@@ -172,3 +172,24 @@ def test_coalesce_and_asof_over_bins(spark, width):
             of = [(q, v) for j, q, v in right if j == k and None not in (p, q) and (q < p or q == p and not strict)]
             best[n] = max(of)[1] if of else None
         assert {r.n: r.v for r in intervals.asof_join(x, y, ["k"], "pos", ["v"], strict, width).collect()} == best
+
+
+def test_long_and_short_spans_make_few_rows(spark):
+    """A span of 250 million places beside short ones: a few bins each, and the same pairs."""
+    long = [("a", 0, 5, 250_000_005), ("a", 1, 900, 3_000_000), ("b", 2, 0, 250_000_000), ("a", 8, 7, 7), (None, 9, 0, 99)]
+    short = [("a", 10 + i, i * 1_000_003, i * 1_000_003 + 1 + i % 3000) for i in range(200)] + [("b", 500, 249_999_999, 250_000_001), ("c", 501, 5, 6)]
+    a, b = spark.createDataFrame(long, SPANS), spark.createDataFrame(short, SPANS)
+    levels = a.select("id", F.size(intervals.bins(F.col("start"), F.col("end"), intervals.level(F.col("start"), F.col("end"), 1000), 1000)).alias("n")).collect()
+    assert all(r.n is None or r.n <= intervals.SPREAD + 1 for r in levels)
+    want = sorted((x[1], y[1]) for x in long for y in short if x[0] == y[0] and x[3] > y[2] and x[2] < y[3] and x[2] < x[3])
+    for x, y, turned in ((a, b, False), (b, a, True)):
+        got = intervals.overlap_join(x, y, ["k"])
+        assert sorted((r.b_id, r.id) if turned else (r.id, r.b_id) for r in got.collect()) == want
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    points = spark.createDataFrame([(k, i, p) for i, (k, _, p, _) in enumerate(short)] + [("a", 900, None)], "k string, p int, pos long")
+    inside = sorted((p, s[1]) for p, (k, _, at, _) in enumerate(short) for s in long if s[0] == k and s[2] <= at < s[3])
+    for width in (1, 1000):
+        assert sorted((r.p, r.id) for r in intervals.point_join(points, a, ["k"], width=width).collect()) == inside
+        assert {r.p for r in intervals.point_join(points, a, ["k"], width=width, how="left_anti").collect()} == {900, *range(len(short))} - {p for p, _ in inside}
+    assert intervals.point_join(points, a.limit(0), ["k"]).count() == 0 and intervals.point_join(points, a.limit(0), ["k"], how="left_anti").count() == 203
