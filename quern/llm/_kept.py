@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Callable
 
 MOST_BYTES = 4 << 20
 LONGEST = 64
-ENTRY_BYTES = 100  # a dict's share for an entry
+ENTRY_BYTES = 200  # of an entry, beside its letters and its bytes, at most
 
 
 class Kept(dict):
@@ -23,7 +22,7 @@ class Kept(dict):
         if made is None:
             made = self.make(text)
         if len(text) <= LONGEST:
-            self.bytes += sys.getsizeof(text) + sys.getsizeof(made) + ENTRY_BYTES
+            self.bytes += 4 * len(text) + len(made) + ENTRY_BYTES
             if self.bytes > self.most_bytes:
                 self.older, self.bytes = dict(self), 0
                 self.clear()

@@ -33,7 +33,7 @@ from ._shared import small_batches, trimmed
 SPACE = "▁"
 IDS = np.dtype("<u4")
 PAIRS_KEPT = 250_000  # about 25 MB
-PARTS_BYTES = 48 << 20
+PARTS_BYTES = 56 << 20
 UNKNOWN = -1
 NO_PIECE = [(1, UNKNOWN)]
 _COARSE = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")

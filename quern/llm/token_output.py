@@ -36,7 +36,7 @@ from ._shared import new_path, partitions, small_batches, trimmed
 
 SEQ_LEN = 2048
 SEQS_A_BATCH = 64
-KEPT_BYTES = 8 << 20  # of pieces' ids; as much for those kept before them, and both again for words of simple texts
+KEPT_BYTES = 14 << 20  # of pieces' ids; as much for those kept before them, and both again for words of simple texts
 # The parts of a tokenizers file under which pieces can be encoded alone.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
