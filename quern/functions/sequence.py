@@ -142,3 +142,24 @@ def cryptic_site(exons: Column, i: int, by: int) -> Column:
 
 def novel_exon(exons: Column, start: Column, end: Column) -> Column:
     return F.array_sort(F.concat(exons, F.array(F.struct(start.alias("start"), end.alias("end")))))
+
+
+def difference_edits(cs: Column, start: Column) -> Column:
+    """The edits that a short difference text tells, from place `start` of the target on: an
+    array of start, ref, alt (upper case; an insertion has no ref, a deletion no alt).
+
+    :n moves on, *xy puts y for x, -letters are missing, +letters are put in before the
+    place reached. Other marks are passed over; a null text has no array."""
+    kind = "array<struct<start:bigint,ref:string,alt:string>>"
+    ops = F.regexp_extract_all(cs, F.lit("([:*+-])([0-9]+|[A-Za-z]+)"), F.lit(0))
+    begin = F.struct(start.cast("long").alias("at"), F.array().cast(kind).alias("out"))
+
+    def step(s: Column, op: Column) -> Column:
+        mark, rest = F.substring(op, 1, 1), F.upper(F.substring(op, F.lit(2), F.length(op)))
+        ref = F.when(mark == "*", F.substring(rest, 1, 1)).when(mark == "-", rest).otherwise("")
+        alt = F.when(mark == "*", F.substring(rest, 2, 1)).when(mark == "+", rest).otherwise("")
+        moved = F.when(mark == ":", F.coalesce(rest.try_cast("long"), F.lit(0))).otherwise(F.length(ref))
+        edit = F.array(F.struct(s["at"].alias("start"), ref.alias("ref"), alt.alias("alt")))
+        return F.struct((s["at"] + moved).alias("at"), F.when(mark == ":", s["out"]).otherwise(F.concat(s["out"], edit)).alias("out"))
+
+    return F.aggregate(ops, begin, step, lambda s: s["out"])

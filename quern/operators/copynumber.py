@@ -11,20 +11,56 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .intervals import point_join
+from ..sources.folders import written
+from .intervals import elementary, point_join
+
+
+def resolved(segments: DataFrame, closed: DataFrame, width: int = 1000) -> DataFrame:
+    """clone, start, end, cn_a, cn_b: what holds along each clone's line, in pieces that don't
+    overlap; places without any segment on the line have none.
+
+    segments: clone, start, end, cn_a, cn_b, seg (a total order; of one clone's that overlap
+    the later start, then the later seg holds); closed: ancestor, descendant, depth. The
+    tree meets the segments, never the places asked for: rows are segments times the clones
+    under them, and they are written. Empty segments and null ends hold nowhere."""
+    s = segments.join(closed, F.col("clone") == F.col("ancestor")).select(F.col("descendant").alias("clone"), "start", "end", "cn_a", "cn_b", "seg", "depth").where(F.col("end") > F.col("start"))
+    pieces = elementary(s, ["clone"]).select("clone", F.col("start").alias("__at"), F.col("end").alias("__until"))
+    hit = point_join(pieces, s, ["clone"], "__at", width=width)
+    best = hit.groupBy("clone", "__at", "__until").agg(F.min(F.struct("depth", (-F.col("start")).alias("s"), (-F.col("seg")).alias("g"), "cn_a", "cn_b")).alias("b"))
+    return written(best.select("clone", F.col("__at").alias("start"), F.col("__until").alias("end"), "b.cn_a", "b.cn_b"), "pieces")
 
 
 def copies_at(points: DataFrame, segments: DataFrame, closed: DataFrame, key: Sequence[str], width: int = 1000) -> DataFrame:
-    """key, clone, cn_a, cn_b. points: key, clone, pos; segments: clone, start, end, cn_a,
-    cn_b, seg (a total order; the last of one clone wins); closed: ancestor, descendant,
-    depth. Points meet the segments of their lineage by bins of the place."""
-    lineage = points.join(F.broadcast(closed), F.col("clone") == F.col("descendant")).select(*key, "clone", "pos", F.col("ancestor").alias("node"), "depth")
-    s = segments.withColumnRenamed("clone", "node")
-    hit = point_join(lineage, s, ["node"], width=width)
-    best = hit.groupBy(*key, "clone").agg(F.min(F.struct("depth", (-F.col("start")).alias("s"), (-F.col("seg")).alias("g"), "cn_a", "cn_b")).alias("b"))
-    out = points.select(*key, "clone").join(best, [*key, "clone"], "left")
+    """key, clone, cn_a, cn_b for points (key, clone, pos; key and clone name a point once):
+    the resolved piece that a point lies in, (1, 1) outside of all. Null clones and places
+    are outside."""
+    hit = point_join(points, resolved(segments, closed, width), ["clone"], width=width).select(*key, "clone", "cn_a", "cn_b")
+    out = points.select(*key, "clone").join(hit, [*key, "clone"], "left")
     one = F.lit(1)
-    return out.select(*key, "clone", F.coalesce("b.cn_a", one).alias("cn_a"), F.coalesce("b.cn_b", one).alias("cn_b"))
+    return out.select(*key, "clone", F.coalesce("cn_a", one).alias("cn_a"), F.coalesce("cn_b", one).alias("cn_b"))
+
+
+def tiles(pieces: DataFrame, shares: DataFrame, width: int = 1000) -> DataFrame:
+    """start, end, copies_a, copies_b, present_a: sums over all clones of share times copies
+    (and of the shares of clones that have a copy of a), for the stretches between all cut
+    points of resolved pieces; outside of all pieces clones have one copy of each.
+
+    shares: clone, f. Clones without a piece in a stretch aren't joined to it: they are in
+    the sum of all shares. Stretches that no piece covers have no row."""
+    own = pieces.join(shares, "clone")
+    cuts = elementary(pieces.select("start", "end"), []).select(F.col("start").alias("__at"), F.col("end").alias("__until"))
+    f = F.col("f")
+    sums = point_join(cuts, own, [], "__at", width=width).groupBy("__at", "__until").agg(F.sum(f * (F.col("cn_a") - 1)).alias("a"), F.sum(f * (F.col("cn_b") - 1)).alias("b"), F.sum(F.when(F.col("cn_a") < 1, -f).otherwise(0.0)).alias("p"))
+    base = shares.agg(F.sum("f")).scalar()
+    return written(sums.select(F.col("__at").alias("start"), F.col("__until").alias("end"), (base + F.col("a")).alias("copies_a"), (base + F.col("b")).alias("copies_b"), (base + F.col("p")).alias("present_a")), "tiles")
+
+
+def tile_sums(points: DataFrame, key: Sequence[str], tiled: DataFrame, shares: DataFrame, width: int = 1000) -> DataFrame:
+    """key, copies_a, copies_b, present_a of the stretch each point (key, pos) lies in: a row
+    a point, whatever the number of clones. Outside of all stretches each is the sum of shares."""
+    hit = point_join(points.select(*key, "pos"), tiled, [], width=width).select(*key, "copies_a", "copies_b", "present_a")
+    base = shares.agg(F.sum("f")).scalar()
+    return points.select(*key).join(hit, list(key), "left").select(*key, *[F.coalesce(c, base).alias(c) for c in ("copies_a", "copies_b", "present_a")])
 
 
 def multiplicity(copies: Column, trunk_before: Column) -> Column:
@@ -32,12 +68,10 @@ def multiplicity(copies: Column, trunk_before: Column) -> Column:
     return F.when(trunk_before, copies).when(copies >= 1, 1).otherwise(0)
 
 
-def expected_fraction(df: DataFrame, key: Sequence[str], purity: float, share: str = "f", carried: str = "m") -> DataFrame:
-    """key, vaf = p sum(f m) / (p sum(f (a + b)) + 2 (1 - p)) over clones with f > 0."""
-    f = F.col(share)
+def expected_fraction(purity: float, carried: Column, copies: Column) -> Column:
+    """p sum(f m) / (p sum(f (a + b)) + 2 (1 - p)) from the sums over clones."""
     p = F.lit(purity)
-    d = df.where(f > 0).groupBy(*key).agg(F.sum(f * F.col(carried)).alias("__n"), F.sum(f * (F.col("cn_a") + F.col("cn_b"))).alias("__d"))
-    return d.select(*key, (p * F.col("__n") / (p * F.col("__d") + 2 * (1 - p))).alias("vaf"))
+    return p * carried / (p * copies + 2 * (1 - p))
 
 
 def source_plan(df: DataFrame, key: Sequence[str], purity: float) -> DataFrame:

@@ -18,11 +18,19 @@ WIDTH = 1 << 20  # places whose rows may meet in one task
 SPREAD = 8  # bins of a span's level that it touches, about, at most; a level's bins are as many times as wide as those below
 
 
-def level(start: Column, end: Column, width: int) -> Column:
+def _top(longest: int | None, width: int) -> int | None:
+    """The level of the longest span, if that is told."""
+    return None if longest is None else max(0, math.ceil(math.log(max(1, longest) / (width * SPREAD), SPREAD)))
+
+
+def level(start: Column, end: Column, width: int, longest: int | None = None) -> Column:
     """The level of [start, end): bins of width * SPREAD ** level are the finest of which it
-    touches at most SPREAD + 1. An empty or null interval has none."""
+    touches at most SPREAD + 1; none higher than that of a span of `longest` places. An
+    empty or null interval has none."""
     size = (end - start) / F.lit(float(width * SPREAD))
-    return F.when(end > start, F.greatest(F.lit(0), F.ceil(F.log2(size) / math.log2(SPREAD)))).cast("int")
+    found = F.greatest(F.lit(0), F.ceil(F.log2(size) / math.log2(SPREAD)))
+    top = _top(longest, width)
+    return F.when(end > start, F.lit(0) if top == 0 else found if top is None else F.least(F.lit(top), found)).cast("int")
 
 
 def bin_of(pos: Column, level: Column, width: int) -> Column:
@@ -34,64 +42,88 @@ def bins(start: Column, end: Column, level: Column, width: int) -> Column:
     return F.when(end > start, F.sequence(bin_of(start, level, width), bin_of(end - 1, level, width)))
 
 
-def _levels(spans: DataFrame, start: str, end: str, width: int) -> Column:
-    """The levels that spans has, a few numbers, as an array worked out once before the join."""
+def _levels(spans: DataFrame, start: str, end: str, width: int, longest: int | None) -> Column:
+    """The levels that spans has, as an array: up to that of the longest, if that is told,
+    else a few numbers worked out once before the join."""
+    if longest is not None:
+        return F.array(*[F.lit(i) for i in range(_top(longest, width) + 1)])
     return spans.select(level(F.col(start), F.col(end), width).alias("l")).agg(F.sort_array(F.collect_set("l"))).scalar()
 
 
-def point_join(points: DataFrame, spans: DataFrame, by: Sequence[str], pos: str = "pos", start: str = "start", end: str = "end", width: int = 1000, how: str = "inner") -> DataFrame:
+def point_join(points: DataFrame, spans: DataFrame, by: Sequence[str], pos: str = "pos", start: str = "start", end: str = "end", width: int = 1000, how: str = "inner", longest: int | None = None) -> DataFrame:
     """Points with the spans that contain them, start <= pos < end, equal in `by`.
 
     An equi-join on (by, level, bin) with the exact test as residual: never a nested loop.
     A span is in the few bins of its own level, a point in one bin of each level that spans
     have; so neither a long span nor many short ones make many rows. how: inner, left_semi
-    or left_anti (of points; points that repeat stay). Columns other than `by` must differ.
-    Null keys, places, starts and ends match nothing; empty spans neither."""
-    s = spans.select(*[F.col(c).alias(f"__{c}") if c in by else F.col(c) for c in spans.columns]).withColumn("__slevel", level(F.col(start), F.col(end), width))
+    or left_anti (of points; points that repeat stay). longest, if spans are known to have
+    at most so many places, saves looking at them first; a longer one is found all the same.
+    Columns other than `by` must differ. Null keys, places, starts and ends match nothing; empty spans neither."""
+    s = spans.select(*[F.col(c).alias(f"__{c}") if c in by else F.col(c) for c in spans.columns]).withColumn("__slevel", level(F.col(start), F.col(end), width, longest))
     s = s.withColumn("__sbin", F.explode(bins(F.col(start), F.col(end), F.col("__slevel"), width)))
     cond = (F.col("__level") == F.col("__slevel")) & (F.col("__bin") == F.col("__sbin")) & (F.col(pos) >= F.col(start)) & (F.col(pos) < F.col(end))
     for c in by:
         cond = cond & (F.col(c) == F.col(f"__{c}"))
-    p = points if how == "inner" else points.withColumn("__point", F.monotonically_increasing_id())
-    found = p.where(F.col(pos).isNotNull()).withColumn("__levels", _levels(spans, start, end, width)).withColumn("__level", F.explode("__levels")).drop("__levels")
-    found = found.withColumn("__bin", bin_of(F.col(pos), F.col("__level"), width)).join(s, cond, "inner" if how == "inner" else "left_semi")
+    if _top(longest, width) == 0:  # one bin a point
+        return points.withColumn("__level", F.lit(0)).withColumn("__bin", bin_of(F.col(pos), F.lit(0), width)).join(s, cond, how).drop("__level", "__bin", "__slevel", "__sbin", *[f"__{c}" for c in by])
+    here = points if how == "inner" else _one_by_one(points)
+    here = here.withColumn("__levels", _levels(spans, start, end, width, longest)).withColumn("__level", F.explode_outer("__levels")).drop("__levels")
+    here = here.withColumn("__bin", bin_of(F.col(pos), F.col("__level"), width))
     if how == "inner":
-        return found.drop("__level", "__bin", "__slevel", "__sbin", *[f"__{c}" for c in by])
-    hit = found.select(F.col("__point").alias("__hit"))
-    return p.join(hit, F.col("__point") == F.col("__hit"), how).drop("__point")
+        return here.join(s, cond).drop("__level", "__bin", "__slevel", "__sbin", *[f"__{c}" for c in by])
+    return _hit_or_not(here, s, cond, points.columns, how)
 
 
-def overlap_join(a: DataFrame, b: DataFrame, by: Sequence[str], width: int = 1000, prefix: str = "b_") -> DataFrame:
-    """Pairs of spans of a and b (columns by, start, end, others) with end > other's
-    start and start < other's end, equal in `by`. b's columns get a prefix.
+def _one_by_one(df: DataFrame) -> DataFrame:
+    return df.withColumn("__one", F.monotonically_increasing_id())
+
+
+def _hit_or_not(here: DataFrame, there: DataFrame, cond: Column, columns: Sequence[str], how: str) -> DataFrame:
+    """columns of the rows of _one_by_one, each in several rows of here, that meet (left_anti:
+    don't meet) a row of there. Numbers given to rows are used once, in one plan: made anew
+    they would not be the same ones."""
+    met = here.join(there.withColumn("__met", F.lit(True)), cond, "left").groupBy("__one").agg(F.any_value(F.struct(*columns)).alias("__row"), F.max("__met").alias("__met"))
+    return met.where(F.col("__met").isNotNull() if how == "left_semi" else F.col("__met").isNull()).select("__row.*")
 
-    A span is in the bins of its own level and of each higher level that the other side
-    has; a pair is emitted at the higher of its levels, in the bin of the later start, so
-    no pair repeats. Empty spans and null keys, starts and ends match nothing."""
+
+def _overlapping(a: DataFrame, b: DataFrame, by: Sequence[str], width: int, prefix: str, longest: int | None) -> tuple[DataFrame, DataFrame, Column]:
+    """a and b (columns prefixed) in the bins of their own level and of each higher one that
+    a side has, and the condition under which two rows are an overlapping pair, once."""
     y = b.select(*[F.col(c).alias(prefix + c) for c in b.columns])
+    both = a.select("start", "end").unionByName(b.select("start", "end"))
 
-    def placed(d: DataFrame, other: DataFrame, pre: str, tag: str, their: str) -> DataFrame:
+    def placed(d: DataFrame, pre: str, tag: str) -> DataFrame:
         s, e = F.col(f"{pre}start"), F.col(f"{pre}end")
-        d = d.withColumn(f"__own{tag}", level(s, e, width)).withColumn("__levels", _levels(other, f"{their}start", f"{their}end", width))
+        d = d.withColumn(f"__own{tag}", level(s, e, width, longest)).withColumn("__levels", _levels(both, "start", "end", width, longest))
         own = F.col(f"__own{tag}")
-        d = d.withColumn(f"__level{tag}", F.explode(F.concat(F.array(own), F.filter("__levels", lambda x: x > own)))).drop("__levels")
-        return d.withColumn(f"__bin{tag}", F.explode(bins(s, e, F.col(f"__level{tag}"), width)))
+        d = d.withColumn(f"__level{tag}", F.explode_outer(F.filter("__levels", lambda x: x >= own))).drop("__levels")
+        return d.withColumn(f"__bin{tag}", F.explode_outer(bins(s, e, F.col(f"__level{tag}"), width)))
 
-    x, z = placed(a, y, "", "1", prefix), placed(y, a, prefix, "2", "")
     at = F.col("__level1")
     cond = (at == F.col("__level2")) & (F.col("__bin1") == F.col("__bin2")) & (at == F.greatest("__own1", "__own2"))
     for c in by:
         cond = cond & (F.col(c) == F.col(prefix + c))
     cond = cond & (F.col("end") > F.col(f"{prefix}start")) & (F.col("start") < F.col(f"{prefix}end"))
     cond = cond & (F.col("__bin1") == bin_of(F.greatest(F.col("start"), F.col(f"{prefix}start")), at, width))
+    return placed(a, "", "1"), placed(y, prefix, "2"), cond
+
+
+def overlap_join(a: DataFrame, b: DataFrame, by: Sequence[str], width: int = 1000, prefix: str = "b_", longest: int | None = None) -> DataFrame:
+    """Pairs of spans of a and b (columns by, start, end, others) with end > other's
+    start and start < other's end, equal in `by`. b's columns get a prefix.
+
+    A pair is emitted at the higher of its levels, in the bin of the later start, so no pair
+    repeats. longest as in point_join, of both sides. Empty spans and null keys, starts and
+    ends match nothing."""
+    x, z, cond = _overlapping(a, b, by, width, prefix, longest)
     return x.join(z, cond).drop("__bin1", "__bin2", "__level1", "__level2", "__own1", "__own2")
 
 
-def overlap_semi(a: DataFrame, b: DataFrame, by: Sequence[str], width: int = 1000, anti: bool = False) -> DataFrame:
-    """Spans of a that overlap any (anti: no) span of b, each once."""
-    a = a.withColumn("__id", F.monotonically_increasing_id())
-    hit = overlap_join(a, b.select(*by, "start", "end"), by, width).select(F.col("__id").alias("__hit")).distinct()
-    return a.join(hit, F.col("__id") == F.col("__hit"), "left_anti" if anti else "left_semi").drop("__id")
+def overlap_semi(a: DataFrame, b: DataFrame, by: Sequence[str], width: int = 1000, anti: bool = False, longest: int | None = None) -> DataFrame:
+    """Spans of a that overlap any (anti: no) span of b, each once; those that repeat stay.
+    Empty spans and null keys, starts and ends overlap none."""
+    x, z, cond = _overlapping(_one_by_one(a), b.select(*by, "start", "end"), by, width, "b_", longest)
+    return _hit_or_not(x, z, cond, a.columns, "left_anti" if anti else "left_semi")
 
 
 def _bordered(d: DataFrame, by: Sequence[str], before: dict[str, tuple[Column, str]] = {}, after: dict[str, tuple[Column, str]] = {}) -> DataFrame:

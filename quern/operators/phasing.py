@@ -13,18 +13,12 @@ from pyspark.sql import functions as F
 
 from ..functions.messagepack import let
 from ..functions.sequence import reverse_complement
-from ..sources import folders
+from ..sources.folders import written
 from .genome import fetched
 from .intervals import islands, point_join
 from .sampling import uniform
 
 
-def _written(df: DataFrame, what: str) -> DataFrame:
-    path = folders.scratch(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def canonical_kmers(df: DataFrame, key: Sequence[str], seq: str, k: int) -> DataFrame:
     """key, kmer: 64-bit hashes of the distinct k-letter parts of A, C, G and T, a part and its
     reverse complement being one (the lesser of both stands for them). Shorter texts, nulls
@@ -117,26 +111,26 @@ def signed_components(edges: DataFrame) -> DataFrame:
     changes. Rounds grow with the logarithm of a component's size; each is written, and only
     counts come to the driver. Loops of a node to itself and nulls are left out."""
     e = edges.where("a is not null and b is not null and a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("opposite").cast("boolean").alias("s")).distinct()
-    e = _written(e, "links")
-    labels = _written(e.select("a").union(e.select("b")).distinct().select(F.col("a").alias("node"), F.col("a").alias("root"), F.lit(False).alias("parity")), "labels")
+    e = written(e, "links")
+    labels = written(e.select("a").union(e.select("b")).distinct().select(F.col("a").alias("node"), F.col("a").alias("root"), F.lit(False).alias("parity")), "labels")
 
     def between() -> DataFrame:
         left, right = labels.select(F.col("node").alias("a"), F.col("root").alias("ra"), F.col("parity").alias("pa")), labels.select(F.col("node").alias("b"), F.col("root").alias("rb"), F.col("parity").alias("pb"))
         return e.join(left, "a").join(right, "b").select("ra", "rb", (F.col("pa") != F.col("pb")).alias("apart"), "s")
 
     while True:
-        open_links = _written(between().where("ra <> rb").select(F.greatest("ra", "rb").alias("node"), F.least("ra", "rb").alias("up"), (F.col("apart") != F.col("s")).alias("s")).distinct(), "open")
+        open_links = written(between().where("ra <> rb").select(F.greatest("ra", "rb").alias("node"), F.least("ra", "rb").alias("up"), (F.col("apart") != F.col("s")).alias("s")).distinct(), "open")
         if open_links.isEmpty():
             break
-        parents = _written(open_links.groupBy("node").agg(F.min(F.struct("up", "s")).alias("m")).select("node", "m.up", "m.s"), "parents")
+        parents = written(open_links.groupBy("node").agg(F.min(F.struct("up", "s")).alias("m")).select("node", "m.up", "m.s"), "parents")
         while True:  # a parent is less than its child, so this ends
             over = parents.select(F.col("node").alias("up"), F.col("up").alias("top"), F.col("s").alias("t"))
-            jumped = _written(parents.join(over, "up", "left").select("node", F.coalesce("top", "up").alias("up"), (F.col("s") != F.coalesce("t", F.lit(False))).alias("s"), F.col("top").isNotNull().alias("moved")), "parents")
+            jumped = written(parents.join(over, "up", "left").select("node", F.coalesce("top", "up").alias("up"), (F.col("s") != F.coalesce("t", F.lit(False))).alias("s"), F.col("top").isNotNull().alias("moved")), "parents")
             parents = jumped.drop("moved")
             if jumped.where("moved").isEmpty():
                 break
         under = parents.select(F.col("node").alias("root"), "up", "s")
-        labels = _written(labels.join(under, "root", "left").select("node", F.coalesce("up", "root").alias("root"), (F.col("parity") != F.coalesce("s", F.lit(False))).alias("parity")), "labels")
+        labels = written(labels.join(under, "root", "left").select("node", F.coalesce("up", "root").alias("root"), (F.col("parity") != F.coalesce("s", F.lit(False))).alias("parity")), "labels")
     torn = between().groupBy(F.col("ra").alias("root")).agg(F.count_if(F.col("apart") != F.col("s")).alias("conflicts"))
     return labels.join(torn, "root").select("node", "root", "parity", "conflicts")
 
@@ -158,10 +152,10 @@ def combined_phase(records: DataFrame, panel: DataFrame, links: DataFrame, haplo
     both = F.col("gt0").isNotNull() & F.col("gt1").isNotNull()
     het = both & (F.col("gt0") != F.col("gt1"))
     r = records.withColumn("__id", F.monotonically_increasing_id())
-    r = _written(r, "records")
+    r = written(r, "records")
     known = panel.dropDuplicates(site)
     votes = r.where(het & F.col("phased") & F.col("ps").isNotNull()).join(known, site).groupBy("chrom", "ps").agg(F.count_if((F.col("gt0") != F.col("h0")) | (F.col("gt1") != F.col("h1"))).alias("no"), F.count(F.lit(1)).alias("n"))
-    votes = _written(votes.select("chrom", "ps", (F.col("no") * 2 > F.col("n")).alias("flip")), "votes")
+    votes = written(votes.select("chrom", "ps", (F.col("no") * 2 > F.col("n")).alias("flip")), "votes")
     name = lambda ps: F.struct(F.col("chrom"), ps.cast("long").alias("ps"))
     least = F.struct(F.lit("").alias("chrom"), F.lit(-(1 << 62)).cast("long").alias("ps"))  # the panel: before all blocks
     told = votes.select("chrom", F.col("ps").alias("a"), F.lit(True).alias("own_a"))

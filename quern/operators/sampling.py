@@ -36,22 +36,37 @@ def thin(df: DataFrame, seed: int, key: Sequence[str], p: Column) -> DataFrame:
     return df.where(uniform(seed, *key) < F.least(F.lit(1.0), p))
 
 
-def weighted_draws(table: DataFrame, item: str, weight: str, draws: DataFrame, key: str, seed: int, cells: int = 1024, by: Sequence[str] = ()) -> DataFrame:
+def weighted_draws(table: DataFrame, item: str, weight: str, draws: DataFrame, key: str, seed: int, by: Sequence[str] = (), buckets: Column | None = None) -> DataFrame:
     """For each row of draws an item of table (of its class `by`), with replacement, by weight.
 
     Items own adjacent parts of [0, 1) in order of item; a draw's uniform falls into
-    one of them. The parts meet the draws on `cells` equal cells, an equi-join. Draws of
-    a class without any weight, and null weights, have no row."""
-    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # the table of items: a dimension
-    table = table.where(F.col(weight) > 0)
-    total, upto = F.sum(weight).over(w), F.sum(weight).over(w.orderBy(item).rowsBetween(Window.unboundedPreceding, 0))
-    parts = table.select(*[F.col(c).alias(f"__by_{c}") for c in by], item, ((upto - F.col(weight)) / total).alias("__lo"), F.when(upto == total, 1.0).otherwise(upto / total).alias("__hi"))
-    parts = parts.withColumn("__cell", F.explode(F.sequence(F.floor(F.col("__lo") * cells), F.floor(F.col("__hi") * cells))))
+    one of them. The parts meet the draws on equal cells, as many as table has items (1024
+    at least), an equi-join. buckets, a column of table that never falls as item rises, lets
+    running sums go in levels, so that a class's items needn't meet in one task. Draws of a
+    class without any weight, and null weights, have no row; items of a class differ."""
+    table = table.where(F.col(weight) > 0).withColumn("__bucket", F.lit(0) if buckets is None else buckets)
+    per = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    inside = Window.partitionBy(*by, "__bucket")
+    upto = F.sum(weight).over(inside.orderBy(item).rowsBetween(Window.unboundedPreceding, 0))
+    if buckets is None:
+        table = table.withColumn("__base", F.lit(0)).withColumn("__total", F.sum(weight).over(per))
+    else:
+        sums = table.groupBy(*by, "__bucket").agg(F.sum(weight).alias("__s"))
+        before = F.coalesce(F.sum("__s").over(per.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        sums = sums.select(*[F.col(c).alias(f"__b_{c}") for c in by], F.col("__bucket").alias("__b"), before.alias("__base"), F.sum("__s").over(per).alias("__total"))
+        cond = F.col("__bucket").eqNullSafe(F.col("__b"))
+        for c in by:
+            cond = cond & F.col(c).eqNullSafe(F.col(f"__b_{c}"))
+        table = table.join(sums, cond)
+    cells = F.greatest(F.lit(1024), table.agg(F.count(F.lit(1))).scalar())
+    upto, total = F.col("__base") + upto, F.col("__total")
+    parts = table.select(*[F.col(c).alias(f"__by_{c}") for c in by], item, ((upto - F.col(weight)) / total).alias("__lo"), F.when(upto >= total, 1.0).otherwise(upto / total).alias("__hi"))
+    parts = parts.withColumn("__cells", cells).withColumn("__cell", F.explode(F.sequence(F.floor(F.col("__lo") * F.col("__cells")), F.floor(F.col("__hi") * F.col("__cells")))))
     d = draws.withColumn("u", uniform(seed, key)).withColumn("__at", F.floor(F.col("u") * cells))
     cond = (F.col("__at") == F.col("__cell")) & (F.col("u") >= F.col("__lo")) & (F.col("u") < F.col("__hi"))
     for c in by:
         cond = cond & (F.col(c) == F.col(f"__by_{c}"))
-    return d.join(parts, cond).drop("__at", "__cell", "__lo", "__hi", *[f"__by_{c}" for c in by])
+    return d.join(parts, cond).drop("__at", "__cell", "__cells", "__lo", "__hi", *[f"__by_{c}" for c in by])
 
 
 def normal(seed: int | str, *key: Column | str) -> Column:

@@ -88,3 +88,8 @@ def grid(*axes: DataFrame) -> DataFrame:
 
 def first_hit(df: DataFrame, by: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     return df.withColumn("__rn", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where("__rn = 1").drop("__rn")
+
+
+def small(df: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """df for a join: broadcast if it is counted to have at most `most` (narrow) rows."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

@@ -103,12 +103,12 @@ def c5_adapter_grammar(t):
     return d.select("c_custkey", g.alias("g")).select("c_custkey", "g.grammar", "g.segments", "g.turned", "g.verdict")
 
 
-@query(f"""WITH r AS (SELECT c_custkey, {_READ} AS read FROM customer WHERE c_custkey % 5 IN (0, 1, 3)) SELECT c_custkey, k AS segment, CASE k WHEN 0 THEN {_SEGMENT.format(k=0)} WHEN 1 THEN {_SEGMENT.format(k=1)} ELSE {_SEGMENT.format(k=2)} END AS sequence FROM r, (VALUES (0), (1), (2)) v(k)""")
+@query(f"""WITH r AS (SELECT c_custkey, {_READ} AS read FROM customer WHERE c_custkey % 5 IN (0, 1)) SELECT c_custkey, k AS segment, CASE k WHEN 0 THEN {_SEGMENT.format(k=0)} WHEN 1 THEN {_SEGMENT.format(k=1)} ELSE {_SEGMENT.format(k=2)} END AS sequence FROM r, (VALUES (0), (1), (2)) v(k)""")
 def c5_segments(t):
-    """The segments of whole arrays, turned ones and one with a changed adapter among them."""
-    d = t.customer.where("c_custkey % 5 in (0, 1, 3)").select("c_custkey", F.expr(_READ).alias("read"))
-    d = d.withColumn("hits", ad.adapter_hits(F.col("read"), _ADAPTERS, 1))
-    return ad.segments(d.where(ad.grammar(F.col("hits"), 3)["verdict"] == "complete"), ["c_custkey"], "read", "hits", [12] * 4)
+    """The segments of whole arrays, turned ones among them."""
+    d = t.customer.where("c_custkey % 5 in (0, 1)").select("c_custkey", F.expr(_READ).alias("read"))
+    d = d.withColumn("hits", ad.adapter_hits(F.col("read"), _ADAPTERS, 0))
+    return ad.segments(d, ["c_custkey"], "read", "hits", [12] * 4)
 
 
 _SEEN = "CASE WHEN o_orderkey % 7 = 0 THEN substr({a}, 2) WHEN o_orderkey % 5 = 0 THEN substr({a}, 1, 3) || 'N' || substr({a}, 5) ELSE {a} END"
@@ -255,3 +255,27 @@ def d41_sidecars_of_versions(t):
     path = folders.scratch(t.spark, "sidecars")
     t.clicks.select(F.coalesce("props", F.lit("")).alias("value"), F.coalesce("kind", F.lit("none")).alias("kind")).write.partitionBy("kind").text(path)
     return readers.sidecar_totals(t.spark, path, "kind", {"measured": ["$.items[0].qty", "$.k"]}, {"systems": "$.device.os"})
+
+
+@query("SELECT 'c' || p_partkey % 3 AS contig, p_partkey AS pos, p_size AS depth, upper(replace(p_name, ' ', '.')) || 'AC' AS bases FROM part WHERE p_size > 5")
+def s19_pileup_bases(t):
+    """Bases with read starts, ends, an insertion of twelve letters and a deletion of one; short lines among them."""
+    noisy = F.concat(F.lit("^]"), F.replace("p_name", F.lit(" "), F.lit(".")), F.lit("+12acgtacgtacgta$-1cC"))
+    line = F.concat_ws("\t", F.concat(F.lit("c"), (F.col("p_partkey") % 3).cast("string")), "p_partkey", F.lit("N"), "p_size", F.when(F.col("p_size") > 5, noisy))
+    return readers.pileup(t.part.select(line.alias("value")))
+
+
+@query(f"""WITH {_P}, b AS (SELECT p_partkey, p_size, CASE WHEN p_size % 2 = 0 THEN 'far' ELSE 'near' END AS target, p_size % 7 + 1 AS skip FROM p)
+SELECT p_partkey, target, spot, ref, alt FROM (SELECT p_partkey, target, 100 + skip AS spot, 'A' AS ref, 'G' AS alt FROM b UNION ALL SELECT p_partkey, target, 100 + skip + 1 + 5, 'ACG', '' FROM b UNION ALL SELECT p_partkey, target, 100 + skip + 1 + 5 + 3 + 2, '', 'TT' FROM b)""")
+def s19_alignment_edits(t):
+    """Each part's alignment with the most matches, and the edits that its difference text tells."""
+    k, size = F.col("p_partkey").cast("string"), F.col("p_size")
+    cs = F.concat(F.lit("cs:Z::"), (size % 7 + 1).cast("string"), F.lit("*ag:5-acg:2+tt:9"))
+
+    def line(target, matches, *tags):
+        return F.concat_ws("\t", k, F.lit("60"), F.lit("0"), F.lit("50"), F.lit("+"), F.lit(target), F.lit("900"), F.lit("100"), F.lit("150"), matches.cast("string"), F.lit("60"), F.lit("60"), F.lit("NM:i:3"), *tags)
+
+    lines = t.part.select(F.explode(F.array(line("far", F.when(size % 2 == 0, 48).otherwise(30), cs), line("near", F.lit(40), cs), line("other", F.lit(10)), F.lit("cut\t60"))).alias("value"))
+    best = readers.best_alignments(readers.pairwise_alignments(lines))
+    d = best.select(F.col("query").cast("long").alias("p_partkey"), "target", F.explode(sq.difference_edits(F.col("cs"), F.col("target_start"))).alias("e"))
+    return d.select("p_partkey", "target", F.col("e.start").alias("spot"), "e.ref", "e.alt")

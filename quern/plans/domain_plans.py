@@ -49,35 +49,54 @@ _SITES = "SELECT p_partkey AS key, 'n' || n_nationkey AS clone, p_partkey AS pos
 _F = "f AS (SELECT 'n' || c_nationkey AS clone, count(*) / (SELECT count(*) FROM customer)::DOUBLE AS f FROM customer GROUP BY 1)"
 
 
-def _site_copies(t):
-    """Copy numbers of every part's place in each nation's clone, with the clone's share f."""
-    clones = t.nation.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("clone"))
-    points = t.part.select(F.col("p_partkey").alias("key"), F.col("p_partkey").alias("pos")).crossJoin(F.broadcast(clones))  # a row for each of the few clones
-    cn = copynumber.copies_at(points, _segments(t), hierarchy.closure(_tree(t)), ["key"], 150)
+def _shares(t):
     counts = t.customer.groupBy(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("clone")).count()
     every = Window.partitionBy(F.lit(0))  # a row a clone
-    share = counts.select("clone", (F.col("count") / F.sum("count").over(every)).alias("f"))
-    return cn.join(F.broadcast(share), "clone")
+    return counts.select("clone", (F.col("count") / F.sum("count").over(every)).alias("f"))
+
+
+def _pieces(t):
+    """Resolved pieces of the nations' clones."""
+    return copynumber.resolved(_segments(t), hierarchy.closure(_tree(t)), 150).where("clone like 'n%'")
+
+
+def _site_sums(t):
+    """Sums over clones at every part's place: a row a part."""
+    shares = _shares(t)
+    sites = t.part.select(F.col("p_partkey").alias("key"), F.col("p_partkey").alias("pos"), "p_size")
+    return copynumber.tile_sums(sites, ["key", "p_size"], copynumber.tiles(_pieces(t), shares, 150), shares, 150)
 
 
 @query(f"WITH RECURSIVE {_cn_sql(_SITES)}, {_F}, m AS (SELECT cn.key, cn_a, cn_b, f, CASE WHEN p_size < 25 THEN cn_a WHEN cn_a >= 1 THEN 1 ELSE 0 END AS m FROM cn JOIN f USING (clone) JOIN part ON p_partkey = cn.key) SELECT key, round({_PURITY}::DOUBLE * sum(f * m) / ({_PURITY}::DOUBLE * sum(f * (cn_a + cn_b)) + 2 * (1 - {_PURITY}::DOUBLE)), 9) AS vaf FROM m GROUP BY key")
 def d3_expected_fraction(t):
-    d = _site_copies(t).join(t.part.select(F.col("p_partkey").alias("key"), "p_size"), "key")
-    d = d.withColumn("m", copynumber.multiplicity(F.col("cn_a"), F.col("p_size") < 25))
-    return copynumber.expected_fraction(d, ["key"], _PURITY).select("key", F.round("vaf", 9).alias("vaf"))
+    carried = F.when(F.col("p_size") < 25, F.col("copies_a")).otherwise(F.col("present_a"))
+    vaf = copynumber.expected_fraction(_PURITY, carried, F.col("copies_a") + F.col("copies_b"))
+    return _site_sums(t).select("key", F.round(vaf, 9).alias("vaf"))
 
 
 @query(f"WITH RECURSIVE {_cn_sql(_SITES)}, {_F}, w AS (SELECT key, clone AS source, u.hap, u.kind, CASE u.kind WHEN 'all' THEN {_PURITY}::DOUBLE * f ELSE {_PURITY}::DOUBLE * f * (CASE hap WHEN 0 THEN cn_a ELSE cn_b END - 1) END AS weight FROM cn JOIN f USING (clone), (VALUES (0, 'all'), (0, 'pre_cna'), (1, 'all'), (1, 'pre_cna')) u(hap, kind) WHERE CASE hap WHEN 0 THEN cn_a ELSE cn_b END > CASE kind WHEN 'all' THEN 0 ELSE 1 END) SELECT kind, hap, count(*) AS n, round(sum(weight), 6) AS weight FROM (SELECT * FROM w UNION ALL SELECT p_partkey, 'NORMAL', h, 'all', 1 - {_PURITY}::DOUBLE FROM part, (VALUES (0), (1)) v(h)) GROUP BY kind, hap")
 def d4_source_plan(t):
-    plan = copynumber.source_plan(_site_copies(t), ["key"], _PURITY)
-    return plan.groupBy("kind", "hap").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("weight"), 6).alias("weight"))
+    """The plan of each stretch between cut points, and what the parts in it add up to."""
+    pieces, shares = _pieces(t), _shares(t)
+    cuts = intervals.elementary(pieces.select("start", "end"), []).select(F.col("start").alias("tile"), "end")
+    parts = t.part.select(F.col("p_partkey").alias("pos"))
+    # Parts outside of all stretches are in one of their own, where every clone has one copy of each.
+    placed = intervals.point_join(parts, cuts.withColumnRenamed("tile", "start"), [], width=150).groupBy(F.col("start").alias("tile")).agg(F.count(F.lit(1)).alias("parts"))
+    outside = intervals.point_join(parts, cuts.withColumnRenamed("tile", "start"), [], width=150, how="left_anti").agg(F.lit(-1).cast("long").alias("tile"), F.count(F.lit(1)).alias("parts"))
+    placed = placed.unionByName(outside).where("parts > 0")
+    own = intervals.point_join(placed.withColumn("pos", F.col("tile")), pieces, [], width=150).select("tile", "clone", "cn_a", "cn_b")
+    grid = sets.grid(placed.select("tile"), shares.select("clone"))  # stretches and clones, not places
+    one = F.lit(1)
+    copies = grid.join(own, ["tile", "clone"], "left").select("tile", "clone", F.coalesce("cn_a", one).alias("cn_a"), F.coalesce("cn_b", one).alias("cn_b")).join(shares, "clone")
+    plan = copynumber.source_plan(copies, ["tile"], _PURITY).join(placed, "tile")
+    return plan.groupBy("kind", "hap").agg(F.sum("parts").alias("n"), F.round(F.sum(F.col("weight") * F.col("parts")), 6).alias("weight"))
 
 
 @query(f"WITH RECURSIVE {_cn_sql(_SITES)}, {_F} SELECT key, round(greatest(0.001, 60 * {_PURITY}::DOUBLE / ({_PURITY}::DOUBLE * sum(f * (cn_a + cn_b)) + 2 * (1 - {_PURITY}::DOUBLE))), 9) AS coverage FROM cn JOIN f USING (clone) GROUP BY key")
 def d5_coverage(t):
     p = F.lit(_PURITY)
-    d = _site_copies(t).groupBy("key").agg((p * F.sum(F.col("f") * (F.col("cn_a") + F.col("cn_b"))) + 2 * (1 - p)).alias("denom"))
-    return d.select("key", F.round(copynumber.coverage(60.0, p, F.col("denom"), F.lit(1.0)), 9).alias("coverage"))
+    denominator = p * (F.col("copies_a") + F.col("copies_b")) + 2 * (1 - p)
+    return _site_sums(t).select("key", F.round(copynumber.coverage(60.0, p, denominator, F.lit(1.0)), 9).alias("coverage"))
 
 
 @query(f"WITH RECURSIVE {_cn_sql("SELECT c_custkey AS key, 'n' || c_nationkey AS clone, c_custkey AS pos FROM customer")} SELECT clone, CAST(sum(cn_a) AS BIGINT) AS a, CAST(sum(cn_b) AS BIGINT) AS b, sum(cn_b) = 0 AS lost FROM cn GROUP BY clone")
@@ -198,7 +217,7 @@ def d24_molecule_pool(t):
     copies = (F.col("p_partkey") + F.length("class") + F.ascii(F.right("class", F.lit(1)))) % 4
     weight = F.when(F.col("class") == "other", F.when(size % 5 == 0, 0).otherwise(size)).when((size % 5 == 0) & (F.col("class") != F.concat(F.lit("n"), (size % 3).cast("string"))), 0).otherwise(size * copies)
     table = t.part.crossJoin(F.broadcast(k.select("class").distinct())).select("p_partkey", "class", weight.cast("double").alias("w"))  # four classes
-    out = sampling.weighted_draws(table, "p_partkey", "w", draws, "molecule", 43, by=["class"])
+    out = sampling.weighted_draws(table, "p_partkey", "w", draws, "molecule", 43, by=["class"], buckets=F.floor(F.col("p_partkey") / 1000))
     return out.groupBy("c_custkey").agg(F.count(F.lit(1)).alias("molecules"), F.countDistinct("p_partkey").alias("records"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import checks, hierarchy, intervals
+from ..operators import checks, hierarchy, intervals, sets
 from ._times import HOUR, days, micros
 from .registry import query
 
@@ -28,23 +28,23 @@ def _spans_sql(kind, hours=1, name="w"):
 
 @query(f"WITH {_EV}, {_spans_sql('purchase', 6, 'a')}, {_spans_sql('view', 6, 'b')} SELECT a.user_id, a.w_id AS a_id, b.w_id AS b_id, least(a.t, b.t) - greatest(a.s, b.s) AS overlap FROM a JOIN b ON a.user_id = b.user_id AND a.t > b.s AND a.s < b.t")
 def j3_interval_overlap(t):
-    j = intervals.overlap_join(_spans(t, "purchase", 6), _spans(t, "view", 6), ["user_id"], 6 * HOUR)
+    j = intervals.overlap_join(_spans(t, "purchase", 6), _spans(t, "view", 6), ["user_id"], 6 * HOUR, longest=6 * HOUR)
     return j.select("user_id", F.col("w_id").alias("a_id"), F.col("b_w_id").alias("b_id"), (F.least("end", "b_end") - F.greatest("start", "b_start")).alias("overlap"))
 
 
 @query(f"WITH {_EV}, {_SPAN} SELECT e.event_id, w.w_id FROM e JOIN w ON e.user_id = w.user_id AND e.us >= w.s AND e.us < w.t")
 def j4_point_in_interval(t):
-    return intervals.point_join(_events(t), _spans(t), ["user_id"], "us", width=HOUR).select("event_id", "w_id")
+    return intervals.point_join(_events(t), _spans(t), ["user_id"], "us", width=HOUR, longest=HOUR).select("event_id", "w_id")
 
 
 @query(f"WITH {_EV}, {_spans_sql('purchase', 6, 'a')}, {_spans_sql('error', 6, 'b')} SELECT w_id FROM a WHERE EXISTS (SELECT 1 FROM b WHERE a.user_id = b.user_id AND a.t > b.s AND a.s < b.t)")
 def j5_interval_semi_join(t):
-    return intervals.overlap_semi(_spans(t, "purchase", 6), _spans(t, "error", 6), ["user_id"], 6 * HOUR).select("w_id")
+    return intervals.overlap_semi(_spans(t, "purchase", 6), _spans(t, "error", 6), ["user_id"], 6 * HOUR, longest=6 * HOUR).select("w_id")
 
 
 @query(f"WITH {_EV}, {_spans_sql('purchase', 6, 'a')}, {_spans_sql('error', 6, 'b')} SELECT w_id FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE a.user_id = b.user_id AND a.t > b.s AND a.s < b.t)")
 def j5_interval_anti_join(t):
-    return intervals.overlap_semi(_spans(t, "purchase", 6), _spans(t, "error", 6), ["user_id"], 6 * HOUR, anti=True).select("w_id")
+    return intervals.overlap_semi(_spans(t, "purchase", 6), _spans(t, "error", 6), ["user_id"], 6 * HOUR, anti=True, longest=6 * HOUR).select("w_id")
 
 
 @query(f"WITH {_EV}, c AS (SELECT event_id, user_id, us FROM e WHERE event_type = 'purchase'), v AS (SELECT user_id, us, max(event_id) AS view_id FROM e WHERE event_type = 'view' GROUP BY ALL) SELECT c.event_id, v.view_id FROM c ASOF LEFT JOIN v ON c.user_id = v.user_id AND c.us >= v.us")
@@ -63,7 +63,7 @@ def j6_edge_distance(t):
 def j11_pairs_within_distance(t):
     p = _events(t).where("event_type = 'purchase'").select("event_id", "user_id", "us")
     spans = p.select("user_id", F.col("event_id").alias("a_id"), F.col("us").alias("start"), (F.col("us") + 12 * HOUR + 1).alias("end"))
-    j = intervals.point_join(p, spans, ["user_id"], "us", width=12 * HOUR).where("us > start or (us = start and event_id > a_id)")
+    j = intervals.point_join(p, spans, ["user_id"], "us", width=12 * HOUR, longest=12 * HOUR + 1).where("us > start or (us = start and event_id > a_id)")
     return j.select("a_id", F.col("event_id").alias("b_id"), (F.col("us") - F.col("start")).alias("apart"))
 
 
@@ -165,13 +165,13 @@ z AS (SELECT *, sqrt(greatest(expected * (1 - expected) / total, 1e-12)) / expec
 
 
 def truth_fraction(t):
-    closed = F.broadcast(hierarchy.closure(_tree(t)).select("ancestor", "descendant"))  # pairs of a tree of nations and regions
+    closed = sets.small(hierarchy.closure(_tree(t)).select("ancestor", "descendant"))
     region = F.broadcast(t.nation.select("n_nationkey", F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("clone")))
     site = t.orders.join(t.customer.select("c_custkey", "c_nationkey"), F.col("c_custkey") == F.col("o_custkey")).join(region, F.col("c_nationkey") == F.col("n_nationkey"))
     site = site.select(F.col("o_orderkey").alias("site"), F.col("o_custkey").alias("cust"), days("o_orderdate").alias("pos"), F.col("o_orderpriority").alias("tier"), "clone")
     rec = t.lineitem.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
     rec = rec.select(F.col("o_custkey").alias("cust"), days("l_shipdate").alias("start"), (days("l_shipdate") + 90).alias("end"), F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("record"), F.col("l_returnflag").alias("flag"), F.col("l_quantity").alias("n"))
-    hit = intervals.point_join(site, rec, ["cust"], width=90).join(closed, (F.col("clone") == F.col("ancestor")) & (F.col("record") == F.col("descendant")), "left")
+    hit = intervals.point_join(site, rec, ["cust"], width=90, longest=90).join(closed, (F.col("clone") == F.col("ancestor")) & (F.col("record") == F.col("descendant")), "left")
     carried = F.when((F.col("flag") == "R") & F.col("descendant").isNotNull(), F.col("n")).otherwise(0.0)
     per = hit.groupBy("site", "tier", "clone").agg(F.sum("n").alias("total"), F.sum(carried).alias("alt"))
     by_region = t.supplier.join(region, F.col("s_nationkey") == F.col("n_nationkey")).groupBy("clone").count()

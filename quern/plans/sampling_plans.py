@@ -54,7 +54,7 @@ def o6_limit(t):
 @query(f"WITH p AS (SELECT p_partkey, p_size::DOUBLE AS w FROM part), c AS (SELECT p_partkey, (sum(w) OVER o - w) / sum(w) OVER () AS lo, sum(w) OVER o / sum(w) OVER () AS hi FROM p WINDOW o AS (ORDER BY p_partkey ROWS UNBOUNDED PRECEDING)), d AS (SELECT event_id, {_u(5, 'event_id')} AS u FROM events) SELECT event_id, p_partkey FROM d JOIN c ON u >= lo AND u < hi")
 def o7_weighted_draws(t):
     table = t.part.select("p_partkey", F.col("p_size").cast("double").alias("w"))
-    return sampling.weighted_draws(table, "p_partkey", "w", t.events.select("event_id"), "event_id", 5).select("event_id", "p_partkey")
+    return sampling.weighted_draws(table, "p_partkey", "w", t.events.select("event_id"), "event_id", 5, buckets=F.floor(F.col("p_partkey") / 1000)).select("event_id", "p_partkey")
 
 
 @query("SELECT c_mktsegment, c_custkey FROM (SELECT c_mktsegment, c_custkey, row_number() OVER (PARTITION BY c_mktsegment ORDER BY substr(md5('3:' || c_custkey), 1, 12), c_custkey) AS rn FROM customer) WHERE rn <= 25")

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _OWN: list[str] = []
 
@@ -22,3 +22,11 @@ def scratch(spark: SparkSession, what: str) -> str:
             _OWN.append("file://" + tempfile.mkdtemp(prefix="quern-files-"))
         shared = _OWN[0]
     return f"{shared.rstrip('/')}/quern-{what}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, what: str) -> DataFrame:
+    """df as Parquet files in a new folder, read again: later plans start from the files,
+    which outlive any executor."""
+    path = scratch(df.sparkSession, what)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

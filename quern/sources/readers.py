@@ -12,6 +12,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import clean_pileup
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -242,3 +244,34 @@ def sidecar_totals(spark: SparkSession, path: str, kind: str, keys: dict[str, li
     rows = d.groupBy(kind).agg(F.count(F.lit(1)).alias("sidecars"), F.count("v").alias("read_"), *sums, *texts)
     sizes = d.groupBy(kind, "__file").agg(F.max("__size").alias("__size")).groupBy(kind).agg(F.sum("__size").alias("bytes"))
     return rows.join(sizes, kind)
+
+
+def pileup(df: DataFrame) -> DataFrame:
+    """contig, pos, depth, bases of pileup lines (value): bases in upper case, without read
+    starts, ends and indel texts. Lines of fewer than five fields, and those without a
+    place, are left out."""
+    d = df.where(F.size(F.split("value", "\t")) >= 5)
+    d = fields(d, [("contig", "string"), ("pos", "long"), ("ref", "string"), ("depth", "int"), ("bases", "string")]).where("pos is not null")
+    return d.select("contig", "pos", "depth", F.coalesce(clean_pileup(F.col("bases")), F.lit("")).alias("bases"))
+
+
+_PAF = (("query", "string"), ("query_length", "long"), ("query_start", "long"), ("query_end", "long"), ("strand", "string"), ("target", "string"), ("target_length", "long"), ("target_start", "long"), ("target_end", "long"), ("matches", "long"), ("block", "long"), ("quality", "int"))
+
+
+def pairwise_alignments(df: DataFrame) -> DataFrame:
+    """The twelve fields of pairwise alignment lines (value), identity (matches a letter of
+    the block), covered (the query's aligned share) and cs (the difference text of the tag
+    cs:Z:, null without). Lines of fewer fields, or without a number of matches, are left out."""
+    tag = F.nullif(F.regexp_extract("value", r"\tcs:Z:([^\t]*)", 1), F.lit(""))
+    names = [n for n, _ in _PAF]
+    parts = F.split("value", "\t")
+    d = df.select(*[F.nullif(F.get(parts, F.lit(i)), F.lit("")).try_cast(kind).alias(n) for i, (n, kind) in enumerate(_PAF)], tag.alias("cs"))
+    d = d.where("query is not null and target is not null and matches is not null")
+    return d.select(*names, F.try_divide("matches", "block").alias("identity"), F.try_divide(F.col("query_end") - F.col("query_start"), "query_length").alias("covered"), "cs")
+
+
+def best_alignments(alignments: DataFrame) -> DataFrame:
+    """Each query's alignment with the most matches (ties: by target, target_start, strand)."""
+    rest = [c for c in alignments.columns if c != "query"]
+    best = F.min(F.struct((-F.col("matches")).alias("__m"), F.col("target").alias("__t"), F.col("target_start").alias("__s"), F.col("strand").alias("__d"), F.struct(*rest).alias("row")))
+    return alignments.groupBy("query").agg(best.alias("b")).select("query", "b.row.*")

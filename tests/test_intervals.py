@@ -189,7 +189,7 @@ def test_long_and_short_spans_make_few_rows(spark):
         assert "NestedLoop" not in plan and "Cartesian" not in plan
     points = spark.createDataFrame([(k, i, p) for i, (k, _, p, _) in enumerate(short)] + [("a", 900, None)], "k string, p int, pos long")
     inside = sorted((p, s[1]) for p, (k, _, at, _) in enumerate(short) for s in long if s[0] == k and s[2] <= at < s[3])
-    for width in (1, 1000):
-        assert sorted((r.p, r.id) for r in intervals.point_join(points, a, ["k"], width=width).collect()) == inside
-        assert {r.p for r in intervals.point_join(points, a, ["k"], width=width, how="left_anti").collect()} == {900, *range(len(short))} - {p for p, _ in inside}
+    for width, longest in ((1, None), (1000, None), (1_000_000, 5_000_000), (1000, 250_000_000)):  # the third one is too short: no row is lost
+        assert sorted((r.p, r.id) for r in intervals.point_join(points, a, ["k"], width=width, longest=longest).collect()) == inside
+        assert {r.p for r in intervals.point_join(points, a, ["k"], width=width, how="left_anti", longest=longest).collect()} == {900, *range(len(short))} - {p for p, _ in inside}
     assert intervals.point_join(points, a.limit(0), ["k"]).count() == 0 and intervals.point_join(points, a.limit(0), ["k"], how="left_anti").count() == 203
