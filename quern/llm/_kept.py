@@ -28,7 +28,3 @@ class Kept(dict):
                 self.clear()
             self[text] = made
         return made
-
-    def drop(self) -> None:
-        self.older, self.bytes = {}, 0
-        self.clear()

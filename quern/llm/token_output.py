@@ -36,7 +36,7 @@ from ._shared import new_path, partitions, small_batches, trimmed
 
 SEQ_LEN = 2048
 SEQS_A_BATCH = 64
-KEPT_BYTES = 14 << 20  # of pieces' ids; as much for those kept before them, and both again for words of simple texts
+KEPT_BYTES = 14 << 20  # of pieces' ids; as much for those kept before them, and both again for words of simple texts. They stay with the worker
 # The parts of a tokenizers file under which pieces can be encoded alone.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
@@ -85,11 +85,6 @@ class Encoder:
         word, other = self.words.__getitem__, self.others.__getitem__
         return [b"".join(map(word, _PIECE.findall(t.lower())) if _SIMPLE.fullmatch(t) and "<|" not in t else map(other, t.translate(_SPACES).split(" "))) for t in texts]
 
-    def drop(self) -> None:
-        """Forget the pieces: workers stay alive, idle, beside those of other stages."""
-        self.words.drop()
-        self.others.drop()
-
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
@@ -168,7 +163,6 @@ def _writer(out: str, path: str, end_id: int, seq_len: int, id_type: pa.DataType
             _put(fs, [f"{folder}/shard-{shard:06d}.arrow", f"{folder}/shard-{shard:06d}.docs.arrow"], both)
         finally:
             gc.enable()
-            enc.drop()
         yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (shard, docs, tokens)], ["shard", "docs", "tokens"])
 
     return write
