@@ -7,10 +7,12 @@ columns (times: microseconds or seconds as long). Null starts or ends match noth
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WIDTH = 1 << 20  # places whose rows may meet in one task
 
@@ -284,21 +286,36 @@ def chunks(df: DataFrame, length: str, size: int, overlap: int) -> DataFrame:
     return d.withColumn("chunk_start", F.col("chunk") * step).withColumn("chunk_end", F.least(F.col(length).cast("long"), F.col("chunk") * step + size).cast("long"))
 
 
+def _first_come(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds kept to rows in order of group (all columns but the last three), start, end, key."""
+    group, last = None, None
+    for batch in batches:
+        *by, key, starts, ends = (c.to_pylist() for c in batch.columns)
+        kept = []
+        for own, start, end in zip(zip(*by), starts, ends):
+            if own != group:
+                group, last = own, None
+            kept.append(last is None or start >= last)
+            if kept[-1]:
+                last = end
+        columns = [*batch.columns, pa.array(kept, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "kept"])
+
+
 def greedy(df: DataFrame, by: Sequence[str], key: str, start: str = "start", end: str = "end", width: int = WIDTH) -> DataFrame:
     """First-come selection of spans that don't overlap, in order of (start, end, key):
-    kept, and the dropped ones too. A fold over each island's sorted spans, since each
-    decision needs the last kept end: no choice reaches past a place that no span crosses.
-    The largest island must fit in a task. Spans without a start or end are left out."""
-    one = F.struct(F.col(start).alias("s"), F.col(end).alias("e"), F.col(key).alias("k"))
-    d = _labelled(df.select(*by, start, end, key), by, start, end, -1, width)
-    folded = d.groupBy(*by, "__island").agg(F.array_sort(F.collect_list(one)).alias("all"))
-    kind = df.select(one.alias("x")).schema["x"].dataType.simpleString()
-    begin = F.expr(f"named_struct('last', cast(null as bigint), 'out', cast(array() as array<struct<x:{kind},kept:boolean>>))")
-    fold = F.aggregate("all", begin, lambda a, x: F.struct(
-        F.when(a["last"].isNull() | (x["s"] >= a["last"]), x["e"].cast("long")).otherwise(a["last"]).alias("last"),
-        F.concat(a["out"], F.array(F.struct(x.alias("x"), (a["last"].isNull() | (x["s"] >= a["last"])).alias("kept")))).alias("out")))
-    rows = folded.select(*by, F.explode(fold["out"]).alias("o"))
-    return rows.select(*by, F.col("o.x.k").alias(key), F.col("o.x.s").alias(start), F.col("o.x.e").alias(end), F.col("o.kept").alias("kept"))
+    by, key, start, end, kept, the dropped ones too.
+
+    Each decision needs the last kept end only, and none reaches past a place that no span
+    crosses: islands go to the tasks, sorted, and pass by one row after the other, so the
+    largest island must be sorted by a task but is held by none. Rows that tie in all three
+    are alike. Spans without a start or end are left out; empty ones are kept where no kept
+    one goes on. An empty table gives no rows."""
+    d = _labelled(df.select(*by, key, start, end), by, start, end, -1, width).select(*by, "__island", key, start, end)
+    order = [*by, "__island", start, end, key]
+    schema = T.StructType([*d.schema.fields, T.StructField("kept", T.BooleanType())])
+    picked = d.repartition(*by, "__island").sortWithinPartitions(*order).mapInArrow(_first_come, schema)
+    return picked.select(*by, key, start, end, "kept")
 
 
 def weighted_by_overlap(a: DataFrame, b: DataFrame, by: Sequence[str], value: str, key: Sequence[str], least: int = 0, width: int = 1000) -> DataFrame:

@@ -63,6 +63,12 @@ def require_resolved(df: DataFrame, column: str) -> DataFrame:
     return df
 
 
+def resolved_or_error(value: Column, what: Column) -> Column:
+    """value, or an error that names the row (what) where it is null: the job ends before
+    anything is committed, without a pass of its own over the rows."""
+    return F.when(value.isNotNull(), value).otherwise(F.raise_error(F.concat(F.lit("not resolved: "), what)))
+
+
 def prefix_shadows(df: DataFrame, name: str) -> DataFrame:
     """shadowed, by: names that are a longer name's beginning. Each name's prefixes meet
     the names in an equi-join; the names need not be compared pairwise."""

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from ..functions import messagepack as mp
 from ..functions import sequence as sq
 from ..operators import adapters as ad
-from ..operators import alignments, passengers, phasing
+from ..operators import alignments, bundles, passengers, phasing, spikeins
 from ..sources import folders, readers
 from .registry import query
-from .scalar_plans import _P, _dna
+from .scalar_plans import _CODONS, _P, _dna
 
 _U = "(CAST(('0x' || substr(md5('{seed}:' || {key}), 1, 12)) AS BIGINT) / 281474976710656.0::DOUBLE)"
 _CONTIGS = f"{_P}, k AS (SELECT *, p_partkey // 8 AS contig, p_partkey % 8 AS block FROM p), letters AS (SELECT contig, block * 64 + i - 1 AS spot, substr(dna, i, 1) AS letter FROM k, unnest(range(1, 65)) u(i))"
@@ -279,3 +279,46 @@ def s19_alignment_edits(t):
     best = readers.best_alignments(readers.pairwise_alignments(lines))
     d = best.select(F.col("query").cast("long").alias("p_partkey"), "target", F.explode(sq.difference_edits(F.col("cs"), F.col("target_start"))).alias("e"))
     return d.select("p_partkey", "target", F.col("e.start").alias("spot"), "e.ref", "e.alt")
+
+
+_SAMPLES = [
+    ("exome_tumor", "WES", False, False, "{d}_tumor_wes", "{d}_part_tumor_wes", "Illumina"), ("exome_normal", "WES", True, False, "{d}_normal_wes", "{d}_part_normal_wes", "Illumina"),
+    ("rna_tumor", "RNA-Seq", False, True, "{d}_full_rna", "{d}_part_rna", "Illumina"), ("cells_tumor", "scRNA-Seq", False, True, "{d}-CELLS_S1", "{d}-part-CELLS_S1", "Illumina"),
+    ("long_tumor", "WGS", False, False, "{d}_tumor_long", "{d}_part_tumor_long", "PacBio"), ("long_normal", "WGS", True, False, "{d}_normal_long", "{d}_part_normal_long", "PacBio"),
+]
+_SAMPLES_SQL = "(VALUES " + ", ".join(f"('{a}', '{m}', {n}, {r}, '{f}', '{p}', '{x}')" for a, m, n, r, f, p, x in _SAMPLES) + ") v(label, method, normal, rna, full_, subset, platform)"
+
+
+@query(f"""WITH d AS (SELECT n_name AS dataset, string_agg(CAST(s_suppkey AS VARCHAR), ',' ORDER BY s_suppkey) AS alleles, CAST(n_nationkey AS VARCHAR) AS grp FROM nation JOIN supplier ON s_nationkey = n_nationkey WHERE s_suppkey <= 200 GROUP BY n_name, n_nationkey),
+m AS (SELECT *, CASE WHEN release = 'full' THEN full_ ELSE subset END AS tmpl FROM d, {_SAMPLES_SQL}, (VALUES ('full'), ('part')) r(release))
+SELECT dataset AS patient, CASE WHEN release = 'full' THEN dataset ELSE dataset || '-' || release END AS dataset, CASE WHEN normal THEN 'n' ELSE 'a' END || CASE WHEN rna THEN 'r' ELSE 'd' END || '-' || replace(label, '_', '-') AS run_name,
+dataset || substr(tmpl, 4, 1) || '20240131' || substr(tmpl, 4) AS file_prefix, method, normal, grp AS "group", alleles, platform, CASE platform WHEN 'Illumina' THEN 'short-read' ELSE 'long-read' END AS read_type, CASE WHEN normal THEN 'blood-normal' ELSE 'tumor' END AS sample_type FROM m""")
+def d34_guarded_manifest(t):
+    """Nations as data sets in two releases, of a version; no prefix begins another, nor one without a version."""
+    s = t.supplier.where("s_suppkey <= 200").join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    names = F.array_join(F.transform(F.array_sort(F.collect_list("s_suppkey")), lambda x: x.cast("string")), ",")  # at most 200 of them
+    datasets = s.groupBy(F.col("n_name").alias("dataset"), F.col("n_nationkey").cast("string").alias("group")).agg(names.alias("alleles"))
+    samples = t.spark.createDataFrame(_SAMPLES, "label string, method string, normal boolean, rna boolean, full string, subset string, platform string")
+    made = [bundles.manifest(datasets, samples, ("full", "part"), v) for v in ("20240131", "")]
+    return bundles.guarded(*made)
+
+
+@query(f"""WITH {_CONTIGS}, {_CODONS}, g AS (SELECT contig, string_agg(dna, '' ORDER BY block) AS seq FROM k GROUP BY 1 HAVING count(*) = 8),
+cd AS (SELECT contig, CASE WHEN contig % 2 = 1 THEN reverse(translate(x, 'ACGT', 'TGCA')) ELSE x END AS cds, list_concat(list_concat(range(10, 100), range(130, 250)), range(300, 400)) AS up FROM (SELECT contig, substr(seq, 11, 90) || substr(seq, 131, 120) || substr(seq, 301, 100) AS x FROM g)),
+pl AS (SELECT contig, cds, CASE WHEN contig % 2 = 1 THEN list_reverse(up) ELSE up END AS places FROM cd),
+s AS (SELECT c_custkey AS event, 1 + c_custkey % 30 AS contig, c_custkey % 316 + 1 AS first_, c_custkey % 316 + 1 + c_custkey % 4 AS last_, c_custkey % 3 AS h, c_custkey % 5 AS l FROM customer),
+j AS (SELECT s.*, cds, places, (first_ - 1) // 3 + 1 AS codon, (first_ - 1) // 3 + 1 + CASE WHEN event % 7 = 0 THEN 1 ELSE 0 END AS want, CASE h WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE CASE l WHEN 0 THEN 0 WHEN 1 THEN 1 END END AS hap FROM s LEFT JOIN pl USING (contig)),
+a AS (SELECT j.*, aa AS wt_aa FROM j LEFT JOIN codons ON codons.codon = substr(cds, CAST((j.codon - 1) * 3 + 1 AS BIGINT), 3)),
+q AS (SELECT *, list_max(places[CAST(first_ AS BIGINT):CAST(last_ AS BIGINT)]) - list_min(places[CAST(first_ AS BIGINT):CAST(last_ AS BIGINT)]) <> last_ - first_ AS split FROM a)
+SELECT event, CAST(codon AS BIGINT) AS codon, wt_aa, CAST(hap AS INTEGER) AS haplotype, concat_ws(',', CASE WHEN cds IS NULL THEN 'no transcript' END, CASE WHEN last_ > length(cds) THEN 'past the coding sequence' END, CASE WHEN last_ <= length(cds) AND split THEN 'spans an intron' END, CASE WHEN codon <> want THEN 'other codon' END, CASE WHEN hap IS NULL THEN 'no single haplotype' END) AS problems FROM q""")
+def d30_spike_in_resolution(t):
+    """Deletions by coding places of contigs' three exons, on either strand, held against what is expected."""
+    exons = F.array(*[F.struct(F.lit(a).cast("long").alias("start"), F.lit(b).cast("long").alias("end")) for a, b in ((10, 100), (130, 250), (300, 400))])
+    genes = _blocks(t).groupBy("contig").agg(F.count(F.lit(1)).alias("n")).where("n = 8").select(F.col("contig").alias("gene"), "contig", F.when(F.col("contig") % 2 == 1, "-").otherwise("+").alias("strand"), exons.alias("exons"))
+    k = F.col("c_custkey")
+    first = k % 316 + 1
+    codon = F.floor((first - 1) / 3) + 1 + F.when(k % 7 == 0, 1).otherwise(0)
+    specs = t.customer.select(k.alias("event"), (1 + k % 30).alias("gene"), first.alias("first"), (first + k % 4).alias("last"), F.when(k % 3 == 2, "retained").otherwise((k % 3).cast("string")).alias("haplotype"), (k % 5).alias("label"), codon.alias("expect_codon"), F.lit(None).cast("string").alias("expect_aa"), F.lit(None).cast("string").alias("expect_effect"))
+    losses = t.region.select(F.col("r_regionkey").alias("label"), F.when(F.col("r_regionkey") == 1, 0).when(F.col("r_regionkey") == 3, 0).otherwise(1).alias("cn0"), F.when(F.col("r_regionkey").isin(0, 3), 0).otherwise(2).alias("cn1"))
+    nothing = _blocks(t).select("contig", F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end")).where("false")
+    return spikeins.resolve(specs, genes, _blocks(t), 64, nothing, losses).select("event", "codon", "wt_aa", "haplotype", "problems")

@@ -275,10 +275,13 @@ def d30_spike_in_expectation(t):
 
 @query("WITH m AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN r_name WHEN o_orderstatus = 'O' THEN n_name ELSE 'always' END AS place, CASE WHEN o_orderstatus = 'P' THEN true ELSE r_regionkey < 3 END AS keep FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey) SELECT l_orderkey, l_linenumber, l_partkey, place FROM lineitem JOIN m ON o_orderkey = l_orderkey WHERE keep")
 def d32_subset_by_record_map(t):
+    """An order whose place can't be found ends the job."""
     place = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    m = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).join(F.broadcast(place), F.col("n_nationkey") == F.col("c_nationkey"))
+    c = t.customer.join(F.broadcast(place), F.col("n_nationkey") == F.col("c_nationkey"), "left").select("c_custkey", "n_name", "r_name", "r_regionkey")
+    m = t.orders.join(c, F.col("c_custkey") == F.col("o_custkey"), "left")
     name = F.when(F.col("o_orderstatus") == "F", F.col("r_name")).when(F.col("o_orderstatus") == "O", F.col("n_name")).otherwise("always")
-    m = m.select("o_orderkey", name.alias("place"), ((F.col("o_orderstatus") == "P") | (F.col("r_regionkey") < 3)).alias("keep")).where("keep")
+    known = sets.resolved_or_error(name, F.concat(F.lit("order "), F.col("o_orderkey").cast("string")))
+    m = m.select("o_orderkey", known.alias("place"), ((F.col("o_orderstatus") == "P") | (F.col("r_regionkey") < 3)).alias("keep")).where("keep or place is null")
     return t.lineitem.join(m, F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "l_partkey", "place")
 
 

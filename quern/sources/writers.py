@@ -29,7 +29,9 @@ def write_lines(df: DataFrame, path: str, order: Sequence[str]) -> None:
 
 def replace(df: DataFrame, path: str) -> None:
     """Write df as Parquet in place of what path holds, which df may read: written aside,
-    then renamed, so that readers see the old table or the new one, never a part."""
+    then renamed. Readers never see a part of a table; between the two renames there is none
+    at path, and after a crash just then the old one stands under path.old, the new one whole
+    under path.new."""
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
     at, aside, old = (jvm.Path(path + x) for x in ("", ".new", ".old"))

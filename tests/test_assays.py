@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import messagepack as mp
 from quern.functions.search import approximate_hits
-from quern.operators import adapters, alignments, passengers, phasing
+from quern.operators import adapters, alignments, bundles, passengers, phasing, sets, spikeins
 from quern.sources import readers
 
 MESSAGES = [
@@ -302,3 +302,54 @@ def test_sidecars(spark, tmp_path):
     got = readers.sidecar_totals(spark, f"file://{tmp_path}", "kind", {"n": ["$.new.n", "$.old"]}, {"systems": "$.os"})
     size = {k: sum(len(v) + 1 for x, v in lines if x == k) for k in "abc"}
     assert sorted((r.kind, r.sidecars, r.read_, r.n, r.systems, r.bytes) for r in got.collect()) == [("a", 4, 2, 12, 2, size["a"]), ("b", 2, 2, 0, 0, size["b"]), ("c", 1, 1, 0, 0, size["c"])]
+
+
+SAMPLES = "label string, method string, normal boolean, rna boolean, full string, subset string, platform string"
+
+
+def test_manifest_and_its_guard(spark):
+    datasets = spark.createDataFrame([("A", "x,y", "1"), ("B", "z", "2")], "dataset string, alleles string, group string")
+    rows = [("wes_tumor", "WES", False, False, "{d}_tumor_wes", "{d}_sub_tumor_wes", "Illumina"), ("gex", "scRNA-Seq", False, True, "{d}-GEX_S1", "{d}-sub-GEX_S1", "ONT")]
+    made = {v: bundles.manifest(datasets, spark.createDataFrame(rows, SAMPLES), ("full", "sub"), v) for v in ("", "v1")}
+    got = {(r.dataset, r.run_name): (r.file_prefix, r.read_type, r.sample_type) for r in bundles.guarded(made["v1"], made[""]).collect()}
+    assert len(got) == 8 and got["A", "ad-wes-tumor"] == ("A_v1_tumor_wes", "short-read", "tumor") and got["B-sub", "ar-gex"] == ("B-v1-sub-GEX_S1", "long-read", "tumor")
+    # A version at the end would leave the old prefix in front of the new one.
+    later = made[""].withColumn("file_prefix", F.concat("file_prefix", F.lit("_v1")))
+    with pytest.raises(ValueError, match="A_tumor_wes begins A_tumor_wes_v1"):
+        bundles.guarded(later.where("patient = 'A' and dataset = 'A' and run_name like '%wes%'"), made[""])
+    bad = spark.createDataFrame([("x", "WES", False, False, "tumor", "tumor", "ONT")], SAMPLES)
+    with pytest.raises(Exception, match="no dataset and separator"):
+        bundles.manifest(datasets, bad, ("full",), "v1").collect()
+
+
+def test_unresolved_rows_end_the_job(spark):
+    d = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    value = sets.resolved_or_error(F.col("v"), F.col("k").cast("string"))
+    assert d.where("k = 1").select(value.alias("v")).first().v == "a"
+    with pytest.raises(Exception, match="not resolved: 2"):
+        d.select(value).collect()
+
+
+def test_spike_ins(spark):
+    r = random.Random(6)
+    seq = "".join(r.choice("ACGT") for _ in range(30)) + "ATGAAAAAAGCC" + "TTTT" + "GGCCCATGA" + "".join(r.choice("ACGT") for _ in range(30))
+    transcripts = [("plus", "c", "+", [(30, 42), (46, 55)]), ("minus", "c", "-", [(30, 42), (46, 55)])]
+    t = spark.createDataFrame(transcripts, "gene string, contig string, strand string, exons array<struct<start:long,end:long>>")
+    spec = "event string, gene string, first long, last long, haplotype string, label string, expect_codon long, expect_aa string, expect_effect string"
+    rows = [
+        ("good", "plus", 9, 9, "1", None, 3, "K", "frameshift"), ("kept", "plus", 4, 6, "retained", "one", 2, "K", "inframe_deletion"), ("both", "plus", 4, 4, "retained", "two", None, None, None),
+        ("wrong", "plus", 4, 4, "0", None, 3, "M", "missense"), ("intron", "plus", 12, 13, "0", None, None, None, None), ("past", "plus", 20, 22, "0", None, None, None, None),
+        ("none", "other", 1, 1, "0", None, None, None, None), ("turned", "minus", 2, 2, "0", None, 1, "S", None), ("there", "plus", 16, 17, "0", None, None, None, None),
+    ]
+    b = blocks(spark, {"c": seq}, 8)
+    germline = spark.createDataFrame([("c", 47, 51)], "contig string, start long, end long")
+    losses = spark.createDataFrame([("one", 0, 2), ("two", 1, 1)], "label string, cn0 int, cn1 int")
+    got = {x.event: x for x in spikeins.resolve(spark.createDataFrame(rows, spec), t, b, 8, germline, losses).collect()}
+    assert {k: x.problems for k, x in got.items()} == {
+        "good": "", "kept": "", "both": "no single haplotype", "wrong": "other codon,other residue,other consequence", "intron": "spans an intron", "past": "past the coding sequence", "none": "no transcript", "turned": "", "there": "a change is there"}
+    # The ninth coding letter is the last of six A: written as far left as it goes.
+    assert (got["good"].pos, got["good"].ref, got["good"].alt) == (33, "GA", "G") and seq[32:34] == "GA"
+    assert got["kept"].haplotype == 1 and got["kept"].ref == "GAAA" and got["good"].haplotype == 1 and got["intron"].pos is None
+    for x in got.values():
+        if x.pos is not None:
+            assert seq[x.pos - 1 : x.pos - 1 + len(x.ref)] == x.ref
