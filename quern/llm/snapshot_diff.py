@@ -18,8 +18,6 @@ key), so a content that very many rows share is dealt over many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
