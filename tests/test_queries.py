@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from quern.plans import registry
 
 D = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations clicks sales sale_lines clients client_changes vendors items stamps".split()
 
 
 @pytest.fixture(scope="module")
