@@ -39,16 +39,17 @@ def phase_by_containment(alleles: DataFrame, sides: DataFrame, k: int, margin: f
     haplotypes are the same text (so neither allele can lie on one), indeterminate where the
     shares differ by less than margin, else ok or INVERTED. An allele declared on both sides
     comes as two rows of equal text; it counts once and is declared on either. Alleles
-    without k-mers have shares of 0; loci without sides too."""
+    without k-mers have shares of 0; loci without sides too. K-mers and loci are merged, not
+    broadcast: the size of the tables read doesn't tell how many they become."""
     per = alleles.groupBy("locus", "allele").agg(F.max("seq").alias("seq"), F.collect_set("declared").alias("on"))
     count = per.groupBy("locus").agg(F.count(F.lit(1)).alias("n"))
-    wanted = per.join(count, "locus")
+    wanted = per.join(count.hint("merge"), "locus")
     tested = wanted.where("n > 1 and seq is not null")
     mine = canonical_kmers(tested, ["locus", "allele"], "seq", k)
     theirs = canonical_kmers(sides, ["locus", "hap"], "seq", k).groupBy("locus", "kmer").agg(F.bool_or(F.col("hap") == 0).alias("in0"), F.bool_or(F.col("hap") == 1).alias("in1"))
-    shares = mine.join(theirs, ["locus", "kmer"], "left").groupBy("locus", "allele").agg((F.count_if("in0") / F.count(F.lit(1))).alias("hap0"), (F.count_if("in1") / F.count(F.lit(1))).alias("hap1"))
+    shares = mine.join(theirs.hint("merge"), ["locus", "kmer"], "left").groupBy("locus", "allele").agg((F.count_if("in0") / F.count(F.lit(1))).alias("hap0"), (F.count_if("in1") / F.count(F.lit(1))).alias("hap1"))
     alike = sides.groupBy("locus").agg((F.count_distinct(F.sha2("seq", 256)) == 1).alias("alike"))
-    d = wanted.join(shares, ["locus", "allele"], "left").join(alike, "locus", "left")
+    d = wanted.join(shares.hint("merge"), ["locus", "allele"], "left").join(alike.hint("merge"), "locus", "left")
     known = (F.col("n") > 1) & F.col("seq").isNotNull()
     share = lambda c: F.when(known, F.coalesce(c, F.lit(0.0)))
     d = d.withColumn("hap0", share("hap0")).withColumn("hap1", share("hap1"))

@@ -190,6 +190,12 @@ def test_phase_by_containment(spark):
     assert by == {("x", "ok"): ("0", 0, "ok"), ("x", "turned"): ("1", 1, "ok"), ("x", "wrong"): ("0", 1, "INVERTED"), ("x", "either"): ("0/1", 1, "ok"), ("x", "shared"): ("0", None, "indeterminate"), ("x", "gone"): ("0", None, "no sequence"), ("x", "short"): ("0", None, "indeterminate"), ("same", "a"): ("0", None, "no allelic difference"), ("same", "b"): ("1", None, "no allelic difference"), ("one", "only"): ("0", None, "homozygous"), ("nowhere", "a"): ("0", None, "indeterminate"), ("nowhere", "b"): ("0", None, "indeterminate")}
 
 
+def test_phase_by_containment_broadcasts_no_kmers(spark):
+    alleles = spark.createDataFrame([("x", "a", 0, "ACGTTGCA"), ("x", "b", 1, "ACGTAGCA")], "locus string, allele string, declared int, seq string")
+    sides = spark.createDataFrame([("x", 0, "ACGTTGCA"), ("x", 1, "ACGTAGCA")], "locus string, hap int, seq string")
+    assert "Broadcast" not in phasing.phase_by_containment(alleles, sides, 5)._jdf.queryExecution().executedPlan().toString()
+
+
 EDITS = "contig string, hap int, start long, ref string, alt string"
 
 
