@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import messagepack as mp
-from ..functions.search import approximate_hits, best_hits
+from ..functions.search import best_hits, checked, hits_in
 from ..functions.sequence import reverse_complement
 
 
@@ -17,14 +18,20 @@ def adapter_hits(text: Column, adapters: Sequence[str], edits: int) -> Column:
     """All adapters (labelled by their place in the list) and their reverse complements in
     text, with at most `edits` edits: an array of end, distance, label, turned, by end. Of
     hits of one adapter that overlap the best counts."""
-    def of(label: int, turned: bool) -> Column:
-        a = adapters[label]
-        pattern = a[::-1].translate(str.maketrans("ACGTN", "TGCAN")) if turned else a
-        hits = best_hits(approximate_hits(text, pattern, edits), len(a))
-        return F.transform(hits, lambda h: F.struct(h["end"].alias("end"), h["distance"].alias("distance"), F.lit(label).alias("label"), F.lit(turned).alias("turned")))
-
-    found = [of(label, turned) for label in range(len(adapters)) for turned in (False, True)]
-    return F.array_sort(F.concat(*found))
+    turn = str.maketrans("ACGTN", "TGCAN")
+    kinds = [(label, turned, a[::-1].translate(turn) if turned else a) for label, a in enumerate(adapters) for turned in (False, True)]
+    patterns = [a for _, _, a in kinds]
+    checked(patterns)
+
+    @F.pandas_udf("array<struct<end:int,distance:int,label:int,turned:boolean>>")
+    def found(s: pd.Series) -> pd.Series:
+        out = [None] * len(s)
+        for i, per in hits_in(s.tolist(), patterns, edits):
+            every = sorted((end, distance, label, turned) for (label, turned, a), hits in zip(kinds, per) for end, distance in best_hits(hits, len(a)))
+            out[i] = [{"end": e, "distance": d, "label": n, "turned": t} for e, d, n, t in every]
+        return pd.Series(out, dtype=object)
+
+    return found(text)
 
 
 def grammar(hits: Column, last: int) -> Column:
