@@ -68,8 +68,23 @@ def grammar(hits: Column, last: int) -> Column:
 def segments(df: DataFrame, key: Sequence[str], text: str, hits: str, lengths: Sequence[int]) -> DataFrame:
     """key, segment (label of the adapter before it), sequence in the adapters' own
     direction, for neighbouring hits of one strand that follow each other. lengths: of the
-    adapters, taken off from the hits' ends."""
-    size = F.element_at(F.array(*[F.lit(n) for n in lengths]), F.col("b.label") + 1)
+    adapters, taken off from the hits' ends. Letters belong to one adapter: of hits that
+    overlap, one that no hit of its strand precedes or follows in order is left out beside
+    one that has such a hit."""
+    long = lambda x: F.element_at(F.array(*[F.lit(n) for n in lengths]), x["label"] + 1)
+    overlap = lambda x, y: (x["end"] > y["end"] - long(y)) & (y["end"] > x["end"] - long(x))
+
+    def next_to(x: Column, y: Column) -> Column:
+        step = F.when((y["end"] > x["end"]) == x["turned"], -1).otherwise(1)
+        return (y["turned"] == x["turned"]) & (y["label"] == x["label"] + step)
+
+    def apart(h: Column) -> Column:
+        told = F.filter(h, lambda x: F.exists(h, lambda y: next_to(x, y)))
+        return mp.let(told, lambda t: F.filter(h, lambda x: F.array_contains(t, x) | ~F.exists(t, lambda y: overlap(x, y))))
+
+    crossed = F.exists(F.zip_with(hits, F.slice(hits, F.lit(2), F.greatest(F.size(hits) - 1, F.lit(0))), lambda x, y: overlap(x, y)), lambda b: F.coalesce(b, F.lit(False)))
+    df = df.withColumn(hits, F.when((F.size(hits) > 1) & crossed, mp.let(F.col(hits), apart)).otherwise(F.col(hits)))
+    size = long(F.col("b"))
     pairs = F.zip_with(F.slice(hits, F.lit(1), F.greatest(F.size(hits) - 1, F.lit(0))), F.slice(hits, F.lit(2), F.greatest(F.size(hits) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     d = df.where(F.size(hits) > 1).select(*key, F.col(text).alias("__t"), F.explode(pairs).alias("p")).select(*key, "__t", "p.a", "p.b")
     follows = (F.col("a.turned") == F.col("b.turned")) & (F.col("b.label") - F.col("a.label") == F.when(F.col("a.turned"), -1).otherwise(1))

@@ -164,6 +164,18 @@ def test_adapters_and_grammar(spark):
     assert by["complete", 0] == by["turned", 0] == "CTCTC" and by["complete", 1] == by["turned", 1] == by["edit", 1] == "GAGAGAG" and not any(k[0] in ("broken", "mixed") for k in by)
 
 
+def test_segments_beside_overlapping_chance_hits(spark):
+    a = ["GCCACACGCCCC", "GAATTCGGCGCG", "CCTAATTGGTGA"]
+    read = a[0] + "TCGCGCGCC" + a[1] + "TCTCCGC" + a[2]  # rc(a[1]) ends within a[1], whose first letters are their own complement
+    d = spark.createDataFrame([("on", read), ("back", rc(read))], "name string, read string").withColumn("hits", adapters.adapter_hits(F.col("read"), a, 0))
+    assert [r.n for r in d.select(F.size("hits").alias("n")).collect()] == [4, 4]
+    cut = sorted(map(tuple, adapters.segments(d, ["name"], "read", "hits", [12] * 3).collect()))
+    assert cut == [(n, i, s) for n in ("back", "on") for i, s in enumerate(["TCGCGCGCC", "TCTCCGC"])]
+    read = a[0] + "TCTC" + a[1] + "CCACACGCC" + a[2]  # a[0] again, over the ends of a[1] and a[2]
+    d = spark.createDataFrame([("on", read)], "name string, read string").withColumn("hits", adapters.adapter_hits(F.col("read"), a, 0))
+    assert sorted(map(tuple, adapters.segments(d, ["name"], "read", "hits", [12] * 3).collect())) == [("on", 0, "TCTC"), ("on", 1, "CCACACGCC")]
+
+
 def test_consensus_and_yield(spark):
     seen = [("0", "ACGT")] * 3 + [("0", "ACGA")] + [("0", "ACG")] * 3 + [("1", "TT"), ("1", "AT"), ("1", ""), ("1", None)]
     got = {r.label: tuple(r)[1:] for r in adapters.consensus(spark.createDataFrame(seen, "label string, seq string")).collect()}
