@@ -42,7 +42,8 @@ def weighted_draws(table: DataFrame, item: str, weight: str, draws: DataFrame, k
     Items own adjacent parts of [0, 1) in order of item; a draw's uniform falls into
     one of them. The parts meet the draws on equal cells, as many as table has items (1024
     at least), an equi-join. buckets, a column of table that never falls as item rises, lets
-    running sums go in levels, so that a class's items needn't meet in one task. Draws of a
+    running sums go in levels, so that a class's items needn't meet in one task, and has
+    draws and items merged: neither side is small. Draws of a
     class without any weight, and null weights, have no row; items of a class differ."""
     table = table.where(F.col(weight) > 0).withColumn("__bucket", F.lit(0) if buckets is None else buckets)
     per = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
@@ -66,7 +67,7 @@ def weighted_draws(table: DataFrame, item: str, weight: str, draws: DataFrame, k
     cond = (F.col("__at") == F.col("__cell")) & (F.col("u") >= F.col("__lo")) & (F.col("u") < F.col("__hi"))
     for c in by:
         cond = cond & (F.col(c) == F.col(f"__by_{c}"))
-    return d.join(parts, cond).drop("__at", "__cell", "__cells", "__lo", "__hi", *[f"__by_{c}" for c in by])
+    return d.join(parts if buckets is None else parts.hint("merge"), cond).drop("__at", "__cell", "__cells", "__lo", "__hi", *[f"__by_{c}" for c in by])
 
 
 def normal(seed: int | str, *key: Column | str) -> Column:

@@ -9,6 +9,7 @@ from ..functions import editing
 from ..functions import scalar as sc
 from ..functions import sequence as sq
 from ..operators import checks, copynumber, hierarchy, intervals, sampling, sets, windows
+from ._dealt import dealt
 from .interval_plans import _CLOSE, _TREE, _tree
 from .registry import query
 from .scalar_plans import _CODONS, _P, _dna
@@ -213,7 +214,7 @@ def d24_molecule_pool(t):
     size = F.col("p_size")
     k = t.customer.select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, "other").otherwise(F.concat(F.lit("n"), (F.col("c_nationkey") % 3).cast("string"))).alias("class"))
     n = F.greatest(F.lit(50), (60 + 21 * sampling.normal(44, "c_custkey")).cast("int"))
-    draws = k.withColumn("i", F.explode(F.sequence(F.lit(0), n - 1))).withColumn("molecule", F.concat(F.col("c_custkey").cast("string"), F.lit(":"), F.col("i").cast("string")))
+    draws = dealt(k).withColumn("i", F.explode(F.sequence(F.lit(0), n - 1))).withColumn("molecule", F.concat(F.col("c_custkey").cast("string"), F.lit(":"), F.col("i").cast("string")))
     copies = (F.col("p_partkey") + F.length("class") + F.ascii(F.right("class", F.lit(1)))) % 4
     weight = F.when(F.col("class") == "other", F.when(size % 5 == 0, 0).otherwise(size)).when((size % 5 == 0) & (F.col("class") != F.concat(F.lit("n"), (size % 3).cast("string"))), 0).otherwise(size * copies)
     table = t.part.crossJoin(F.broadcast(k.select("class").distinct())).select("p_partkey", "class", weight.cast("double").alias("w"))  # four classes

@@ -218,6 +218,13 @@ def test_weighted_draws_by_class(spark):
     assert abs(sum(z) / 4000) < 0.06 and abs(sum(x * x for x in z) / 4000 - 1) < 0.1
 
 
+def test_draws_from_a_large_table_are_not_broadcast(spark):
+    table, draws = spark.range(5).select(F.col("id").alias("i"), F.lit(1.0).alias("w")), spark.range(9).select(F.col("id").cast("string").alias("key"))
+    d = sampling.weighted_draws(table, "i", "w", draws, "key", 1, buckets=F.floor(F.col("i") / 2))
+    joins = [line for line in d._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line and "__cell" in line]
+    assert len(joins) == 1 and "SortMergeJoin" in joins[0] and d.count() == 9
+
+
 def test_format_checks(spark):
     names = spark.createDataFrame([("m1",), ("m1",), ("x_chr3",)], "n string")
     got = {r.check: r for r in checks.read_names(names, "n").collect()}
