@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as sc
 from ..functions import sequence as sq
+from ._dealt import dealt
 from .registry import query
 
 _DNA_SQL = "translate(md5(CAST(p_partkey AS VARCHAR)) || md5('x' || p_partkey), '0123456789abcdef', 'AAAACCCCGGGGTTTT')"
@@ -33,7 +34,7 @@ _CODONS = "codons AS (SELECT a || b || c AS codon, substr('FFLLSSSSYY**CC*WLLLLP
 
 @query(f"WITH {_P}, {_CODONS}, e AS (SELECT p_partkey, k, substr(dna, k * 3 + 1, 3) AS codon FROM p, unnest(range(0, 21)) u(k)) SELECT p_partkey, string_agg(aa, '' ORDER BY k) AS protein FROM e JOIN codons USING (codon) GROUP BY 1")
 def f3_codon_translation(t):
-    return _dna(t).select("p_partkey", sq.translate(F.col("dna")).alias("protein"))
+    return dealt(_dna(t).select("p_partkey", "dna")).select("p_partkey", sq.translate(F.col("dna")).alias("protein"))
 
 
 @query(f"WITH {_P} SELECT p_partkey, length(regexp_replace(dna, '[^GC]', '', 'g')) / length(dna)::DOUBLE AS gc FROM p")
@@ -61,7 +62,7 @@ def f8_spanning_peptides(t):
 
 @query(f"WITH {_P}, {_CODONS}, e AS (SELECT p_partkey, f, k, substr(dna, k * 3 + f + 1, 3) AS codon FROM p, unnest(range(0, 3)) w(f), unnest(range(0, 21)) u(k) WHERE k * 3 + f + 3 <= 64), s AS (SELECT p_partkey, f, string_agg(aa, '' ORDER BY k) AS protein FROM e JOIN codons USING (codon) GROUP BY ALL), o AS (SELECT p_partkey, f, i, regexp_extract(x, 'M.*') AS orf FROM (SELECT p_partkey, f, unnest(range(0, len(parts))) AS i, unnest(parts) AS x FROM (SELECT p_partkey, f, string_split(protein, '*') AS parts FROM s))), b AS (SELECT p_partkey, orf, row_number() OVER (PARTITION BY p_partkey ORDER BY length(orf) DESC, f, i) AS rn FROM o) SELECT p_partkey, CASE WHEN length(orf) >= 3 THEN orf END AS orf FROM b WHERE rn = 1")
 def f9_longest_orf(t):
-    return _dna(t).select("p_partkey", sq.longest_orf(F.col("dna"), 3).alias("orf"))
+    return dealt(_dna(t).select("p_partkey", "dna")).select("p_partkey", sq.longest_orf(F.col("dna"), 3).alias("orf"))
 
 
 @query("SELECT p_partkey, CASE WHEN p_size < 10 THEN 'p.' || substr(p_name, 1, 1) || p_size || substr(p_brand, 1, 1) WHEN p_size < 20 THEN 'p.' || substr(p_name, 1, 1) || p_size || '*' WHEN p_size < 30 THEN 'p.' || substr(p_name, 1, 1) || p_size || 'fs' ELSE 'p.=' END AS change FROM part")

@@ -143,6 +143,12 @@ def test_sequences(spark):
     assert one(spark, sq.phred_mean(s), s="I+") == pytest.approx(-10 * math.log10((1e-4 + 1e-1) / 2))
 
 
+def test_codons_are_letters(spark):
+    s = F.col("s")
+    assert one(spark, sq.translate(s), s="AUG012TTT") == "MXF"
+    assert one(spark, sq.longest_orf(s, 2), s="ATG012TTTTAA") == "MXF"
+
+
 def test_scalars(spark):
     s = F.col("s")
     assert [one(spark, sc.truth(s), s=x) for x in ("True", " YES", "1", "no", "")] == [True, True, True, False, False]
