@@ -1,19 +1,21 @@
-"""MessagePack, to and from binary columns, inside the JVM.
+"""MessagePack, to binary columns inside the JVM, and from them in Arrow batches.
 
 Values are written as texts of hex digits, so that parts join by concat; packed() ends
-with the bytes. unpacked() is a fold over the bytes with a cursor and a stack of the
-open arrays and maps; it is made for tags and records of some kilobytes.
+with the bytes. unpacked() goes over each value's bytes once, with a stack of the open
+arrays and maps.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
+from struct import unpack
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 OUT = "array<struct<path:string,kind:string,text:string,number:double>>"
-STACK = "array<struct<map:boolean,left:bigint,total:bigint,name:string>>"
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -69,66 +71,66 @@ def packed(value: Column) -> Column:
     return F.unhex(value)
 
 
-def _number(b: Column, at: Column, width: Column) -> Column:
-    """`width` bytes at place `at` (from 0) as a whole number without sign, up to 8 bytes: decimal text."""
-    return F.conv(F.hex(F.substring(b, (at + 1).cast("int"), width.cast("int"))), 16, 10)
-
-
-def _double(bits: Column, exponent_bits: int, fraction_bits: int) -> Column:
-    """The number with these bits (a long), by the parts of IEEE 754."""
-    fraction = bits.bitwiseAND((1 << fraction_bits) - 1).cast("double")
-    exponent = F.shiftrightunsigned(bits, fraction_bits).bitwiseAND((1 << exponent_bits) - 1)
-    sign = F.when(F.shiftrightunsigned(bits, fraction_bits + exponent_bits).bitwiseAND(1) == 1, F.lit(-1.0)).otherwise(F.lit(1.0))
-    bias, unit = (1 << (exponent_bits - 1)) - 1, float(1 << fraction_bits)
-    inf = F.lit(float("inf"))
-    # Halves of the power, since the whole one can fall out of range.
-    power = lambda e: F.pow(F.lit(2.0), F.floor(e / 2)) * F.pow(F.lit(2.0), e - F.floor(e / 2))
-    usual = F.when(exponent == 0, fraction / unit * power(F.lit(1 - bias))).otherwise((1 + fraction / unit) * power(exponent - bias))
-    return sign * F.when(exponent == (1 << exponent_bits) - 1, F.when(fraction == 0, inf).otherwise(F.lit(float("nan")))).otherwise(usual)
-
-
-def _head(b: Column, at: Column) -> Column:
-    """What begins at place `at`: code, kind, body (bytes from there to the value's own), size (of
-    the value's bytes) and items (of an array or map)."""
-    code = F.conv(F.hex(F.substring(b, (at + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-
-    def parts(c: Column) -> Column:
-        kinds = [(c <= 0x7F, "fixint"), (c <= 0x8F, "map"), (c <= 0x9F, "array"), (c <= 0xBF, "str"), (c == 0xC0, "nil"), (c == 0xC1, "reserved"), (c <= 0xC3, "bool"), (c <= 0xC6, "bin"), (c <= 0xC9, "ext"), (c <= 0xCB, "float"), (c <= 0xCF, "uint"), (c <= 0xD3, "int"), (c <= 0xD8, "ext"), (c <= 0xDB, "str"), (c <= 0xDD, "array"), (c <= 0xDF, "map")]
-        kind = F.lit("fixint")
-        for test, name in reversed(kinds):
-            kind = F.when(test, name).otherwise(kind)
-        # Bytes that give the length: 1, 2, 4 from code C4, C7 and D9 on, 2 and 4 from DC and DE on.
-        wide = F.lit(0)
-        for first, widths in ((0xC4, (1, 2, 4)), (0xC7, (1, 2, 4)), (0xD9, (1, 2, 4)), (0xDC, (2, 4)), (0xDE, (2, 4))):
-            for i, w in enumerate(widths):
-                wide = F.when(c == first + i, w).otherwise(wide)
-        told = F.when(wide > 0, F.coalesce(_number(b, at + 1, wide).cast("long"), F.lit(0))).when((c >= 0x80) & (c <= 0x9F), c.bitwiseAND(15)).when((c >= 0xA0) & (c <= 0xBF), c.bitwiseAND(31)).otherwise(0).cast("long")
-        fixed = F.when(c.isin(0xCA, 0xCE, 0xD2), 4).when(c.isin(0xCB, 0xCF, 0xD3), 8).when(c.isin(0xCC, 0xD0), 1).when(c.isin(0xCD, 0xD1), 2)
-        for i in range(5):
-            fixed = fixed.when(c == 0xD4 + i, 1 + (1 << i))
-        return F.struct(c.alias("code"), kind.alias("kind"), (1 + wide).alias("body"), told.alias("told"), F.coalesce(fixed, F.lit(0)).cast("long").alias("fixed"))
-
-    def whole(h: Column) -> Column:
-        size = F.when(h["kind"].isin("str", "bin"), h["told"]).when((h["kind"] == "ext") & (h["body"] > 1), h["told"] + 1).otherwise(h["fixed"])
-        return F.struct(h["code"].alias("code"), h["kind"].alias("kind"), h["body"].alias("body"), size.alias("size"), h["told"].alias("items"))
-
-    return let(let(code, parts), whole)
-
-
-def _value(b: Column, at: Column, h: Column) -> Column:
-    """The value that begins at `at` with the head h: kind, text, number."""
-    body = (at + h["body"]).cast("long")
-    raw = F.substring(b, (body + 1).cast("int"), h["size"].cast("int"))
-    digits = F.when(h["kind"].isin("uint", "int", "float"), _number(b, body, h["size"])).cast("decimal(20,0)")
-    half = F.when(h["size"] == 1, str(1 << 7)).when(h["size"] == 2, str(1 << 15)).when(h["size"] == 4, str(1 << 31)).otherwise(str(1 << 63)).cast("decimal(20,0)")
-    signed = F.when(digits >= half, digits - half - half).otherwise(digits)
-    small = F.when(h["code"] <= 0x7F, h["code"]).otherwise(h["code"] - 256)
-    whole = F.when(h["kind"] == "fixint", small.cast("decimal(20,0)")).when(h["kind"] == "uint", digits).when(h["kind"] == "int", signed)
-    bits = F.conv(F.hex(raw), 16, -10).cast("long")
-    real = F.when(h["kind"] == "float", F.when(h["size"] == 4, _double(bits, 8, 23)).otherwise(_double(bits, 11, 52)))
-    text = F.when(h["kind"] == "str", F.decode(raw, "UTF-8")).when(h["kind"].isin("bin", "ext"), F.lower(F.hex(raw))).when(h["kind"] == "bool", F.when(h["code"] == 0xC3, "true").otherwise("false")).when(h["kind"].isin("array", "map"), h["items"].cast("string")).when(whole.isNotNull(), whole.cast("string"))
-    kind = F.when(h["kind"].isin("fixint", "uint"), "int").otherwise(h["kind"])
-    return F.struct(kind.alias("kind"), text.alias("text"), F.coalesce(whole.cast("double"), real).alias("number"))
+def _java_text(x: float) -> str:
+    """A float as Spark writes it."""
+    if x == 0 or 1e-3 <= abs(x) < 1e7:
+        return repr(x)
+    if x != x or abs(x) == float("inf"):
+        return {"nan": "NaN", "inf": "Infinity", "-inf": "-Infinity"}[repr(x)]
+    digits, power = f"{Decimal(repr(x)).normalize():E}".split("E")
+    return f"{digits if '.' in digits else digits + '.0'}E{int(power)}"
+
+
+_KINDS = [next(kind for last, kind in ((0x7F, "int"), (0x8F, "map"), (0x9F, "array"), (0xBF, "str"), (0xC0, "nil"), (0xC1, "reserved"), (0xC3, "bool"), (0xC6, "bin"), (0xC9, "ext"), (0xCB, "float"), (0xD3, "int"), (0xD8, "ext"), (0xDB, "str"), (0xDD, "array"), (0xDF, "map"), (0xFF, "int")) if c <= last) for c in range(256)]
+_WIDE = {first + i: w for first, widths in ((0xC4, (1, 2, 4)), (0xC7, (1, 2, 4)), (0xD9, (1, 2, 4)), (0xDC, (2, 4)), (0xDE, (2, 4))) for i, w in enumerate(widths)}  # bytes that give the length
+_FIXED = {0xCA: 4, 0xCB: 8, **{0xCC + i: 1 << i for i in range(4)}, **{0xD0 + i: 1 << i for i in range(4)}, **{0xD4 + i: 1 + (1 << i) for i in range(5)}}
+
+
+def contents(b: bytes) -> dict:
+    """whole and values of unpacked()."""
+    n, at, ok, out = len(b), 0, True, []
+    stack: list[list] = []  # of the open maps and arrays: map, left, total, name
+    while ok and at < n:
+        c = b[at]
+        kind, wide = _KINDS[c], _WIDE.get(c, 0)
+        body = at + 1 + wide
+        told = int.from_bytes(b[at + 1 : body]) if wide else c & 15 if 0x80 <= c <= 0x9F else c & 31 if 0xA0 <= c <= 0xBF else 0
+        end = body + (told if kind in ("str", "bin") else told + 1 if kind == "ext" and wide else _FIXED.get(c, 0))
+        if kind == "reserved" or end > n:
+            ok = False
+            break
+        raw, text, number = b[body:end], None, None
+        if kind == "str":
+            text = raw.decode()
+        elif kind == "int":
+            whole = int.from_bytes(raw, signed=c >= 0xD0) if raw else c if c <= 0x7F else c - 256
+            text, number = str(whole), float(whole)
+        elif kind in ("map", "array"):
+            text = str(told)
+        elif kind in ("bin", "ext"):
+            text = raw.hex()
+        elif kind == "bool":
+            text = "true" if c == 0xC3 else "false"
+        elif kind == "float":
+            (number,) = unpack(">f" if len(raw) == 4 else ">d", raw)
+        nested, is_key = kind in ("map", "array"), False
+        if stack:
+            top = stack[-1]
+            is_key = top[0] and top[1] % 2 == 0
+            if is_key:
+                top[3] = text if text is not None else kind if number is None else _java_text(number)
+            elif not top[0]:
+                top[3] = str(top[2] - top[1])
+            top[1] -= 1
+        if not is_key:
+            out.append({"path": ".".join([x[3] for x in stack if x[3] is not None]), "kind": kind, "text": text, "number": number})
+            if nested and told:
+                items = told * 2 if kind == "map" else told
+                stack.append([kind == "map", items, items, None])
+        while stack and stack[-1][1] <= 0:  # what has no values left is closed, with all that ends with it
+            stack.pop()
+        ok, at = not (is_key and nested), end
+    return {"whole": ok and not stack, "values": out}
 
 
 def unpacked(b: Column) -> Column:
@@ -142,45 +144,8 @@ def unpacked(b: Column) -> Column:
     A map's key that is no text is taken by its text. What is cut off within a value ends
     there: the values before it are given and whole is false. Null gives null, no bytes
     give no values."""
-    return let(b, _unpacked)
-
-
-def _unpacked(b: Column) -> Column:
-    null = F.lit(None)
-    start = F.struct(F.lit(0).cast("long").alias("next"), F.array().cast(STACK).alias("stack"), F.array().cast(OUT).alias("out"), F.lit(True).alias("ok"))
-    n = F.octet_length(b)
-
-    def step(s: Column, i: Column) -> Column:
-        def read(h: Column) -> Column:
-            end = i + h["body"] + h["size"]
-            bad = (h["kind"] == "reserved") | (end > n)
-            depth = F.size(s["stack"])
-            top = F.get(s["stack"], depth - 1)
-            is_key = F.coalesce((depth > 0) & top["map"] & (top["left"] % 2 == 0), F.lit(False))
-
-            def placed(v: Column) -> Column:
-                name = F.when(is_key, F.coalesce(v["text"], v["number"].cast("string"), v["kind"])).when(~top["map"], (top["total"] - top["left"]).cast("string")).otherwise(top["name"])
-                changed = F.struct(top["map"].alias("map"), (top["left"] - 1).alias("left"), top["total"].alias("total"), name.alias("name"))
-                stack = F.when(depth > 0, F.concat(F.slice(s["stack"], F.lit(1), F.greatest(depth - 1, F.lit(0))), F.array(changed))).otherwise(s["stack"])
-
-                def ended(stack: Column) -> Column:
-                    is_map = h["kind"] == "map"
-                    items = F.when(is_map, 2 * h["items"]).otherwise(h["items"])
-                    opened = F.when(h["kind"].isin("map", "array") & (items > 0) & ~is_key, F.concat(stack, F.array(F.struct(is_map.alias("map"), items.alias("left"), items.alias("total"), null.cast("string").alias("name"))))).otherwise(stack)
-                    row = F.struct(F.array_join(F.transform(stack, lambda x: x["name"]), ".").alias("path"), v["kind"].alias("kind"), v["text"].alias("text"), v["number"].alias("number"))
-                    out = F.when(is_key, s["out"]).otherwise(F.concat(s["out"], F.array(row)))
-                    # What has no values left is closed, with all that ends with it.
-                    keep = lambda st: F.coalesce(F.array_max(F.transform(st, lambda x, k: F.when(x["left"] > 0, k + 1).otherwise(0))), F.lit(0))
-                    shut = let(opened, lambda st: F.slice(st, F.lit(1), keep(st)))
-                    return F.struct(end.cast("long").alias("next"), shut.alias("stack"), out.alias("out"), (~(is_key & h["kind"].isin("map", "array"))).alias("ok"))
-
-                return let(stack, ended)
-
-            stop = F.struct((n + 1).cast("long").alias("next"), s["stack"].alias("stack"), s["out"].alias("out"), F.lit(False).alias("ok"))
-            return F.when(bad, stop).otherwise(let(_value(b, i, h), placed))
-
-        return F.when(s["ok"] & (i == s["next"]), let(_head(b, i), read)).otherwise(s)
-
-    places = F.when(n > 0, F.sequence(F.lit(0).cast("long"), (n - 1).cast("long"))).otherwise(F.array().cast("array<bigint>"))
-    folded = F.aggregate(places, start, step, lambda s: F.struct((s["ok"] & (F.size(s["stack"]) == 0) & (s["next"] == n)).alias("whole"), s["out"].alias("values")))
-    return F.when(b.isNotNull(), folded)
+    @F.pandas_udf(f"array<struct<whole:boolean,values:{OUT}>>")
+    def read(values: pd.Series) -> pd.Series:
+        return pd.Series([None if v is None else [contents(v)] for v in values], dtype=object)
+
+    return F.get(read(b), F.lit(0))

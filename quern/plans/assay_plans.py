@@ -13,6 +13,7 @@ from ..functions import sequence as sq
 from ..operators import adapters as ad
 from ..operators import alignments, bundles, passengers, phasing, spikeins
 from ..sources import folders, readers
+from ._dealt import dealt
 from .registry import query
 from .scalar_plans import _CODONS, _P, _dna
 
@@ -63,7 +64,7 @@ def s19_messagepack(t):
     left = mp.pack_map(label=mp.pack_text((k % 9).cast("string")), seq=mp.pack_text(F.concat(F.md5("o_orderpriority"), "o_orderpriority")))
     value = mp.pack_map(left=left, counts=mp.pack_list(F.array(mp.pack_int(c), mp.pack_int(-c * 1000003), third)), raw=mp.pack_bytes(F.unhex(F.md5(k.cast("string")))))
     whole = mp.packed(value)
-    d = t.orders.select("o_orderkey", mp.unpacked(F.when(k % 11 == 0, F.substring(whole, F.lit(1), F.octet_length(whole) - 3)).otherwise(whole)).alias("u"))
+    d = dealt(t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")).select("o_orderkey", mp.unpacked(F.when(k % 11 == 0, F.substring(whole, F.lit(1), F.octet_length(whole) - 3)).otherwise(whole)).alias("u"))
     return d.select("o_orderkey", "u.whole", F.explode("u.values").alias("v")).select("o_orderkey", "v.path", "v.kind", "v.text", "whole").where("kind not in ('map', 'array')")
 
 
@@ -126,7 +127,7 @@ def c5_adapter_consensus(t):
     def side(i):
         return mp.pack_map(label=mp.pack_text(i.cast("string")), seq=mp.pack_text(F.get(F.col("seen"), i)))
 
-    d = t.orders.select("o_orderkey", F.transform(texts, lambda a: F.when(F.col("o_orderkey") % 7 == 0, F.substring(a, F.lit(2), F.lit(11))).when(F.col("o_orderkey") % 5 == 0, F.concat(F.substring(a, 1, 3), F.lit("N"), F.substring(a, F.lit(5), F.lit(8)))).otherwise(a)).alias("seen"))
+    d = dealt(t.orders.select("o_orderkey")).select("o_orderkey", F.transform(texts, lambda a: F.when(F.col("o_orderkey") % 7 == 0, F.substring(a, F.lit(2), F.lit(11))).when(F.col("o_orderkey") % 5 == 0, F.concat(F.substring(a, 1, 3), F.lit("N"), F.substring(a, F.lit(5), F.lit(8)))).otherwise(a)).alias("seen"))
     whole = mp.packed(mp.pack_map(left=side(k), right=side(k + 1)))
     tags = d.select("o_orderkey", mp.let(whole, lambda b: F.when(F.col("o_orderkey") % 11 == 0, F.substring(b, F.lit(1), F.octet_length(b) - 4)).otherwise(b)).alias("tag"))
     return ad.consensus(ad.told_adapters(tags, ["o_orderkey"], "tag")).withColumn("worst", F.round("worst", 9))

@@ -184,6 +184,17 @@ def test_consensus_and_yield(spark):
     assert sorted(map(tuple, adapters.array_yield(found, "zmw", "zmw").collect())) == [(2, 1, 1 / 3), (3, 2, 2 / 3)]
 
 
+def test_contents_go_over_bytes_once():
+    b = bytes.fromhex("82a161" "93" "01" "e0" "cb3ff8000000000000" "cb40f86a0000000000" "d1ff00")  # {a: [1, -32, 1.5], 1e5: -256}
+    assert mp.contents(b) == {"whole": True, "values": [
+        {"path": "", "kind": "map", "text": "2", "number": None}, {"path": "a", "kind": "array", "text": "3", "number": None},
+        {"path": "a.0", "kind": "int", "text": "1", "number": 1.0}, {"path": "a.1", "kind": "int", "text": "-32", "number": -32.0}, {"path": "a.2", "kind": "float", "text": None, "number": 1.5},
+        {"path": "100000.0", "kind": "int", "text": "-256", "number": -256.0}]}
+    assert not mp.contents(b[:-1])["whole"] and len(mp.contents(b[:-1])["values"]) == 5
+    long = bytes([0xDD]) + (300_000).to_bytes(4) + bytes(300_000)
+    assert len(mp.contents(long)["values"]) == 300_001
+
+
 def test_told_adapters(spark):
     side = lambda label, seq: mp.pack_map(x=mp.pack_int(F.lit(1)), label=mp.pack_text(F.lit(label)), seq=mp.pack_text(F.lit(seq)))
     whole = mp.packed(mp.pack_map(left=side("0", "ACG"), right=side("1", "TTT")))
