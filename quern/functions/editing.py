@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .sequence import AMINO_ACIDS, BASES
+from .sequence import CODONS
 
 def _struct(**kinds: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(k, v) for k, v in kinds.items()])
@@ -74,9 +74,7 @@ def left_align(seq: pd.Series, pos: pd.Series, ref: pd.Series, alt: pd.Series) -
 
 def protein(seq: str) -> str:
     """Amino acids of the whole codons."""
-    digit = {b: i for i, b in enumerate(BASES)}
-    codons = (seq[i : i + 3] for i in range(0, len(seq) - 2, 3))
-    return "".join(AMINO_ACIDS[16 * digit[c[0]] + 4 * digit[c[1]] + digit[c[2]]] if all(b in digit for b in c) else "X" for c in codons)
+    return "".join([CODONS.get(seq[i : i + 3], "X") for i in range(0, len(seq) - 2, 3)])
 
 
 def classify(cds: str, tail: str, pos: int, ref: str, alt: str) -> tuple[str, str]:

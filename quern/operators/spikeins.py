@@ -36,13 +36,14 @@ def resolve(specs: DataFrame, transcripts: DataFrame, blocks: DataFrame, width:
     past the coding sequence, spans an intron, other codon, residue or consequence than
     expected, a change is there already, no single haplotype; it is empty where all is well.
     A record that has no places gives nulls. Genes have one transcript; labels one loss."""
-    d = specs.join(coding_texts(transcripts, blocks, width), "gene", "left").withColumn("n", F.col("last") - F.col("first") + 1)
+    asked = transcripts.join(specs.select("gene").distinct(), "gene", "left_semi")  # texts and places of these alone
+    d = specs.join(coding_texts(asked, blocks, width), "gene", "left").withColumn("n", F.col("last") - F.col("first") + 1)
     none, past = F.col("cds").isNull(), F.col("last") > F.length("cds")
     at = F.when(~none & ~past & (F.col("n") > 0), F.slice("places", F.col("first").cast("int"), F.col("n").cast("int")))
     d = d.withColumn("low", F.array_min(at)).withColumn("high", F.array_max(at))
     split = F.col("high") - F.col("low") != F.col("n") - 1
     gone = F.substring(F.col("cds"), F.col("first").cast("int"), F.col("n").cast("int"))
-    d = d.withColumn("codon", F.floor((F.col("first") - 1) / 3) + 1).withColumn("wt_aa", F.nullif(F.substring(translate(F.col("cds")), F.col("codon").cast("int"), F.lit(1)), F.lit("")))
+    d = d.withColumn("codon", F.floor((F.col("first") - 1) / 3) + 1).withColumn("wt_aa", F.nullif(translate(F.substring(F.col("cds"), (F.col("codon") * 3 - 2).cast("int"), F.lit(3))), F.lit("")))
     fits = ~none & F.col("low").isNotNull()
     told = editing.consequence(F.coalesce("cds", F.lit("")), F.lit(""), (F.col("first") - 1).cast("long"), F.when(fits, gone).otherwise(""), F.lit(""))
     d = d.withColumn("consequence", F.when(fits, told["consequence"]))

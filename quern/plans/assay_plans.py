@@ -319,7 +319,7 @@ def d30_spike_in_resolution(t):
     k = F.col("c_custkey")
     first = k % 316 + 1
     codon = F.floor((first - 1) / 3) + 1 + F.when(k % 7 == 0, 1).otherwise(0)
-    specs = t.customer.select(k.alias("event"), (1 + k % 30).alias("gene"), first.alias("first"), (first + k % 4).alias("last"), F.when(k % 3 == 2, "retained").otherwise((k % 3).cast("string")).alias("haplotype"), (k % 5).alias("label"), codon.alias("expect_codon"), F.lit(None).cast("string").alias("expect_aa"), F.lit(None).cast("string").alias("expect_effect"))
+    specs = dealt(t.customer.select("c_custkey")).select(k.alias("event"), (1 + k % 30).alias("gene"), first.alias("first"), (first + k % 4).alias("last"), F.when(k % 3 == 2, "retained").otherwise((k % 3).cast("string")).alias("haplotype"), (k % 5).alias("label"), codon.alias("expect_codon"), F.lit(None).cast("string").alias("expect_aa"), F.lit(None).cast("string").alias("expect_effect"))
     losses = t.region.select(F.col("r_regionkey").alias("label"), F.when(F.col("r_regionkey") == 1, 0).when(F.col("r_regionkey") == 3, 0).otherwise(1).alias("cn0"), F.when(F.col("r_regionkey").isin(0, 3), 0).otherwise(2).alias("cn1"))
     nothing = _blocks(t).select("contig", F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end")).where("false")
     return spikeins.resolve(specs, genes, _blocks(t), 64, nothing, losses).select("event", "codon", "wt_aa", "haplotype", "problems")

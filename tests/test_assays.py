@@ -359,6 +359,14 @@ def test_unresolved_rows_end_the_job(spark):
         d.select(value).collect()
 
 
+def test_coding_texts_of_asked_genes_alone(spark):
+    t = spark.createDataFrame([("asked", "c", "+", [(0, 6)]), ("other", "c", "+", [(0, 6)])], "gene string, contig string, strand string, exons array<struct<start:long,end:long>>")
+    spec = "event string, gene string, first long, last long, haplotype string, label string, expect_codon long, expect_aa string, expect_effect string"
+    d = spikeins.resolve(spark.createDataFrame([("e", "asked", 4, 4, "0", None, None, None, None)], spec), t, blocks(spark, {"c": "ATGAAATT"}, 4), 4, spark.createDataFrame([], "contig string, start long, end long"), spark.createDataFrame([], "label string, cn0 int, cn1 int"))
+    plan = d._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and [(r.codon, r.wt_aa, r.problems) for r in d.collect()] == [(2, "K", "")]
+
+
 def test_spike_ins(spark):
     r = random.Random(6)
     seq = "".join(r.choice("ACGT") for _ in range(30)) + "ATGAAAAAAGCC" + "TTTT" + "GGCCCATGA" + "".join(r.choice("ACGT") for _ in range(30))
