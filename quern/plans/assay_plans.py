@@ -22,7 +22,7 @@ _CONTIGS = f"{_P}, k AS (SELECT *, p_partkey // 8 AS contig, p_partkey % 8 AS bl
 
 
 def _blocks(t):
-    return _dna(t).select(F.floor(F.col("p_partkey") / 8).alias("contig"), (F.col("p_partkey") % 8).alias("block"), F.col("dna").alias("seq"))
+    return dealt(_dna(t).select(F.floor(F.col("p_partkey") / 8).alias("contig"), (F.col("p_partkey") % 8).alias("block"), F.col("dna").alias("seq")))
 
 
 @query(f"""WITH {_CONTIGS},
