@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as agg
 from .registry import query
 
+PART_ROWS = 500_000  # rows that one task counts
+
 
 @query("SELECT 'l_returnflag' AS field, l_returnflag AS key, count(*) AS n FROM lineitem GROUP BY ALL UNION ALL SELECT 'l_linestatus', l_linestatus, count(*) FROM lineitem GROUP BY ALL UNION ALL SELECT 'l_linenumber', CAST(l_linenumber AS VARCHAR), count(*) FROM lineitem GROUP BY ALL")
 def a1_frequency_tables(t):
@@ -166,8 +168,11 @@ def a24_mean_error_probability(t):
 
 @query("WITH g AS (SELECT o_orderkey, count(DISTINCT s_nationkey) AS n FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1) SELECT o_orderkey, n FROM g WHERE n > 1")
 def a26_conflicts(t):
-    j = t.lineitem.join(t.orders.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")).join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-    return j.groupBy("o_orderkey").agg(F.countDistinct("s_nationkey").alias("n")).where("n > 1")
+    """Lines are dealt by order, as many parts as their number asks for, and then counted: neither
+    a scanning task nor a merged part holds more pairs of order and nation than its share."""
+    j = t.lineitem.join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("l_orderkey").alias("o_orderkey"), "s_nationkey")
+    n = j.repartition(t.lineitem.count() // PART_ROWS + 1, "o_orderkey").groupBy("o_orderkey").agg(F.countDistinct("s_nationkey").alias("n")).where("n > 1")
+    return n.join(t.orders.select("o_orderkey"), "o_orderkey", "left_semi")
 
 
 @query("SELECT n_nationkey, round(count(c_custkey) / sum(count(c_custkey)) OVER (), 9) AS share FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1")

@@ -35,3 +35,20 @@ def test_contexts_are_counted_within_their_block(spark):
         rows = {(x.contig, x.context, x.block): x for x in got.collect()}
         assert {k: x["count"] for k, x in rows.items()} == want
         assert all(x.before == sum(n for (c, t, b), n in want.items() if (c, t) == k[:2] and b < k[2]) for k, x in rows.items())
+
+
+def test_conflicts_are_counted_in_parts_of_bounded_rows(spark, tmp_path, monkeypatch):
+    """The number of parts follows the number of lines, and no scanning task counts pairs before."""
+    from quern.plans import aggregate_plans, registry
+
+    monkeypatch.setattr(aggregate_plans, "PART_ROWS", 10)
+    lines = [(k, (k * 7 + i) % 5) for k in range(20) for i in range(k % 4)] + [(99, 0), (99, 1), (None, 1), (None, 2), (3, 77)]
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(s, s // 2) for s in range(5)], "s_suppkey long, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(k,) for k in [*range(20), 3]], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    got = registry.QUERIES["a26_conflicts"](spark, str(tmp_path))
+    p = plan(got)
+    nations = {k: {s // 2 for x, s in lines if x == k and s < 5} for k in range(20)}
+    assert sorted((r.o_orderkey, r.n) for r in got.collect()) == sorted((k, len(n)) for k, n in nations.items() if len(n) > 1)
+    assert f", {len(lines) // 10 + 1}), REPARTITION_BY_NUM" in p
+    assert "Aggregate" not in p[p.index("REPARTITION_BY_NUM") :]
