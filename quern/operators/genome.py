@@ -16,6 +16,7 @@ from .intervals import asof_join, coalesce_equal, flanks, greedy, overlap_semi,
 from .sampling import uniform
 
 STOPS = ("TAA", "TAG", "TGA")  # fixed values: stop codons of the standard code
+_BEFORE_STOP = f"(?s)^(?:(?!{'|'.join(STOPS)})...)*+"  # the codons before the first stop
 
 
 def fetched(spans: DataFrame, key: Sequence[str], blocks: DataFrame, width: int) -> DataFrame:
@@ -156,15 +157,15 @@ def junctions(pairs: DataFrame, key: Sequence[str], in_frame: bool, least: int,
     five past the junction). Of the four nearest to the middle of both partners one is
     drawn by key; with fewer the nearest stays. Pairs without any have no row."""
     every = lambda name: F.when(F.size(name) > 1, F.sequence(F.lit(1), F.size(name) - 1)).otherwise(F.array().cast("array<int>"))
-    d = pairs.withColumn("i", F.explode(every("left"))).withColumn("j", F.explode(every("right")))
+    before_stop = lambda text: F.floor(F.length(F.regexp_extract(text, _BEFORE_STOP, 0)) / 3)
     head = F.array_join(F.slice("left", F.lit(1), F.col("i")), "")
-    d = d.withColumn("__head", F.length(head)).withColumn("__cds", F.concat(head, F.array_join(F.slice("right", F.col("j") + 1, F.size("right")), "")))
-    d = d.where((F.col("__head") % 3 == 0) if in_frame else (F.col("__head") % 3 != 0))
-    codons = F.floor(F.length("__cds") / 3).cast("int")
-    stops = F.transform(F.when(codons > 0, F.sequence(F.lit(0), codons - 1)).otherwise(F.array().cast("array<int>")), lambda k: F.substring(F.col("__cds"), k * 3 + 1, F.lit(3)).isin(*STOPS))
-    d = d.withColumn("__stop", F.array_position(stops, F.lit(True))).withColumn("__codon", F.floor(F.col("__head") / 3))
-    d = d.withColumn("protein_len", F.when(F.col("__stop") > 0, F.col("__stop") - 1).otherwise(codons).cast("long"))
-    d = d.where((F.col("__stop") == 0) | (F.col("__stop") > F.col("__codon"))).where(F.col("protein_len") >= (F.lit(least) if in_frame else F.col("__codon") + 5))
+    d = pairs.withColumn("i", F.explode(every("left"))).withColumn("__h", head).withColumn("__head", F.length("__h")).withColumn("__codon", F.floor(F.col("__head") / 3))
+    # A stop in the left part rules out all cuts behind it, before any right part is looked at.
+    d = d.where((F.col("__head") % 3 == 0) if in_frame else (F.col("__head") % 3 != 0)).where(before_stop(F.col("__h")) == F.col("__codon"))
+    d = d.withColumn("j", F.explode(every("right")))
+    # From the codon of the junction on: what is left of it, and the right part.
+    rest = F.concat(F.substring(F.col("__h"), (F.col("__codon") * 3 + 1).cast("int"), F.lit(3)), F.array_join(F.slice("right", F.col("j") + 1, F.size("right")), ""))
+    d = d.withColumn("protein_len", (F.col("__codon") + before_stop(rest)).cast("long")).where(F.col("protein_len") >= (F.lit(least) if in_frame else F.col("__codon") + 5))
     off = F.abs(F.col("i") / F.size("left") - 0.5) + F.abs(F.col("j") / F.size("right") - 0.5)
     d = d.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(off.alias("off"), "i", "j", "protein_len"))).alias("o"))  # segments squared, a pair
     pick = F.when(F.size("o") < 4, F.lit(1)).otherwise(F.floor(uniform(seed, *key) * 4).cast("int") + 1)

@@ -90,7 +90,7 @@ k AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey, partner ORDER BY abs
 SELECT o_orderkey, partner, CAST(options AS INTEGER) AS options, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, protein_len FROM k WHERE rn = CASE WHEN options < 4 THEN 1 ELSE 1 + floor({_U.format(seed=34, key="o_orderkey || ':' || partner")} * 4) END""")
 def d13_junction_search(t):
     one = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", F.substring(F.col("dna"), F.lit(1), F.col("l_quantity").cast("int")).alias("s"))
-    segs = t.lineitem.join(_dna(t), F.col("p_partkey") == F.col("l_partkey")).groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["s"]).alias("segs"))
+    segs = t.lineitem.join(_dna(t).select("p_partkey", "dna").hint("merge"), F.col("p_partkey") == F.col("l_partkey")).groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(one)), lambda x: x["s"]).alias("segs"))
     o = t.orders.select("o_orderkey", F.lead("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderkey")).alias("partner")).where("partner is not null")
     left, right = segs.select(F.col("l_orderkey").alias("o_orderkey"), F.col("segs").alias("left")), segs.select(F.col("l_orderkey").alias("partner"), F.col("segs").alias("right"))
     return genome.junctions(o.join(left, "o_orderkey").join(right, "partner"), ["o_orderkey", "partner"], True, 12, 34)

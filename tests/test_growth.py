@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from quern.operators import passengers
+from quern.operators import genome, passengers
 
 
 def plan(df) -> str:
@@ -52,3 +52,21 @@ def test_conflicts_are_counted_in_parts_of_bounded_rows(spark, tmp_path, monkeyp
     assert sorted((r.o_orderkey, r.n) for r in got.collect()) == sorted((k, len(n)) for k, n in nations.items() if len(n) > 1)
     assert f", {len(lines) // 10 + 1}), REPARTITION_BY_NUM" in p
     assert "Aggregate" not in p[p.index("REPARTITION_BY_NUM") :]
+
+
+def test_junctions_look_at_each_text_once(spark):
+    """Long texts: codons up to the first stop are one match; a stop in the left part rules out its cuts."""
+    rows = [(1, ["ATG" * 5000, "AAA"], ["CCC", "GGG" * 5000]), (2, ["ATG", "TAA", "CCC", "GGG"], ["A", "CTAGCC", "CCCCCC"]), (3, ["ATGT", "AA"], ["AA", "AACCC"])]
+    d = spark.createDataFrame(rows, "k int, left array<string>, right array<string>")
+    got = genome.junctions(d, ["k"], True, 1, 34)
+    assert "transform(sequence" not in plan(got)
+    assert {r.k: (r.options, r.i, r.j, r.protein_len) for r in got.collect()} == {1: (1, 1, 1, 10000), 2: (2, 1, 2, 3)}
+    out = {r.k: r.protein_len for r in genome.junctions(d, ["k"], False, 1, 34).collect()}
+    assert out == {}
+
+
+def test_letters_of_parts_are_merged_not_broadcast(spark):
+    from quern.plans import registry
+
+    registry.load()
+    assert "SortMergeJoin [l_partkey" in plan(registry.QUERIES["d13_junction_search"](spark, "/root/testdata/sf0.001"))
