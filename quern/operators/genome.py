@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as sc
 from ..functions.sequence import reverse_complement
+from ..sources.folders import written
 from .intervals import asof_join, coalesce_equal, flanks, greedy, overlap_semi, point_join
 from .sampling import uniform
 
@@ -173,7 +174,7 @@ def junctions(pairs: DataFrame, key: Sequence[str], in_frame: bool, least: int,
     return d.select(*key, F.size("o").alias("options"), chosen["i"].alias("i"), chosen["j"].alias("j"), chosen["protein_len"].alias("protein_len"))
 
 
-def uniform_slices(pieces: DataFrame, cuts: DataFrame, by: Sequence[str], least: int, width: int = 1000) -> DataFrame:
+def uniform_slices(pieces: DataFrame, cuts: DataFrame, by: Sequence[str], least: int, width: int = 64) -> DataFrame:
     """A derived sequence cut into slices of one copy number: by, contig, band, start, end, n.
 
     pieces: by, ordinal, d_start, d_end (derived), contig, r_start, r_end (reference, all
@@ -182,7 +183,8 @@ def uniform_slices(pieces: DataFrame, cuts: DataFrame, by: Sequence[str], least:
     the slice before it on the same contig, an inserted piece always (the first stays, on
     its own contig). Neighbours that touch, of one contig and band, become one slice. band is
     the last cut at or before the slice's place, null before the first. n counts folded
-    slices. The pieces of one derived sequence, a plan's rows, meet in a task."""
+    slices. The pieces of one derived sequence, a plan's rows, meet in a task; slices of
+    all sequences ask for bands by distinct places, so no contig's slices meet."""
     id_ = [*by, "ordinal"]
     body = pieces.where("not inserted and r_end >= r_start")
     cuts = cuts.select("contig", "pos").where("pos is not null").distinct()
@@ -205,7 +207,9 @@ def uniform_slices(pieces: DataFrame, cuts: DataFrame, by: Sequence[str], least:
     parts = parts.withColumn("__slice", F.sum(head.cast("int")).over(w))
     first = F.min(F.struct("start", "contig", "at")).alias("f")
     d = parts.groupBy(*by, "__slice").agg(first, F.max("end").alias("end")).select(*by, "f.contig", "f.at", "f.start", (F.col("end") + 1).alias("end"))
-    d = asof_join(d, cuts.select("contig", F.col("pos").alias("at"), F.col("pos").alias("band")), ["contig"], "at", ["band"])
+    d = written(d, "slices")
+    bands = asof_join(d.select("contig", "at").distinct(), cuts.select("contig", F.col("pos").alias("at"), F.col("pos").alias("band")), ["contig"], "at", ["band"])
+    d = written(d.join(bands, ["contig", "at"], "left"), "bands")
     return coalesce_equal(d, by, ["contig", "band"]).withColumn("end", F.col("end") - 1)
 
 

@@ -70,3 +70,20 @@ def test_letters_of_parts_are_merged_not_broadcast(spark):
 
     registry.load()
     assert "SortMergeJoin [l_partkey" in plan(registry.QUERIES["d13_junction_search"](spark, "/root/testdata/sf0.001"))
+
+
+def test_slices_ask_for_bands_by_distinct_places(spark, monkeypatch):
+    """Slices of many sequences at one place are one question, so a contig's slices never meet."""
+    asked, asof_join = [], genome.asof_join
+
+    def counted(left, *args, **kwargs):
+        asked.append(left.count())
+        return asof_join(left, *args, **kwargs)
+
+    monkeypatch.setattr(genome, "asof_join", counted)
+    rows = [(k, 1, 1, 20, "c", 101, 120, "+", False) for k in range(50)]
+    pieces = spark.createDataFrame(rows, "k int, ordinal int, d_start long, d_end long, contig string, r_start long, r_end long, strand string, inserted boolean")
+    cuts = spark.createDataFrame([("c", 90), ("c", 111)], "contig string, pos long")
+    got = genome.uniform_slices(pieces, cuts, ["k"], 4).collect()
+    assert sorted((r.k, r.start, r.end, r.band) for r in got) == sorted(x for k in range(50) for x in ((k, 1, 10, 90), (k, 11, 20, 111)))
+    assert asked == [2]
