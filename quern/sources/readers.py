@@ -37,14 +37,14 @@ def lines(spark: SparkSession, path: str, skip: str | None = None) -> DataFrame:
 
 def ordered_lines(spark: SparkSession, path: str, first: int | None = None) -> DataFrame:
     """value, ordinal: lines with their number from 0, kept as data (Spark has no row
-    order). Blocks of files are counted, a row a block is summed up, and lines are
-    numbered within their block; first: only so many lines, of the blocks they are in."""
+    order). Blocks of files are counted, a row a block is summed up, and a line's number
+    is its distance from its block's first: a block is read by one task in order, and
+    lines are neither sorted nor moved. first: only so many lines, of the blocks they are in."""
     d = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("__f"), F.col("_metadata.file_block_start").alias("__s"), F.monotonically_increasing_id().alias("__m"))
     base = F.sum("__n").over(Window.orderBy("__f", "__s").rowsBetween(Window.unboundedPreceding, -1))
-    blocks = d.groupBy("__f", "__s").agg(F.count(F.lit(1)).alias("__n")).select("__f", "__s", F.coalesce(base, F.lit(0).cast("long")).alias("__base"))
-    within = F.row_number().over(Window.partitionBy("__f", "__s").orderBy("__m")) - 1
+    blocks = d.groupBy("__f", "__s").agg(F.count(F.lit(1)).alias("__n"), F.min("__m").alias("__first")).select("__f", "__s", "__first", F.coalesce(base, F.lit(0).cast("long")).alias("__base"))
     blocks = blocks if first is None else blocks.where(F.col("__base") < first)
-    out = d.join(blocks, ["__f", "__s"]).select("value", (F.col("__base") + within).alias("ordinal"))
+    out = d.join(F.broadcast(blocks), ["__f", "__s"]).select("value", (F.col("__base") + F.col("__m") - F.col("__first")).alias("ordinal"))  # a row a block
     return out if first is None else out.where(F.col("ordinal") < first)
 
 

@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from quern.operators import genome, passengers
+from quern.sources import readers
 
 
 def plan(df) -> str:
@@ -87,3 +88,20 @@ def test_slices_ask_for_bands_by_distinct_places(spark, monkeypatch):
     got = genome.uniform_slices(pieces, cuts, ["k"], 4).collect()
     assert sorted((r.k, r.start, r.end, r.band) for r in got) == sorted(x for k in range(50) for x in ((k, 1, 10, 90), (k, 11, 20, 111)))
     assert asked == [2]
+
+
+def test_lines_are_numbered_without_sorting_them(spark, tmp_path):
+    lines = [f"line {i}" for i in range(3000)]
+    for k in range(3):
+        (tmp_path / f"part-{k}").write_text("\n".join(lines[k * 1000 : k * 1000 + 1000]) + "\n")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")  # several blocks a file
+        spark.conf.set("spark.sql.files.openCostInBytes", "10")
+        got = readers.ordered_lines(spark, str(tmp_path))
+        p = plan(got)
+        assert p.count("row_number") == 0 and p.count("Window [") == 1  # over blocks, not lines
+        assert sorted((r.ordinal, r.value) for r in got.collect()) == list(enumerate(lines))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
