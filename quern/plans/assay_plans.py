@@ -276,7 +276,7 @@ def s19_alignment_edits(t):
     def line(target, matches, *tags):
         return F.concat_ws("\t", k, F.lit("60"), F.lit("0"), F.lit("50"), F.lit("+"), F.lit(target), F.lit("900"), F.lit("100"), F.lit("150"), matches.cast("string"), F.lit("60"), F.lit("60"), F.lit("NM:i:3"), *tags)
 
-    lines = t.part.select(F.explode(F.array(line("far", F.when(size % 2 == 0, 48).otherwise(30), cs), line("near", F.lit(40), cs), line("other", F.lit(10)), F.lit("cut\t60"))).alias("value"))
+    lines = dealt(t.part.select("p_partkey", "p_size")).select(F.explode(F.array(line("far", F.when(size % 2 == 0, 48).otherwise(30), cs), line("near", F.lit(40), cs), line("other", F.lit(10)), F.lit("cut\t60"))).alias("value"))
     best = readers.best_alignments(readers.pairwise_alignments(lines))
     d = best.select(F.col("query").cast("long").alias("p_partkey"), "target", F.explode(sq.difference_edits(F.col("cs"), F.col("target_start"))).alias("e"))
     return d.select("p_partkey", "target", F.col("e.start").alias("spot"), "e.ref", "e.alt")

@@ -105,3 +105,10 @@ def test_lines_are_numbered_without_sorting_them(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_alignment_lines_are_dealt_before_they_are_made(spark):
+    from quern.plans import registry
+
+    registry.load()
+    assert "RoundRobinPartitioning" in plan(registry.QUERIES["s19_alignment_edits"](spark, "/root/testdata/sf0.001"))
