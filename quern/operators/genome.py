@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as sc
 from ..functions.sequence import reverse_complement
 from ..sources.folders import written
-from .intervals import asof_join, coalesce_equal, flanks, greedy, overlap_semi, point_join
+from .intervals import asof_join, coalesce_equal, flanks, greedy, overlap_join, overlap_semi, point_join
 from .sampling import uniform
 
 STOPS = ("TAA", "TAG", "TGA")  # fixed values: stop codons of the standard code
@@ -74,15 +74,16 @@ def run_length(text: Column, at: Column, reach: int = 12) -> Column:
     """The longest run of one letter, within `reach` of place `at` (from 0), that touches
     it or a neighbour; null without a text."""
     low = F.greatest(at - reach, F.lit(0))
-    s = F.substring(text, low + 1, at - low + reach + 1)
+    near = F.struct(F.substring(text, low + 1, at - low + reach + 1).alias("s"), (at - low).alias("c"))
 
-    def through(i: Column) -> Column:
+    def through(s: Column, i: Column) -> Column:
         letter, upto, since = F.substring(s, i + 1, F.lit(1)), F.substring(s, F.lit(1), i + 1), F.substring(s, i + 1, F.length(s))
         n = F.length(upto) - F.length(F.rtrim(upto, letter)) + F.length(since) - F.length(F.ltrim(since, letter)) - 1
         return F.when((i >= 0) & (i < F.length(s)), n).otherwise(1)
 
-    c = at - low
-    return F.when(text.isNotNull(), F.greatest(through(c - 1), through(c), through(c + 1)))
+    # Names for the letters and the place: written out where each is used, the plan takes minutes to make.
+    longest = F.transform(F.array(near), lambda z: F.array_max(F.transform(F.array(z["c"] - 1, z["c"], z["c"] + 1), lambda i: through(z["s"], i))))
+    return F.when(text.isNotNull(), longest[0])
 
 
 def context_features(sites: DataFrame, blocks: DataFrame, width: int, hets: DataFrame, capture: DataFrame, repeats: DataFrame, segdups: DataFrame, coding: DataFrame, reach: int = 30) -> DataFrame:
@@ -92,32 +93,36 @@ def context_features(sites: DataFrame, blocks: DataFrame, width: int, hets: Data
     it), segdup, cds_edge, gc (of 100 letters).
 
     blocks as in surroundings; hets: contig, pos; capture, segdups, coding: contig, start,
-    end; repeats with name. Every join is on (contig, bin); what they find is unioned and
-    grouped once. Sites without a place have no row; sites outside of the blocks have null
+    end; repeats with name. Sites are bits of spots of 64 places: a spot fetches its letters
+    once and meets the spans that touch it once, those that cover the same of its places as
+    one. Sites without a place have no row; sites outside of the blocks have null
     homopolymer_run and gc."""
-    sites = sites.select("contig", "pos").where("pos is not null").distinct()
-    key = ["contig", "pos"]
-    around = sites.withColumn("start", F.col("pos") - reach).withColumn("end", F.col("pos") + reach + 1).withColumnRenamed("pos", "site")
-    het = point_join(hets.select("contig", "pos").distinct(), around, ["contig"], width=max(1, 2 * reach)).where("pos <> site")
-    het = het.select("contig", F.col("site").alias("pos"), F.abs(F.col("pos") - F.col("site")).alias("het"))
-    edge = F.least(F.col("pos") - F.col("start"), F.col("end") - 1 - F.col("pos"))
-    inside = lambda spans, value, name: point_join(sites, spans, ["contig"], width=1000).select(*key, value.alias(name))
-    found = [
-        surroundings(sites, blocks, width, 50),
-        het,
-        inside(capture.select("contig", "start", "end"), edge, "capture"),
-        inside(repeats.select("contig", "start", "end", "name"), F.struct("start", "end", "name"), "rep"),
-        inside(segdups.select("contig", "start", "end"), F.lit(True), "dup"),
-        inside(coding.select("contig", "start", "end"), edge, "cds"),
-    ]
-    d = sites
-    for x in found:
-        d = d.unionByName(x, allowMissingColumns=True)
-    d = d.groupBy(*key).agg(
-        F.max(F.struct("text", "at")).alias("t"), F.count("het").alias("hets_near"), F.min("het").alias("nearest_het"), F.min("capture").alias("capture_edge"),
-        F.min("rep").alias("rep"), F.coalesce(F.max("dup"), F.lit(False)).alias("segdup"), F.min("cds").alias("cds_edge"))
-    gc = F.length(F.regexp_replace("t.text", "[^GC]", "")) / F.length("t.text")
-    return d.select(*key, run_length(F.col("t.text"), F.col("t.at")).alias("homopolymer_run"), "hets_near", "nearest_het", "capture_edge", F.col("capture_edge").isNotNull().alias("on_target"), F.col("rep.name").alias("repeat"), "segdup", "cds_edge", F.round(gc, 3).alias("gc"))
+    size, key = 64, ["contig", "spot"]
+    pos, base = F.col("pos"), F.col("spot") * size
+    spots = sites.where("pos is not null").groupBy("contig", F.floor(pos / size).alias("spot"))
+    spots = written(spots.agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod(pos, {size}) as int)))").alias("here")), "spots")
+    letters = fetched(spots.select(*key, (base - 50).alias("start"), (base + size + 50).alias("end")), key, blocks, width)
+    around = hets.where("pos is not null").select("contig", (pos - reach).alias("start"), (pos + reach + 1).alias("end")).distinct()
+    spans = repeats.select(F.lit("rep").alias("kind"), "contig", "start", "end", "name")
+    for kind, d in (("het", around), ("capture", capture), ("dup", segdups), ("cds", coding)):
+        spans = spans.unionByName(d.select(F.lit(kind).alias("kind"), "contig", "start", "end"), allowMissingColumns=True)
+    met = overlap_join(spots.select(*key, base.alias("start"), (base + size).alias("end")), spans, ["contig"], width=1000)
+    covers = (F.greatest(F.col("b_start"), "start") - F.col("start"), F.least(F.col("b_end"), "end") - F.col("start"), F.when(F.col("b_kind") == "het", F.col("b_start")))
+    met = met.groupBy(*key, "b_kind", *[c.alias(f"__{i}") for i, c in enumerate(covers)]).agg(F.max("b_start").alias("s"), F.min("b_end").alias("e"), F.min(F.struct(F.col("b_start").alias("s"), F.col("b_end").alias("e"), F.col("b_name").alias("name"))).alias("rep"))
+    of = lambda kind, x: F.collect_list(F.when(F.col("b_kind") == kind, x)).alias(kind)
+    met = met.groupBy(*key).agg(of("het", F.col("s") + reach), of("rep", F.col("rep")), *[of(kind, F.struct("s", "e")) for kind in ("capture", "dup", "cds")])
+    d = spots.join(letters, key, "left").join(met, key, "left")
+    d = d.withColumn("__at", F.explode(F.expr(f"filter(sequence(0, {size - 1}), i -> shiftright(here, i) & 1 = 1)"))).withColumn("pos", (base + F.col("__at")).cast(sites.schema["pos"].dataType))
+    low = F.greatest(pos - 50, F.lit(0))
+    text = F.substring("text", (low - F.greatest(base - 50, F.lit(0)) + 1).cast("int"), (pos + 50 - low).cast("int"))
+    d = d.withColumn("text", F.when(F.length(text) > 0, text)).withColumn("at", (pos - low).cast("int"))
+    inside = lambda kind: F.filter(kind, lambda x: (pos >= x["s"]) & (pos < x["e"]))
+    edge = lambda kind: F.array_min(F.transform(inside(kind), lambda x: F.least(pos - x["s"], x["e"] - 1 - pos)))
+    far = F.filter(F.transform("het", lambda x: F.abs(x - pos)), lambda x: (x > 0) & (x <= reach))
+    gc = (F.length("text") - F.length(F.replace(F.replace("text", F.lit("G"), F.lit("")), F.lit("C"), F.lit("")))) / F.length("text")
+    d = d.select("contig", "pos", run_length(F.col("text"), F.col("at")).alias("homopolymer_run"), far.alias("far"), edge("capture").alias("capture_edge"), F.array_min(inside("rep")).alias("rep"), (F.size(inside("dup")) > 0).alias("dup"), edge("cds").alias("cds_edge"), F.round(gc, 3).alias("gc"))
+    near = [F.coalesce(F.size("far"), F.lit(0)).cast("long").alias("hets_near"), F.array_min("far").alias("nearest_het")]
+    return d.select("contig", "pos", "homopolymer_run", *near, "capture_edge", F.col("capture_edge").isNotNull().alias("on_target"), F.col("rep.name").alias("repeat"), F.coalesce("dup", F.lit(False)).alias("segdup"), "cds_edge", "gc")
 
 
 def epitopes(candidates: DataFrame, peptides: DataFrame, alleles: Sequence[str], score: Callable[[Column, Column], tuple[Column, Column]]) -> DataFrame:

@@ -112,3 +112,29 @@ def test_alignment_lines_are_dealt_before_they_are_made(spark):
 
     registry.load()
     assert "RoundRobinPartitioning" in plan(registry.QUERIES["s19_alignment_edits"](spark, "/root/testdata/sf0.001"))
+
+
+def test_context_of_sites_is_looked_up_by_spots(spark):
+    """A run's expression names its letters once; a site costs no join of its own, and piled-up spans are one."""
+    run = genome.run_length(F.substring("text", 3, 20), F.col("at")).alias("run")
+    text = spark.range(1).select(F.lit("ACGT").alias("text"), F.lit(1).alias("at")).select(run)._jdf.queryExecution().analyzed().toString()
+    assert text.count("substring(text") <= 3
+    r = random.Random(8)
+    seq = {"a": "".join(r.choice("ACGGG") for _ in range(203)), "b": "CCCC"}
+    sites = [(c, p) for c in ("a", "b", "d") for p in r.sample(range(-20, 300), 120)]
+    hets = [("a", p) for p in r.sample(range(210), 60)] + [("a", None)]
+    spans = {k: [("a", s, s + r.choice((0, 3, 40, 150))) for s in r.choices(range(-10, 200), k=25)] + [("b", -500, 900), ("b", -400, 700)] for k in ("cap", "rep", "dup", "cds")}
+    rows = [(*x, f"n{i % 7}") for i, x in enumerate(spans["rep"])]
+    frame = lambda d: spark.createDataFrame(d, "contig string, start long, `end` long")
+    places = lambda d: spark.createDataFrame(d, "contig string, pos long")
+    got = genome.context_features(places(sites), blocks(spark, seq, 7), 7, places(hets), frame(spans["cap"]), spark.createDataFrame(rows, "contig string, start long, `end` long, name string"), frame(spans["dup"]), frame(spans["cds"])).collect()
+    assert len(got) == len(sites)
+    for x in got:
+        on = lambda d: [s for s in d if s[0] == x.contig and s[1] <= x.pos < s[2]]  # noqa: B023, E731
+        edge = lambda d: min((min(x.pos - s, e - 1 - x.pos) for _, s, e in on(d)), default=None)  # noqa: B023, E731
+        near = [abs(p - x.pos) for c, p in hets if c == x.contig and p is not None and 0 < abs(p - x.pos) <= 30]
+        assert (x.hets_near, x.nearest_het) == (len(near), min(near, default=None))
+        assert (x.capture_edge, x.on_target, x.cds_edge, x.segdup) == (edge(spans["cap"]), bool(on(spans["cap"])), edge(spans["cds"]), bool(on(spans["dup"])))
+        assert x.repeat == min((s[1:] for s in on(rows)), default=(None,))[-1]
+        w = seq.get(x.contig, "")[max(x.pos - 50, 0) : max(x.pos + 50, 0)]
+        assert x.gc == (round(sum(c in "GC" for c in w) / len(w) + 1e-9, 3) if w else None) and (x.homopolymer_run is None) == (not w)
