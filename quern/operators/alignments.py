@@ -3,26 +3,77 @@ insertions and deletions come within runs of one letter and outside of them."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .intervals import coalesce_equal, overlap_join, point_join
+from .intervals import coalesce_equal
+
+LETTERS = 200_000  # letters of CIGAR texts that are parsed at once, about
+
+
+SPOT = 64  # places whose letters are the bits of a number
+_LETTER, _MOVES = (np.isin(np.arange(256), [ord(c) for c in x]) for x in ("MIDNSHP=X", "MDN=X"))  # by byte
+
+
+def _parsed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, length and letter (a byte) of each operation of CIGAR texts without nulls."""
+    texts = texts.cast(pa.large_string())
+    cuts = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[cuts[0] : cuts[-1]]
+    cuts = cuts - cuts[0]
+    digit, head = (data >= 48) & (data <= 57), np.zeros(len(data), bool)
+    head[cuts[:-1][cuts[:-1] < len(data)]] = True
+    at = np.flatnonzero(_LETTER[data[1:]] & digit[:-1] & ~head[1:]) + 1
+    value, scale, q, more = np.zeros(len(at), np.int64), 1, at - 1, np.ones(len(at), bool)
+    while more.any():
+        if scale > 10**17:
+            raise ValueError("an operation's length has more than 18 digits")
+        value += np.where(more, (data[q].astype(np.int64) - 48) * scale, 0)
+        more &= ~head[q]
+        scale, q = scale * 10, np.maximum(q - 1, 0)
+        more &= digit[q]
+    return np.searchsorted(cuts, at, side="right") - 1, value, data[at]
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of first, cigar (last) and others, a row for each operation."""
+    for batch in batches:
+        # Rows whose texts are parsed at once: some ten thousands of letters, or one row.
+        ends = np.cumsum(pc.binary_length(batch["cigar"]).to_numpy(zero_copy_only=False))
+        steps = np.arange(LETTERS, int(ends[-1]), LETTERS) if len(ends) else []
+        cuts = np.unique(np.concatenate([[0], np.searchsorted(ends, steps), [batch.num_rows]])).astype(int).tolist()
+        for x, y in zip(cuts, cuts[1:]):
+            part = batch.slice(x, y - x)
+            row, length, op = _parsed(part["cigar"])
+            n = np.bincount(row, minlength=y - x)
+            upto = np.concatenate([[0], np.cumsum(np.where(_MOVES[op], length, 0))])
+            starts = np.cumsum(n) - n
+            at = part["first"].to_numpy()[row] + upto[:-1] - upto[starts][row]
+            span = (upto[starts + n] - upto[starts])[row]
+            own = part.drop_columns(["cigar"]).take(pa.array(row))
+            letter = pa.DictionaryArray.from_arrays(pa.array(op.astype(np.int16)), pa.array([chr(i) for i in range(128)])).cast(pa.string())
+            columns = [*own.columns, pa.array((np.arange(len(row)) - starts[row]).astype(np.int32)), letter, pa.array(length), pa.array(at), pa.array(span)]
+            yield pa.RecordBatch.from_arrays(columns, [*own.schema.names, "i", "op", "length", "at", "span"])
 
 
 def operations(reads: DataFrame, key: Sequence[str], cigar: str = "cigar", pos: str = "pos") -> DataFrame:
-    """Each operation of each read's CIGAR text: key, contig, i (from 0), op, length, at (the
-    reference place where it begins, from 0) and first (the read's place).
+    """Each operation of each read's CIGAR text: key, contig, first (the read's place), i
+    (from 0), op, length, at (the reference place where it begins, from 0) and span (the
+    reference letters of the whole read).
 
-    key names a read, once; places are sums of the lengths of M, D, N, = and X before it. A
-    read without a CIGAR text (null, *, empty), contig or place has no rows."""
-    parts = F.regexp_extract_all(F.col(cigar), F.lit("([0-9]+)([MIDNSHP=X])"), F.lit(0))
-    d = reads.where(F.col("contig").isNotNull() & F.col(pos).isNotNull()).select(*key, "contig", F.col(pos).cast("long").alias("first"), F.posexplode(parts).alias("i", "part"))
-    d = d.select(*key, "contig", "first", "i", F.right("part", F.lit(1)).alias("op"), F.expr("substring(part, 1, length(part) - 1)").cast("long").alias("length"))
-    moved = F.when(F.col("op").isin("M", "D", "N", "=", "X"), F.col("length")).otherwise(0)
-    before = F.sum(moved).over(Window.partitionBy(*key).orderBy("i").rowsBetween(Window.unboundedPreceding, -1))
-    return d.withColumn("at", F.col("first") + F.coalesce(before, F.lit(0)))
+    Places are sums of the lengths of M, D, N, = and X before it, made row by row: reads
+    don't move, and key may be any columns. A read without a CIGAR text (null, *, empty),
+    contig or place has no rows."""
+    d = reads.where(F.col("contig").isNotNull() & F.col(pos).isNotNull() & F.col(cigar).isNotNull())
+    d = d.select(*key, "contig", F.col(pos).cast("long").alias("first"), F.col(cigar).alias("cigar"))
+    kind = T.StructType([*d.schema.fields[:-1], *[T.StructField(c, t) for c, t in (("i", T.IntegerType()), ("op", T.StringType()), ("length", T.LongType()), ("at", T.LongType()), ("span", T.LongType()))]])
+    return d.mapInArrow(_placed, kind)
 
 
 def letter_runs(blocks: DataFrame, width: int, least: int) -> DataFrame:
@@ -53,6 +104,23 @@ def letter_runs(blocks: DataFrame, width: int, least: int) -> DataFrame:
     return coalesce_equal(pieces, ["contig"], ["letter"]).where(F.col("end") - F.col("start") >= least).select("contig", "letter", "start", "end")
 
 
+def _in_spots(d: DataFrame) -> DataFrame:
+    """Rows with start and end in each spot that they touch, with the bits of their places in
+    it; an empty one is in the spot of its start, without bits."""
+    first = F.floor(F.col("start") / SPOT)
+    d = d.withColumn("spot", F.explode(F.sequence(first, F.greatest(first, F.floor((F.col("end") - 1) / SPOT)))))
+    d = d.withColumn("__low", F.greatest(F.col("start") - F.col("spot") * SPOT, F.lit(0)).cast("int")).withColumn("__high", F.least(F.col("end") - F.col("spot") * SPOT, F.lit(SPOT)).cast("int"))
+    bits = F.expr(f"if(__high > __low, shiftleft(shiftrightunsigned(-1L, {SPOT} - __high + __low), __low), 0L)")
+    return d.withColumn("bits", bits).drop("__low", "__high", "start", "end")
+
+
+def _with_bits(d: DataFrame, spans: DataFrame, at: str, name: str) -> DataFrame:
+    """d with the bits of spans (contig, start, end) in the spot `at` as name; null where none is."""
+    s = _in_spots(spans.where(F.col("end") > F.col("start"))).groupBy(F.col("contig").alias("__on"), F.col("spot").alias("__spot")).agg(F.bit_or("bits").alias(name))
+    # A number a spot is held in tables; the operations are many and need no sort.
+    return d.join(s.hint("shuffle_hash"), (F.col("contig") == F.col("__on")) & (F.col(at) == F.col("__spot")), "left").drop("__on", "__spot")
+
+
 def indels_in_runs(reads: DataFrame, key: Sequence[str], blocks: DataFrame, width: int, by: Sequence[str] = (), least: int = 6, known: DataFrame | None = None, pad: int = 10, least_span: int = 0) -> DataFrame:
     """by, context (run, other): aligned, insertions, deletions, inserted, deleted, events
     and bases a million aligned letters, and enrichment (the run's event rate over the other's).
@@ -64,32 +132,38 @@ def indels_in_runs(reads: DataFrame, key: Sequence[str], blocks: DataFrame, widt
     pos: the letter before it, from 0) are left out of events and counted as excluded.
     Letters of runs of at least `least` are in context run, wherever the read begins. A rate
     without aligned letters is null, and an enrichment without events in the other context.
-    Reads without a place have no part in it."""
-    ops = operations(reads.select(*key, "contig", "pos", "cigar"), key)
-    span = F.sum(F.when(F.col("op").isin("M", "D", "N", "=", "X"), F.col("length")).otherwise(0)).over(Window.partitionBy(*key))
-    ops = ops.withColumn("__span", span).where(F.col("__span") >= least_span).drop("__span")
-    ops = ops.join(reads.select(*key, *[c for c in by if c not in key]), list(key)) if by else ops
-    runs = letter_runs(blocks, width, least)
-    keep = [c for c in dict.fromkeys((*key, *by))]
-    matched = ops.where(F.col("op").isin("M", "=", "X")).select(*keep, "contig", F.col("at").alias("start"), (F.col("at") + F.col("length")).alias("end"))
-    inside = overlap_join(matched, runs.select("contig", "start", "end"), ["contig"]).groupBy(*by).agg(F.sum(F.least("end", "b_end") - F.greatest("start", "b_start")).alias("n")).where("n is not null")
-    every = matched.groupBy(*by).agg(F.sum(F.col("end") - F.col("start")).alias("n")).where("n is not null")
+    Reads without a place have no part in it. Letters are bits of spots of 64 places: an
+    operation is in the few spots that it touches, runs are a number a spot, and no two
+    of them meet as spans do."""
+    keep = list(dict.fromkeys(by))
+    ops = operations(reads.select(*keep, "contig", "pos", "cigar"), keep).where(F.col("op").isin("M", "=", "X", "I", "D"))
+    ops = ops.where(F.col("span") >= least_span) if least_span > 0 else ops
+    length, indel = F.col("length"), F.col("op").isin("I", "D")
     site = F.when(F.col("op") == "D", F.col("at")).otherwise(F.greatest(F.col("at") - 1, F.col("first")))
-    indels = ops.where(F.col("op").isin("I", "D")).select(*keep, "contig", "op", "length", "i", F.col("at").alias("edge"), site.alias("site"))
+    d = ops.withColumn("start", F.when(indel, site).otherwise(F.col("at"))).withColumn("end", F.when(indel, site + 1).otherwise(F.col("at") + length))
+    d = _in_spots(d)
+    runs = letter_runs(blocks, width, least).select("contig", "start", "end")
+    d = _with_bits(d, runs, "spot", "__runs")
     if known is not None:
-        near = known.select("contig", (F.col("pos") - pad).alias("kstart"), (F.col("pos") + pad + 1).alias("kend"))
-        indels = indels.join(point_join(indels.select(*key, "i", "contig", "edge"), near, ["contig"], "edge", "kstart", "kend", how="left_semi").select(*key, "i").withColumn("__known", F.lit(True)), [*key, "i"], "left")
+        near = known.where("pos is not null").select("contig", (F.col("pos") - pad).alias("start"), (F.col("pos") + pad + 1).alias("end"))
+        d = _with_bits(d.withColumn("__edge", F.floor(F.col("at") / SPOT)), near, "__edge", "__near")
+        old = F.expr(f"shiftright(coalesce(__near, 0L), cast(pmod(at, {SPOT}) as int)) & 1 = 1")
     else:
-        indels = indels.withColumn("__known", F.lit(None).cast("boolean"))
-    in_run = point_join(indels.select(*key, "i", "contig", "site"), runs.select("contig", "start", "end"), ["contig"], "site", how="left_semi").select(*key, "i").withColumn("__run", F.lit(True))
-    indels = indels.join(in_run, [*key, "i"], "left").withColumn("context", F.when(F.col("__run"), "run").otherwise("other"))
-    fresh = F.col("__known").isNull()
-    counts = indels.groupBy(*by, "context").agg(*[F.coalesce(F.sum(F.when(fresh & (F.col("op") == op), v)), F.lit(0)).alias(n) for n, op, v in (("insertions", "I", F.lit(1)), ("deletions", "D", F.lit(1)), ("inserted", "I", F.col("length")), ("deleted", "D", F.col("length")))], F.count("__known").alias("excluded"))
-    none = [F.lit(0).cast("long").alias(c) for c in ("insertions", "deletions", "inserted", "deleted", "excluded")]
-    aligned = inside.select(*by, F.lit("run").alias("context"), F.col("n").alias("aligned")).unionByName(every.select(*by, F.lit("other").alias("context"), F.col("n").alias("aligned")))
-    aligned = aligned.unionByName(inside.select(*by, F.lit("other").alias("context"), (-F.col("n")).alias("aligned")))
-    parts = aligned.select(*by, "context", "aligned", *none).unionByName(counts.select(*by, "context", F.lit(0).cast("long").alias("aligned"), "insertions", "deletions", "inserted", "deleted", "excluded"))
-    out = parts.groupBy(*by, "context").agg(*[F.sum(c).alias(c) for c in ("aligned", "insertions", "deletions", "inserted", "deleted", "excluded")])
+        old = F.lit(False)
+    both = F.coalesce(F.col("bits").bitwiseAND(F.col("__runs")), F.lit(0).cast("long"))
+    letters, inner, in_run = F.bit_count("bits").cast("long"), F.bit_count(both).cast("long"), both != 0
+    sums = {}
+    for context, here in (("run", in_run), ("other", ~in_run)):
+        for name, when, v in (("insertions", F.col("op") == "I", F.lit(1)), ("deletions", F.col("op") == "D", F.lit(1)), ("inserted", F.col("op") == "I", length), ("deleted", F.col("op") == "D", length)):
+            sums[f"{context}_{name}"] = F.sum(F.when(indel & here & when & ~old, v).otherwise(0))
+        sums[f"{context}_excluded"] = F.count_if(indel & here & old)
+        sums[f"{context}_indels"] = F.count_if(indel & here)
+    sums["run_aligned"], sums["other_aligned"] = F.sum(F.when(~indel, inner).otherwise(0)), F.sum(F.when(~indel, letters - inner).otherwise(0))
+    sums["run_any"], sums["other_any"] = F.count_if(~indel & in_run), F.count_if(~indel)
+    d = d.groupBy(*by).agg(*[v.cast("long").alias(c) for c, v in sums.items()])
+    names = ("aligned", "insertions", "deletions", "inserted", "deleted", "excluded")
+    rows = F.array(*[F.struct(F.lit(c).alias("context"), *[F.col(f"{c}_{n}").alias(n) for n in names], (F.col(f"{c}_any") + F.col(f"{c}_indels")).alias("any")) for c in ("run", "other")])
+    out = d.select(*by, F.explode(rows).alias("x")).where("x.any > 0").select(*by, "x.context", *[f"x.{n}" for n in names])
     out = out.withColumn("event_rate", F.try_divide((F.col("insertions") + F.col("deletions")) * 1e6, F.col("aligned"))).withColumn("base_rate", F.try_divide((F.col("inserted") + F.col("deleted")) * 1e6, F.col("aligned")))
     both = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # two rows each
     rate = lambda c: F.max(F.when(F.col("context") == c, F.col("event_rate"))).over(both)

@@ -138,3 +138,32 @@ def test_context_of_sites_is_looked_up_by_spots(spark):
         assert x.repeat == min((s[1:] for s in on(rows)), default=(None,))[-1]
         w = seq.get(x.contig, "")[max(x.pos - 50, 0) : max(x.pos + 50, 0)]
         assert x.gc == (round(sum(c in "GC" for c in w) / len(w) + 1e-9, 3) if w else None) and (x.homopolymer_run is None) == (not w)
+
+
+def test_operations_are_placed_without_moving_reads(spark):
+    """Places are summed row by row, over batches' cuts too; spans that touch one spot of 64 places don't meet in pairs."""
+    import re
+
+    from quern.operators import alignments
+
+    r = random.Random(2)
+    texts = ["".join(f"{r.randrange(30)}{r.choice('MIDNSHP=XZé')}" for _ in range(r.choice((0, 3, 60)))) for _ in range(300)] + ["*", None, "M3", "99" * 6 + "D1M"]
+    rows = [(i % 3, "c", 7 * i - 50, x) for i, x in enumerate(texts)]
+    reads = spark.createDataFrame(rows, "flag int, contig string, pos long, cigar string")
+    ops = alignments.operations(reads, ["flag"])
+    assert "Window" not in plan(ops) and "Exchange" not in plan(ops)
+    want = []
+    for flag, c, pos, x in rows:
+        found = [(int(n), o) for n, o in re.findall(r"([0-9]+)([MIDNSHP=X])", x or "")]
+        span = [n * (o in "MDN=X") for n, o in found]
+        want += [(flag, c, pos, i, o, n, pos + sum(span[:i]), sum(span)) for i, (n, o) in enumerate(found)]
+    assert sorted(map(tuple, ops.collect())) == sorted(want)
+    text = "".join(r.choice("AAC") for _ in range(700))
+    got = alignments.indels_in_runs(reads.where(F.length("cigar") < 300), [], blocks(spark, {"c": text}, 9), 9, ["flag"], least=70)
+    assert plan(got).count("SortMergeJoin") + plan(got).count("ShuffledHashJoin") + plan(got).count("BroadcastHashJoin") <= 2 and "Window [sum(" not in plan(got)
+    text = "A" * 200 + text
+    got = alignments.indels_in_runs(reads, [], blocks(spark, {"c": text}, 9), 9, ["flag"], least=70).where("context = 'run'").collect()
+    inside = {p for m in re.finditer(r"A{70,}|C{70,}", text) for p in range(m.start(), m.end())}
+    for x in got:
+        assert x.aligned == sum(p in inside for f, _, _, _, o, n, at, _ in want if f == x.flag and o in "M=X" for p in range(at, at + min(n, 10**6)))
+    assert len(got) == 3
