@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as sc
 from ..functions.sequence import reverse_complement
 from ..sources.folders import written
-from .intervals import asof_join, coalesce_equal, flanks, greedy, overlap_join, overlap_semi, point_join
+from .intervals import asof_join, coalesce_equal, flanks, greedy, islands, overlap_join, point_join
 from .sampling import uniform
 
 STOPS = ("TAA", "TAG", "TGA")  # fixed values: stop codons of the standard code
@@ -307,9 +307,16 @@ def off_target(spans: DataFrame, by: Sequence[str], bands: Sequence[tuple[str, i
 def distal(contigs: DataFrame, spans: DataFrame, n: int, size: int, reach: int, seed: int, tries: int) -> DataFrame:
     """contig, start, end: up to n windows of `size` a contig, drawn by key out of `tries`,
     none within `reach` of a span (contig, start, end inclusive). contigs: contig, length."""
-    at = (F.lit(1) + F.floor(uniform(seed, "contig", "__i") * F.greatest(F.lit(1), F.col("length") - size - 1))).cast("long")
-    d = contigs.withColumn("__i", F.explode(F.sequence(F.lit(1), F.lit(tries)))).select("contig", "__i", at.alias("start")).withColumn("end", F.col("start") + size)
-    near = spans.select("contig", F.greatest(F.lit(1), F.col("start") - reach).alias("start"), (F.col("end") + reach + 1).alias("end"))
-    free = overlap_semi(d.withColumn("end", F.col("end") + 1), near, ["contig"], max(size, reach), anti=True)
-    rank = F.row_number().over(Window.partitionBy("contig").orderBy("__i"))
-    return free.withColumn("__rn", rank).where(F.col("__rn") <= n).select("contig", "start", (F.col("end") - 2).alias("end"))
+    # Starts at which a window would touch a span's surroundings; they are merged, so a bin has few.
+    bad = spans.where(F.col("end") + reach + 1 > F.greatest(F.lit(1), F.col("start") - reach))
+    bad = islands(bad.select("contig", (F.greatest(F.lit(1), F.col("start") - reach) - size).alias("start"), (F.col("end") + reach + 1).alias("end")), ["contig"])
+    width = 32 * (size + 2 * reach + 1)
+    bad = bad.withColumn("__bin", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.col("end") - 1) / width))))
+    bad = bad.groupBy(F.col("contig").alias("__on"), F.col("__bin").alias("__of")).agg(F.collect_list(F.struct("start", "end")).alias("__bad"))
+    at = lambda i: (F.lit(1) + F.floor(uniform(seed, "contig", i) * F.greatest(F.lit(1), F.col("length") - size - 1))).cast("long")
+    d = contigs.withColumn("__all", F.transform(F.sequence(F.lit(1), F.lit(tries)), lambda i: F.struct(i.alias("i"), at(i).alias("start"))))
+    d = d.withColumn("__bin", F.explode(F.array_distinct(F.transform("__all", lambda x: F.floor(x["start"] / width)))))
+    d = d.join(bad, (F.col("contig") == F.col("__on")) & (F.col("__bin") == F.col("__of")), "left")
+    free = F.filter("__all", lambda x: F.floor(x["start"] / width).eqNullSafe(F.col("__bin")) & ~F.coalesce(F.exists("__bad", lambda y: (x["start"] >= y["start"]) & (x["start"] < y["end"])), F.lit(False)))
+    first = F.slice(F.array_sort(F.flatten(F.collect_list(free))), 1, n)
+    return d.groupBy("contig").agg(first.alias("__x")).select("contig", F.explode("__x.start").alias("start")).select("contig", "start", (F.col("start") + size - 1).alias("end"))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import sequence as sq
 from ..operators import genome, intervals, sampling
+from ..sources.folders import written
+from ._dealt import dealt
 from .registry import query
 from .scalar_plans import _P, _dna
 
@@ -173,9 +175,9 @@ def d17_capture_windows(t):
     """Padded and merged baits, bands beside them, and windows far from all of them."""
     x = F.col("o_orderkey") * 613 % 60000
     baits = t.orders.select(F.col("o_custkey").alias("contig"), F.greatest(F.lit(1), x + 1 - 100).alias("start"), (x + 200 + 100).alias("end"))
-    spans = intervals.islands(baits, ["contig"], gap=200).drop("n").withColumn("length", F.lit(64000).cast("long"))
+    spans = written(intervals.islands(baits, ["contig"], gap=200).drop("n").withColumn("length", F.lit(64000).cast("long")), "spans")
     bands = genome.off_target(spans, ["contig"], [("proximal", 1, 500, 0.15), ("mid", 501, 2000, 0.02)], "length", 150)
-    far = genome.distal(spans.select("contig", "length").distinct(), spans, 40, 500, 2000, 35, 100)
+    far = genome.distal(dealt(spans.select("contig", "length").distinct()), spans, 40, 500, 2000, 35, 100)
     named = lambda d, band, depth: d.select("contig", F.lit(band).alias("band"), F.lit(depth).alias("depth"), "start", "end")
     return named(spans, "target", 1.0).unionByName(bands).unionByName(named(far, "distal", 0.012))
 

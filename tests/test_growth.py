@@ -167,3 +167,20 @@ def test_operations_are_placed_without_moving_reads(spark):
     for x in got:
         assert x.aligned == sum(p in inside for f, _, _, _, o, n, at, _ in want if f == x.flag and o in "M=X" for p in range(at, at + min(n, 10**6)))
     assert len(got) == 3
+
+
+def test_distal_windows_are_drawn_in_the_rows_of_contigs(spark):
+    """No draw is a row before it is known to be free; spans over several bins, touching ones and bare contigs."""
+    from quern.operators.sampling import uniform
+
+    contigs = spark.createDataFrame([("a", 5000), ("b", 3000), ("c", 100000)], "contig string, length long")
+    spans = [("a", 900, 1000), ("a", 1001, 1400), ("a", 4000, 4010), ("c", 10, 60000), ("c", 70000, 70000), ("z", 1, 9)]
+    got = genome.distal(contigs, spark.createDataFrame(spans, "contig string, start long, `end` long"), 6, 50, 100, 3, 20)
+    assert "overlap" not in plan(got) and "row_number" not in plan(got) and "monotonically" not in plan(got)
+    draws = contigs.select("contig", F.explode(F.sequence(F.lit(1), F.lit(20))).alias("i"), "length")
+    draws = draws.select("contig", "i", (1 + F.floor(uniform(3, "contig", "i") * (F.col("length") - 51))).cast("long").alias("s")).collect()
+    want = []
+    for c in "abc":
+        free = [d.s for d in sorted(draws, key=lambda d: d.i) if d.contig == c and not any(x == c and max(1, s - 100) <= d.s + 50 and e + 100 >= d.s for x, s, e in spans)]
+        want += [(c, s, s + 49) for s in free[:6]]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
