@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import math
 import re
 import tempfile
 import uuid
@@ -10,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 ARROW_ROWS, ARROW_BYTES = 1000, 4 << 20
+TASK_ROWS = 20_000  # of a few numbers each
 _OWN: list[str] = []
 _RECORDS: list[list[str]] = []
 
@@ -103,3 +105,12 @@ def trimmed(run):
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def sized(df: DataFrame, rows: int, each: int = TASK_ROWS) -> DataFrame:
+    """df, the result of a shuffle of about so many rows, counted before: one task for
+    `each` of them, at least one a core. Small tables don't pay for as many tasks as
+    the large ones need; from `each` rows a partition on nothing changes."""
+    spark = df.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, math.ceil(rows / each))
+    return df.coalesce(n) if n < partitions(spark) else df

@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._graph import components
-from ._shared import materialize, partitions, small_batches, trimmed
+from ._graph import components, merged
+from ._shared import materialize, partitions, sized, small_batches, trimmed
 from ._words import Words, chunks, mix, ngram_hashes
 
 WORDS = 5
@@ -34,6 +34,7 @@ BANDS, ROWS = 25, 5  # a pair 0.8 alike meets in a band with a probability of 0.
 MANY_PAIRS = 200_000  # more pairs than this are first thinned out by central nodes; none is left out
 BLOCK = 500  # nodes of a bucket that are held against as many others in one step
 FEW_NODES = 500_000  # ids of so many nodes, 4 MB, are broadcast at most
+TASK_SETS = 2_000  # rows with whole sets or all their bands in a task, where there are few
 _POISSON = np.cumsum([exp(-1) / factorial(i) for i in range(18)])
 _U = float(1 << 53)
 
@@ -163,12 +164,13 @@ def candidates(sketches: DataFrame) -> tuple[DataFrame, DataFrame]:
     by = ("key", "tail", "node")
     found = rows.repartitionByRange(partitions(spark), *by).sortWithinPartitions(*by).mapInArrow(trimmed(_pairs), "a long, b long, near int, key long")
     found = materialize(found, "pairs")
+    n, n_ends = found.agg(F.count_if(F.col("near") < 2), F.count_if(F.col("near") == 2)).first()
     # Two rows a part at most: the smallest nodes of a bucket that several parts share.
-    ends = found.where("near = 2").select("key", "a").distinct()
+    ends = sized(found.where("near = 2").select("key", "a").distinct(), n_ends)
     least = ends.groupBy("key").agg(F.min("a").alias("m"))
-    across = ends.join(least, "key").where("a != m").select(F.col("m").alias("a"), F.col("a").alias("b"), F.lit(0).alias("near"))
+    across = sized(ends.join(least, "key"), n_ends).where("a != m").select(F.col("m").alias("a"), F.col("a").alias("b"), F.lit(0).alias("near"))
     every = found.where("near < 2").select("a", "b", "near").union(across)
-    pairs = materialize(every.groupBy("a", "b").agg(F.min("near").alias("near")), "pairs")
+    pairs = materialize(sized(every.groupBy("a", "b").agg(F.min("near").alias("near")), n + n_ends), "pairs")
     return pairs, found.where("near = 3").select("key", F.col("a").alias("node"), F.col("b").alias("score"))
 
 
@@ -200,11 +202,13 @@ def _verifier(threshold: float):
 
 def verified(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
     """The pairs that are alike, by their whole sets. Sets of nodes in no pair don't move."""
-    used = materialize(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "__used"), "used")
+    n = pairs.count()
+    used = materialize(sized(pairs.select("a").union(pairs.select("b")).distinct(), 2 * n).withColumnRenamed("a", "__used"), "used")
     used = F.broadcast(used) if used.count() <= FEW_NODES else used
     sets = materialize(sketches.join(used, F.col("node") == F.col("__used"), "left_semi").select("node", "shingles", "counts"), "sets")
     out = pairs.select("a", "b").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"), F.col("counts").alias("cb")), "b")
-    out = out.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"), F.col("counts").alias("ca")), "a")
+    out = sized(out, n, TASK_SETS).join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"), F.col("counts").alias("ca")), "a")
+    out = sized(out, n, TASK_SETS)
     return materialize(out.mapInArrow(trimmed(_verifier(threshold)), "a long, b long, similarity double"), "links")
 
 
@@ -271,42 +275,43 @@ def _block_links(threshold: float):
 def _several(rows: DataFrame, roots: DataFrame) -> tuple[DataFrame, int]:
     """Rows (key, node, score, root, n) of the buckets of n nodes that are of several
     components, and the number of their pairs of different components."""
-    rows = rows.select("key", "node", "score").join(roots.select(F.col("node").alias("__n"), "root"), F.col("node") == F.col("__n"), "left")
+    n = rows.count()
+    rows = sized(rows.select("key", "node", "score").join(roots.select(F.col("node").alias("__n"), "root"), F.col("node") == F.col("__n"), "left"), n)
     rows = materialize(rows.select("key", "node", "score", F.coalesce("root", "node").alias("root")), "buckets")
-    sizes = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("q"))
-    sizes = materialize(sizes.where("n * n > q").select(F.col("key").alias("k"), "n", ((F.col("n") * F.col("n") - F.col("q")) / 2).alias("pairs")), "several")
-    out = rows.join(sizes.select("k", "n"), F.col("key") == F.col("k")).drop("k")
+    sizes = sized(rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")), n).groupBy("key").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("q"))
+    sizes = materialize(sized(sizes, n).where("n * n > q").select(F.col("key").alias("k"), "n", ((F.col("n") * F.col("n") - F.col("q")) / 2).alias("pairs")), "several")
+    out = sized(rows.join(sizes.select("k", "n"), F.col("key") == F.col("k")), n).drop("k")
     return materialize(out, "several"), int(sizes.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0])
 
 
-def completed(buckets: DataFrame, sketches: DataFrame, links: DataFrame, threshold: float) -> DataFrame:
-    """node, root by links and by all further links between nodes of a bucket."""
-    roots = materialize(components(links), "roots")
+def completed(buckets: DataFrame, sketches: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """node, root by those of `roots` and by all further links between nodes of a bucket."""
     rows, n = _several(buckets, roots)
     before, led = None, None
     while n > MANY_PAIRS and (before is None or n < 0.75 * before):
         # The node that agrees most with others, over all its buckets; each leads once.
-        score = rows.groupBy(F.col("node").alias("lead")).agg(F.sum("score").alias("total"))
-        score = materialize(score if led is None else score.join(led, "lead", "left_anti"), "scores")
-        leads = rows.join(score, F.col("node") == F.col("lead")).groupBy(F.col("key").alias("k")).agg(F.max(F.struct("total", "lead", "root")).alias("of"))
-        leads = materialize(leads.select("k", "of.lead", F.col("of.root").alias("lead_root")), "leads")
-        pairs = rows.join(leads, F.expr("key = k and root != lead_root")).select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
-        links = links.union(verified(materialize(pairs, "pairs"), sketches, threshold))
-        led = leads.select("lead").distinct() if led is None else led.union(leads.select("lead")).distinct()
-        roots, before = materialize(components(links), "roots"), n
+        many = rows.count()
+        score = sized(rows.groupBy(F.col("node").alias("lead")).agg(F.sum("score").alias("total")), many)
+        score = materialize(score if led is None else sized(score.join(led, "lead", "left_anti"), many), "scores")
+        leads = sized(rows.join(score, F.col("node") == F.col("lead")), many).groupBy(F.col("key").alias("k")).agg(F.max(F.struct("total", "lead", "root")).alias("of"))
+        leads = materialize(sized(leads, many).select("k", "of.lead", F.col("of.root").alias("lead_root")), "leads")
+        pairs = sized(rows.join(leads, F.expr("key = k and root != lead_root")), many).select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
+        links = verified(materialize(sized(pairs.distinct(), many), "pairs"), sketches, threshold)
+        led = leads.select("lead") if led is None else led.union(leads.select("lead"))
+        roots, before = merged(roots, links), n
         rows, n = _several(rows, roots)
     if not n:
         return roots
     blocks = rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("long")).withColumn("block", F.expr("pmod(xxhash64(node), blocks)"))
     steps = blocks.select("key", "node", "root", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
     steps = steps.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), F.col("node").alias("__n"), "root", "block")
-    used = materialize(rows.select(F.col("node").alias("__used")).distinct(), "used")
+    used = materialize(sized(rows.select(F.col("node").alias("__used")).distinct(), rows.count()), "used")
     used = F.broadcast(used) if used.count() <= FEW_NODES else used
     sets = materialize(sketches.join(used, F.col("node") == F.col("__used"), "left_semi"), "sets")
     by = ("key", "low", "high")
     dealt = steps.join(sets, F.col("__n") == F.col("node")).drop("__n").repartition(partitions(rows.sparkSession), *by).sortWithinPartitions(*by)
     more = materialize(dealt.mapInArrow(trimmed(_block_links(threshold)), "a long, b long, similarity double"), "links")
-    return roots if more.isEmpty() else materialize(components(links.union(more)), "roots")
+    return merged(roots, more)
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, weigh: str = "set") -> DataFrame:
@@ -325,25 +330,25 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     kind = source.schema["id"].dataType.simpleString()
     out = source.mapInArrow(trimmed(_sketcher_with_text(bands, rows, words, weigh)), f"id {kind}, row long, h1 long, h2 long, shingles binary, counts binary, keys array<long>, tails array<long>")
     all_rows = materialize(out, "sketches")
-    nodes = materialize(all_rows.groupBy("h1", "h2").agg(F.min("row").alias("node")), "nodes")
+    n = all_rows.count()
+    nodes = materialize(sized(all_rows.groupBy("h1", "h2").agg(F.min("row").alias("node")), n), "nodes")
     # A node is known by the row that stands for it: no hot key.
-    one = all_rows.join(nodes.select("node"), F.col("row") == F.col("node"), "left_semi")
+    one = sized(all_rows.join(nodes.select("node"), F.col("row") == F.col("node"), "left_semi"), n, TASK_SETS)
     pairs, buckets = candidates(one.select(F.col("row").alias("node"), "keys", "tails"))
     sketches = all_rows.select(F.col("row").alias("node"), "shingles", "counts")
-    links = verified(pairs.where("near = 0"), sketches, threshold)
-    roots = materialize(components(links), "roots")
+    roots = components(verified(pairs.where("near = 0"), sketches, threshold))
     # Neighbours in the sort that those links do not join yet.
-    rest = pairs.where("near = 1")
+    rest, near = pairs.where("near = 1"), pairs.count()
     for side in ("a", "b"):
-        rest = rest.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")), side, "left")
+        rest = sized(rest.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")), side, "left"), near)
     rest = materialize(rest.where("coalesce(ra, a) != coalesce(rb, b)").select("a", "b"), "rest")
-    more = verified(rest, sketches, threshold)
-    roots = completed(buckets, sketches, links.union(more), threshold)
-    of_node = nodes.join(roots.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left")
+    roots = completed(buckets, sketches, merged(roots, verified(rest, sketches, threshold)), threshold)
+    of_node = sized(nodes.join(roots.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left"), n)
     of_node = materialize(of_node.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.coalesce("root", "node").alias("root")), "classes")
-    placed = materialize(all_rows.select("id", "row", "h1", "h2").join(of_node, F.expr("h1 = g1 and h2 = g2")).select("id", "row", "root"), "placed")
-    classes = materialize(placed.groupBy("root").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("stays")).withColumnRenamed("root", "__root"), "classes")
-    joined = placed.join(classes, F.col("root") == F.col("__root"))
+    placed = materialize(sized(all_rows.select("id", "row", "h1", "h2").join(of_node, F.expr("h1 = g1 and h2 = g2")), n).select("id", "row", "root"), "placed")
+    classes = placed.groupBy("root").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("stays"))
+    classes = materialize(sized(classes, n).withColumnRenamed("root", "__root"), "classes")
+    joined = sized(placed.join(classes, F.col("root") == F.col("__root")), n)
     return joined.select(F.col("id").alias(id_col), "class_id", "class_size", (F.col("row") == F.col("stays.row")).alias("kept"))
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from quern.llm import near_dedup as nd
-from quern.llm._graph import components
+from quern.llm._graph import components, merged
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -161,3 +161,33 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: v for k, v in root.items() if any(k in e and e[0] != e[1] for e in edges)}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("many", [0, 1, 40, 400])
+def test_merged_roots_are_those_of_all_edges(spark, many):
+    draw = random.Random(many)
+    old = [(draw.randrange(500), draw.randrange(500)) for _ in range(200)]
+    new = [(draw.randrange(600), draw.randrange(600)) for _ in range(many)]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    of = lambda df: sorted(tuple(r) for r in df.collect())
+    assert of(merged(components(frame(old)), frame(new))) == of(components(frame(old + new)))
+    assert of(merged(components(frame([])), frame(new))) == of(components(frame(new)))
+
+
+def test_small_tables_take_few_tasks(spark):
+    """Nothing but partitions for far larger tables: a stage of few rows is not cut in 211."""
+    held = {"spark.sql.shuffle.partitions": "211", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    edges = spark.createDataFrame([(i, i // 3) for i in range(1, 300)], "a long, b long")
+    tracker = spark.sparkContext.statusTracker()
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("few-tasks", "components")
+        assert {r.root for r in components(edges).collect()} == {0}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    stages = {s for j in tracker.getJobIdsForGroup("few-tasks") for s in tracker.getJobInfo(j).stageIds}
+    assert stages and sum(i.numTasks for i in map(tracker.getStageInfo, stages) if i) < 1500
