@@ -23,12 +23,13 @@ _BEFORE_STOP = f"(?s)^(?:(?!{'|'.join(STOPS)})...)*+"  # the codons before the f
 def fetched(spans: DataFrame, key: Sequence[str], blocks: DataFrame, width: int) -> DataFrame:
     """key, text: the letters of each span (key, contig, start, end; cut at the contig's ends).
     blocks: contig, block, seq, `width` letters each but the last. A span meets the few blocks
-    that it touches; one outside of all has no row."""
+    that it touches; one outside of all has no row. Blocks are merged, not broadcast: letters
+    may be made by functions, so the size of the tables read doesn't tell theirs."""
     d = spans.select(*key, F.col("contig").alias("__on"), F.greatest("start", F.lit(0)).alias("__s"), F.col("end").alias("__e")).where("__e > __s")
     d = d.withColumn("__b", F.explode(F.sequence(F.floor(F.col("__s") / width), F.floor((F.col("__e") - 1) / width))))
     b = blocks.select(F.col("contig").alias("__c"), F.col("block").alias("__k"), F.col("seq").alias("__seq"))
     low, high = F.greatest("__s", F.col("__k") * width), F.least(F.col("__e"), F.col("__k") * width + F.length("__seq"))
-    d = d.join(b, (F.col("__on") == F.col("__c")) & (F.col("__b") == F.col("__k"))).where(high > low)
+    d = d.join(b.hint("merge"), (F.col("__on") == F.col("__c")) & (F.col("__b") == F.col("__k"))).where(high > low)
     piece = F.substring(F.col("__seq"), (low - F.col("__k") * width + 1).cast("int"), (high - low).cast("int"))
     d = d.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("__k", piece.alias("s")))).alias("__p"))  # a few blocks
     return d.select(*key, F.array_join(F.transform("__p", lambda x: x["s"]), "").alias("text"))

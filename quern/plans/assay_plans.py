@@ -160,7 +160,7 @@ def d28_graft_alleles(t):
     k = _dna(t).select("p_partkey", F.floor(F.col("p_partkey") / 8).alias("contig"), (F.col("p_partkey") % 8 * 64).alias("base"), "dna")
     at, kind = F.col("slot") * 8 + 4 + F.col("m.shift"), F.col("m.l_linenumber") % 3
     size = F.when(kind == 0, 1).when(kind == 1, 1 + F.col("m.l_orderkey") % 4).otherwise(0)
-    d = slots.join(k, F.col("l_partkey") == F.col("p_partkey")).withColumn("ref", F.substring(F.col("dna"), (at + 1).cast("int"), size.cast("int")))
+    d = slots.join(k.hint("merge"), F.col("l_partkey") == F.col("p_partkey")).withColumn("ref", F.substring(F.col("dna"), (at + 1).cast("int"), size.cast("int")))
     alt = F.when(kind == 0, F.translate("ref", "ACGT", "CGTA")).when(kind == 1, "").otherwise("TG")
     edits = d.select("contig", "hap", (F.col("base") + at).alias("start"), "ref", alt.alias("alt"))
     return phasing.graft_records(edits, _blocks(t), 64).withColumn("alts", F.array_join("alts", ","))

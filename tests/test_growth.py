@@ -73,6 +73,16 @@ def test_letters_of_parts_are_merged_not_broadcast(spark):
     assert "SortMergeJoin [l_partkey" in plan(registry.QUERIES["d13_junction_search"](spark, "/root/testdata/sf0.001"))
 
 
+def test_letters_of_grafts_are_merged_not_broadcast(spark):
+    """Neither an edit's part nor the blocks under a record go through the driver."""
+    from quern.plans import registry
+
+    registry.load()
+    p = plan(registry.QUERIES["d28_graft_alleles"](spark, "/root/testdata/sf0.001"))
+    assert "BroadcastHashJoin [l_partkey" not in p and "BroadcastHashJoin [__on" not in p
+    assert "SortMergeJoin [l_partkey" in p and "SortMergeJoin [__on" in p
+
+
 def test_slices_ask_for_bands_by_distinct_places(spark, monkeypatch):
     """Slices of many sequences at one place are one question, so a contig's slices never meet."""
     asked, asof_join = [], genome.asof_join
